@@ -86,7 +86,10 @@ def _contains(px: str, py: str):
 def _valid(zones: DataFrame) -> DataFrame:
     # Reversed corners (and NaN/NULL bounds) contain nothing: drop them
     # before tiling, ``sequence`` would otherwise count downwards.
-    return zones.filter((F.col("x1") <= F.col("x2")) & (F.col("y1") <= F.col("y2")))
+    ok = (F.col("x1") <= F.col("x2")) & (F.col("y1") <= F.col("y2"))
+    for c in ZONE_COLS:
+        ok = ok & ~F.isnan(c)
+    return zones.filter(ok)
 
 
 def _extent():
@@ -219,6 +222,10 @@ def zone_point_pairs(
         pt = pt.withColumn("_salt", F.pmod(F.xxhash64(F.col(px), F.col(py), F.monotonically_increasing_id()), F.lit(salt)))
         zt = zt.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
         keys = keys + ["_salt"]
+    if strategy == TILED_SHUFFLE:
+        # Asked for explicitly: keep the sort-merge join.  Under AUTO, AQE may
+        # still broadcast a side whose *measured* size turns out small.
+        zt = zt.hint("shuffle_merge")
     return pt.join(zt, keys, "inner").filter(pred).drop(*keys)
 
 

@@ -1,0 +1,124 @@
+import itertools
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from spacetime.functions.grid import (
+    DAY_OF_YEAR,
+    GridSpec,
+    cell_id,
+    cell_of_id,
+    cell_x,
+    cell_y,
+    cell_z,
+    in_grid,
+    is_adjacent,
+    neighbor_weight,
+    parse_time,
+)
+from spacetime.functions.geometry import parse_point
+
+
+def test_default_grid_shape():
+    g = GridSpec.default()
+    assert (g.min_x, g.max_x, g.min_y, g.max_y, g.min_z, g.max_z) == (-7450, -7370, 4050, 4090, 1, 31)
+    assert (g.width, g.height, g.layer, g.num_cells) == (81, 41, 3321, 102951)
+
+
+def test_double_division_cell_edges(spark):
+    """Exact multiples can land one cell low (divide by a DOUBLE 0.01)."""
+    g = GridSpec.default()
+    r = spark.range(1).select(
+        cell_x(F.lit(-74.43), g).alias("a"), cell_y(F.lit(40.51), g).alias("b"), cell_x(F.lit(-73.70), g).alias("c")
+    ).first()
+    assert (r.a, r.b, r.c) == (-7444, 4050, -7370)
+
+
+def test_fixture_rows(spark):
+    """The two invented sample rows of FIXTURES.md section 1."""
+    g = GridSpec.default()
+    df = spark.createDataFrame(
+        [("2009-01-31 12:05:00", "(-73.991957,40.721567)"), ("2009-01-04 23:52:00", "(-74.43,40.51)")],
+        "t string, p string",
+    )
+    p = parse_point("p")
+    out = df.select(
+        cell_x(p["px"], g).alias("x"), cell_y(p["py"], g).alias("y"), cell_z(parse_time("t"), g).alias("z")
+    ).collect()
+    assert [tuple(r) for r in out] == [(-7400, 4072, 31), (-7444, 4050, 4)]
+
+
+def test_parse_time_24h_and_failures(spark):
+    r = spark.range(1).select(parse_time(F.lit("2009-01-04 23:52:00")).alias("t")).first()
+    assert r.t.hour == 23 and r.t.day == 4
+    with pytest.raises(Exception):
+        spark.range(1).select(parse_time(F.lit("2009-02-31 00:00:00")).alias("t")).collect()
+    with pytest.raises(Exception):
+        spark.range(1).select(parse_time(F.lit("2009-01-05")).alias("t")).collect()
+    r = spark.range(1).select(
+        parse_time(F.lit("2009-02-31 00:00:00"), mode="permissive").alias("a"),
+        parse_time(F.lit("2009-01-05"), mode="permissive").alias("b"),
+    ).first()
+    assert r.a is None and r.b is None
+
+
+def test_day_of_year_axis(spark):
+    g = GridSpec(0, 1, 0, 1, 1, 366, z_unit=DAY_OF_YEAR)
+    r = spark.range(1).select(cell_z(parse_time(F.lit("2012-12-31 10:00:00")), g).alias("z")).first()
+    assert r.z == 366
+
+
+def test_cell_id_round_trip_full_grid(spark):
+    """decode(encode(cell)) = cell for all 102951 cells, ids are 1..n."""
+    g = GridSpec.default()
+    ids = spark.range(1, g.num_cells + 1).withColumnRenamed("id", "cid")
+    c = cell_of_id("cid", g)
+    dec = ids.select("cid", c["x"].alias("x"), c["y"].alias("y"), c["z"].alias("z"))
+    back = dec.select(
+        (cell_id("x", "y", "z", g) == F.col("cid")).alias("same"), in_grid("x", "y", "z", g).alias("inside")
+    )
+    agg = back.agg(F.min(F.col("same").cast("int")).alias("a"), F.min(F.col("inside").cast("int")).alias("b")).first()
+    assert (agg.a, agg.b) == (1, 1)
+    distinct = dec.select("x", "y", "z").distinct().count()
+    assert distinct == g.num_cells
+
+
+def test_corner_ids(spark):
+    g = GridSpec.default()
+    df = spark.createDataFrame([(-7450, 4090, 31), (-7370, 4050, 31), (-7450, 4090, 1), (-7370, 4050, 1)],
+                               "x long, y long, z int")
+    rows = df.select(cell_id("x", "y", "z", g).alias("i")).collect()
+    ids = [r.i for r in rows]
+    assert ids == [30 * g.layer + 1, g.num_cells, 1, g.layer]
+    dec = spark.createDataFrame([(i,) for i in ids], "i long").select(cell_of_id("i", g).alias("c")).collect()
+    assert [tuple(r.c) for r in dec] == [(-7450, 4090, 31), (-7370, 4050, 31), (-7450, 4090, 1), (-7370, 4050, 1)]
+
+
+@pytest.mark.parametrize("dims", [(4, 4, 4), (1, 3, 2), (2, 1, 1), (5, 2, 3)])
+def test_weights_closed_form_equals_enumeration(spark, dims):
+    w, h, d = dims
+    g = GridSpec(0, w - 1, 10, 10 + h - 1, 1, d)
+    cells = list(itertools.product(range(w), range(10, 10 + h), range(1, d + 1)))
+
+    def brute(c):
+        return sum(
+            1
+            for dx, dy, dz in itertools.product((-1, 0, 1), repeat=3)
+            if 0 <= c[0] + dx < w and 10 <= c[1] + dy < 10 + h and 1 <= c[2] + dz <= d
+        )
+
+    df = spark.createDataFrame(cells, "x long, y long, z int")
+    got = {(r.x, r.y, r.z): r.w for r in df.select("x", "y", "z", neighbor_weight("x", "y", "z", g).alias("w")).collect()}
+    assert got == {c: brute(c) for c in cells}
+
+
+def test_adjacency_no_wrap(spark):
+    g = GridSpec.default()
+    df = spark.createDataFrame(
+        [(-7370, 4050, 5, -7450, 4050, 5), (-7400, 4060, 5, -7399, 4061, 6), (-7400, 4060, 31, -7400, 4060, 1),
+         (-7400, 4060, 5, -7400, 4060, 5), (-7371, 4060, 5, -7369, 4060, 5)],
+        "ax long, ay long, az int, bx long, by long, bz int",
+    )
+    got = [r.a for r in df.select(is_adjacent("ax", "ay", "az", "bx", "by", "bz", g).alias("a")).collect()]
+    assert got == [False, True, False, True, False]
