@@ -33,7 +33,7 @@ STRICT = "strict"
 PERMISSIVE = "permissive"
 
 
-def _check_mode(mode: str) -> str:
+def check_mode(mode: str) -> str:
     if mode not in (STRICT, PERMISSIVE):
         raise ValueError(f"mode must be 'strict' or 'permissive', got {mode!r}")
     return mode
@@ -44,11 +44,11 @@ def strip_parens(text) -> Column:
     return F.translate(as_col(text), "()", "")
 
 
-def _to_double(c: Column, mode: str) -> Column:
+def to_double(c: Column, mode: str) -> Column:
     return c.cast("double") if mode == STRICT else c.try_cast("double")
 
 
-def _element(arr: Column, index0: int, mode: str) -> Column:
+def nth_element(arr: Column, index0: int, mode: str) -> Column:
     # strict: ``arr[i]`` raises INVALID_ARRAY_INDEX under ANSI when missing.
     if mode == STRICT:
         return F.element_at(arr, index0 + 1)
@@ -57,21 +57,21 @@ def _element(arr: Column, index0: int, mode: str) -> Column:
 
 def parse_point(text, mode: str = STRICT) -> Column:
     """``"(x,y)"`` -> ``struct<px: double, py: double>``."""
-    _check_mode(mode)
+    check_mode(mode)
     parts = F.split(strip_parens(text), ",")
     return F.struct(
-        _to_double(_element(parts, 0, mode), mode).alias("px"),
-        _to_double(_element(parts, 1, mode), mode).alias("py"),
+        to_double(nth_element(parts, 0, mode), mode).alias("px"),
+        to_double(nth_element(parts, 1, mode), mode).alias("py"),
     )
 
 
 def parse_rectangle(text, mode: str = STRICT) -> Column:
     """``"x1,y1,x2,y2"`` -> ``struct<x1, y1, x2, y2: double>``."""
-    _check_mode(mode)
+    check_mode(mode)
     parts = F.split(as_col(text), ",")
     return F.struct(
         *[
-            _to_double(_element(parts, i, mode), mode).alias(name)
+            to_double(nth_element(parts, i, mode), mode).alias(name)
             for i, name in enumerate(("x1", "y1", "x2", "y2"))
         ]
     )

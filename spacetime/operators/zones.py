@@ -39,7 +39,16 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spacetime.functions.geometry import STRICT, contains, parse_point, parse_rectangle
+from spacetime.functions.geometry import (
+    STRICT,
+    check_mode,
+    contains,
+    nth_element,
+    parse_rectangle,
+    strip_parens,
+    to_double,
+)
+from spacetime.functions.grid import TIME_FORMAT, parse_time
 
 AUTO = "auto"
 NESTED_LOOP = "nested_loop"
@@ -53,12 +62,34 @@ ZONE_COLS = ("x1", "y1", "x2", "y2")
 # ------------------------------------------------------------------ inputs
 
 
-def points_from_text(df: DataFrame, col: str = "point", mode: str = STRICT, keep=()) -> DataFrame:
-    """``"(x,y)"`` text column -> ``px, py`` doubles (NULL rows dropped when permissive)."""
-    p = parse_point(col, mode)
-    out = df.select(*keep, p["px"].alias("px"), p["py"].alias("py"))
+def points_from_text(df: DataFrame, col: str = "point", mode: str = STRICT, keep=(), time_col: str | None = None,
+                     time_format: str = TIME_FORMAT) -> DataFrame:
+    """``"(x,y)"`` text column -> ``px, py`` doubles (+ ``t`` from ``time_col``).
+
+    The text is split once (a projection), and the numbers come out of a
+    one-row ``inline`` generator.  Filters on ``px, py`` -- including the
+    ``isnotnull`` that Catalyst infers from any later join or grid
+    predicate -- stop at the generator instead of being pushed below it,
+    where they would re-run the whole parse for every row.  Permissive
+    mode drops rows whose point (or time) does not parse.
+    """
+    check_mode(mode)
+    keep_cols = [F.col(k) if isinstance(k, str) else k for k in keep]
+    stage = df.select(*keep_cols, F.split(strip_parens(col), ",").alias("_parts"),
+                      *([F.col(time_col).alias("_time")] if time_col else []))
+    kept = [c for c in stage.columns if c not in ("_parts", "_time")]
+    fields = [
+        to_double(nth_element(F.col("_parts"), 0, mode), mode).alias("px"),
+        to_double(nth_element(F.col("_parts"), 1, mode), mode).alias("py"),
+    ]
+    if time_col:
+        fields.append(parse_time("_time", mode, time_format).alias("t"))
+    out = stage.select(*kept, F.inline(F.array(F.struct(*fields))))
     if mode != STRICT:
-        out = out.filter(F.col("px").isNotNull() & F.col("py").isNotNull())
+        ok = F.col("px").isNotNull() & F.col("py").isNotNull()
+        if time_col:
+            ok = ok & F.col("t").isNotNull()
+        out = out.filter(ok)
     return out
 
 

@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.functions.geometry import contains_text, parse_point, point_text
-from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, in_grid, neighbor_weight, parse_time
+from spacetime.functions.geometry import contains_text, point_text
+from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, in_grid, neighbor_weight
 from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.gistar import hot_cells, score_cells
 from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
@@ -167,8 +167,7 @@ def q_hot_cells_text(spark, d):
         point_text("px", "py").alias("point"),
         F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("pickup_time"),
     )
-    p = parse_point("point")
-    pts = ev.select(p["px"].alias("px"), p["py"].alias("py"), parse_time("pickup_time").alias("t"))
+    pts = points_from_text(ev, "point", time_col="pickup_time")
     return hot_cells(pts, EV_GRID, k=TOP_K)
 
 

@@ -15,10 +15,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spacetime.functions.geometry import STRICT
-from spacetime.functions.grid import GridSpec, parse_time
+from spacetime.functions.grid import GridSpec
 from spacetime.operators.gistar import hot_cells
 from spacetime.operators.zones import hot_zones, points_from_text, zones_from_text
 from spacetime.sources.csv import read_points_csv, read_rectangles_csv, write_report
@@ -40,9 +39,7 @@ def hot_cell_analysis(spark: SparkSession, point_path: str, spec: GridSpec | Non
     """Point file -> the k hottest grid cells ``x, y, z`` (doubles)."""
     spec = spec or GridSpec.default()
     raw = read_points_csv(spark, point_path)
-    pts = points_from_text(raw, "point", mode, keep=[parse_time("pickup_time", mode).alias("t")])
-    if mode != STRICT:
-        pts = pts.filter(F.col("t").isNotNull())
+    pts = points_from_text(raw, "point", mode, time_col="pickup_time")
     return hot_cells(pts, spec, k=k, clip=clip)
 
 
