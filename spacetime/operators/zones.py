@@ -44,7 +44,6 @@ from spacetime.functions.geometry import (
     check_mode,
     contains,
     nth_element,
-    parse_rectangle,
     strip_parens,
     to_double,
 )
@@ -94,11 +93,20 @@ def points_from_text(df: DataFrame, col: str = "point", mode: str = STRICT, keep
 
 
 def zones_from_text(df: DataFrame, col: str = "rectangle", mode: str = STRICT) -> DataFrame:
-    """``"x1,y1,x2,y2"`` text column -> ``rectangle`` text + four doubles."""
-    r = parse_rectangle(col, mode)
-    out = df.select(F.col(col).alias("rectangle"), *[r[c].alias(c) for c in ZONE_COLS])
+    """``"x1,y1,x2,y2"`` text column -> ``rectangle`` text + four doubles.
+
+    Same shape as :func:`points_from_text`: split once, numbers from a
+    one-row generator, so inferred filters do not re-run the parse.
+    """
+    check_mode(mode)
+    stage = df.select(F.col(col).alias("rectangle"), F.split(F.col(col), ",").alias("_parts"))
+    fields = [to_double(nth_element(F.col("_parts"), i, mode), mode).alias(c) for i, c in enumerate(ZONE_COLS)]
+    out = stage.select("rectangle", F.inline(F.array(F.struct(*fields))))
     if mode != STRICT:
-        out = out.filter(F.col("x1").isNotNull() & F.col("y1").isNotNull() & F.col("x2").isNotNull() & F.col("y2").isNotNull())
+        ok = F.col("x1").isNotNull()
+        for c in ZONE_COLS[1:]:
+            ok = ok & F.col(c).isNotNull()
+        out = out.filter(ok)
     return out
 
 
