@@ -136,63 +136,82 @@ def _extent():
 
 
 def auto_tile(zones: DataFrame) -> float:
-    """Base tile side = approximate median zone extent (a one-row aggregate)."""
-    med = _valid(zones).agg(F.percentile_approx(_extent(), 0.5).alias("m")).first()["m"]
-    if med is None or not math.isfinite(med) or med <= 0:
-        mx = _valid(zones).agg(F.max(_extent()).alias("m")).first()["m"]
-        med = mx if (mx is not None and math.isfinite(mx) and mx > 0) else 1.0
-    return float(med)
+    """Base tile side = approximate median zone extent (one one-row aggregate)."""
+    r = _valid(zones).agg(
+        F.percentile_approx(_extent(), 0.5).alias("med"), F.max(_extent()).alias("mx")
+    ).first()
+    for v in (r["med"], r["mx"]):
+        if v is not None and math.isfinite(v) and v > 0:
+            return float(v)
+    return 1.0
 
 
 class TilePlan:
     """Tile side per level, shared by the zone and the point side."""
 
-    def __init__(self, tile: float, levels: list[int], fanout: int, axis_tiles: int):
-        if tile <= 0:
-            raise ValueError("tile must be positive")
+    def __init__(self, tile: float, fanout: int, axis_tiles: int, levels=(0,), n_tiles: int = 0):
+        if tile <= 0 or not math.isfinite(tile):
+            raise ValueError("tile must be a positive number")
+        if fanout < 2 or axis_tiles < 1:
+            raise ValueError("fanout must be >= 2 and axis_tiles >= 1")
         self.tile = float(tile)
+        self.fanout = int(fanout)
+        self.axis_tiles = int(axis_tiles)
         self.levels = sorted(levels) or [0]
-        self.fanout = fanout
-        self.axis_tiles = axis_tiles
+        self.n_tiles = n_tiles
 
     def side(self, level: int) -> float:
-        # fanout is an integer, tile * fanout**level is the same double on
-        # both sides of the join.
         return self.tile * float(self.fanout**level)
 
+    def side_col(self, level_col):
+        # Math.pow of integers is exact when the result fits a double, so
+        # this is the same double as side(level) on the point side.
+        return F.lit(self.tile) * F.pow(F.lit(float(self.fanout)), level_col)
+
     def level_of(self):
         """Level column for a zone: lowest level spanning <= axis_tiles tiles per axis."""
         span = self.tile * self.axis_tiles
         raw = F.ceil(F.log(_extent() / F.lit(span)) / F.lit(math.log(self.fanout)))
         return F.when(_extent() <= F.lit(span), F.lit(0)).otherwise(raw).cast("int")
 
-    def side_col(self, level_col):
-        expr = None
-        for lv in self.levels:
-            expr = (F.when(level_col == lv, F.lit(self.side(lv))) if expr is None
-                    else expr.when(level_col == lv, F.lit(self.side(lv))))
-        return expr
+    def tile_span(self, lo: str, hi: str, side):
+        """Tile indexes covered by [lo, hi] on one axis."""
+        return F.floor(F.col(lo) / side), F.floor(F.col(hi) / side)
+
+
+def _with_level(zones: DataFrame, plan: TilePlan) -> DataFrame:
+    z = _valid(zones).withColumn("lvl", plan.level_of())
+    return z.withColumn("_side", plan.side_col(F.col("lvl")))
 
 
 def plan_tiles(zones: DataFrame, tile: float | None = None, fanout: int = 4, axis_tiles: int = 4) -> TilePlan:
-    """Choose the base tile and find the levels in use (a handful of ints)."""
-    if fanout < 2 or axis_tiles < 1:
-        raise ValueError("fanout must be >= 2 and axis_tiles >= 1")
+    """Choose the base tile, find the levels in use and count the zone tiles.
+
+    Two one-row aggregates over the zone side (the first only when ``tile``
+    is not given).  The level set is a handful of small integers whatever
+    the number of zones; the tile count is exact, so it is a proven bound
+    for the broadcast decision.
+    """
     tile = auto_tile(zones) if tile is None else float(tile)
-    plan = TilePlan(tile, [0], fanout, axis_tiles)
-    # Distinct levels: at most a few dozen integers, whatever the zone count.
-    levels = [r["lvl"] for r in _valid(zones).select(plan.level_of().alias("lvl")).distinct().collect()]
-    return TilePlan(tile, levels, fanout, axis_tiles)
+    plan = TilePlan(tile, fanout, axis_tiles)
+    z = _with_level(zones, plan)
+    x0, x1 = plan.tile_span("x1", "x2", F.col("_side"))
+    y0, y1 = plan.tile_span("y1", "y2", F.col("_side"))
+    r = z.agg(
+        F.collect_set("lvl").alias("levels"),
+        F.sum((x1 - x0 + 1) * (y1 - y0 + 1)).alias("n"),
+    ).first()
+    return TilePlan(tile, fanout, axis_tiles, list(r["levels"] or [0]), int(r["n"] or 0))
 
 
 def zone_tiles(zones: DataFrame, plan: TilePlan) -> DataFrame:
     """Every valid zone exploded into the tiles it covers: ``+ lvl, tx, ty``."""
-    z = _valid(zones).withColumn("lvl", plan.level_of())
-    side = plan.side_col(F.col("lvl"))
-    z = z.withColumn("_side", side)
+    z = _with_level(zones, plan)
+    x0, x1 = plan.tile_span("x1", "x2", F.col("_side"))
+    y0, y1 = plan.tile_span("y1", "y2", F.col("_side"))
     return (
-        z.withColumn("tx", F.explode(F.sequence(F.floor(F.col("x1") / F.col("_side")), F.floor(F.col("x2") / F.col("_side")))))
-        .withColumn("ty", F.explode(F.sequence(F.floor(F.col("y1") / F.col("_side")), F.floor(F.col("y2") / F.col("_side")))))
+        z.withColumn("tx", F.explode(F.sequence(x0, x1)))
+        .withColumn("ty", F.explode(F.sequence(y0, y1)))
         .drop("_side")
     )
 
@@ -231,7 +250,7 @@ def zone_point_pairs(
 
     ``points`` needs ``px, py`` (doubles); ``zones`` needs ``x1, y1, x2,
     y2``.  All other columns of both sides are carried through.  The size
-    checks (``limit(n+1).count()``) and the tile planning run small actions
+    check (``limit(n+1).count()``) and the tile planning run small actions
     on the zone side only; the point side stays lazy.
     """
     if strategy not in STRATEGIES:
@@ -251,7 +270,7 @@ def zone_point_pairs(
     keys = ["lvl", "tx", "ty"]
 
     if strategy in (AUTO, TILED_BROADCAST):
-        if has_at_most(zt, broadcast_max_rows):
+        if plan.n_tiles <= broadcast_max_rows:
             return pt.join(F.broadcast(zt), keys, "inner").filter(pred).drop(*keys)
         if strategy == TILED_BROADCAST:
             raise ValueError(f"tiled_broadcast needs at most {broadcast_max_rows} zone tiles")

@@ -90,6 +90,8 @@ def test_mixed_sizes_use_several_levels_without_caps(spark):
     # no zone explodes beyond ~ (fanout * axis_tiles + 1)^2 tiles, and none is dropped
     assert per_zone <= (4 * 4 + 1) ** 2
     assert zone_tiles(z, plan).select("x1", "y1", "x2", "y2").distinct().count() == len(zones) - 1
+    # the planned tile count is exact (it is the broadcast size bound)
+    assert plan.n_tiles == zone_tiles(z, plan).count()
 
 
 def test_counts_invariant_under_repartitioning(spark):
