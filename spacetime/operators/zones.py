@@ -276,8 +276,11 @@ def zone_point_pairs(
             raise ValueError(f"tiled_broadcast needs at most {broadcast_max_rows} zone tiles")
 
     if salt > 1:
-        # Deterministic per input split, so a recomputed task re-salts alike.
-        pt = pt.withColumn("_salt", F.pmod(F.xxhash64(F.col(px), F.col(py), F.monotonically_increasing_id()), F.lit(salt)))
+        # Any salt is correct (every zone tile carries all of them).  In batch
+        # the row id keeps it deterministic per input split, so a recomputed
+        # task re-salts alike; streams have no row id and use rand.
+        row = F.rand(17) if pt.isStreaming else F.monotonically_increasing_id()
+        pt = pt.withColumn("_salt", F.pmod(F.xxhash64(F.col(px), F.col(py), row), F.lit(salt)))
         zt = zt.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
         keys = keys + ["_salt"]
     if strategy == TILED_SHUFFLE:

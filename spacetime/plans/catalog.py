@@ -20,7 +20,15 @@ from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.gistar import hot_cells, score_cells
 from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
 from spacetime.operators.zones import hot_zones, points_from_text, zone_point_pairs, zones_from_text
-from spacetime.sources.tables import embedding_points, events_points, lineitem_points, nation_zones
+from spacetime.sources.tables import (
+    embedding_points,
+    events_points,
+    events_points_of,
+    lineitem_points,
+    lineitem_points_of,
+    nation_zones,
+)
+from spacetime.streaming.hotspots import read_parquet_stream, run_to_table, start_hot_cells, start_zone_counts
 
 # Grids and the literal rectangle used by the catalogue.
 EV_GRID = GridSpec(min_x=0, max_x=29, min_y=0, max_y=14, min_z=1, max_z=31, step_x=10.0, step_y=10.0)
@@ -171,6 +179,19 @@ def q_hot_cells_text(spark, d):
     return hot_cells(pts, EV_GRID, k=TOP_K)
 
 
+def q_hot_zones_stream(spark, d):
+    """``hot_zones`` as a stream: lineitem parquet files -> running zone counts."""
+    pts = lineitem_points_of(read_parquet_stream(spark, d, "lineitem.parquet"))
+    zones = nation_zones(spark, d)
+    return run_to_table(spark, lambda out, ck: start_zone_counts(pts, zones, out, ck), "hot_zones")
+
+
+def q_hot_cells_stream(spark, d):
+    """``hot_cells_top50`` as a stream: events parquet files -> running cell counts -> Gi* top-k."""
+    pts = events_points_of(read_parquet_stream(spark, d, "events.parquet"))
+    return run_to_table(spark, lambda out, ck: start_hot_cells(pts, EV_GRID, out, ck, k=TOP_K), "hot_cells")
+
+
 QUERIES: dict[str, Query] = {
     "point_text_parse": q_point_text_parse,
     "zone_text_parse": q_zone_text_parse,
@@ -198,6 +219,8 @@ QUERIES: dict[str, Query] = {
     "hot_cells_lineitem_top50": q_hot_cells_lineitem_top50,
     "hot_cells_clipped": q_hot_cells_clipped,
     "hot_cells_text": q_hot_cells_text,
+    "hot_zones_stream": q_hot_zones_stream,
+    "hot_cells_stream": q_hot_cells_stream,
 }
 
 
@@ -403,4 +426,6 @@ ORACLE_SQL: dict[str, str] = {
     "hot_cells_lineitem_top50": _top_sql(LI_POINTS, LI_GRID, with_score=True),
     "hot_cells_clipped": _top_sql(LI_POINTS, LI_NARROW, clip=True, with_score=True),
     "hot_cells_text": _top_sql(EV_POINTS, EV_GRID),
+    "hot_zones_stream": _hot_zones_sql(),
+    "hot_cells_stream": _top_sql(EV_POINTS, EV_GRID),
 }

@@ -37,7 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return events_points_of(table(spark, sf_dir, "events"))
+
+
+def events_points_of(ev: DataFrame) -> DataFrame:
+    """``events`` rows (batch or stream) as points."""
     return ev.select(
         "event_id",
         F.col("value").alias("px"),
@@ -47,7 +51,11 @@ def events_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return lineitem_points_of(table(spark, sf_dir, "lineitem"))
+
+
+def lineitem_points_of(li: DataFrame) -> DataFrame:
+    """``lineitem`` rows (batch or stream) as points."""
     return li.select(
         "l_orderkey",
         "l_linenumber",
