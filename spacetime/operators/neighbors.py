@@ -21,21 +21,25 @@ from spacetime.functions.grid import GridSpec, in_grid, neighbor_offsets, neighb
 def _scatter(counts: DataFrame, spec: GridSpec) -> DataFrame:
     """(target cell, contributed count, is_self) for every in-grid slot.
 
-    Off-grid source cells contribute NULL instead of being filtered out: a
-    filter on the source cell would be pushed below the count aggregation
-    and make this branch's ``counts`` differ from the one the grid totals
-    read (those include off-grid cells), so the points would be scanned and
-    aggregated twice.  This way both branches share one counts exchange;
-    off-grid cells cost 27 pipelined rows each, almost all dropped by the
-    target filter before any shuffle.  (Filtering the NULL rows here would
-    not help: Catalyst rewrites that filter back into a source filter.)
+    Source cells are never *filtered*: a filter on them would be pushed
+    below the count aggregation and make this branch's ``counts`` differ
+    from the one the grid totals read (those include off-grid cells), so
+    the points would be scanned and aggregated twice.  Instead, cells more
+    than one step outside the grid get a NULL offset array (explode emits
+    nothing; the test lives inside the generator, where Catalyst cannot
+    push it), and the off-grid ring around the grid contributes NULL counts.
+    Both branches then share one counts exchange.
     """
+    near = in_grid(
+        "x", "y", "z",
+        GridSpec(spec.min_x - 1, spec.max_x + 1, spec.min_y - 1, spec.max_y + 1, spec.min_z - 1, spec.max_z + 1),
+    )
     src = counts.select(
         "x",
         "y",
         "z",
         F.when(in_grid("x", "y", "z", spec), F.col("n")).alias("n"),
-        F.explode(neighbor_offsets()).alias("o"),
+        F.explode(F.when(near, neighbor_offsets())).alias("o"),
     )
     return src.select(
         (F.col("x") + F.col("o.dx")).alias("x"),

@@ -149,3 +149,12 @@ def test_adjacent_pairs_match_brute_force(spark):
     got = {tuple(r) for r in adjacent_cell_pairs(df, G4).collect()}
     want = {a + b for a in cells for b in cells if all(abs(i - j) <= 1 for i, j in zip(a, b))}
     assert got == want
+
+
+def test_far_off_grid_cells_emit_nothing(spark):
+    from spacetime.operators.neighbors import _scatter
+
+    df = counts_df(spark, [(100, 100, 2, 5), (5, 2, 2, 3)])  # far away; on the ring x = max + 1
+    rows = _scatter(df, G4).collect()
+    assert len(rows) == 9  # the ring cell reaches 3 x 3 in-grid cells ...
+    assert all(r.n is None for r in rows)  # ... but contributes nothing

@@ -135,3 +135,22 @@ def test_strict_text_fails_fast(spark):
     p = points_from_text(spark.createDataFrame([("(abc,2)",)], "point string"), "point")
     with pytest.raises(Exception):
         p.collect()
+
+
+def test_hot_tile_is_spread_by_salt(spark):
+    """A third of the points in one tile: the salt spreads them evenly."""
+    from spacetime.operators.zones import plan_tiles, point_tiles
+
+    rnd = random.Random(4)
+    hot = [(0.5 + rnd.random() * 1e-3, 0.5 + rnd.random() * 1e-3) for _ in range(3000)]
+    rest = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(6000)]
+    p = spark.createDataFrame(hot + rest, "px double, py double")
+    z = spark.createDataFrame([(f"z{i}", float(i), float(i), i + 1.0, i + 1.0) for i in range(100)],
+                              "rectangle string, x1 double, y1 double, x2 double, y2 double")
+    pairs = zone_point_pairs(p, z, strategy=TILED_SHUFFLE, tile=1.0, salt=8)
+    assert pairs.count() == len(brute_pairs(hot + rest, [(i, i, i + 1.0, i + 1.0) for i in range(100)]))
+    plan = plan_tiles(z, tile=1.0)
+    salted = point_tiles(p, plan).filter("tx = 0 AND ty = 0").select(
+        F.pmod(F.xxhash64("px", "py", F.monotonically_increasing_id()), F.lit(8)).alias("s"))
+    sizes = [r["count"] for r in salted.groupBy("s").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * (sum(sizes) / 8)
