@@ -20,13 +20,14 @@ from spacetime.functions.grid import (
     day_of_year,
     in_grid,
     is_adjacent,
-    neighbor_offsets,
+    neighbor_slots,
+    slot_offset,
     neighbor_weight,
     parse_time,
 )
 
 __all__ = [
     "GridSpec", "cell_id", "cell_of_id", "cell_x", "cell_y", "cell_z", "contains", "contains_text",
-    "day_of_month", "day_of_year", "in_grid", "is_adjacent", "neighbor_offsets", "neighbor_weight",
-    "parse_point", "parse_rectangle", "parse_time", "point_text", "rectangle_text", "strip_parens",
+    "day_of_month", "day_of_year", "in_grid", "is_adjacent", "neighbor_slots", "neighbor_weight",
+    "parse_point", "parse_rectangle", "parse_time", "point_text", "rectangle_text", "slot_offset", "strip_parens",
 ]

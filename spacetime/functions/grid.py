@@ -216,8 +216,9 @@ def is_adjacent(ax, ay, az, bx, by, bz, spec: GridSpec) -> Column:
 
 
 def _axis_slots(c: Column, lo: int, hi: int) -> Column:
-    # Slots on one axis inside [lo, hi] around c: 3, minus one at each edge.
-    return F.lit(3) - F.when(c == lo, 1).otherwise(0) - F.when(c == hi, 1).otherwise(0)
+    # Slots on one axis inside [lo, hi] around c (3 inside, 2 on an edge,
+    # 1 when lo == hi).
+    return F.least(c + 1, F.lit(hi)) - F.greatest(c - 1, F.lit(lo)) + 1
 
 
 def neighbor_weight(x, y, z, spec: GridSpec) -> Column:
@@ -233,13 +234,22 @@ def neighbor_weight(x, y, z, spec: GridSpec) -> Column:
     ).cast("bigint")
 
 
-def neighbor_offsets() -> Column:
-    """``array<struct<dx, dy, dz: int>>`` of the 27 offsets, self included."""
-    return F.array(
-        *[
-            F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"))
-            for dz in (-1, 0, 1)
-            for dy in (-1, 0, 1)
-            for dx in (-1, 0, 1)
-        ]
-    )
+# Neighbourhood slots 0..26: slot k is the offset
+# (k % 3 - 1, (k div 3) % 3 - 1, k div 9 - 1); slot 13 is the cell itself.
+NUM_SLOTS = 27
+SELF_SLOT = 13
+
+
+def neighbor_slots() -> Column:
+    """``array<int>`` 0..26, one entry per 3x3x3 neighbourhood slot."""
+    return F.sequence(F.lit(0), F.lit(NUM_SLOTS - 1))
+
+
+def slot_offset(slot, axis: int) -> Column:
+    """Offset (-1, 0, 1) of a neighbourhood slot along axis 0 (x), 1 (y) or 2 (z)."""
+    k = as_col(slot)
+    if axis == 0:
+        return k % 3 - 1
+    if axis == 1:
+        return _idiv(k, 3) % 3 - 1
+    return _idiv(k, 9) - 1

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spacetime.functions.grid import GridSpec, in_grid, neighbor_offsets, neighbor_weight
+from spacetime.functions.grid import SELF_SLOT, GridSpec, in_grid, neighbor_slots, neighbor_weight, slot_offset
 
 
 def _scatter(counts: DataFrame, spec: GridSpec) -> DataFrame:
@@ -39,14 +39,14 @@ def _scatter(counts: DataFrame, spec: GridSpec) -> DataFrame:
         "y",
         "z",
         F.when(in_grid("x", "y", "z", spec), F.col("n")).alias("n"),
-        F.explode(F.when(near, neighbor_offsets())).alias("o"),
+        F.explode(F.when(near, neighbor_slots())).alias("k"),
     )
     return src.select(
-        (F.col("x") + F.col("o.dx")).alias("x"),
-        (F.col("y") + F.col("o.dy")).alias("y"),
-        (F.col("z") + F.col("o.dz")).alias("z"),
+        (F.col("x") + slot_offset("k", 0)).alias("x"),
+        (F.col("y") + slot_offset("k", 1)).alias("y"),
+        (F.col("z") + slot_offset("k", 2)).cast("int").alias("z"),
         F.col("n"),
-        ((F.col("o.dx") == 0) & (F.col("o.dy") == 0) & (F.col("o.dz") == 0)).alias("is_self"),
+        (F.col("k") == SELF_SLOT).alias("is_self"),
     ).filter(in_grid("x", "y", "z", spec))
 
 
@@ -76,15 +76,13 @@ def adjacent_cell_pairs(cells: DataFrame, spec: GridSpec) -> DataFrame:
     result is bounded by 27 x #cells and no theta join is planned.
     """
     cells = cells.select("x", "y", "z").filter(in_grid("x", "y", "z", spec))
-    slots = cells.select(
-        "x", "y", "z", F.explode(neighbor_offsets()).alias("o")
-    ).select(
+    slots = cells.select("x", "y", "z", F.explode(neighbor_slots()).alias("k")).select(
         "x",
         "y",
         "z",
-        (F.col("x") + F.col("o.dx")).alias("nx"),
-        (F.col("y") + F.col("o.dy")).alias("ny"),
-        (F.col("z") + F.col("o.dz")).alias("nz"),
+        (F.col("x") + slot_offset("k", 0)).alias("nx"),
+        (F.col("y") + slot_offset("k", 1)).alias("ny"),
+        (F.col("z") + slot_offset("k", 2)).cast("int").alias("nz"),
     )
     other = cells.select(F.col("x").alias("nx"), F.col("y").alias("ny"), F.col("z").alias("nz"))
     return slots.join(other, on=["nx", "ny", "nz"], how="inner").select("x", "y", "z", "nx", "ny", "nz")

@@ -158,3 +158,19 @@ def test_far_off_grid_cells_emit_nothing(spark):
     rows = _scatter(df, G4).collect()
     assert len(rows) == 9  # the ring cell reaches 3 x 3 in-grid cells ...
     assert all(r.n is None for r in rows)  # ... but contributes nothing
+
+
+def test_months_and_years_fold_into_day_of_month(spark):
+    pts = spark.createDataFrame(
+        [(1.5, 1.5, "2009-01-03 08:00:00"), (1.5, 1.5, "2011-06-03 23:59:59"), (1.5, 1.5, "2012-02-03 00:00:00")],
+        "px double, py double, t string",
+    ).withColumn("t", F.to_timestamp_ntz("t"))
+    rows = cell_counts(assign_cells(pts, G4), G4).collect()
+    assert [(r.x, r.y, r.z, r.n) for r in rows] == [(1, 1, 3, 3)]
+
+
+def test_null_scores_sort_last(spark):
+    g3 = GridSpec(1, 3, 1, 3, 1, 3, step_x=1.0, step_y=1.0)
+    out = hot_cells_from_counts(spark, [(2, 2, 2, 4), (1, 1, 1, 1), (3, 3, 3, 2)], g3, k=3)
+    assert (out[-1].x, out[-1].y, out[-1].z) == (2.0, 2.0, 2.0) and out[-1].zscore is None
+    assert all(r.zscore is not None for r in out[:-1])
