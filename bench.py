@@ -33,6 +33,7 @@ HEADLINE = [
     "hot_cells_top50",
     "hot_cells_lineitem_top50",
     "hot_cells_text",
+    "hot_cells_default_grid",
 ]
 
 

@@ -22,6 +22,7 @@ from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
 from spacetime.operators.zones import hot_zones, points_from_text, zone_point_pairs, zones_from_text
 from spacetime.sources.tables import (
     embedding_points,
+    events_lonlat_points,
     events_points,
     events_points_of,
     lineitem_points,
@@ -169,6 +170,11 @@ def q_hot_cells_clipped(spark, d):
     return hot_cells(lineitem_points(spark, d), LI_NARROW, k=TOP_K, clip=True, with_score=True)
 
 
+def q_hot_cells_default_grid(spark, d):
+    """The original study grid (0.01 degree cells, days 1..31) over ``events``."""
+    return hot_cells(events_lonlat_points(spark, d), GridSpec.default(), k=TOP_K, with_score=True)
+
+
 def q_hot_cells_text(spark, d):
     """The whole text path: ``"(x,y)"`` and ``yyyy-MM-dd HH:mm:ss`` parsed back."""
     ev = events_points(spark, d).select(
@@ -219,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "hot_cells_lineitem_top50": q_hot_cells_lineitem_top50,
     "hot_cells_clipped": q_hot_cells_clipped,
     "hot_cells_text": q_hot_cells_text,
+    "hot_cells_default_grid": q_hot_cells_default_grid,
     "hot_zones_stream": q_hot_zones_stream,
     "hot_cells_stream": q_hot_cells_stream,
 }
@@ -236,6 +243,10 @@ def _dbl(v: float) -> str:
 EV_POINTS = (
     "SELECT event_id, value AS px, CAST(user_id % 150 AS DOUBLE) AS py, ts AS t FROM events"
 )
+EV_LONLAT_POINTS = (
+    f"SELECT event_id, {_dbl(-74.5)} + value / {_dbl(600.0)} AS px, "
+    f"{_dbl(40.5)} + CAST(user_id % 150 AS DOUBLE) / {_dbl(365.0)} AS py, ts AS t FROM events"
+)
 LI_POINTS = (
     "SELECT l_orderkey, l_linenumber, l_quantity AS px, l_extendedprice AS py, l_shipdate AS t FROM lineitem"
 )
@@ -426,6 +437,7 @@ ORACLE_SQL: dict[str, str] = {
     "hot_cells_lineitem_top50": _top_sql(LI_POINTS, LI_GRID, with_score=True),
     "hot_cells_clipped": _top_sql(LI_POINTS, LI_NARROW, clip=True, with_score=True),
     "hot_cells_text": _top_sql(EV_POINTS, EV_GRID),
+    "hot_cells_default_grid": _top_sql(EV_LONLAT_POINTS, GridSpec.default(), with_score=True),
     "hot_zones_stream": _hot_zones_sql(),
     "hot_cells_stream": _top_sql(EV_POINTS, EV_GRID),
 }

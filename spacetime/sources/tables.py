@@ -31,6 +31,10 @@ ZONE_Y_STEP = 20000
 ZONE_WIDTH = 12
 ZONE_HEIGHT = 24000
 ZONES_PER_ROW = 5
+LONLAT_X0 = -74.5
+LONLAT_X_DIV = 600.0
+LONLAT_Y0 = 40.5
+LONLAT_Y_DIV = 365.0
 
 
 _SCHEMAS: dict[tuple[str, str], T.StructType] = {}
@@ -63,6 +67,23 @@ def events_points_of(ev: DataFrame) -> DataFrame:
     )
 
 
+def events_lonlat_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` placed in the default study area (degrees)::
+
+        px = -74.5 + value / 600,  py = 40.5 + (user_id % 150) / 365
+
+    Values above ~480 and user ids with a remainder above 146 land east /
+    north of the grid (they still count in the grid totals).
+    """
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        (F.lit(LONLAT_X0) + F.col("value") / F.lit(LONLAT_X_DIV)).alias("px"),
+        (F.lit(LONLAT_Y0) + (F.col("user_id") % EVENTS_Y_MOD).cast("double") / F.lit(LONLAT_Y_DIV)).alias("py"),
+        F.col("ts").alias("t"),
+    )
+
+
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem_points_of(table(spark, sf_dir, "lineitem"))
 
