@@ -170,6 +170,19 @@ def in_grid(x, y, z, spec: GridSpec) -> Column:
     )
 
 
+def grid_point_filter(px, py, spec: GridSpec) -> Column:
+    """Literal range on the raw coordinates that keeps every in-grid point.
+
+    One cell of margin on each side absorbs the rounding of ``px / step``;
+    the exact test is :func:`in_grid` on the cells.  Being a comparison of
+    a source column with literals, it reaches a parquet scan as a pushed
+    filter.
+    """
+    return as_col(px).between(
+        F.lit((spec.min_x - 1) * spec.step_x), F.lit((spec.max_x + 2) * spec.step_x)
+    ) & as_col(py).between(F.lit((spec.min_y - 1) * spec.step_y), F.lit((spec.max_y + 2) * spec.step_y))
+
+
 # ---------------------------------------------------------------- cell ids
 
 

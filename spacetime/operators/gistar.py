@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spacetime.functions.grid import GridSpec
+from spacetime.functions.grid import GridSpec, grid_point_filter
 from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.neighbors import neighbor_sums
 
@@ -70,6 +70,12 @@ def hot_cells(
     clip: bool = False,
     with_score: bool = False,
 ) -> DataFrame:
-    """Points -> the k most significant hot cells (``x, y, z`` doubles)."""
+    """Points -> the k most significant hot cells (``x, y, z`` doubles).
+
+    With ``clip=True`` the points are first cut to the grid's coordinate
+    range (pushed to the scan), then counted in-grid only.
+    """
+    if clip:
+        points = points.filter(grid_point_filter(x, y, spec))
     counts = cell_counts(assign_cells(points, spec, x, y, t), spec, clip=clip)
     return top_cells(score_cells(counts, spec), k, with_score)

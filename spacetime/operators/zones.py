@@ -6,8 +6,8 @@ edges, corners not normalised).  Three physical strategies, all exact:
 ``nested_loop``
     ``points JOIN broadcast(zones) ON contains(..)``: a
     BroadcastNestedLoopJoin.  Per point it costs one test per zone, so it
-    is used only for a zone set proven to have at most
-    ``nested_loop_max_zones`` rows.
+    is used only for a zone set counted to have at most
+    ``nested_loop_max_zones`` valid rows.
 
 ``tiled_broadcast``
     Space is cut into square tiles.  Each zone is exploded into the tiles it
@@ -113,11 +113,6 @@ def zones_from_text(df: DataFrame, col: str = "rectangle", mode: str = STRICT) -
 # ------------------------------------------------------------------ helpers
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """Size check that reads at most ``n + 1`` rows of ``df``."""
-    return df.limit(n + 1).count() <= n
-
-
 def _contains(px: str, py: str):
     return contains("x1", "y1", "x2", "y2", px, py)
 
@@ -135,15 +130,41 @@ def _extent():
     return F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
 
 
+class ZoneStats:
+    """One one-row aggregate over the valid zones: count, bounding box and
+    median / max extent (the default base tile)."""
+
+    def __init__(self, zones: DataFrame):
+        r = _valid(zones).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("x1").alias("x1"), F.min("y1").alias("y1"),
+            F.max("x2").alias("x2"), F.max("y2").alias("y2"),
+            F.percentile_approx(_extent(), 0.5).alias("med"),
+            F.max(_extent()).alias("mx"),
+        ).first()
+        self.n = int(r["n"])
+        self.bbox = (r["x1"], r["y1"], r["x2"], r["y2"])
+        self.tile = 1.0
+        for v in (r["med"], r["mx"]):
+            if v is not None and math.isfinite(v) and v > 0:
+                self.tile = float(v)
+                break
+
+    def point_filter(self, px: str, py: str):
+        """Exact prefilter: a point outside the zones' bounding box matches none.
+
+        Literal bounds on the raw point columns reach the parquet scan as
+        pushed filters (row-group skipping on spatially clustered data).
+        """
+        if self.n == 0:
+            return F.lit(False)
+        x1, y1, x2, y2 = self.bbox
+        return F.col(px).between(F.lit(x1), F.lit(x2)) & F.col(py).between(F.lit(y1), F.lit(y2))
+
+
 def auto_tile(zones: DataFrame) -> float:
-    """Base tile side = approximate median zone extent (one one-row aggregate)."""
-    r = _valid(zones).agg(
-        F.percentile_approx(_extent(), 0.5).alias("med"), F.max(_extent()).alias("mx")
-    ).first()
-    for v in (r["med"], r["mx"]):
-        if v is not None and math.isfinite(v) and v > 0:
-            return float(v)
-    return 1.0
+    """Base tile side = approximate median zone extent."""
+    return ZoneStats(zones).tile
 
 
 class TilePlan:
@@ -185,12 +206,12 @@ def _with_level(zones: DataFrame, plan: TilePlan) -> DataFrame:
 
 
 def plan_tiles(zones: DataFrame, tile: float | None = None, fanout: int = 4, axis_tiles: int = 4) -> TilePlan:
-    """Choose the base tile, find the levels in use and count the zone tiles.
+    """Find the levels in use and count the zone tiles (one one-row aggregate,
+    plus one for the base tile when ``tile`` is not given).
 
-    Two one-row aggregates over the zone side (the first only when ``tile``
-    is not given).  The level set is a handful of small integers whatever
-    the number of zones; the tile count is exact, so it is a proven bound
-    for the broadcast decision.
+    The level set is a handful of small integers whatever the number of
+    zones; the tile count is exact, so it is a proven bound for the
+    broadcast decision.
     """
     tile = auto_tile(zones) if tile is None else float(tile)
     plan = TilePlan(tile, fanout, axis_tiles)
@@ -249,23 +270,26 @@ def zone_point_pairs(
     """Inner join of points with the zones that contain them.
 
     ``points`` needs ``px, py`` (doubles); ``zones`` needs ``x1, y1, x2,
-    y2``.  All other columns of both sides are carried through.  The size
-    check (``limit(n+1).count()``) and the tile planning run small actions
-    on the zone side only; the point side stays lazy.
+    y2``.  All other columns of both sides are carried through.  Planning
+    runs one or two one-row aggregates on the zone side only (count,
+    bounding box, tile levels); the point side stays lazy and is first cut
+    to the zones' bounding box with a filter the scan can push down.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     pred = _contains(px, py)
+    stats = ZoneStats(zones)
+    valid = _valid(zones)
+    points = points.filter(stats.point_filter(px, py))
 
     if strategy in (AUTO, NESTED_LOOP):
-        small = has_at_most(zones, nested_loop_max_zones)
-        if small:
-            return points.join(F.broadcast(zones), pred, "inner")
+        if stats.n <= nested_loop_max_zones:
+            return points.join(F.broadcast(valid), pred, "inner")
         if strategy == NESTED_LOOP:
             raise ValueError(f"nested_loop needs at most {nested_loop_max_zones} zones")
 
-    plan = plan_tiles(zones, tile, fanout, axis_tiles)
-    zt = zone_tiles(zones, plan)
+    plan = plan_tiles(valid, stats.tile if tile is None else tile, fanout, axis_tiles)
+    zt = zone_tiles(valid, plan)
     pt = point_tiles(points, plan, px, py)
     keys = ["lvl", "tx", "ty"]
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spacetime.functions.geometry import contains_text, point_text
-from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, in_grid, neighbor_weight
+from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, grid_point_filter, in_grid, neighbor_weight
 from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.gistar import hot_cells, score_cells
 from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
@@ -122,7 +122,8 @@ def q_grid_totals(spark, d):
 
 
 def q_cells_in_grid(spark, d):
-    cells = assign_cells(lineitem_points(spark, d), LI_NARROW, keep=("l_orderkey", "l_linenumber"))
+    pts = lineitem_points(spark, d).filter(grid_point_filter("px", "py", LI_NARROW))
+    cells = assign_cells(pts, LI_NARROW, keep=("l_orderkey", "l_linenumber"))
     return cells.filter(in_grid("x", "y", "z", LI_NARROW))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from spacetime.functions.geometry import STRICT
-from spacetime.functions.grid import GridSpec
+from spacetime.functions.grid import GridSpec, grid_point_filter
 from spacetime.operators.cells import assign_cells, cell_counts
 from spacetime.operators.gistar import score_cells, top_cells
 from spacetime.operators.zones import ZONE_COLS, points_from_text, zone_point_pairs
@@ -68,6 +68,8 @@ def zone_counts_stream(points: DataFrame, zones: DataFrame, **join_options) -> D
 def cell_counts_stream(points: DataFrame, spec: GridSpec, x: str = "px", y: str = "py", t: str = "t",
                        clip: bool = False) -> DataFrame:
     """Running ``x, y, z, n`` per populated cell."""
+    if clip:
+        points = points.filter(grid_point_filter(x, y, spec))
     return cell_counts(assign_cells(points, spec, x, y, t), spec, clip=clip)
 
 

@@ -122,3 +122,16 @@ def test_adjacency_no_wrap(spark):
     )
     got = [r.a for r in df.select(is_adjacent("ax", "ay", "az", "bx", "by", "bz", g).alias("a")).collect()]
     assert got == [False, True, False, True, False]
+
+
+def test_grid_point_filter_keeps_every_in_grid_point(spark):
+    """The pushed range is conservative: nothing in the grid is cut."""
+    from spacetime.functions.grid import grid_point_filter
+
+    g = GridSpec.default()
+    xs = [-74.51, -74.5, -74.5000000001, -74.49, -73.7, -73.69, -73.68, -73.6999999999]
+    ys = [40.49, 40.5, 40.4999999999, 40.9, 40.91, 40.9099999999]
+    df = spark.createDataFrame([(x, y) for x in xs for y in ys], "px double, py double")
+    cells = df.select("px", "py", cell_x("px", g).alias("x"), cell_y("py", g).alias("y"), F.lit(5).alias("z"))
+    bad = cells.filter(in_grid("x", "y", "z", g) & ~grid_point_filter("px", "py", g)).count()
+    assert bad == 0

@@ -67,3 +67,13 @@ def test_text_parse_not_duplicated(spark):
     plan = executed(QUERIES["hot_zones_text"](spark, D))
     scan_side = [line for line in plan.splitlines() if "Filter" in line and "split(" in line]
     assert scan_side == []
+
+
+def test_zone_bounding_box_reaches_the_scan(spark):
+    plan = formatted(QUERIES["hot_zones"](spark, D))
+    assert "GreaterThanOrEqual(l_quantity,0.0)" in plan and "LessThanOrEqual(l_extendedprice,104000.0)" in plan
+
+
+def test_clipped_grid_range_reaches_the_scan(spark):
+    plan = formatted(QUERIES["hot_cells_clipped"](spark, D))
+    assert "GreaterThanOrEqual(l_quantity,8.0)" in plan and "LessThanOrEqual(l_extendedprice,85000.0)" in plan
