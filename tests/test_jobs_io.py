@@ -103,3 +103,26 @@ def test_register_views(spark, scratch):
     p = write_lines(os.path.join(scratch, "pts.csv"), POINT_ROWS)
     register_views(spark, trips=read_points_csv(spark, p))
     assert spark.sql("SELECT count(*) AS c FROM trips").first().c == len(POINT_ROWS)
+
+
+def test_cli_arguments():
+    from spacetime.plans.cli import parse_args
+
+    a = parse_args(["--output", "o/r", "--query", "hotzoneanalysis", "p.csv", "r.tsv", "--query", "HotCellAnalysis", "p.csv"])
+    assert a.output == "o/r"
+    assert [(q[0], q[1:]) for q in a.query] == [("hotzoneanalysis", ["p.csv", "r.tsv"]), ("HotCellAnalysis", ["p.csv"])]
+
+
+def test_cli_end_to_end(scratch):
+    import subprocess
+    import sys
+
+    p = write_lines(os.path.join(scratch, "pts.csv"), POINT_ROWS)
+    r = write_lines(os.path.join(scratch, "rects.tsv"), RECT_ROWS)
+    prefix = os.path.join(scratch, "cli")
+    cli = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "spacetime", "plans", "cli.py")
+    out = subprocess.run([sys.executable, cli, "--output", prefix, "--query", "hotzoneanalysis", p, r,
+                          "--query", "hotcellanalysis", p], capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert read_csv_dir(prefix + "0") == [["-74.0,40.7,-73.9,40.8", "2"], ["-74.5,40.5,-74.4,40.6", "3"]]
+    assert len(read_csv_dir(prefix + "1")) == 3
