@@ -132,23 +132,26 @@ def _extent():
 
 class ZoneStats:
     """One one-row aggregate over the valid zones: count, bounding box and
-    median / max extent (the default base tile)."""
+    typical extent (the default base tile).
+
+    The typical extent is the geometric mean of the positive extents,
+    ``exp(avg(ln(extent)))``: it averages *scales*, so a few huge zones do
+    not inflate it the way an arithmetic mean would, and unlike a
+    percentile it stays a plain hash aggregate.
+    """
 
     def __init__(self, zones: DataFrame):
+        ext = _extent()
         r = _valid(zones).agg(
             F.count(F.lit(1)).alias("n"),
             F.min("x1").alias("x1"), F.min("y1").alias("y1"),
             F.max("x2").alias("x2"), F.max("y2").alias("y2"),
-            F.percentile_approx(_extent(), 0.5).alias("med"),
-            F.max(_extent()).alias("mx"),
+            F.exp(F.avg(F.when(ext > 0, F.ln(ext)))).alias("typ"),
         ).first()
         self.n = int(r["n"])
         self.bbox = (r["x1"], r["y1"], r["x2"], r["y2"])
-        self.tile = 1.0
-        for v in (r["med"], r["mx"]):
-            if v is not None and math.isfinite(v) and v > 0:
-                self.tile = float(v)
-                break
+        typ = r["typ"]
+        self.tile = float(typ) if typ is not None and math.isfinite(typ) and typ > 0 else 1.0
 
     def point_filter(self, px: str, py: str):
         """Exact prefilter: a point outside the zones' bounding box matches none.
@@ -163,7 +166,7 @@ class ZoneStats:
 
 
 def auto_tile(zones: DataFrame) -> float:
-    """Base tile side = approximate median zone extent."""
+    """Base tile side = geometric mean zone extent."""
     return ZoneStats(zones).tile
 
 
