@@ -58,7 +58,8 @@ def grid_totals(counts: DataFrame, spec: GridSpec) -> DataFrame:
     ``n_cells``   populated cells,
     ``sum_sq``    sum of squared cell counts,
     ``mean``      n_points / grid volume (empty cells count as zero),
-    ``s``         population std-dev over the whole grid volume.
+    ``s``         population std-dev over the whole grid volume (NULL if the
+                  moments are inconsistent, which off-grid points can cause).
     """
     n = float(spec.num_cells)
     agg = counts.agg(
@@ -67,6 +68,7 @@ def grid_totals(counts: DataFrame, spec: GridSpec) -> DataFrame:
         F.sum(F.col("n") * F.col("n")).cast("bigint").alias("sum_sq"),
     )
     mean = F.col("n_points").cast("double") / F.lit(n)
-    return agg.withColumn("mean", mean).withColumn(
-        "s", F.sqrt(F.col("sum_sq").cast("double") / F.lit(n) - F.col("mean") * F.col("mean"))
-    )
+    var = F.col("sum_sq").cast("double") / F.lit(n) - F.col("mean") * F.col("mean")
+    # Off-grid counts enter n_points and sum_sq but not the grid volume, so
+    # the "variance" can come out negative: no deviation (NULL), not NaN.
+    return agg.withColumn("mean", mean).withColumn("s", F.when(var >= 0, F.sqrt(var)))

@@ -33,7 +33,8 @@ def gi_star(sum1, w, mean, s, num_cells: int) -> Column:
     w = (F.col(w) if isinstance(w, str) else w).cast("double")
     n = F.lit(float(num_cells))
     numer = sum1 - mean * w
-    denom = s * F.sqrt((n * w - w * w) / F.lit(float(num_cells - 1)))
+    # n - 1 is 0 on a one-cell grid: both divisions give NULL, never raise.
+    denom = s * F.sqrt(F.try_divide(n * w - w * w, F.lit(float(num_cells - 1))))
     return F.try_divide(numer, denom)
 
 

@@ -295,7 +295,8 @@ def _totals_sql(counts_sql: str, g: GridSpec) -> str:
     n = _dbl(g.num_cells)
     return f"""
 SELECT n_points, n_cells, sum_sq, mean,
-       sqrt(CAST(sum_sq AS DOUBLE) / {n} - mean * mean) AS s
+       CASE WHEN CAST(sum_sq AS DOUBLE) / {n} - mean * mean >= 0
+            THEN sqrt(CAST(sum_sq AS DOUBLE) / {n} - mean * mean) END AS s
 FROM (SELECT n_points, n_cells, sum_sq, CAST(n_points AS DOUBLE) / {n} AS mean
       FROM (SELECT CAST(SUM(n) AS BIGINT) AS n_points, COUNT(*) AS n_cells,
                    CAST(SUM(n * n) AS BIGINT) AS sum_sq FROM ({counts_sql}) c0) t0) t1
@@ -337,7 +338,8 @@ def _scores_sql(points_sql: str, g: GridSpec, clip: bool = False) -> str:
     return f"""
 SELECT s.x, s.y, s.z,
        (CAST(s.sum1 AS DOUBLE) - m.mean * CAST(s.w AS DOUBLE))
-       / NULLIF(m.s * sqrt(({n} * CAST(s.w AS DOUBLE) - CAST(s.w AS DOUBLE) * CAST(s.w AS DOUBLE)) / {n1}), 0)
+       / NULLIF(m.s * sqrt(({n} * CAST(s.w AS DOUBLE) - CAST(s.w AS DOUBLE) * CAST(s.w AS DOUBLE))
+                           / NULLIF({n1}, 0)), 0)
        AS zscore
 FROM (SELECT x, y, z, sum1, {_weight_sql(g)} AS w FROM ({_neighbor_sql(counts, g)}) nb) s,
      ({_totals_sql(counts, g)}) m

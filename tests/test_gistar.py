@@ -25,7 +25,8 @@ def brute_gi(counts: dict, spec: GridSpec):
     n = float(spec.num_cells)
     total = sum(counts.values())
     mean = total / n
-    s = math.sqrt(sum(v * v for v in counts.values()) / n - mean * mean)
+    var = sum(v * v for v in counts.values()) / n - mean * mean
+    s = math.sqrt(var) if var >= 0 else None
     out = {}
     for (x, y, z), _ in counts.items():
         if not (spec.min_x <= x <= spec.max_x and spec.min_y <= y <= spec.max_y and spec.min_z <= z <= spec.max_z):
@@ -37,8 +38,8 @@ def brute_gi(counts: dict, spec: GridSpec):
             if spec.min_x <= c[0] <= spec.max_x and spec.min_y <= c[1] <= spec.max_y and spec.min_z <= c[2] <= spec.max_z:
                 w += 1
                 sum1 += counts.get(c, 0)
-        den = s * math.sqrt((n * w - w * w) / (n - 1))
-        out[(x, y, z)] = None if den == 0 else (sum1 - mean * w) / den
+        den = None if s is None or n == 1 else s * math.sqrt((n * w - w * w) / (n - 1))
+        out[(x, y, z)] = None if not den else (sum1 - mean * w) / den
     return out
 
 
@@ -174,3 +175,15 @@ def test_null_scores_sort_last(spark):
     out = hot_cells_from_counts(spark, [(2, 2, 2, 4), (1, 1, 1, 1), (3, 3, 3, 2)], g3, k=3)
     assert (out[-1].x, out[-1].y, out[-1].z) == (2.0, 2.0, 2.0) and out[-1].zscore is None
     assert all(r.zscore is not None for r in out[:-1])
+
+
+def test_inconsistent_moments_give_null_not_nan(spark):
+    """Many off-grid points can make the grid variance negative: NULL scores."""
+    g1 = GridSpec(0, 0, 0, 0, 1, 1, step_x=1.0, step_y=1.0)
+    got = scores(spark, [(0, 0, 1, 1), (0, 0, 5, 9)], g1)
+    assert got == {(0, 0, 1): None}
+
+
+def test_one_cell_grid_gives_null_not_error(spark):
+    g1 = GridSpec(0, 0, 0, 0, 1, 1, step_x=1.0, step_y=1.0)
+    assert scores(spark, [(0, 0, 1, 3)], g1) == {(0, 0, 1): None}
