@@ -187,3 +187,17 @@ def test_inconsistent_moments_give_null_not_nan(spark):
 def test_one_cell_grid_gives_null_not_error(spark):
     g1 = GridSpec(0, 0, 0, 0, 1, 1, step_x=1.0, step_y=1.0)
     assert scores(spark, [(0, 0, 1, 3)], g1) == {(0, 0, 1): None}
+
+
+@pytest.mark.parametrize("block", [None, 1, 2, 16])
+def test_block_colocation_does_not_change_sums(spark, block):
+    rnd = random.Random(11)
+    g = GridSpec(-3, 9, 0, 7, 1, 6, step_x=1.0, step_y=1.0)
+    counts = {}
+    for _ in range(150):
+        c = (rnd.randint(-5, 11), rnd.randint(-2, 9), rnd.randint(0, 7))
+        counts[c] = counts.get(c, 0) + rnd.randint(1, 5)
+    df = counts_df(spark, [(a, b, c, v) for (a, b, c), v in counts.items()])
+    got = sorted(tuple(r) for r in neighbor_sums(df, g, block=block).collect())
+    want = sorted(tuple(r) for r in neighbor_sums(df, g, block=None).collect())
+    assert got == want and len(got) > 0
