@@ -69,7 +69,11 @@ def colocate_blocks(counts: DataFrame, block: int) -> DataFrame:
     # (small) input bytes and may merge them into a few tasks, but each row
     # fans out 27-fold right after.  The session's shuffle partitions are
     # what the cluster is sized for.
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = counts.sparkSession
+    try:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except ValueError:  # e.g. "auto" on some platforms
+        parts = spark.sparkContext.defaultParallelism
     return counts.repartition(parts, F.floor(F.col("x") / b), F.floor(F.col("y") / b), F.floor(F.col("z") / b))
 
 
