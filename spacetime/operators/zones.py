@@ -208,24 +208,33 @@ def _with_level(zones: DataFrame, plan: TilePlan) -> DataFrame:
     return z.withColumn("_side", plan.side_col(F.col("lvl")))
 
 
-def plan_tiles(zones: DataFrame, tile: float | None = None, fanout: int = 4, axis_tiles: int = 4) -> TilePlan:
+def plan_tiles(zones: DataFrame, tile: float | None = None, fanout: int = 4, axis_tiles: int = 4,
+               max_levels: int = 6) -> TilePlan:
     """Find the levels in use and count the zone tiles (one one-row aggregate,
     plus one for the base tile when ``tile`` is not given).
 
     The level set is a handful of small integers whatever the number of
     zones; the tile count is exact, so it is a proven bound for the
-    broadcast decision.
+    broadcast decision.  Every point is probed once per level in use, so
+    when zone sizes span so many orders of magnitude that more than
+    ``max_levels`` levels are needed, the fanout is raised to an integer
+    power of itself and the levels are planned again: fewer, coarser
+    levels, still exact.
     """
     tile = auto_tile(zones) if tile is None else float(tile)
-    plan = TilePlan(tile, fanout, axis_tiles)
-    z = _with_level(zones, plan)
-    x0, x1 = plan.tile_span("x1", "x2", F.col("_side"))
-    y0, y1 = plan.tile_span("y1", "y2", F.col("_side"))
-    r = z.agg(
-        F.collect_set("lvl").alias("levels"),
-        F.sum((x1 - x0 + 1) * (y1 - y0 + 1)).alias("n"),
-    ).first()
-    return TilePlan(tile, fanout, axis_tiles, list(r["levels"] or [0]), int(r["n"] or 0))
+    while True:
+        plan = TilePlan(tile, fanout, axis_tiles)
+        z = _with_level(zones, plan)
+        x0, x1 = plan.tile_span("x1", "x2", F.col("_side"))
+        y0, y1 = plan.tile_span("y1", "y2", F.col("_side"))
+        r = z.agg(
+            F.collect_set("lvl").alias("levels"),
+            F.sum((x1 - x0 + 1) * (y1 - y0 + 1)).alias("n"),
+        ).first()
+        levels = list(r["levels"] or [0])
+        if len(levels) <= max_levels:
+            return TilePlan(tile, fanout, axis_tiles, levels, int(r["n"] or 0))
+        fanout = fanout ** math.ceil((max(levels) + 1) / max_levels)
 
 
 def zone_tiles(zones: DataFrame, plan: TilePlan) -> DataFrame:
@@ -266,6 +275,7 @@ def zone_point_pairs(
     tile: float | None = None,
     fanout: int = 4,
     axis_tiles: int = 4,
+    max_levels: int = 6,
     nested_loop_max_zones: int = 64,
     broadcast_max_rows: int = 2_000_000,
     salt: int = 8,
@@ -291,7 +301,7 @@ def zone_point_pairs(
         if strategy == NESTED_LOOP:
             raise ValueError(f"nested_loop needs at most {nested_loop_max_zones} zones")
 
-    plan = plan_tiles(valid, stats.tile if tile is None else tile, fanout, axis_tiles)
+    plan = plan_tiles(valid, stats.tile if tile is None else tile, fanout, axis_tiles, max_levels)
     zt = zone_tiles(valid, plan)
     pt = point_tiles(points, plan, px, py)
     keys = ["lvl", "tx", "ty"]

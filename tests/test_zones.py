@@ -154,3 +154,19 @@ def test_hot_tile_is_spread_by_salt(spark):
         F.pmod(F.xxhash64("px", "py", F.monotonically_increasing_id()), F.lit(8)).alias("s"))
     sizes = [r["count"] for r in salted.groupBy("s").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * (sum(sizes) / 8)
+
+
+def test_level_count_is_bounded_and_exact(spark):
+    """Zone sizes over 9 orders of magnitude: few levels, same pairs."""
+    from spacetime.operators.zones import plan_tiles
+
+    rnd = random.Random(8)
+    zones = [(float(x), float(x), x + 10.0 ** e, x + 10.0 ** e) for e in range(-4, 5) for x in range(0, 40, 7)]
+    pts = [(rnd.uniform(-1, 60), rnd.uniform(-1, 60)) for _ in range(300)] + [(z[0], z[1]) for z in zones]
+    z = spark.createDataFrame([(i,) + r for i, r in enumerate(zones)], "zid long, x1 double, y1 double, x2 double, y2 double")
+    plan = plan_tiles(z, tile=1e-4, fanout=2, axis_tiles=2, max_levels=4)
+    assert len(plan.levels) <= 4 and plan.fanout > 2
+    p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "pid long, px double, py double")
+    got = sorted((r.zid, r.pid) for r in zone_point_pairs(p, z, strategy=TILED_BROADCAST, tile=1e-4, fanout=2,
+                                                          axis_tiles=2).select("zid", "pid").collect())
+    assert got == brute_pairs(pts, zones)
