@@ -51,11 +51,14 @@ def main():
     names = only or list(QUERIES)
     spark = build_session(f"local[{cpus}]", app="spacetime-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "8g"})
-    times = {}
+    times, errors = {}, {}
     for name in names:
         fn = QUERIES[name]
-        run_once(spark, fn, sf_dir)  # warm-up
-        times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(reps)), 4)
+        try:
+            run_once(spark, fn, sf_dir)  # warm-up
+            times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(reps)), 4)
+        except Exception as e:  # keep measuring the rest; report the failure
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
     spark.stop()
     head = [q for q in HEADLINE if q in times] or list(times)
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -68,6 +71,7 @@ def main():
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "reps": reps,
+        **({"errors": errors} if errors else {}),
     }))
 
 
