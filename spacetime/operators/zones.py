@@ -43,7 +43,7 @@ from spacetime.functions.geometry import (
     STRICT,
     check_mode,
     contains,
-    nth_element,
+    nth_field,
     strip_parens,
     to_double,
 )
@@ -65,8 +65,8 @@ def points_from_text(df: DataFrame, col: str = "point", mode: str = STRICT, keep
                      time_format: str = TIME_FORMAT) -> DataFrame:
     """``"(x,y)"`` text column -> ``px, py`` doubles (+ ``t`` from ``time_col``).
 
-    The text is split once (a projection), and the numbers come out of a
-    one-row ``inline`` generator.  Filters on ``px, py`` -- including the
+    The parentheses are stripped once (a projection), and the numbers come
+    out of a one-row ``inline`` generator.  Filters on ``px, py`` -- including the
     ``isnotnull`` that Catalyst infers from any later join or grid
     predicate -- stop at the generator instead of being pushed below it,
     where they would re-run the whole parse for every row.  Permissive
@@ -74,12 +74,12 @@ def points_from_text(df: DataFrame, col: str = "point", mode: str = STRICT, keep
     """
     check_mode(mode)
     keep_cols = [F.col(k) if isinstance(k, str) else k for k in keep]
-    stage = df.select(*keep_cols, F.split(strip_parens(col), ",").alias("_parts"),
+    stage = df.select(*keep_cols, strip_parens(col).alias("_text"),
                       *([F.col(time_col).alias("_time")] if time_col else []))
-    kept = [c for c in stage.columns if c not in ("_parts", "_time")]
+    kept = [c for c in stage.columns if c not in ("_text", "_time")]
     fields = [
-        to_double(nth_element(F.col("_parts"), 0, mode), mode).alias("px"),
-        to_double(nth_element(F.col("_parts"), 1, mode), mode).alias("py"),
+        to_double(nth_field("_text", 0, mode), mode).alias("px"),
+        to_double(nth_field("_text", 1, mode), mode).alias("py"),
     ]
     if time_col:
         fields.append(parse_time("_time", mode, time_format).alias("t"))
@@ -95,12 +95,12 @@ def points_from_text(df: DataFrame, col: str = "point", mode: str = STRICT, keep
 def zones_from_text(df: DataFrame, col: str = "rectangle", mode: str = STRICT) -> DataFrame:
     """``"x1,y1,x2,y2"`` text column -> ``rectangle`` text + four doubles.
 
-    Same shape as :func:`points_from_text`: split once, numbers from a
-    one-row generator, so inferred filters do not re-run the parse.
+    Same shape as :func:`points_from_text`: the numbers come from a one-row
+    generator, so inferred filters do not re-run the parse.
     """
     check_mode(mode)
-    stage = df.select(F.col(col).alias("rectangle"), F.split(F.col(col), ",").alias("_parts"))
-    fields = [to_double(nth_element(F.col("_parts"), i, mode), mode).alias(c) for i, c in enumerate(ZONE_COLS)]
+    stage = df.select(F.col(col).alias("rectangle"))
+    fields = [to_double(nth_field("rectangle", i, mode), mode).alias(c) for i, c in enumerate(ZONE_COLS)]
     out = stage.select("rectangle", F.inline(F.array(F.struct(*fields))))
     if mode != STRICT:
         ok = F.col("x1").isNotNull()
