@@ -43,17 +43,28 @@ def hot_cell_analysis(spark: SparkSession, point_path: str, spec: GridSpec | Non
     return hot_cells(pts, spec, k=k, clip=clip)
 
 
+# A single-file report funnels every row through one task; the zone report
+# has at most one row per rectangle, so it is written as one file only when
+# the rectangle file is known to be this small.
+SINGLE_FILE_MAX_ROWS = 1_000_000
+
+
+def _zone_report_fits_one_file(spark: SparkSession, point_path: str, rectangle_path: str) -> bool:
+    rects = read_rectangles_csv(spark, rectangle_path)
+    return rects.limit(SINGLE_FILE_MAX_ROWS + 1).count() <= SINGLE_FILE_MAX_ROWS
+
+
 @dataclass(frozen=True)
 class _Query:
     arity: int
     run: Callable[..., DataFrame]
-    single_file: bool
+    single_file: Callable[..., bool]
 
 
 # The two query names of the batch interface.
 QUERIES = {
-    "hotzoneanalysis": _Query(2, hot_zone_analysis, True),
-    "hotcellanalysis": _Query(1, hot_cell_analysis, False),
+    "hotzoneanalysis": _Query(2, hot_zone_analysis, _zone_report_fits_one_file),
+    "hotcellanalysis": _Query(1, hot_cell_analysis, lambda spark, *paths: True),  # k rows
 }
 
 
@@ -63,7 +74,7 @@ def run_query(spark: SparkSession, name: str, params: Sequence[str], output_path
         raise KeyError(f"unknown query {name!r}; known: {sorted(QUERIES)}")
     if len(params) != q.arity:
         raise ValueError(f"query {name} needs {q.arity} path(s), got {len(params)}")
-    write_report(q.run(spark, *params), output_path, single_file=q.single_file)
+    write_report(q.run(spark, *params), output_path, single_file=q.single_file(spark, *params))
 
 
 def run_batch(spark: SparkSession, output_prefix: str, queries: Sequence[tuple[str, Sequence[str]]]) -> list[str]:

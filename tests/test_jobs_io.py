@@ -126,3 +126,15 @@ def test_cli_end_to_end(scratch):
     assert out.returncode == 0, out.stderr[-2000:]
     assert read_csv_dir(prefix + "0") == [["-74.0,40.7,-73.9,40.8", "2"], ["-74.5,40.5,-74.4,40.6", "3"]]
     assert len(read_csv_dir(prefix + "1")) == 3
+
+
+def test_large_zone_report_is_not_forced_into_one_task(spark, scratch, monkeypatch):
+    import spacetime.plans.jobs as jobs
+
+    monkeypatch.setattr(jobs, "SINGLE_FILE_MAX_ROWS", 2)
+    p = write_lines(os.path.join(scratch, "pts.csv"), POINT_ROWS)
+    r = write_lines(os.path.join(scratch, "rects.tsv"), RECT_ROWS)  # 4 rows > 2
+    prefix = os.path.join(scratch, "big")
+    run_batch(spark, prefix, [("hotzoneanalysis", [p, r])])
+    rows = read_csv_dir(prefix + "0")
+    assert sorted(rows) == [["-74.0,40.7,-73.9,40.8", "2"], ["-74.5,40.5,-74.4,40.6", "3"]]
