@@ -59,3 +59,20 @@ def test_gi_star_matches_brute_force(spark, dims, cells):
             assert got[k] is None
         else:
             assert got[k] is not None and abs(got[k] - v) <= 1e-9 * max(1.0, abs(v))
+
+
+finite = st.floats(allow_nan=False, allow_infinity=False)
+
+
+@SETTINGS
+@given(pts=st.lists(st.tuples(finite, finite), min_size=1, max_size=30),
+       rects=st.lists(st.tuples(finite, finite, finite, finite), min_size=1, max_size=10))
+def test_text_round_trip_is_exact(spark, pts, rects):
+    from spacetime.operators.zones import points_from_text, zones_from_text
+
+    pdf = spark.createDataFrame([(i, f"({x!r},{y!r})") for i, (x, y) in enumerate(pts)], "i long, point string")
+    got = [(r.px, r.py) for r in points_from_text(pdf, "point", keep=["i"]).orderBy("i").collect()]
+    assert got == pts
+    rdf = spark.createDataFrame([(i, ",".join(repr(v) for v in r)) for i, r in enumerate(rects)], "i long, rectangle string")
+    zs = zones_from_text(rdf, "rectangle").collect()
+    assert sorted((z.x1, z.y1, z.x2, z.y2) for z in zs) == sorted(rects)
