@@ -67,13 +67,13 @@ def colocate_blocks(counts: DataFrame, block: int) -> DataFrame:
     b = F.lit(float(block))
     # An explicit partition count: AQE would size these partitions by their
     # (small) input bytes and may merge them into a few tasks, but each row
-    # fans out 27-fold right after.  The session's shuffle partitions are
-    # what the cluster is sized for.
+    # fans out 27-fold right after, so this CPU-bound stage is spread over
+    # all the cores the application has (default parallelism).
     spark = counts.sparkSession
     try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except ValueError:  # e.g. "auto" on some platforms
         parts = spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on this client
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return counts.repartition(parts, F.floor(F.col("x") / b), F.floor(F.col("y") / b), F.floor(F.col("z") / b))
 
 
