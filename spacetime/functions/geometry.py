@@ -64,7 +64,8 @@ def nth_field(text, index0: int, mode: str) -> Column:
     t = as_col(text)
     field = F.substring_index(F.substring_index(t, ",", index0 + 1), ",", -1)
     if index0 == 0:
-        return field
+        # NULL text: an error in strict mode, like any other malformed input
+        return F.when(t.isNotNull(), field).otherwise(F.raise_error(F.lit("NULL text"))) if mode == STRICT else field
     # at least index0 commas <=> the first index0 fields are shorter than the text
     present = F.octet_length(F.substring_index(t, ",", index0)) < F.octet_length(t)
     if mode == STRICT:

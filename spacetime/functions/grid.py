@@ -140,10 +140,12 @@ def cell_y(py, spec: GridSpec) -> Column:
 def parse_time(text, mode: str = "strict", fmt: str = TIME_FORMAT) -> Column:
     """Pickup time text -> ``timestamp_ntz`` (no session time zone involved).
 
-    strict: malformed text fails the job (ANSI); permissive: NULL.
+    strict: malformed or NULL text fails the job (ANSI); permissive: NULL.
     """
     if mode == "strict":
-        return F.to_timestamp_ntz(as_col(text), F.lit(fmt))
+        t = as_col(text)
+        parsed = F.to_timestamp_ntz(t, F.lit(fmt))
+        return F.when(t.isNotNull(), parsed).otherwise(F.raise_error(F.lit("NULL time text")))
     # try_to_timestamp reads wall-clock time in the session zone; casting
     # back to NTZ returns the same wall clock, so the day is unchanged.
     return F.try_to_timestamp(as_col(text), F.lit(fmt)).cast("timestamp_ntz")

@@ -33,10 +33,10 @@ def test_parse_point_blanks_accepted(spark):
     assert (r.px, r.py) == (1.5, 2.0)
 
 
-@pytest.mark.parametrize("text", ["(abc,40.7)", "(-73.9)"])
+@pytest.mark.parametrize("text", ["(abc,40.7)", "(-73.9)", None])
 def test_parse_point_strict_fails(spark, text):
     with pytest.raises(Exception):
-        one(spark, parse_point(F.lit(text)).alias("p"))
+        one(spark, parse_point(F.lit(text).cast("string")).alias("p"))
 
 
 @pytest.mark.parametrize("text", ["(abc,40.7)", "(-73.9)", None])

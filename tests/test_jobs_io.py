@@ -138,3 +138,10 @@ def test_large_zone_report_is_not_forced_into_one_task(spark, scratch, monkeypat
     run_batch(spark, prefix, [("hotzoneanalysis", [p, r])])
     rows = read_csv_dir(prefix + "0")
     assert sorted(rows) == [["-74.0,40.7,-73.9,40.8", "2"], ["-74.5,40.5,-74.4,40.6", "3"]]
+
+
+def test_short_row_fails_strict_and_is_dropped_permissive(spark, scratch):
+    p = write_lines(os.path.join(scratch, "short.csv"), POINT_ROWS + ["Z;2009-01-05 10:00:00;p"])  # no point column
+    with pytest.raises(Exception):
+        hot_cell_analysis(spark, p).collect()
+    assert len(hot_cell_analysis(spark, p, mode="permissive").collect()) == 3
