@@ -9,7 +9,7 @@ in-grid neighbourhood slots (all weights are 1, so sum(w) = sum(w^2)).
 Plan shape (one action, called by the user)::
 
     scan -> project cells -> partial agg -> shuffle -> counts
-    counts -> scatter x27 -> partial agg -> shuffle -> neighbour sums
+    counts -> block co-location -> scatter x27 -> partial agg -> shuffle -> neighbour sums
     counts -> global agg -> scalar subquery (mean, s)      [one row]
     sums + scalars -> score -> TakeOrderedAndProject(k)
 
@@ -28,7 +28,7 @@ from spacetime.operators.neighbors import neighbor_sums
 
 
 def gi_star(sum1, w, mean, s, num_cells: int) -> Column:
-    """Gi* z-score column; NULL when the denominator is zero."""
+    """Gi* z-score column; NULL when the denominator is zero or undefined."""
     sum1 = (F.col(sum1) if isinstance(sum1, str) else sum1).cast("double")
     w = (F.col(w) if isinstance(w, str) else w).cast("double")
     n = F.lit(float(num_cells))
