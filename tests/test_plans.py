@@ -77,3 +77,10 @@ def test_zone_bounding_box_reaches_the_scan(spark):
 def test_clipped_grid_range_reaches_the_scan(spark):
     plan = formatted(QUERIES["hot_cells_clipped"](spark, D))
     assert "GreaterThanOrEqual(l_quantity,8.0)" in plan and "LessThanOrEqual(l_extendedprice,85000.0)" in plan
+
+
+def test_neighbours_colocated_before_scatter(spark):
+    plan = formatted(QUERIES["gi_star_lineitem"](spark, D))
+    assert "REPARTITION_BY_NUM" in plan  # cells hashed by their spatial block
+    assert "partial_sum" in plan  # the scatter is combined before its shuffle
+    assert plan.count("Scan parquet") >= 1 and "CartesianProduct" not in plan
