@@ -1,4 +1,7 @@
-"""Column expressions: point/rectangle text, containment, grid cells."""
+"""Column expressions: point/rectangle text, containment, grid cells.
+
+SQL users: :func:`spacetime.functions.sql.register_sql_functions`.
+"""
 
 from spacetime.functions.geometry import (
     contains,
