@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from spacetime.functions.geometry import contains_text, point_text
 from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, grid_point_filter, in_grid, neighbor_weight
+from spacetime.functions.sql import register_sql_functions
 from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.gistar import hot_cells, score_cells
 from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
@@ -186,6 +187,28 @@ def q_hot_cells_text(spark, d):
     return hot_cells(pts, EV_GRID, k=TOP_K)
 
 
+def q_cell_counts_sql(spark, d):
+    """Cell counts written in SQL with the registered functions (0.01 cells)."""
+    register_sql_functions(spark)
+    ev = events_points(spark, d).select(
+        point_text("px", "py").alias("point"), F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("pickup_time")
+    )
+    ev.createOrReplaceTempView("spacetime_events_text")
+    return spark.sql(
+        "SELECT x, y, z, COUNT(*) AS n FROM (SELECT CalculateX(point) AS x, CalculateY(point) AS y, "
+        "CalculateZ(pickup_time) AS z FROM spacetime_events_text) c GROUP BY x, y, z"
+    )
+
+
+def q_point_in_zone_sql(spark, d):
+    """``ST_Contains`` as a SQL filter over the embedding points."""
+    register_sql_functions(spark)
+    embedding_points(spark, d).select("vec_id", point_text("px", "py").alias("point")).createOrReplaceTempView(
+        "spacetime_embedding_text"
+    )
+    return spark.sql(f"SELECT vec_id FROM spacetime_embedding_text WHERE ST_Contains('{EM_RECTANGLE}', point)")
+
+
 def q_hot_zones_stream(spark, d):
     """``hot_zones`` as a stream: lineitem parquet files -> running zone counts."""
     pts = lineitem_points_of(read_parquet_stream(spark, d, "lineitem.parquet"))
@@ -227,6 +250,8 @@ QUERIES: dict[str, Query] = {
     "hot_cells_clipped": q_hot_cells_clipped,
     "hot_cells_text": q_hot_cells_text,
     "hot_cells_default_grid": q_hot_cells_default_grid,
+    "cell_counts_sql": q_cell_counts_sql,
+    "point_in_zone_sql": q_point_in_zone_sql,
     "hot_zones_stream": q_hot_zones_stream,
     "hot_cells_stream": q_hot_cells_stream,
 }
@@ -441,6 +466,11 @@ ORACLE_SQL: dict[str, str] = {
     "hot_cells_clipped": _top_sql(LI_POINTS, LI_NARROW, clip=True, with_score=True),
     "hot_cells_text": _top_sql(EV_POINTS, EV_GRID),
     "hot_cells_default_grid": _top_sql(EV_LONLAT_POINTS, GridSpec.default(), with_score=True),
+    "cell_counts_sql": _counts_sql(EV_POINTS, GridSpec(0, 0, 0, 0, 1, 1, step_x=0.01, step_y=0.01)),
+    "point_in_zone_sql": (
+        f"SELECT vec_id FROM ({EM_POINTS}) e "
+        f"WHERE px BETWEEN {_dbl(-0.1)} AND {_dbl(0.15)} AND py BETWEEN {_dbl(-0.2)} AND {_dbl(0.1)}"
+    ),
     "hot_zones_stream": _hot_zones_sql(),
     "hot_cells_stream": _top_sql(EV_POINTS, EV_GRID),
 }
