@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from spacetime.functions.grid import GridSpec, grid_point_filter
 from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
-from spacetime.operators.neighbors import neighbor_sums
+from spacetime.operators.neighbors import DEFAULT_BLOCK, neighbor_sums
 
 
 def gi_star(sum1, w, mean, s, num_cells: int) -> Column:
@@ -38,10 +38,13 @@ def gi_star(sum1, w, mean, s, num_cells: int) -> Column:
     return F.try_divide(numer, denom)
 
 
-def score_cells(counts: DataFrame, spec: GridSpec) -> DataFrame:
-    """Gi* of every populated in-grid cell: ``x, y, z, zscore``."""
+def score_cells(counts: DataFrame, spec: GridSpec, block: int | None = DEFAULT_BLOCK) -> DataFrame:
+    """Gi* of every populated in-grid cell: ``x, y, z, zscore``.
+
+    ``block`` is the neighbour co-location block (see ``neighbor_sums``).
+    """
     moments = grid_totals(counts, spec).select(F.struct("mean", "s").alias("m")).scalar()
-    sums = neighbor_sums(counts, spec)
+    sums = neighbor_sums(counts, spec, block=block)
     return sums.select(
         "x", "y", "z", gi_star("sum1", "w", moments["mean"], moments["s"], spec.num_cells).alias("zscore")
     )
@@ -70,6 +73,7 @@ def hot_cells(
     t: str = "t",
     clip: bool = False,
     with_score: bool = False,
+    block: int | None = DEFAULT_BLOCK,
 ) -> DataFrame:
     """Points -> the k most significant hot cells (``x, y, z`` doubles).
 
@@ -79,4 +83,4 @@ def hot_cells(
     if clip:
         points = points.filter(grid_point_filter(x, y, spec))
     counts = cell_counts(assign_cells(points, spec, x, y, t), spec, clip=clip)
-    return top_cells(score_cells(counts, spec), k, with_score)
+    return top_cells(score_cells(counts, spec, block), k, with_score)

@@ -201,3 +201,28 @@ def test_block_colocation_does_not_change_sums(spark, block):
     got = sorted(tuple(r) for r in neighbor_sums(df, g, block=block).collect())
     want = sorted(tuple(r) for r in neighbor_sums(df, g, block=None).collect())
     assert got == want and len(got) > 0
+
+
+def test_hot_cell_holding_a_third_of_all_points(spark):
+    """A skewed cell is combined map-side and scored exactly."""
+    import contextlib
+    import io
+
+    rnd = random.Random(21)
+    hot = [(2.5, 2.5, "2024-01-02 10:00:00")] * 3000
+    rest = [(rnd.uniform(1, 5), rnd.uniform(1, 5), f"2024-01-0{rnd.randint(1, 4)} 12:00:00") for _ in range(6000)]
+    pts = spark.createDataFrame(hot + rest, "px double, py double, t string").withColumn("t", F.to_timestamp_ntz("t"))
+    df = hot_cells(pts.repartition(6), G4, k=64, with_score=True)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    assert "partial_count" in buf.getvalue()
+    got = {(r.x, r.y, r.z): r.zscore for r in df.collect()}
+    cnt = {}
+    for x, y, t in hot + rest:
+        c = (int(x // 1), int(y // 1), int(t[8:10]))
+        cnt[c] = cnt.get(c, 0) + 1
+    want = brute_gi(cnt, G4)
+    assert set(got) == {tuple(float(v) for v in k) for k in want}
+    for k, v in want.items():
+        assert got[tuple(float(c) for c in k)] == pytest.approx(v, rel=1e-9)
