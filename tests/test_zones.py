@@ -170,3 +170,11 @@ def test_level_count_is_bounded_and_exact(spark):
     got = sorted((r.zid, r.pid) for r in zone_point_pairs(p, z, strategy=TILED_BROADCAST, tile=1e-4, fanout=2,
                                                           axis_tiles=2).select("zid", "pid").collect())
     assert got == brute_pairs(pts, zones)
+
+
+@pytest.mark.parametrize("strategy", [NESTED_LOOP, TILED_BROADCAST, TILED_SHUFFLE])
+def test_no_valid_zones_gives_empty_result(spark, strategy):
+    p = pts_df(spark, POINTS)
+    assert hot_zones(p, zones_df(spark, ["10,10,0,0", "5,9,1,9"]), strategy=strategy).collect() == []
+    empty = spark.createDataFrame([], "rectangle string, x1 double, y1 double, x2 double, y2 double")
+    assert hot_zones(p, empty, strategy=strategy).collect() == []
