@@ -63,3 +63,16 @@ def test_stream_zone_counts_restart_resumes(spark, scratch):
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert got == [tuple(r) for r in hot_zone_analysis(spark, src, rect_path).collect()]
     assert sum(v for _, v in got) > sum(v for _, v in first)
+
+
+def test_stream_hot_cells_clipped_equals_batch(spark, scratch):
+    src = os.path.join(scratch, "in")
+    write_point_files(src, 3, 300, seed=4)
+    out, ckpt = stream_location(spark, "test-cells-clip")
+    q = start_hot_cells(read_points_stream(spark, src, max_files_per_trigger=2), GridSpec.default(), out, ckpt,
+                        k=50, clip=True, with_score=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    want = sorted(tuple(r) for r in hot_cell_analysis(spark, src, clip=True).collect())
+    assert [g[:3] for g in got] == want and len(got) > 0
