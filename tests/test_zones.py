@@ -178,3 +178,20 @@ def test_no_valid_zones_gives_empty_result(spark, strategy):
     assert hot_zones(p, zones_df(spark, ["10,10,0,0", "5,9,1,9"]), strategy=strategy).collect() == []
     empty = spark.createDataFrame([], "rectangle string, x1 double, y1 double, x2 double, y2 double")
     assert hot_zones(p, empty, strategy=strategy).collect() == []
+
+
+@pytest.mark.parametrize("opts", [dict(), dict(strategy=TILED_BROADCAST), dict(strategy=TILED_SHUFFLE, salt=8)],
+                         ids=["auto", "tiled_broadcast", "tiled_shuffle"])
+def test_one_coordinate_with_a_third_of_all_points(spark, opts):
+    rnd = random.Random(12)
+    pts = [(3.0, 3.0)] * 2000 + [(rnd.uniform(0, 20), rnd.uniform(0, 20)) for _ in range(4000)]
+    zones = [(f"z{i}", float(i), float(i), i + 4.0, i + 4.0) for i in range(0, 20, 2)]
+    p = spark.createDataFrame(pts, "px double, py double").repartition(5)
+    z = spark.createDataFrame(zones, "rectangle string, x1 double, y1 double, x2 double, y2 double")
+    got = {r.rectangle: r.value for r in hot_zones(p, z, tile=1.0, **opts).collect()}
+    want = {}
+    for name, x1, y1, x2, y2 in zones:
+        n = sum(1 for px, py in pts if x1 <= px <= x2 and y1 <= py <= y2)
+        if n:
+            want[name] = n
+    assert got == want
