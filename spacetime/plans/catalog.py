@@ -9,6 +9,7 @@ bit-identical.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -187,26 +188,31 @@ def q_hot_cells_text(spark, d):
     return hot_cells(pts, EV_GRID, k=TOP_K)
 
 
+def _view_name(stem: str) -> str:
+    """A temp-view name of its own per call (calls may share a session)."""
+    return f"spacetime_{stem}_{uuid.uuid4().hex[:10]}"
+
+
 def q_cell_counts_sql(spark, d):
     """Cell counts written in SQL with the registered functions (0.01 cells)."""
     register_sql_functions(spark)
     ev = events_points(spark, d).select(
         point_text("px", "py").alias("point"), F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("pickup_time")
     )
-    ev.createOrReplaceTempView("spacetime_events_text")
+    view = _view_name("events_text")
+    ev.createOrReplaceTempView(view)
     return spark.sql(
         "SELECT x, y, z, COUNT(*) AS n FROM (SELECT CalculateX(point) AS x, CalculateY(point) AS y, "
-        "CalculateZ(pickup_time) AS z FROM spacetime_events_text) c GROUP BY x, y, z"
+        f"CalculateZ(pickup_time) AS z FROM {view}) c GROUP BY x, y, z"
     )
 
 
 def q_point_in_zone_sql(spark, d):
     """``ST_Contains`` as a SQL filter over the embedding points."""
     register_sql_functions(spark)
-    embedding_points(spark, d).select("vec_id", point_text("px", "py").alias("point")).createOrReplaceTempView(
-        "spacetime_embedding_text"
-    )
-    return spark.sql(f"SELECT vec_id FROM spacetime_embedding_text WHERE ST_Contains('{EM_RECTANGLE}', point)")
+    view = _view_name("embedding_text")
+    embedding_points(spark, d).select("vec_id", point_text("px", "py").alias("point")).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT vec_id FROM {view} WHERE ST_Contains('{EM_RECTANGLE}', point)")
 
 
 def q_hot_zones_stream(spark, d):
