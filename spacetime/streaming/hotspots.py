@@ -114,4 +114,7 @@ def run_to_table(spark: SparkSession, start, name: str, timeout_s: float | None
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(out)
+    try:
+        return spark.read.parquet(out)
+    except Exception as e:  # nothing written: the stream saw no input
+        raise ValueError(f"stream {name!r} wrote no output (no input files?)") from e

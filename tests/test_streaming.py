@@ -76,3 +76,15 @@ def test_stream_hot_cells_clipped_equals_batch(spark, scratch):
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     want = sorted(tuple(r) for r in hot_cell_analysis(spark, src, clip=True).collect())
     assert [g[:3] for g in got] == want and len(got) > 0
+
+
+def test_run_to_table_reports_empty_streams(spark, scratch):
+    import pytest
+
+    from spacetime.streaming.hotspots import run_to_table
+
+    src = os.path.join(scratch, "empty")
+    os.makedirs(src)
+    pts = read_points_stream(spark, src)
+    with pytest.raises(ValueError):
+        run_to_table(spark, lambda out, ck: start_hot_cells(pts, GridSpec.default(), out, ck), "empty")
