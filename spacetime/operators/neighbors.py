@@ -7,7 +7,9 @@ populated, so no join back to the counts is needed.
 
 The shuffle carries at most ``27 x #populated cells`` rows, independent of
 the number of points, and every target receives at most 27 rows: there is
-no hot key at this stage.
+no hot key at this stage.  Co-locating cells by spatial block first
+(:func:`colocate_blocks`) lets the map-side partial sum combine most of the
+27 contributions before they are shuffled (about 1.4 rows per cell).
 """
 
 from __future__ import annotations
