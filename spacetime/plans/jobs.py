@@ -6,7 +6,9 @@ k-th result (k from 0) as header-less CSV to ``prefix + str(k)``.  Names are
 case-insensitive; a wrong number of paths or an unknown name raises before
 anything of that query runs (earlier queries stay written).
 
-Each query is one lazy plan; the CSV write is its only action.
+Each query is one lazy plan and the CSV write runs it; the zone query also
+runs small planning actions over the rectangle file only (row count for the
+single-file decision, zone statistics for the join).
 """
 
 from __future__ import annotations
