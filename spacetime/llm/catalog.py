@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spacetime.llm.mixing import op2_mix_sources
 from spacetime.llm.quality_rules import op8_quality_rules
 from spacetime.llm.simhash import op4_simhash_near_dedup
 from spacetime.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
