@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spacetime.llm.mixing import op2_mix_sources
 from spacetime.llm.quality_rules import op8_quality_rules
+from spacetime.llm.secret_scan import op9_secret_scan
 from spacetime.llm.simhash import op4_simhash_near_dedup
 from spacetime.llm.token_counts import op7_token_counts
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
