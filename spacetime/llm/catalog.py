@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spacetime.llm.language_id import op1_language_id
 from spacetime.llm.mixing import op2_mix_sources
 from spacetime.llm.quality_rules import op8_quality_rules
 from spacetime.llm.secret_scan import op9_secret_scan
@@ -13,6 +14,7 @@ from spacetime.llm.simhash import op4_simhash_near_dedup
 from spacetime.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
