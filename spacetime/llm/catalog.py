@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spacetime.llm.decontamination import op5_decontaminate
 from spacetime.llm.language_id import op1_language_id
 from spacetime.llm.mixing import op2_mix_sources
 from spacetime.llm.quality_rules import op8_quality_rules
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
