@@ -7,18 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spacetime.llm.decontamination import op5_decontaminate
+from spacetime.llm.html_extract import op6_html_extract
 from spacetime.llm.language_id import op1_language_id
 from spacetime.llm.mixing import op2_mix_sources
 from spacetime.llm.quality_rules import op8_quality_rules
 from spacetime.llm.secret_scan import op9_secret_scan
 from spacetime.llm.simhash import op4_simhash_near_dedup
+from spacetime.llm.substring_dedup import op3_substring_dedup
 from spacetime.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_html_extract": op6_html_extract,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
