@@ -15,7 +15,7 @@ if its anchor gram is; there are far fewer anchors than windows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
@@ -90,14 +90,6 @@ def anchors(units: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.n
     return keys, places
 
 
-def runs(flags_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of the runs of consecutive numbers in a sorted array."""
-    if not len(flags_at):
-        return flags_at, flags_at
-    first = np.flatnonzero(np.r_[True, np.diff(flags_at) != 1])
-    return flags_at[first], np.diff(np.r_[first, len(flags_at)])
-
-
 def packed(*arrays: np.ndarray) -> bytes:
     return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
 
@@ -155,24 +147,35 @@ def short_key(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys // b).astype(np.uint32).astype(np.uint64) * b + keys % b
 
 
-def candidates(found: list[tuple[np.ndarray, np.ndarray]], replies: pd.DataFrame, buckets: int) -> list[np.ndarray]:
-    """Per document (its :func:`anchors`) the window starts whose anchor gram
-    occurs elsewhere: in another block by the replies, or a second time in this
-    block, be it in the same document."""
+def candidate_runs(found: Iterable[tuple[np.ndarray, np.ndarray]], replies: pd.DataFrame, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per document (its :func:`anchors`) the runs, as starts and lengths, of
+    windows whose anchor gram occurs elsewhere: in another block by the replies,
+    or a second time in this block, be it in the same document."""
     known = known_keys(replies, buckets)
-    docs_keys = [k for k, _ in found]
     # one entry per anchor, not per window
-    firsts = [np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.array([], dtype=int) for _, at in found]
-    every = np.concatenate([k[f] for k, f in zip(docs_keys, firsts)]) if docs_keys else np.array([], dtype=np.uint64)
-    every = np.sort(every)
+    kept = []
+    for keys, places in found:
+        first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]]) if len(places) else np.array([], dtype=np.int64)
+        kept.append((keys[first], first, np.diff(np.r_[first, len(places)])))
+    every = np.sort(np.concatenate([k for k, _, _ in kept])) if kept else np.array([], dtype=np.uint64)
     local = np.unique(every[1:][every[1:] == every[:-1]])
     out = []
-    for k, f in zip(docs_keys, firsts):
-        hit = np.isin(k[f], local) | np.isin(short_key(k[f], buckets), known) if len(k) else np.array([], dtype=bool)
-        out.append(np.flatnonzero(np.repeat(hit, np.diff(np.r_[f, len(k)]))))
+    for keys, first, size in kept:
+        hit = np.flatnonzero(member(keys, local) | member(short_key(keys, buckets), known))
+        first, size = first[hit], size[hit]
+        # neighbouring anchors' windows are one run
+        head = np.flatnonzero(np.r_[True, first[1:] != first[:-1] + size[:-1]]) if len(hit) else hit
+        out.append((first[head], np.add.reduceat(size, head) if len(hit) else size))
     return out
 
 
+def member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def removal_rows(ords: np.ndarray, places: np.ndarray) -> bytes:
     """Windows (row of the block, start) as packed runs, sorted."""
     order = np.lexsort((places, ords))

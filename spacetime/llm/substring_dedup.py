@@ -74,10 +74,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "
             return pd.DataFrame(columns=["bucket", "from_blk", "windows", "runs"])
         blk = left["blk"].iloc[0]
         units = [word_hashes(t) for t in left["text"]]
-        wanted = R.candidates([R.anchors(u, half, window) for u in units], right, n_anchor)
+        wanted = R.candidate_runs((R.anchors(u, half, window) for u in units), right, n_anchor)
         h1, h2, o, p = [], [], [], []
-        for i, (u, at) in enumerate(zip(units, wanted)):
-            if len(at):
+        for i, (u, (first, size)) in enumerate(zip(units, wanted)):
+            if len(first):
+                at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 h1.append(R.mixed(R.gram_hashes(u, window))[at])
                 h2.append((R.mixed(R.gram_hashes(R.mixed(u + np.uint64(1)), window))[at] >> np.uint64(32)).astype(np.uint32))
                 o.append(np.full(len(at), i, dtype=np.uint32))
