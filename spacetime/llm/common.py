@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from spacetime.session import checkpoint_dir
 
@@ -28,6 +32,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array | list]], schema: str, rows: int = 1000) -> DataFrame:
+    """Rows made from Arrow batches of at most ``rows`` rows.  ``make`` gives one
+    column per field of ``schema``; columns it hands through keep their exact
+    values, nulls included."""
+    types = to_arrow_schema(StructType.fromDDL(schema))
+    names = types.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, rows):
+                made = make(batch.slice(i, rows))
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, types.field(n).type) for n, c in zip(names, made)], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's shuffle partitions (its own measure of the data size)."""
     try:

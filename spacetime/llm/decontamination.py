@@ -32,11 +32,11 @@ from functools import reduce
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents
+from spacetime.llm.common import documents, map_batches
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -171,20 +171,38 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overl
     def search(shard: list[tuple[int, str | None, str | None]]) -> DataFrame:
         index = Index(shard)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                out = [(d, *hit) for d, t in zip(pdf["id"], pdf["text"]) for hit in index.leaks(t, threshold, overlap)]
-                yield pd.DataFrame(out, columns=[id_col, "item_id", "score", "question_overlap", "answer_overlap"])
+        def make(batch: pa.RecordBatch) -> list:
+            out = [(d, *hit) for d, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()) for hit in index.leaks(t, threshold, overlap)]
+            return [list(c) for c in zip(*out)] or [[]] * 5
 
-        return src.mapInPandas(run, schema)
+        return map_batches(src, make, schema)
 
+    return reduce(DataFrame.unionByName, map(search, item_shards(items, item_col, item_text_col)))
+
+
+def item_shards(items: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> list[list[tuple[int, str | None, str | None]]]:
+    """The test items as ``(id, question, answer)``, ``SHARD_ITEMS`` at a time."""
     shards: list[list] = [[]]
     chosen = items.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
     for row in chosen.orderBy("i", "t").toLocalIterator():
         if len(shards[-1]) == SHARD_ITEMS:
             shards.append([])
         shards[-1].append((row["i"], *split_item(row["t"])))
-    return reduce(DataFrame.unionByName, map(search, shards))
+    return shards
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, in which no test item is found."""
+    at = docs.columns.index(text_col)
+    for shard in item_shards(items, item_col, item_text_col):
+        index = Index(shard)
+
+        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([not index.leaks(t, threshold, overlap) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

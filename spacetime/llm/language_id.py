@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents
+from spacetime.llm.common import documents, map_batches
 
 BITS = 16
 MAX_GRAM = 3
@@ -202,12 +203,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     names = [f"k{i}" for i in range(len(keep))]
     schema = ", ".join(f"{n} {src.schema[n].dataType.simpleString()}" for n in names) + ", lang_pred string, score double"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [model.predict(t) for t in pdf["text"]]
-            yield pdf[names].assign(lang_pred=[f[0] for f in found], score=[f[1] for f in found])
+    def make(batch: pa.RecordBatch) -> list:
+        found = [model.predict(t) for t in batch.column("text").to_pylist()]
+        return [*[batch.column(n) for n in names], [f[0] for f in found], [f[1] for f in found]]
 
-    out = src.mapInPandas(run, schema)
+    out = map_batches(src, make, schema)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "lang_pred", "score")
 
 

@@ -101,14 +101,16 @@ def _covered(rows: Column) -> Column:
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", strata: Column | None = None) -> DataFrame:
-    """``id_col, stratum`` and the numbers every rule is made of."""
+    """``id, h`` (a hash of the text), ``stratum`` and the numbers every rule
+    is made of."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).alias("id"), (strata if strata is not None else F.lit("")).cast("string").alias("stratum"), text.alias("text"))
+    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), (strata if strata is not None else F.lit("")).cast("string").alias("stratum"), text.alias("text"))
     d = d.withColumn("words", words_of(F.col("text")))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     joined = F.array_join("words", "")
     return d.select(
         "id",
+        "h",
         "stratum",
         F.size("words").cast("long").alias("n_words"),
         F.length(joined).cast("long").alias("word_chars"),
@@ -117,7 +119,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
         repeat_words(F.col("words")).alias("n_repeat_words"),
         F.length(F.regexp_replace("text", r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
     ).select(
-        "id", "stratum", "n_words", "word_chars", "n_symbols",
+        "id", "h", "stratum", "n_words", "word_chars", "n_symbols",
         (F.col("l.n") - F.col("l.d")).cast("long").alias("n_dup_lines"),
         "n_repeat_words", "n_upper", F.col("l.n").cast("long").alias("n_lines"),
     )
@@ -207,6 +209,16 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     )
 
 
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, unchanged, that the rules keep.  Rows that agree in
+    id, text and stratum have one verdict, so rejections are joined by those."""
+    measured = stored(measures(docs, id_col, text_col, F.col(stratum_col)), "quality-measures")
+    bad = judge(measured, learn_cutoffs(measured, labels)).where("not kept").select("id", "h", F.col("stratum").alias("bad_stratum")).distinct()
+    keyed = docs.withColumns({"quality_h": F.xxhash64(text_col), "quality_stratum": F.col(stratum_col).cast("string")})
+    same = F.col(f"d.{id_col}").eqNullSafe(F.col("b.id")) & (F.col("d.quality_h") == F.col("b.h")) & F.col("d.quality_stratum").eqNullSafe(F.col("b.bad_stratum"))
+    return keyed.alias("d").join(bad.alias("b"), same, "left_anti").select(*docs.columns)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality_rules(documents(spark, sf_dir), labels)

@@ -30,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents
+from spacetime.llm.common import documents, map_batches
 
 SAMPLE_DOCS = 20_000
 SAMPLE_WINDOWS = 6_000
@@ -362,13 +363,11 @@ def find_secrets(docs: DataFrame, field: Field | None, id_col: str = "doc_id", t
     """``id_col, spans``: every span of every row (kind, start, end in code
     points, end exclusive), by start, then kind."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            spans = [[{"kind": k, "start": a, "end": b} for a, b, k, _ in all_spans(t, field)] for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["id"], "spans": spans})
+    def make(batch: pa.RecordBatch) -> list:
+        return [batch.column("id"), [[{"kind": k, "start": a, "end": b} for a, b, k, _ in all_spans(t, field)] for t in batch.column("text").to_pylist()]]
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return src.mapInPandas(run, f"id {src.schema['id'].dataType.simpleString()}, spans {_SPANS}").withColumnRenamed("id", id_col)
+    return map_batches(src, make, f"id {src.schema['id'].dataType.simpleString()}, spans {_SPANS}").withColumnRenamed("id", id_col)
 
 
 def redacted(text: str | None, field: Field | None, mask: str = MASK) -> str | None:
@@ -383,15 +382,23 @@ def redacted(text: str | None, field: Field | None, mask: str = MASK) -> str | N
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with secrets masked in ``text_col``; all columns and rows stay."""
+def redact(docs: DataFrame, field: Field | None, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with secrets masked in ``text_col``, and ``length_col`` (code
+    points) set anew where a text changed; other columns and all rows stay."""
+    at = docs.columns.index(text_col)
+    size = docs.columns.index(length_col) if length_col else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf[text_col] = [redacted(t, field) for t in pdf[text_col]]
-            yield pdf
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            old = batch.column(at).to_pylist()
+            new = [redacted(t, field) for t in old]
+            columns = list(batch.columns)
+            columns[at] = pa.array(new, columns[at].type)
+            if size is not None:
+                columns[size] = pa.array([n if a == b else len(b) for n, a, b in zip(columns[size].to_pylist(), old, new)], columns[size].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

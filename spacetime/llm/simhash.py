@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents, shuffle_width, stored
+from spacetime.llm.common import documents, map_batches, shuffle_width, stored
 from spacetime.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -67,15 +68,15 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, fp`` (signed long with the fingerprint's bits) per row."""
+    """``id, h, fp`` per row: a hash of the text, and the fingerprint's bits as
+    a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = np.array([fingerprint(t, shingle_words) for t in pdf["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": pdf["id"], "fp": fps.view(np.int64)})
+    def make(batch: pa.RecordBatch) -> list:
+        fps = np.array([fingerprint(t, shingle_words) for t in batch.column("text").to_pylist()], dtype=np.uint64)
+        return [batch.column("id"), batch.column("h"), fps.view(np.int64)]
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return src.mapInPandas(run, f"id {src.schema['id'].dataType.simpleString()}, fp long")
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    return map_batches(src, make, f"id {src.schema['id'].dataType.simpleString()}, h long, fp long")
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
@@ -154,20 +155,39 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENT
     return placed.groupBy("bucket").applyInPandas(verify, "a long, b long").distinct()
 
 
+def fingerprint_classes(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
+    """``fp, root``: every fingerprint with the smallest one it is linked to."""
+    nodes = stored(fps.select("fp").distinct(), "nodes")
+    roots = components(links(nodes, max_bits, segments, dense))
+    return stored(nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root")), "roots")
+
+
 def simhash_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, segments: int = SEGMENTS, dense: int = DENSE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col, fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id reachable over links."""
     fps = stored(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    roots = components(links(nodes, max_bits, segments, dense))
-    named = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = stored(named, "roots")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = fingerprint_classes(fps, max_bits, segments, dense)
+    # ids meet their fingerprint first, so a class is a row per fingerprint
+    least = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    ids = named.join(least, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
     classes = named.join(ids, "root").select("fp", "component_id")
     return fps.join(classes, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id, then the
+    smallest text hash; a null id only if the group has no other.  All columns
+    stay; of repeated rows one stays."""
+    fps = stored(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
+    order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("h").alias("h"))
+    best = fps.groupBy("fp").agg(F.min(order).alias("best")).join(fingerprint_classes(fps, max_bits), "fp")
+    kept = best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("kept_id"), F.col("best.h").alias("kept_h"))
+    keyed = docs.withColumn("kept_h", F.xxhash64(text_col))
+    found = keyed.alias("d").join(kept.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col("k.kept_id")) & (F.col("d.kept_h") == F.col("k.kept_h")), "left_semi")
+    return found.dropDuplicates([id_col, "kept_h"]).select(*docs.columns)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))

@@ -16,13 +16,12 @@ columns other than the two named are ignored.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents
+from spacetime.llm.common import documents, map_batches
 
 CHUNK_CHARS = 65536
 OVERLAP_CHARS = 512
@@ -119,19 +118,16 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = TO
     word-level BPE of the installed tokenizer package).  One pass, no shuffle.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make(batch: pa.RecordBatch) -> list:
         path = vocabulary or vocabulary_path()
         key = f"{path}|{chunk_chars}|{overlap_chars}"
         if key not in _workers:
             _workers[key] = Counter(path, chunk_chars, overlap_chars)
-        for pdf in batches:
-            for i in range(0, len(pdf), 1000):
-                part = pdf.iloc[i : i + 1000]
-                yield pd.DataFrame({"id": part["id"], "n_bytes": part["n_bytes"], "n_tokens": _workers[key].count(part["text"].tolist())})
+        return [batch.column("id"), batch.column("n_bytes"), _workers[key].count(batch.column("text").to_pylist())]
 
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_col).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    counted = src.mapInPandas(run, f"id {kind}, n_bytes long, n_tokens long")
+    counted = map_batches(src, make, f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
