@@ -48,6 +48,13 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array |
     return df.mapInArrow(run, schema)
 
 
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``df.mapInArrow(run)`` with the columns of ``df``; ``run`` sees them by
+    position, so any column name will do."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's shuffle partitions (its own measure of the data size)."""
     try:
@@ -56,6 +63,19 @@ def shuffle_width(spark: SparkSession) -> int:
         return max(1, spark.sparkContext.defaultParallelism)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by name, whatever the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; null text has none."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))

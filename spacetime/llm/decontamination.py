@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents, map_batches
+from spacetime.llm.common import documents, map_batches, map_rows
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -201,7 +201,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
             for batch in batches:
                 yield batch.filter(pa.array([not index.leaks(t, threshold, overlap) for t in batch.column(at).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_rows(docs, run)
     return docs
 
 

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import bounded_broadcast, documents, stored, words_of
+from spacetime.llm.common import bounded_broadcast, documents, fresh, own_columns, stored, words_of
 
 RISK = 0.01
 DELTA = 0.05
@@ -214,9 +214,10 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     id, text and stratum have one verdict, so rejections are joined by those."""
     measured = stored(measures(docs, id_col, text_col, F.col(stratum_col)), "quality-measures")
     bad = judge(measured, learn_cutoffs(measured, labels)).where("not kept").select("id", "h", F.col("stratum").alias("bad_stratum")).distinct()
-    keyed = docs.withColumns({"quality_h": F.xxhash64(text_col), "quality_stratum": F.col(stratum_col).cast("string")})
-    same = F.col(f"d.{id_col}").eqNullSafe(F.col("b.id")) & (F.col("d.quality_h") == F.col("b.h")) & F.col("d.quality_stratum").eqNullSafe(F.col("b.bad_stratum"))
-    return keyed.alias("d").join(bad.alias("b"), same, "left_anti").select(*docs.columns)
+    h = fresh(docs, "text_hash")
+    keyed = docs.withColumn(h, F.xxhash64(text_col))
+    same = F.col(f"d.{id_col}").eqNullSafe(F.col("b.id")) & (F.col(f"d.{h}") == F.col("b.h")) & F.col(f"d.{stratum_col}").cast("string").eqNullSafe(F.col("b.bad_stratum"))
+    return keyed.alias("d").join(bad.alias("b"), same, "left_anti").select(*own_columns(docs))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents, map_batches
+from spacetime.llm.common import documents, map_batches, map_rows
 
 SAMPLE_DOCS = 20_000
 SAMPLE_WINDOWS = 6_000
@@ -398,7 +398,7 @@ def redact(docs: DataFrame, field: Field | None, text_col: str = "text", length_
                 columns[size] = pa.array([n if a == b else len(b) for n, a, b in zip(columns[size].to_pylist(), old, new)], columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents, map_batches, shuffle_width, stored
+from spacetime.llm.common import documents, fresh, map_batches, own_columns, shuffle_width, stored
 from spacetime.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -184,9 +184,10 @@ def one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits:
     order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("h").alias("h"))
     best = fps.groupBy("fp").agg(F.min(order).alias("best")).join(fingerprint_classes(fps, max_bits), "fp")
     kept = best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("kept_id"), F.col("best.h").alias("kept_h"))
-    keyed = docs.withColumn("kept_h", F.xxhash64(text_col))
-    found = keyed.alias("d").join(kept.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col("k.kept_id")) & (F.col("d.kept_h") == F.col("k.kept_h")), "left_semi")
-    return found.dropDuplicates([id_col, "kept_h"]).select(*docs.columns)
+    h = fresh(docs, "text_hash")
+    keyed = docs.withColumn(h, F.xxhash64(text_col))
+    found = keyed.alias("d").join(kept.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col("k.kept_id")) & (F.col(f"d.{h}") == F.col("k.kept_h")), "left_semi")
+    return found.dropDuplicates([id_col, h]).select(*own_columns(docs))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
