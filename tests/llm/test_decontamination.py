@@ -1,0 +1,61 @@
+import random
+
+import numpy as np
+
+from spacetime.llm import decontamination as D
+
+
+def items_of(prose):
+    return [(i, prose(1000 + i, 20 + i % 30)) for i in range(60)]
+
+
+def test_leaks_are_found_and_clean_documents_left(spark, make_docs, prose):
+    items = items_of(prose)
+    rows, want = [], set()
+    for i in range(120):
+        words = prose(i, 50 + 23 * i).split()
+        if i % 4 == 0:
+            k = i // 4
+            at = random.Random(i).randrange(len(words))
+            words[at:at] = items[k][1].upper().split()
+            want.add((i, items[k][0]))
+        rows.append((i, " ".join(words)))
+    rows += [(900, None), (901, ""), (None, items[3][1]), (902, items[4][1]), (902, items[4][1])]
+    docs, table = make_docs(rows), spark.createDataFrame(items + [(77, None), (78, ""), (None, None)], "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in D.leaks(docs, table).collect()]
+    assert sorted(got, key=str) == sorted([*want, (None, 3), (902, 4), (902, 4)], key=str)
+    kept = D.without_leaks(docs, table)
+    assert kept.columns == docs.columns
+    bad = {d for d, _ in got}
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in rows if i not in bad)
+
+
+def test_empty_tables(spark, make_docs, prose):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert D.leaks(make_docs([(1, "a b c")]), none).count() == 0
+    assert D.without_leaks(make_docs([(1, "a b c")]), none).count() == 1
+    assert D.leaks(make_docs([]), spark.createDataFrame(items_of(prose), "item_id long, text string")).count() == 0
+
+
+def test_pruned_search_equals_all_scores(prose):
+    index = D.Index([(i, *D.split_item(t)) for i, t in items_of(prose)])
+    r = random.Random(4)
+    for _ in range(200):
+        terms = np.array(sorted(r.sample(range(len(index.terms)), r.randint(1, len(index.terms)))))
+        score = np.zeros(len(index.items))
+        for t in terms:
+            a, b = index.post_at[t], index.post_at[t + 1]
+            score[index.post_item[a:b]] += index.post_score[a:b]
+        for threshold in (0.2, 0.5, 0.8):
+            want = {j: s for j, s in enumerate(score) if s >= threshold}
+            got = dict(index.search(terms, threshold))
+            assert got.keys() == want.keys() and all(abs(got[j] - want[j]) < 1e-9 for j in got)
+
+
+def test_shards_find_the_same(spark, make_docs, prose, monkeypatch):
+    items = items_of(prose)
+    docs = make_docs([(i, prose(i, 40) + " " + items[i][1]) for i in range(20)])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted((r.doc_id, r.item_id) for r in D.leaks(docs, table).collect())
+    monkeypatch.setattr(D, "SHARD_ITEMS", 7)
+    assert sorted((r.doc_id, r.item_id) for r in D.leaks(docs, table).collect()) == whole
