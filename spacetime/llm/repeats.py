@@ -16,6 +16,7 @@ if its anchor gram is; there are far fewer anchors than windows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,7 @@ from spacetime.llm.common import shuffle_width
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Low bits of a packed anchor: its place in a section; the rest is its hash.
 PLACE_BITS = np.uint64(24)
+PLACE_MASK = np.uint64((1 << 24) - 1)
 SECTION = 1 << 23
 NO_ID = (1 << 63) - 1
 
@@ -76,18 +78,47 @@ def sliding_min(a: np.ndarray, n: int) -> np.ndarray:
     return a if m == n else np.minimum(a[: len(a) - (n - m)], a[n - m :])
 
 
-def anchors(units: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per window start: hash (40 bits) and place of its anchor gram."""
+def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every ``n`` consecutive bytes, eight bytes at a time."""
+    if n < 8:
+        return gram_hashes(data.astype(np.uint64) + np.uint64(1), n)
+    k = max(0, len(data) - n + 1)
+    out = np.zeros(k, dtype=np.uint64)
+    for at in [*range(0, n - 8, 8), n - 8]:
+        out *= BASE
+        out += np.ndarray(k, dtype="<u8", buffer=data.data, offset=at, strides=(1,)) if k else out
+    return out
+
+
+class Anchors(NamedTuple):
+    """Runs of windows that have their anchor in one place, along a text."""
+
+    first: np.ndarray  # first window of the run
+    size: np.ndarray  # windows in it
+    key: np.ndarray  # hash of the anchor gram, 40 bits
+    place: np.ndarray  # where the anchor gram starts
+
+
+def anchors(units: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndarray, int], np.ndarray] = gram_hashes) -> Anchors:
+    """The anchors of all windows of a text, given as units that ``hashes``
+    makes gram hashes of."""
     windows = len(units) - window + 1
-    keys, places = np.empty(max(0, windows), dtype=np.uint64), np.empty(max(0, windows), dtype=np.int64)
+    first, low = [], []
     for a in range(0, windows, SECTION):
-        b = min(windows, a + SECTION)
-        h = mixed(gram_hashes(units[a : b + window - 1], gram))
-        packed = ((h >> PLACE_BITS) << PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
-        low = sliding_min(packed, window - gram + 1)
-        keys[a:b] = low >> PLACE_BITS
-        places[a:b] = (low & np.uint64((1 << 24) - 1)).astype(np.int64) + a
-    return keys, places
+        h = mixed(hashes(units[a : min(windows, a + SECTION) + window - 1], gram))
+        h &= ~PLACE_MASK
+        h |= np.arange(len(h), dtype=np.uint64)
+        least = sliding_min(h, window - gram + 1)
+        f = np.flatnonzero(least[1:] != least[:-1]) + 1
+        f = np.concatenate((np.zeros(1, dtype=np.int64), f))
+        first.append(f + a)
+        low.append(least[f])
+    if not first:
+        none = np.zeros(0, dtype=np.int64)
+        return Anchors(none, none, none.astype(np.uint64), none)
+    section = np.repeat(np.arange(len(first)) * SECTION, [len(f) for f in first])
+    f, low = np.concatenate(first), np.concatenate(low)
+    return Anchors(f, np.diff(np.append(f, windows)), low >> PLACE_BITS, (low & PLACE_MASK).astype(np.int64) + section)
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -147,24 +178,23 @@ def short_key(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys // b).astype(np.uint32).astype(np.uint64) * b + keys % b
 
 
-def candidate_runs(found: Iterable[tuple[np.ndarray, np.ndarray]], replies: pd.DataFrame, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def candidate_runs(found: Iterable[Anchors], replies: pd.DataFrame, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per document (its :func:`anchors`) the runs, as starts and lengths, of
     windows whose anchor gram occurs elsewhere: in another block by the replies,
     or a second time in this block, be it in the same document."""
     known = known_keys(replies, buckets)
-    # one entry per anchor, not per window
-    kept = []
-    for keys, places in found:
-        first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]]) if len(places) else np.array([], dtype=np.int64)
-        kept.append((keys[first], first, np.diff(np.r_[first, len(places)])))
-    every = np.sort(np.concatenate([k for k, _, _ in kept])) if kept else np.array([], dtype=np.uint64)
+    kept = list(found)
+    keys = np.concatenate([x.key for x in kept]) if kept else np.array([], dtype=np.uint64)
+    every = np.sort(keys)
     local = np.unique(every[1:][every[1:] == every[:-1]])
-    out = []
-    for keys, first, size in kept:
-        hit = np.flatnonzero(member(keys, local) | member(short_key(keys, buckets), known))
-        first, size = first[hit], size[hit]
+    hits = member(keys, local) | member(short_key(keys, buckets), known)
+    out, at = [], 0
+    for x in kept:
+        hit = np.flatnonzero(hits[at : at + len(x.key)])
+        at += len(x.key)
+        first, size = x.first[hit], x.size[hit]
         # neighbouring anchors' windows are one run
-        head = np.flatnonzero(np.r_[True, first[1:] != first[:-1] + size[:-1]]) if len(hit) else hit
+        head = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1] + size[:-1]))) if len(hit) else hit
         out.append((first[head], np.add.reduceat(size, head) if len(hit) else size))
     return out
 

@@ -61,12 +61,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "
     if asked for, ``kept_text`` (kept words joined by one space)."""
     half = window // 2
     width = shuffle_width(docs.sparkSession)
-    n_anchor, n_window = 2 * width, 4 * width
+    n_anchor, n_window = width, width
     e = R.blocks(docs, id_col, text_col, n_blocks)
 
     def keys_of(pdf: pd.DataFrame) -> np.ndarray:
-        keys = [R.anchors(word_hashes(t), half, window)[0] for t in pdf["text"] if t]
-        return np.concatenate([k[np.r_[True, k[1:] != k[:-1]]] for k in keys if len(k)] or [np.array([], dtype=np.uint64)])
+        return np.concatenate([R.anchors(word_hashes(t), half, window).key for t in pdf["text"] if t] or [np.array([], dtype=np.uint64)])
 
     def extend(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = R.ordered(left)

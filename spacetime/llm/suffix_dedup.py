@@ -22,6 +22,7 @@ null id comes after all others.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,15 +34,13 @@ from spacetime.llm.common import documents, shuffle_width
 
 WINDOW_BYTES = 50
 #: Grams that tell whether a window can be repeated, and that cut segments.
-PROBE_GRAM = 32
+PROBE_GRAM = 24
 CUT_GRAM = 16
+#: Bytes of a bucket that are sorted together.
+PART_BYTES = 1 << 22
 _BYTES = np.array([xxhash.xxh64_intdigest(bytes([b]), 42) for b in range(256)], dtype=np.uint64)
 
 
-def byte_units(text: str) -> np.ndarray:
-    return _BYTES[np.frombuffer(text.encode("utf-8"), dtype=np.uint8)]
-
-
 class Suffixes:
     """Suffixes of a buffer, compared over their first ``limit`` bytes."""
 
@@ -144,6 +143,43 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, di
     return gone
 
 
+def pieces(found: R.Anchors, at: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """``(first window, windows, anchor place, anchor key)`` of the parts into
+    which anchors cut the runs of windows ``at, size``."""
+    edge = np.unique(np.concatenate((found.first, at, at + size)))
+    inside = np.searchsorted(at, edge, side="right") - 1
+    keep = np.flatnonzero((inside >= 0) & (edge < (at + size)[np.maximum(inside, 0)]))
+    where = np.searchsorted(found.first, edge[keep], side="right") - 1
+    return zip(edge[keep].tolist(), (edge[keep + 1] - edge[keep]).tolist(), found.place[where].tolist(), found.key[where].tolist())
+
+
+def _windows_gone(bodies: list[bytes], anchor: np.ndarray, did: np.ndarray, cut: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of distinct segments: segment and place in it of every window that an
+    equal one with a smaller id makes redundant."""
+    length = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
+    data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
+    begin = np.cumsum(length) - length
+    gram = np.zeros(len(bodies), dtype=np.uint64)
+    for j in range(cut):
+        gram = gram * R.BASE + _BYTES[data[begin + anchor + j]]
+    gram = R.mixed(gram)
+    # segments of different grams never meet, so a large bucket is sorted in parts
+    parts = -(-len(data) // PART_BYTES)
+    found = []
+    for k in range(parts):
+        some = np.flatnonzero(gram % np.uint64(parts) == k)
+        size, n = length[some], length[some] - window + 1
+        at = np.cumsum(size) - size
+        own = data[np.repeat(begin[some] - at, size) + np.arange(size.sum())]
+        seg = np.repeat(np.arange(len(some)), n)
+        step = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
+        # windows can only be equal if the gram stands at the same distance in them
+        group = gram[some][seg] * R.BASE + (anchor[some][seg] - step).astype(np.uint64)
+        gone = np.flatnonzero(repeated_windows(np.concatenate((own, np.zeros(window, dtype=np.uint8))), at[seg] + step, group, did[some][seg], window))
+        found.append((some[seg[gone]], step[gone]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def finish(text: str, starts: np.ndarray, sizes: np.ndarray, window: int = WINDOW_BYTES) -> tuple[int, int, int, str, bytes]:
     """Bytes, removed bytes, removed runs, digest and bytes of what is kept."""
     data = text.encode("utf-8")
@@ -159,17 +195,15 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
     """One row per document: ``id_col, n_bytes, n_removed, n_spans,
     kept_sha256`` and, if asked for, ``kept`` (the remaining bytes)."""
     width = shuffle_width(docs.sparkSession)
-    n_anchor, n_cut = 2 * width, 4 * width
+    n_anchor, n_cut = width, width
     probe, cut = min(PROBE_GRAM, window), min(CUT_GRAM, window)
     e = R.blocks(docs, id_col, text_col, n_blocks)
 
+    def probe_anchors(text: str) -> R.Anchors:
+        return R.anchors(np.frombuffer(text.encode("utf-8"), dtype=np.uint8), probe, window, R.byte_grams)
+
     def keys_of(pdf: pd.DataFrame) -> np.ndarray:
-        out = []
-        for t in pdf["text"]:
-            if t:
-                k = R.anchors(byte_units(t), probe, window)[0]
-                out.append(k[np.r_[True, k[1:] != k[:-1]]] if len(k) else k)
-        return np.unique(np.concatenate(out or [np.array([], dtype=np.uint64)]))
+        return np.concatenate([probe_anchors(t).key for t in pdf["text"] if t] or [np.array([], dtype=np.uint64)])
 
     def segments(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = R.ordered(left)
@@ -177,31 +211,22 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         if not len(left):
             return pd.DataFrame(columns=columns)
         blk = int(left["blk"].iloc[0])
-        ids = left["did"].to_numpy(dtype=np.int64)
-        wanted = R.candidate_runs((R.anchors(byte_units(t), probe, window) for t in left["text"]), right, n_anchor)
+        ids = left["did"].tolist()
+        wanted = R.candidate_runs((probe_anchors(t) for t in left["text"]), right, n_anchor)
         own: dict[tuple[int, bytes], int] = {}  # distinct segments: anchor place and bytes, with the least id
         sent: list[list[tuple]] = [[] for _ in range(n_cut)]
         local: list[tuple[int, int, int]] = []
         for i, (t, (at, size)) in enumerate(zip(left["text"], wanted)):
             if not len(at):
                 continue
-            data = t.encode("utf-8")
-            raw = np.frombuffer(data, dtype=np.uint8)
-            for a, n in zip(at.tolist(), size.tolist()):
-                # the windows a .. a + n - 1 by the place of their cutting gram
-                keys, places = R.anchors(_BYTES[raw[a : a + n - 1 + window]], cut, window)
-                f = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
-                for s, m, p, k in zip((f + a).tolist(), np.diff(np.r_[f, n]).tolist(), (places[f] + a).tolist(), keys[f].tolist()):
-                    while m > 0:
-                        c = min(m, 255)
-                        body = data[s : s + c - 1 + window]
-                        least = own.setdefault((p - s, body), int(ids[i]))
-                        # rows come in order of id: an equal segment of an earlier document decides
-                        if least < ids[i]:
-                            local.append((i, s, c))
-                        else:
-                            sent[k % n_cut].append((ids[i], i, s, c, p - s, body))
-                        s, m = s + c, m - c
+            data, did = t.encode("utf-8"), ids[i]
+            for s, c, p, k in pieces(R.anchors(np.frombuffer(data, dtype=np.uint8), cut, window, R.byte_grams), at, size):
+                body = data[s : s + c - 1 + window]
+                # rows come in order of id: an equal segment of an earlier document decides
+                if own.setdefault((p - s, body), did) < did:
+                    local.append((i, s, c))
+                else:
+                    sent[k % n_cut].append((did, i, s, c, p - s, body))
         out = []
         if local:
             o, s, c = (np.array(x, dtype=np.int64) for x in zip(*local))
@@ -219,22 +244,31 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         if some:
             d, o, s, c, p = (np.concatenate([x[i] for _, x, _ in some]).astype(np.int64) for i in range(5))
             blk = np.concatenate([np.full(len(x[0]), b, dtype=np.int64) for b, x, _ in some])
-            data = np.frombuffer(b"".join(body for *_, body in some) + bytes(window), dtype=np.uint8)
-            length = c - 1 + window
-            begin = np.cumsum(length) - length
-            seg = np.repeat(np.arange(len(c)), c)
-            step = np.arange(len(seg)) - np.repeat(np.cumsum(c) - c, c)
-            starts = begin[seg] + step
-            # the cutting gram's bytes and its distance from the window's start
-            gram = np.zeros(len(c), dtype=np.uint64)
-            for j in range(cut):
-                gram = gram * R.BASE + _BYTES[data[begin + p + j]]
-            group = R.mixed(gram)[seg] * R.BASE + (p[seg] - step).astype(np.uint64)
-            gone = np.flatnonzero(repeated_windows(data, starts, group, d[seg], window))
-            owner, place = seg[gone], s[seg[gone]] + step[gone]
-            for b in np.unique(blk[owner]):
-                w = blk[owner] == b
-                out.append((b, R.removal_rows(o[owner[w]], place[w])))
+            # Equal segments are one class; only its least document has windows left to decide.
+            classes: dict[tuple[int, bytes], int] = {}
+            cls = np.empty(len(d), dtype=np.int64)
+            j = 0
+            for _, x, body in some:
+                at = 0
+                for n, far in zip((x[3].astype(np.int64) - 1 + window).tolist(), x[4].tolist()):
+                    cls[j] = classes.setdefault((far, body[at : at + n]), len(classes))
+                    at, j = at + n, j + 1
+            least = np.full(len(classes), R.NO_ID, dtype=np.int64)
+            np.minimum.at(least, cls, d)
+            anchor = np.fromiter((far for far, _ in classes), dtype=np.int64, count=len(classes))
+            gone_cls, gone_step = _windows_gone([body for _, body in classes], anchor, least, cut, window)
+            first = np.flatnonzero(d == least[cls])
+            first = first[np.argsort(cls[first], kind="stable")]
+            lo, hi = np.searchsorted(cls[first], gone_cls), np.searchsorted(cls[first], gone_cls, side="right")
+            owner = first[np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())]
+            place = s[owner] + np.repeat(gone_step, hi - lo)
+            rest = np.flatnonzero(d != least[cls])
+            for b in np.unique(blk):
+                w, r = blk[owner] == b, rest[blk[rest] == b]
+                if w.any():
+                    out.append((b, R.removal_rows(o[owner[w]], place[w])))
+                if len(r):
+                    out.append((b, R.packed(o[r].astype(np.uint32), s[r], c[r])))
         return pd.DataFrame(out, columns=["blk", "runs"])
 
     replies = R.repeated_anchors(e, keys_of, n_anchor)
