@@ -121,10 +121,19 @@ def test_a_lying_hash_is_noticed(monkeypatch):
 
 def test_anchors_do_not_depend_on_sections(monkeypatch, prose):
     units = np.frombuffer(prose(1, 900).encode(), dtype=np.uint8).astype(np.uint64) * R.BASE
+    by_window = lambda x: [(k, p) for k, p, n in zip(x.key.tolist(), x.place.tolist(), x.size.tolist()) for _ in range(n)]
     whole = R.anchors(units, 16, 50)
     monkeypatch.setattr(R, "SECTION", 101)
-    parts = R.anchors(units, 16, 50)
-    assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
+    assert by_window(R.anchors(units, 16, 50)) == by_window(whole) and whole.size.sum() == len(units) - 49
+
+
+@pytest.mark.parametrize("n", [3, 8, 12, 24, 25])
+def test_byte_grams_name_the_gram(n):
+    data = np.frombuffer(b"abcabcabcabcabcabcabcabcabcabcabcabcX" * 2, dtype=np.uint8)
+    h = R.byte_grams(data, n)
+    grams = [data[i : i + n].tobytes() for i in range(len(data) - n + 1)]
+    assert len(h) == len(grams) and all((h[i] == h[j]) == (grams[i] == grams[j]) for i in range(len(h)) for j in range(len(h)))
+    assert len(R.byte_grams(data[: n - 1], n)) == 0
 
 
 def test_gram_hashes_name_the_gram():
