@@ -1,35 +1,37 @@
 """Points-in-rectangles: the range join and the per-zone count.
 
 A point matches a zone when ``x1 <= px <= x2 and y1 <= py <= y2`` (closed
-edges, corners not normalised).  Three physical strategies, all exact:
+edges, corners not normalised; an edge may be infinite).  Three physical
+strategies, all exact, all for any set of zones:
 
 ``nested_loop``
     ``points JOIN broadcast(zones) ON contains(..)``: a
-    BroadcastNestedLoopJoin.  Per point it costs one test per zone, so it
-    is used only for a zone set counted to have at most
-    ``nested_loop_max_zones`` valid rows.
+    BroadcastNestedLoopJoin.  Per point it costs one test per zone, so AUTO
+    uses it only for a zone set counted to have at most
+    ``nested_loop_max_zones`` valid rows; asked for beyond that it refuses.
 
 ``tiled_broadcast``
-    Space is cut into square tiles.  Each zone is exploded into the tiles it
-    covers; each point falls in exactly one tile; the equi-join on the tile
-    key (a BroadcastHashJoin) is followed by the exact predicate.  The
-    points are never shuffled.  Used when the zone-tile table is proven to
-    have at most ``broadcast_max_rows`` rows.
+    Space is cut into tiles.  Each zone is exploded into the tiles it covers;
+    each point falls in exactly one tile; the equi-join on the tile key (a
+    BroadcastHashJoin) is followed by the exact predicate.  The points are
+    never shuffled.  Used when the zone-tile table, by its counted rows and
+    measured row width, has at most ``broadcast_max_bytes``; asked for beyond
+    that it refuses.
 
 ``tiled_shuffle``
     Same tile join, but both sides are shuffled on the tile key (sort-merge
-    join).  A hot tile is split two ways: the points get a salt in
-    ``[0, salt)`` and the zone tiles are replicated ``salt`` times, and
-    AQE's skew-join split cuts what is still oversized at run time.
-
-Zones of very different sizes would make one tile size either explode big
-zones into many tiles or put many points into few tiles.  Tiles therefore
-come in levels: level ``l`` has side ``tile * fanout**l``, and a zone uses
-the lowest level at which it spans at most ``axis_tiles`` tiles per axis,
-so no zone explodes into more than about ``(axis_tiles + 1)^2`` tiles and
-no zone is ever capped or dropped.  A point carries one tile per level in
-use (usually one level).  Each (point, zone) pair meets in exactly one
-tile, so no duplicate matches arise.
+    join).  Tiles that hold many points are found by counting points per tile;
+    only their points are salted and only their zone tiles are replicated.
+
+Tiles have a side per axis, so long thin zones do not share a few wide tiles.
+Zones of very different sizes would make one side either explode big zones into
+many tiles or put many points into few.  Sides therefore come in levels, per
+axis: level ``l`` has side ``side * fanout**l``, and a zone uses on each axis
+the lowest level at which it spans at most ``axis_tiles`` tiles; an axis on
+which it is unbounded has one tile that holds everything.  No zone explodes
+into more than about ``(axis_tiles + 1)^2`` tiles and none is capped or dropped.
+A point carries one tile per combination of levels in use (usually one).  Each
+(point, zone) pair meets in exactly one tile, so no duplicate matches arise.
 """
 
 from __future__ import annotations
@@ -126,13 +128,47 @@ def _valid(zones: DataFrame) -> DataFrame:
     return zones.filter(ok)
 
 
-def _extent():
-    return F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+AXES = (("x1", "x2"), ("y1", "y2"))
+#: Level of an axis on which a zone is unbounded.
+UNBOUNDED = -1
+# Tile indexes stay below this, so that they are exact as doubles and longs.
+MAX_INDEX = float(1 << 50)
+# Most levels an axis can be given; planning computes how many it needs.
+MAX_LEVELS = 24
+
+
+def _extent(axis: int):
+    lo, hi = AXES[axis]
+    return F.col(hi) - F.col(lo)
+
+
+def _bounded(axis: int):
+    # the difference of two finite edges may still be infinite
+    return F.abs(_extent(axis)) < F.lit(math.inf)
+
+
+class Axis:
+    """What the zones look like along one axis: typical and largest extent,
+    and the tile side that follows from them."""
+
+    def __init__(self, row, axis: int, n: int):
+        self.max_extent = row[f"max{axis}"] or 0.0
+        self.far = row[f"far{axis}"] or 0.0
+        typical, positive = row[f"typ{axis}"], row[f"pos{axis}"] or 0
+        spread = (row[f"hi{axis}"] or 0.0) - (row[f"lo{axis}"] or 0.0)
+        density = spread / math.sqrt(n) if n and 0 < spread < math.inf else None
+        if typical is None or not 0 < typical < math.inf:
+            side = density
+        elif 2 * positive < n and density is not None:
+            side = min(typical, density)  # mostly point-like zones: by how densely they lie
+        else:
+            side = typical
+        self.side = max(side or 1.0, self.far / MAX_INDEX)
 
 
 class ZoneStats:
-    """One one-row aggregate over the valid zones: count, bounding box and
-    typical extent (the default base tile).
+    """One one-row aggregate over the valid zones: count, bounding box, row
+    width and, per axis, the extents that decide the tile side.
 
     The typical extent is the geometric mean of the positive extents,
     ``exp(avg(ln(extent)))``: it averages *scales*, so a few huge zones do
@@ -141,17 +177,28 @@ class ZoneStats:
     """
 
     def __init__(self, zones: DataFrame):
-        ext = _extent()
+        per_axis = []
+        for i, (lo, hi) in enumerate(AXES):
+            e = F.when(_bounded(i), _extent(i))
+            per_axis += [
+                F.exp(F.avg(F.when(e > 0, F.ln(e)))).alias(f"typ{i}"),
+                F.count(F.when(e > 0, 1)).alias(f"pos{i}"),
+                F.max(e).alias(f"max{i}"),
+                F.min(F.when(F.abs(F.col(lo)) < math.inf, F.col(lo))).alias(f"lo{i}"),
+                F.max(F.when(F.abs(F.col(hi)) < math.inf, F.col(hi))).alias(f"hi{i}"),
+                F.max(F.when(e.isNotNull(), F.greatest(F.abs(F.col(lo)), F.abs(F.col(hi))))).alias(f"far{i}"),
+            ]
         r = _valid(zones).agg(
             F.count(F.lit(1)).alias("n"),
             F.min("x1").alias("x1"), F.min("y1").alias("y1"),
             F.max("x2").alias("x2"), F.max("y2").alias("y2"),
-            F.exp(F.avg(F.when(ext > 0, F.ln(ext)))).alias("typ"),
+            F.avg(_row_bytes(zones)).alias("width"),
+            *per_axis,
         ).first()
         self.n = int(r["n"])
         self.bbox = (r["x1"], r["y1"], r["x2"], r["y2"])
-        typ = r["typ"]
-        self.tile = float(typ) if typ is not None and math.isfinite(typ) and typ > 0 else 1.0
+        self.row_bytes = float(r["width"] or 0.0)
+        self.axes = tuple(Axis(r, i, self.n) for i in (0, 1))
 
     def point_filter(self, px: str, py: str):
         """Exact prefilter: a point outside the zones' bounding box matches none.
@@ -165,101 +212,160 @@ class ZoneStats:
         return F.col(px).between(F.lit(x1), F.lit(x2)) & F.col(py).between(F.lit(y1), F.lit(y2))
 
 
-def auto_tile(zones: DataFrame) -> float:
-    """Base tile side = geometric mean zone extent."""
-    return ZoneStats(zones).tile
+def _row_bytes(zones: DataFrame):
+    """Measured width of a zone row: 16 bytes a field, and what text, binary
+    and nested values hold."""
+    total = F.lit(16 * len(zones.columns))
+    for field in zones.schema.fields:
+        c = F.col(f"`{field.name}`")
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return total
+
+
+def auto_tile(zones: DataFrame) -> tuple[float, float]:
+    """Base tile sides (x, y) that the zones' extents and density suggest."""
+    return tuple(a.side for a in ZoneStats(zones).axes)
 
 
 class TilePlan:
-    """Tile side per level, shared by the zone and the point side."""
+    """Tile sides per axis and level, shared by the zone and the point side.
+
+    ``fanouts`` holds one fanout per axis; ``levels`` the (x, y) level pairs in
+    use.
+    """
 
-    def __init__(self, tile: float, fanout: int, axis_tiles: int, levels=(0,), n_tiles: int = 0):
-        if tile <= 0 or not math.isfinite(tile):
+    def __init__(self, sides, fanouts, axis_tiles: int, levels=((0, 0),), n_tiles: int = 0):
+        if any(s <= 0 or not math.isfinite(s) for s in sides):
             raise ValueError("tile must be a positive number")
-        if fanout < 2 or axis_tiles < 1:
+        if any(f < 2 for f in fanouts) or axis_tiles < 1:
             raise ValueError("fanout must be >= 2 and axis_tiles >= 1")
-        self.tile = float(tile)
-        self.fanout = int(fanout)
+        self.sides = tuple(map(float, sides))
+        self.fanouts = tuple(map(int, fanouts))
         self.axis_tiles = int(axis_tiles)
-        self.levels = sorted(levels) or [0]
+        self.levels = sorted(tuple(p) for p in levels) or [(0, 0)]
         self.n_tiles = n_tiles
 
-    def side(self, level: int) -> float:
-        return self.tile * float(self.fanout**level)
+    def side(self, axis: int, level: int) -> float:
+        return self.sides[axis] * float(self.fanouts[axis]) ** level
+
+    def side_col(self, axis: int, level_col):
+        # the same doubles as side(), looked up by level
+        out = F.lit(self.sides[axis])
+        for level in range(1, MAX_LEVELS):
+            s = self.side(axis, level)
+            if not math.isfinite(s):
+                break
+            out = F.when(level_col == level, F.lit(s)).otherwise(out)
+        return out
+
+    def level_of(self, axis: int):
+        """Level of a zone on one axis: the lowest that spans <= axis_tiles tiles."""
+        extent = _extent(axis)
+        level = F.lit(None).cast("int")
+        for lv in range(MAX_LEVELS - 1, -1, -1):
+            span = self.side(axis, lv) * self.axis_tiles
+            if math.isfinite(span):
+                level = F.when(extent <= F.lit(span), F.lit(lv)).otherwise(level)
+        return F.when(_bounded(axis), F.coalesce(level, F.lit(UNBOUNDED))).otherwise(F.lit(UNBOUNDED))
+
+    def tile_span(self, axis: int, side):
+        """Tile indexes a zone covers on one axis."""
+        lo, hi = AXES[axis]
+        inside = F.col(f"_l{axis}") != UNBOUNDED
+        zero = F.lit(0).cast("bigint")
+        return tuple(F.when(inside, F.floor(F.when(inside, F.col(c)) / side)).otherwise(zero) for c in (lo, hi))
+
+
+def _fanout(axis: Axis, side: float, fanout: int, axis_tiles: int, max_levels: int) -> int:
+    """The fanout with which ``max_levels`` levels reach the largest extent."""
+    ratio = axis.max_extent / (side * axis_tiles)
+    if ratio <= 1 or not math.isfinite(ratio):
+        return fanout
+    return max(fanout, math.ceil(ratio ** (1 / (max_levels - 1)) * (1 + 1e-9)))
 
-    def side_col(self, level_col):
-        # Math.pow of integers is exact when the result fits a double, so
-        # this is the same double as side(level) on the point side.
-        return F.lit(self.tile) * F.pow(F.lit(float(self.fanout)), level_col)
 
-    def level_of(self):
-        """Level column for a zone: lowest level spanning <= axis_tiles tiles per axis."""
-        span = self.tile * self.axis_tiles
-        raw = F.ceil(F.log(_extent() / F.lit(span)) / F.lit(math.log(self.fanout)))
-        return F.when(_extent() <= F.lit(span), F.lit(0)).otherwise(raw).cast("int")
+def _with_level(zones: DataFrame, plan: TilePlan) -> DataFrame:
+    z = _valid(zones).withColumns({f"_l{i}": plan.level_of(i) for i in (0, 1)})
+    return z.withColumns({f"_s{i}": plan.side_col(i, F.col(f"_l{i}")) for i in (0, 1)})
 
-    def tile_span(self, lo: str, hi: str, side):
-        """Tile indexes covered by [lo, hi] on one axis."""
-        return F.floor(F.col(lo) / side), F.floor(F.col(hi) / side)
 
+def plan_tiles(zones: DataFrame, tile=None, fanout: int = 4, axis_tiles: int = 4, max_levels: int = 6,
+               stats: ZoneStats | None = None) -> TilePlan:
+    """Find the level pairs in use and count the zone tiles (a one-row
+    aggregate, after the one of ``stats``).
 
-def _with_level(zones: DataFrame, plan: TilePlan) -> DataFrame:
-    z = _valid(zones).withColumn("lvl", plan.level_of())
-    return z.withColumn("_side", plan.side_col(F.col("lvl")))
-
-
-def plan_tiles(zones: DataFrame, tile: float | None = None, fanout: int = 4, axis_tiles: int = 4,
-               max_levels: int = 6) -> TilePlan:
-    """Find the levels in use and count the zone tiles (one one-row aggregate,
-    plus one for the base tile when ``tile`` is not given).
-
-    The level set is a handful of small integers whatever the number of
-    zones; the tile count is exact, so it is a proven bound for the
-    broadcast decision.  Every point is probed once per level in use, so
-    when zone sizes span so many orders of magnitude that more than
-    ``max_levels`` levels are needed, the fanout is raised to an integer
-    power of itself and the levels are planned again: fewer, coarser
-    levels, still exact.
+    ``tile`` is a side for both axes or an (x, y) pair.  Every point is probed
+    once per level pair in use, so an axis has at most ``max_levels`` levels:
+    where zone sizes span more orders of magnitude, its fanout is computed from
+    that span.  The tile count is exact, a proven bound for the broadcast
+    decision.
     """
-    tile = auto_tile(zones) if tile is None else float(tile)
-    while True:
-        plan = TilePlan(tile, fanout, axis_tiles)
-        z = _with_level(zones, plan)
-        x0, x1 = plan.tile_span("x1", "x2", F.col("_side"))
-        y0, y1 = plan.tile_span("y1", "y2", F.col("_side"))
-        r = z.agg(
-            F.collect_set("lvl").alias("levels"),
-            F.sum((x1 - x0 + 1) * (y1 - y0 + 1)).alias("n"),
-        ).first()
-        levels = list(r["levels"] or [0])
-        if len(levels) <= max_levels:
-            return TilePlan(tile, fanout, axis_tiles, levels, int(r["n"] or 0))
-        fanout = fanout ** math.ceil((max(levels) + 1) / max_levels)
+    if not 2 <= max_levels <= MAX_LEVELS:
+        raise ValueError(f"max_levels must be 2 to {MAX_LEVELS}")
+    if fanout < 2 or axis_tiles < 1:
+        raise ValueError("fanout must be >= 2 and axis_tiles >= 1")
+    stats = stats or ZoneStats(zones)
+    if tile is None:
+        sides = tuple(a.side for a in stats.axes)
+    else:
+        sides = tuple(tile) if isinstance(tile, (tuple, list)) else (tile, tile)
+        if any(s <= 0 or not math.isfinite(s) for s in sides):
+            raise ValueError("tile must be a positive number")
+        sides = tuple(max(float(s), a.far / MAX_INDEX) for s, a in zip(sides, stats.axes))
+    fanouts = tuple(_fanout(a, s, fanout, axis_tiles, max_levels) for a, s in zip(stats.axes, sides))
+    plan = TilePlan(sides, fanouts, axis_tiles)
+    z = _with_level(zones, plan)
+    (x0, x1), (y0, y1) = (plan.tile_span(i, F.col(f"_s{i}")) for i in (0, 1))
+    r = z.agg(
+        F.collect_set(F.struct("_l0", "_l1")).alias("levels"),
+        F.sum((x1 - x0 + 1).cast("double") * (y1 - y0 + 1)).alias("n"),
+    ).first()
+    return TilePlan(sides, fanouts, axis_tiles, [tuple(p) for p in r["levels"]], int(r["n"] or 0))
+
+
+TILE_KEYS = ("lx", "ly", "tx", "ty")
 
 
 def zone_tiles(zones: DataFrame, plan: TilePlan) -> DataFrame:
-    """Every valid zone exploded into the tiles it covers: ``+ lvl, tx, ty``."""
+    """Every valid zone exploded into the tiles it covers: ``+ lx, ly, tx, ty``."""
     z = _with_level(zones, plan)
-    x0, x1 = plan.tile_span("x1", "x2", F.col("_side"))
-    y0, y1 = plan.tile_span("y1", "y2", F.col("_side"))
+    (x0, x1), (y0, y1) = (plan.tile_span(i, F.col(f"_s{i}")) for i in (0, 1))
     return (
         z.withColumn("tx", F.explode(F.sequence(x0, x1)))
         .withColumn("ty", F.explode(F.sequence(y0, y1)))
-        .drop("_side")
+        .withColumnsRenamed({"_l0": "lx", "_l1": "ly"})
+        .drop("_s0", "_s1")
     )
 
 
 def point_tiles(points: DataFrame, plan: TilePlan, px: str = "px", py: str = "py") -> DataFrame:
-    """Every point with its tile at each level in use: ``+ lvl, tx, ty``."""
-    def key(lv):
-        s = F.lit(plan.side(lv))
-        return F.lit(lv), F.floor(F.col(px) / s), F.floor(F.col(py) / s)
+    """Every point with its tile at each level pair in use: ``+ lx, ly, tx, ty``."""
+    def index(axis: int, level: int, c: str):
+        if level == UNBOUNDED:
+            return F.lit(0).cast("bigint")
+        return F.floor(F.col(c) / F.lit(plan.side(axis, level)))
+
+    def key(pair):
+        return (F.lit(pair[0]), F.lit(pair[1]), index(0, pair[0], px), index(1, pair[1], py))
 
     if len(plan.levels) == 1:
-        lv, tx, ty = key(plan.levels[0])
-        return points.select("*", lv.alias("lvl"), tx.alias("tx"), ty.alias("ty"))
-    keys = F.array(*[F.struct(*(c.alias(n) for c, n in zip(key(lv), ("lvl", "tx", "ty")))) for lv in plan.levels])
-    return points.select("*", F.explode(keys).alias("_k")).select("*", "_k.lvl", "_k.tx", "_k.ty").drop("_k")
+        return points.select("*", *[c.alias(n) for c, n in zip(key(plan.levels[0]), TILE_KEYS)])
+    keys = F.array(*[F.struct(*(c.alias(n) for c, n in zip(key(p), TILE_KEYS))) for p in plan.levels])
+    return points.select("*", F.explode(keys).alias("_k")).select("*", *[f"_k.{n}" for n in TILE_KEYS]).drop("_k")
+
+
+def hot_tiles(tiled_points: DataFrame, hot_share: int, max_salt: int) -> DataFrame:
+    """Tiles holding more than 1 / ``hot_share`` of all point entries, and the
+    number of parts to split each into: at most ``hot_share`` rows, found by one
+    aggregate that is combined in every map task."""
+    counts = tiled_points.groupBy(*TILE_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    limit = counts.select((F.sum("n") / F.lit(float(hot_share))).alias("v")).scalar()
+    parts = F.least(F.lit(max_salt), F.ceil(F.col("n") / limit).cast("int"))
+    return counts.where(F.col("n") > limit).select(*TILE_KEYS, parts.alias("_parts"))
 
 
 # ------------------------------------------------------------------ join
@@ -272,53 +378,67 @@ def zone_point_pairs(
     px: str = "px",
     py: str = "py",
     strategy: str = AUTO,
-    tile: float | None = None,
+    tile=None,
     fanout: int = 4,
     axis_tiles: int = 4,
     max_levels: int = 6,
     nested_loop_max_zones: int = 64,
-    broadcast_max_rows: int = 2_000_000,
-    salt: int = 8,
+    broadcast_max_bytes: int = 64 << 20,
+    salt: int = 64,
+    hot_share: int = 256,
 ) -> DataFrame:
     """Inner join of points with the zones that contain them.
 
     ``points`` needs ``px, py`` (doubles); ``zones`` needs ``x1, y1, x2,
     y2``.  All other columns of both sides are carried through.  Planning
     runs one or two one-row aggregates on the zone side only (count,
-    bounding box, tile levels); the point side stays lazy and is first cut
-    to the zones' bounding box with a filter the scan can push down.
+    bounding box, row width, tile levels); the point side stays lazy and is
+    first cut to the zones' bounding box with a filter the scan can push down.
+
+    In the shuffled join a tile with more than 1 / ``hot_share`` of the points
+    is split into up to ``salt`` parts (``salt=1``: none is).  A point's part is
+    a hash of its own columns, so a task that runs again deals it alike; points
+    equal in every column share a part.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
+    if not 2 <= max_levels <= MAX_LEVELS:
+        raise ValueError(f"max_levels must be 2 to {MAX_LEVELS}")
     pred = _contains(px, py)
     stats = ZoneStats(zones)
     valid = _valid(zones)
     points = points.filter(stats.point_filter(px, py))
 
     if strategy in (AUTO, NESTED_LOOP):
-        if stats.n <= nested_loop_max_zones:
+        if stats.n <= nested_loop_max_zones and stats.n * stats.row_bytes <= broadcast_max_bytes:
             return points.join(F.broadcast(valid), pred, "inner")
         if strategy == NESTED_LOOP:
-            raise ValueError(f"nested_loop needs at most {nested_loop_max_zones} zones")
+            raise ValueError(f"nested_loop needs at most {nested_loop_max_zones} zones and {broadcast_max_bytes} bytes")
 
-    plan = plan_tiles(valid, stats.tile if tile is None else tile, fanout, axis_tiles, max_levels)
+    plan = plan_tiles(valid, tile, fanout, axis_tiles, max_levels, stats)
     zt = zone_tiles(valid, plan)
     pt = point_tiles(points, plan, px, py)
-    keys = ["lvl", "tx", "ty"]
+    keys = list(TILE_KEYS)
 
     if strategy in (AUTO, TILED_BROADCAST):
-        if plan.n_tiles <= broadcast_max_rows:
+        tile_bytes = plan.n_tiles * (stats.row_bytes + 16 * len(keys))
+        if tile_bytes <= broadcast_max_bytes:
             return pt.join(F.broadcast(zt), keys, "inner").filter(pred).drop(*keys)
         if strategy == TILED_BROADCAST:
-            raise ValueError(f"tiled_broadcast needs at most {broadcast_max_rows} zone tiles")
+            raise ValueError(f"tiled_broadcast needs at most {broadcast_max_bytes} bytes, the zone tiles have {tile_bytes:.0f}")
 
     if salt > 1:
-        # Any salt is correct (every zone tile carries all of them).  In batch
-        # the row id keeps it deterministic per input split, so a recomputed
-        # task re-salts alike; streams have no row id and use rand.
-        row = F.rand(17) if pt.isStreaming else F.monotonically_increasing_id()
-        pt = pt.withColumn("_salt", F.pmod(F.xxhash64(F.col(px), F.col(py), row), F.lit(salt)))
-        zt = zt.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+        part = F.xxhash64(*[F.col(f"`{c}`") for c in points.columns])
+        if pt.isStreaming:
+            # a stream cannot count its tiles beforehand: every tile has a few parts
+            parts = F.lit(min(salt, 8))
+            pt = pt.withColumn("_salt", F.pmod(part, parts))
+            zt = zt.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (parts - 1).cast("bigint"))))
+        else:
+            hot = F.broadcast(hot_tiles(pt.select(*keys), hot_share, salt))  # at most hot_share rows
+            parts = F.coalesce("_parts", F.lit(1))
+            pt = pt.join(hot, keys, "left").withColumn("_salt", F.pmod(part, parts)).drop("_parts")
+            zt = zt.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (parts - 1).cast("bigint")))).drop("_parts")
         keys = keys + ["_salt"]
     if strategy == TILED_SHUFFLE:
         # Asked for explicitly: keep the sort-merge join.  Under AUTO, AQE may

@@ -117,9 +117,9 @@ def test_tiled_broadcast_refuses_too_many_tiles(spark):
     z = spark.createDataFrame([(0.0, 0.0, 100.0, 100.0)], "x1 double, y1 double, x2 double, y2 double")
     p = spark.createDataFrame([(0.5, 0.5)], "px double, py double")
     with pytest.raises(ValueError):
-        zone_point_pairs(p, z, strategy=TILED_BROADCAST, tile=1.0, axis_tiles=1000, broadcast_max_rows=100)
+        zone_point_pairs(p, z, strategy=TILED_BROADCAST, tile=1.0, axis_tiles=1000, broadcast_max_bytes=100)
     # the auto path goes to the shuffle join instead
-    assert zone_point_pairs(p, z, tile=1.0, axis_tiles=1000, broadcast_max_rows=100, nested_loop_max_zones=0).count() == 1
+    assert zone_point_pairs(p, z, tile=1.0, axis_tiles=1000, broadcast_max_bytes=100, nested_loop_max_zones=0).count() == 1
 
 
 def test_permissive_text_drops_bad_rows(spark):
@@ -165,7 +165,7 @@ def test_level_count_is_bounded_and_exact(spark):
     pts = [(rnd.uniform(-1, 60), rnd.uniform(-1, 60)) for _ in range(300)] + [(z[0], z[1]) for z in zones]
     z = spark.createDataFrame([(i,) + r for i, r in enumerate(zones)], "zid long, x1 double, y1 double, x2 double, y2 double")
     plan = plan_tiles(z, tile=1e-4, fanout=2, axis_tiles=2, max_levels=4)
-    assert len(plan.levels) <= 4 and plan.fanout > 2
+    assert len(plan.levels) <= 4 and min(plan.fanouts) > 2
     p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "pid long, px double, py double")
     got = sorted((r.zid, r.pid) for r in zone_point_pairs(p, z, strategy=TILED_BROADCAST, tile=1e-4, fanout=2,
                                                           axis_tiles=2).select("zid", "pid").collect())
@@ -195,3 +195,84 @@ def test_one_coordinate_with_a_third_of_all_points(spark, opts):
         if n:
             want[name] = n
     assert got == want
+
+
+INF = float("inf")
+
+
+@pytest.mark.parametrize("copies", [1, 20])
+@pytest.mark.parametrize("opts", [dict(), dict(strategy=TILED_BROADCAST), dict(strategy=TILED_SHUFFLE, salt=4)], ids=["auto", "broadcast", "shuffle"])
+def test_unbounded_zones_join_at_any_zone_count(spark, opts, copies):
+    rnd = random.Random(21)
+    zones = [(-INF, -INF, INF, INF), (-INF, 2.0, 5.0, INF), (3.0, -INF, 4.0, INF), (-1.7e308, 0.0, 1.7e308, 1.0)]
+    zones += [(float(i), float(i), i + 2.0, i + 3.0) for i in range(5)] * copies
+    pts = [(rnd.uniform(-3, 9), rnd.uniform(-3, 9)) for _ in range(200)]
+    z = spark.createDataFrame([(i,) + r for i, r in enumerate(zones)], "zid long, x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "pid long, px double, py double")
+    got = sorted((r.zid, r.pid) for r in zone_point_pairs(p, z, **opts).select("zid", "pid").collect())
+    assert got == brute_pairs(pts, zones)
+
+
+@pytest.mark.parametrize("levels", [0, 1])
+def test_too_few_levels_is_an_error(spark, levels):
+    z = spark.createDataFrame([(0.0, 0.0, 1.0, 1.0), (0.0, 0.0, 9.0, 9.0)], "x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame([(0.5, 0.5)], "px double, py double")
+    with pytest.raises(ValueError, match="max_levels"):
+        zone_point_pairs(p, z, max_levels=levels, nested_loop_max_zones=0)
+
+
+def test_extreme_size_spans_are_exact(spark):
+    zones = [(0.0, 0.0, 1e-20, 1e-20), (0.0, 0.0, 1e19, 1e19), (5.0, 5.0, 5.0, 5.0), (1e18, 1e18, 2e18, 2e18), (-1.0, -1.0, 3.0, 3.0)]
+    pts = [(0.0, 0.0), (5e-21, 5e-21), (5.0, 5.0), (1.5e18, 1.5e18), (2.0, 2.0), (-0.5, 1e19)]
+    z = spark.createDataFrame([(i,) + r for i, r in enumerate(zones)], "zid long, x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "pid long, px double, py double")
+    for opts in (dict(strategy=TILED_BROADCAST), dict(strategy=TILED_SHUFFLE)):
+        got = sorted((r.zid, r.pid) for r in zone_point_pairs(p, z, **opts).select("zid", "pid").collect())
+        assert got == brute_pairs(pts, zones)
+
+
+def test_point_like_zones_spread_over_many_tiles(spark):
+    z = spark.range(20000).select((F.rand(1) * 0.5 - 74).alias("x1"), (F.rand(2) * 0.4 + 40).alias("y1")).withColumns({"x2": F.col("x1"), "y2": F.col("y1")})
+    z = spark.createDataFrame(z.collect(), z.schema)
+    tiles = zone_tiles(z, plan_tiles(z)).groupBy("tx", "ty").count()
+    assert tiles.count() > 2000 and tiles.agg(F.max("count")).first()[0] < 50
+
+
+def test_thin_zones_make_few_candidates(spark):
+    """Zones of 1 x 200: candidates stay within a small factor of the matches."""
+    from spacetime.operators.zones import TILE_KEYS, point_tiles
+
+    rnd = random.Random(31)
+    zones = [(x, y, x + 1.0, y + 200.0) for x, y in ((rnd.uniform(0, 50), rnd.uniform(0, 100000)) for _ in range(2000))]
+    pts = [(rnd.uniform(0, 50), rnd.uniform(0, 100000)) for _ in range(20000)]
+    z = spark.createDataFrame(zones, "x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame(pts, "px double, py double")
+    plan = plan_tiles(z)
+    candidates = point_tiles(p, plan).join(zone_tiles(z, plan), list(TILE_KEYS)).count()
+    assert candidates <= 6 * max(1000, zone_point_pairs(p, z).count())
+
+
+def test_wide_zones_are_not_broadcast(spark):
+    z = spark.range(200).select(F.col("id").alias("zid"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), (F.col("id") + 1.0).alias("x2"), F.lit(5.0).alias("y2"), F.repeat(F.lit("x"), 10_000).alias("payload"))
+    p = spark.createDataFrame([(0.5, 0.5), (100.5, 1.0)], "px double, py double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        wide = zone_point_pairs(p, z, broadcast_max_bytes=1 << 20, salt=1)
+        narrow = zone_point_pairs(p, z.drop("payload"), broadcast_max_bytes=1 << 20, salt=1)
+        assert "Broadcast" not in wide._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in narrow._jdf.queryExecution().executedPlan().toString()
+        assert wide.count() == narrow.count() == 300
+        assert wide.agg(F.min(F.length("payload"))).first()[0] == 10_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_tile_with_a_third_of_all_points(spark):
+    rnd = random.Random(5)
+    zones = [(float(x), float(y), x + 10.0, y + 10.0) for x in range(0, 100, 10) for y in range(0, 100, 10)]
+    pts = [(50 + rnd.random(), 50 + rnd.random()) for _ in range(1000)] + [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(2000)]
+    z = spark.createDataFrame([(i,) + r for i, r in enumerate(zones)], "zid long, x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "pid long, px double, py double")
+    got = sorted((r.zid, r.pid) for r in zone_point_pairs(p, z, strategy=TILED_SHUFFLE).select("zid", "pid").collect())
+    assert got == brute_pairs(pts, zones)
