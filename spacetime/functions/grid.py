@@ -125,8 +125,12 @@ class GridSpec:
 
 
 def cell_coord(coord, step: float) -> Column:
-    """``floor(coord / step)`` with a DOUBLE step; result is bigint."""
-    return F.floor(as_col(coord) / F.lit(float(step)))
+    """``floor(coord / step)`` with a DOUBLE step; result is bigint.
+
+    NaN lies in no cell: the result is NULL, as for a NULL coordinate.
+    """
+    c = as_col(coord)
+    return F.when(~F.isnan(c), F.floor(c / F.lit(float(step))))
 
 
 def cell_x(px, spec: GridSpec) -> Column:
@@ -140,11 +144,13 @@ def cell_y(py, spec: GridSpec) -> Column:
 def parse_time(text, mode: str = "strict", fmt: str = TIME_FORMAT) -> Column:
     """Pickup time text -> ``timestamp_ntz`` (no session time zone involved).
 
-    strict: malformed or NULL text fails the job (ANSI); permissive: NULL.
+    strict: malformed or NULL text fails the job, in ANSI mode or not;
+    permissive: NULL.
     """
     if mode == "strict":
         t = as_col(text)
-        parsed = F.to_timestamp_ntz(t, F.lit(fmt))
+        malformed = F.raise_error(F.concat(F.lit("malformed time: "), t))
+        parsed = F.coalesce(F.to_timestamp_ntz(t, F.lit(fmt)), malformed)
         return F.when(t.isNotNull(), parsed).otherwise(F.raise_error(F.lit("NULL time text")))
     # try_to_timestamp reads wall-clock time in the session zone; casting
     # back to NTZ returns the same wall clock, so the day is unchanged.

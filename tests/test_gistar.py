@@ -226,3 +226,44 @@ def test_hot_cell_holding_a_third_of_all_points(spark):
     assert set(got) == {tuple(float(v) for v in k) for k in want}
     for k, v in want.items():
         assert got[tuple(float(c) for c in k)] == pytest.approx(v, rel=1e-9)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_moments_do_not_overflow(spark, ansi):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from spacetime.functions.grid import GridSpec
+    from spacetime.operators.cells import grid_totals
+    from spacetime.operators.gistar import score_cells
+
+    spec = GridSpec.default()
+    one = spark.createDataFrame([(spec.min_x + 3, spec.min_y + 3, 5, 4_000_000_000), (spec.min_x + 9, spec.min_y + 9, 9, 1)], "x long, y long, z int, n long")
+    xs = spark.range(spec.min_x, spec.max_x + 1).toDF("x")
+    full = xs.crossJoin(spark.range(spec.min_y, spec.max_y + 1).toDF("y")).crossJoin(spark.range(spec.min_z, spec.max_z + 1).select(F.col("id").cast("int").alias("z"))).withColumn("n", F.lit(10_000_000) + F.col("x") % 2)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        assert grid_totals(one, spec).first().sum_sq == float(4_000_000_000**2 + 1)
+        assert grid_totals(full, spec).first().sum_sq > 1e19
+        for counts in (one, full):
+            assert all(r.zscore is not None and math.isfinite(r.zscore) for r in score_cells(counts, spec).collect())
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_nan_lies_in_no_cell_on_both_paths(spark):
+    from spacetime.functions.grid import GridSpec
+    from spacetime.operators.cells import assign_cells, cell_counts
+    from spacetime.operators.gistar import hot_cells
+
+    spec = GridSpec(0, 4, 0, 4, 1, 31, step_x=1.0, step_y=1.0)
+    pts = spark.sql("SELECT double(px) px, double(py) py, timestamp_ntz'2009-01-05 00:00:00' t FROM VALUES ('0.5', '1.5'), ('NaN', '1.5'), ('0.5', 'NaN'), (NULL, '1.0') v(px, py)")
+    for clip in (False, True):
+        assert [r.n for r in cell_counts(assign_cells(pts, spec), spec, clip=clip).collect()] == [1]
+        assert len(hot_cells(pts, spec, clip=clip).collect()) == 1
+    from spacetime.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    assert tuple(spark.range(1).selectExpr("CalculateX('(NaN,1)') AS x", "CalculateY('(1,NaN)') AS y").first()) == (None, None)
