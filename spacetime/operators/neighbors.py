@@ -56,7 +56,7 @@ def _scatter(counts: DataFrame, spec: GridSpec) -> DataFrame:
 DEFAULT_BLOCK = 16
 
 
-def colocate_blocks(counts: DataFrame, block: int) -> DataFrame:
+def colocate_blocks(counts: DataFrame, block: int, partitions: int | None = None) -> DataFrame:
     """Hash-partition cells by their ``block^3`` spatial block.
 
     Neighbouring cells then sit in the same task, so the map-side partial
@@ -64,31 +64,29 @@ def colocate_blocks(counts: DataFrame, block: int) -> DataFrame:
     shuffle: the scatter shuffle carries about ``(block+2)^3 / block^3`` rows
     per populated cell (1.4 for 16) instead of 27.  The exchange itself moves
     one row per populated cell, and a block holds at most ``block^3`` cells,
-    so no partition can become hot.
+    so no partition can become hot.  ``partitions`` raises the number of
+    partitions above ``spark.sql.shuffle.partitions``.
     """
     b = F.lit(float(block))
     # An explicit partition count: AQE would size these partitions by their
     # (small) input bytes and may merge them into a few tasks, but each row
-    # fans out 27-fold right after, so this CPU-bound stage is spread over
-    # all the cores the application has (default parallelism).
-    spark = counts.sparkSession
-    try:
-        parts = spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on this client
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # fans out 27-fold right after.  The count follows the session's shuffle
+    # partitions, never the cores that happen to be there while planning.
+    parts = max(partitions or 1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return counts.repartition(parts, F.floor(F.col("x") / b), F.floor(F.col("y") / b), F.floor(F.col("z") / b))
 
 
-def neighbor_sums(counts: DataFrame, spec: GridSpec, block: int | None = DEFAULT_BLOCK) -> DataFrame:
+def neighbor_sums(counts: DataFrame, spec: GridSpec, block: int | None = DEFAULT_BLOCK,
+                  partitions: int | None = None) -> DataFrame:
     """Per populated in-grid cell: ``x, y, z, n, sum1, w``.
 
     ``sum1`` = counts of the cell and its populated in-grid neighbours,
     ``w``    = in-grid neighbourhood slots, populated or not (closed form).
-    ``block`` co-locates neighbours first (see :func:`colocate_blocks`);
-    ``None`` scatters straight from the counts.
+    ``block`` co-locates neighbours first, in ``partitions`` (see
+    :func:`colocate_blocks`); ``None`` scatters straight from the counts.
     """
     if block:
-        counts = colocate_blocks(counts, block)
+        counts = colocate_blocks(counts, block, partitions)
     gathered = (
         _scatter(counts, spec)
         .groupBy("x", "y", "z")
