@@ -15,9 +15,9 @@ Text formats:
 
 ``mode`` chooses how malformed text behaves:
 
-* ``"strict"`` (default) -- ``cast``: under ANSI mode (Spark 4 default) a
-  malformed number or a missing element fails the job, as the original
-  application did.
+* ``"strict"`` (default) -- a malformed number or a missing element fails
+  the job, as the original application did, in every session (ANSI mode or
+  not).
 * ``"permissive"`` -- ``try_cast`` / ``try_element_at``: malformed values
   become NULL; callers drop the NULL rows.
 """
@@ -50,7 +50,12 @@ def strip_parens(text) -> Column:
 
 
 def to_double(c: Column, mode: str) -> Column:
-    return c.cast("double") if mode == STRICT else c.try_cast("double")
+    """Text as a double.  Malformed text is NULL in permissive mode and fails
+    the job in strict mode, whether or not the session runs in ANSI mode."""
+    value = c.try_cast("double")
+    if mode == STRICT:
+        return F.coalesce(value, F.raise_error(F.concat(F.lit("malformed number: "), c)))
+    return value
 
 
 def nth_field(text, index0: int, mode: str) -> Column:

@@ -72,3 +72,26 @@ def test_contains_closed_edges(spark, px, py, expected):
 def test_reversed_corners_contain_nothing(spark):
     c = contains_text(F.lit("10,10,0,0"), F.lit("(5,5)"))
     assert one(spark, c.alias("c"))["c"] is False
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_means_strict_in_every_session(spark, ansi):
+    from spacetime.functions.grid import parse_time
+    from spacetime.functions.sql import register_sql_functions
+    from spacetime.operators.zones import points_from_text, zones_from_text
+
+    register_sql_functions(spark)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        bad = spark.createDataFrame([("(abc,1)", "1,2,x,4", "2009-13-45 00:00:00")], "p string, r string, t string")
+        for df in (points_from_text(bad, "p"), zones_from_text(bad, "r"), bad.select(parse_time("t"))):
+            with pytest.raises(Exception):
+                df.collect()
+        for sql in ("ST_Contains('1,2,x,4', '(1,3)')", "CalculateX('(abc,1)')", "CalculateY('(1,abc)')", "CalculateZ('2009-13-45 00:00:00')"):
+            with pytest.raises(Exception):
+                spark.range(1).selectExpr(sql).collect()
+        good = spark.range(1).selectExpr("ST_Contains('0,0,2,2', '(1,1)') AS a", "CalculateX('(0.055,1)') AS x", "CalculateZ('2009-01-15 00:00:00') AS z", "spacetime_strip_parens('((a),b)') AS s").first()
+        assert tuple(good) == (True, 5, 15, "a,b")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
