@@ -11,16 +11,19 @@
   point, so every populated cell is re-scored from the counts, never from
   the points.
 
-Results are written as parquet tables (overwrite per micro-batch) and
-progress is checkpointed under ``spark.checkpoint.dir``, so a restarted
-query resumes where it stopped.
+Every micro-batch writes a version of the result of its own and then publishes
+its number, so a reader (:func:`read_latest`) always finds a whole version;
+the last ``KEEP_VERSIONS`` stay.  Progress is checkpointed under
+``spark.checkpoint.dir``, so a restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spacetime.functions.geometry import STRICT
@@ -47,9 +50,15 @@ def read_points_stream(spark: SparkSession, path: str, mode: str = STRICT,
 
 def read_parquet_stream(spark: SparkSession, directory: str, file_glob: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of ``directory`` matching ``file_glob`` as a stream."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(directory).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """The parquet table ``directory/file_glob`` as a stream: files of that
+    name or pattern, or the part files of a folder of that name."""
+    found = spark.read.parquet(f"{directory.rstrip('/')}/{file_glob}")
+    folders = {f.rsplit("/", 2)[-2] for f in found.inputFiles()}
+    r = spark.readStream.schema(found.schema)
+    if folders == {file_glob}:
+        directory = f"{directory.rstrip('/')}/{file_glob}"
+    else:
+        r = r.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(directory)
@@ -82,13 +91,49 @@ def stream_location(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"{base}/out", f"{base}/checkpoint"
 
 
-def start_zone_counts(points: DataFrame, zones: DataFrame, out_path: str, checkpoint: str,
-                      trigger: dict | None = None, **join_options) -> StreamingQuery:
-    """Zone counts, complete mode; each micro-batch rewrites ``out_path`` sorted by text."""
+KEEP_VERSIONS = 3
+
+
+def publish(result: DataFrame, out_path: str, batch_id: int) -> None:
+    """Write version ``batch_id`` of a result, then make it the latest.  A
+    batch that runs again writes its version again."""
+    spark = result.sparkSession
+    result.write.mode("overwrite").parquet(f"{out_path}/version={batch_id}")
+    spark.createDataFrame([(batch_id,)], "version long").coalesce(1).write.mode("append").parquet(f"{out_path}/published")
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{out_path}/version={batch_id - KEEP_VERSIONS}")
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
+def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
+    """The latest published version of a stream's result; ``ValueError`` if
+    nothing was published yet."""
+    try:
+        published = spark.read.schema("version long").parquet(f"{out_path}/published")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ValueError(f"no output published under {out_path} (no input files?)") from e
+    return spark.read.parquet(f"{out_path}/version={published.agg(F.max('version')).first()[0]}")
+
+
+def _publishing(make, out_path: str):
+    """A foreachBatch function: the micro-batch is kept while ``make`` reads it,
+    however often, so that its state is restored and saved once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.orderBy("rectangle").write.mode("overwrite").parquet(out_path)
+        batch.persist()
+        try:
+            publish(make(batch), out_path, batch_id)
+        finally:
+            batch.unpersist()
 
+    return write
+
+
+def start_zone_counts(points: DataFrame, zones: DataFrame, out_path: str, checkpoint: str,
+                      trigger: dict | None = None, **join_options) -> StreamingQuery:
+    """Zone counts, complete mode; each micro-batch publishes a version sorted by text."""
+    write = _publishing(lambda batch: batch.orderBy("rectangle"), out_path)
     counts = zone_counts_stream(points, zones, **join_options)
     w = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -98,23 +143,25 @@ def start_hot_cells(points: DataFrame, spec: GridSpec, out_path: str, checkpoint
                     with_score: bool = False, clip: bool = False, trigger: dict | None = None,
                     x: str = "px", y: str = "py", t: str = "t") -> StreamingQuery:
     """Top-k Gi* cells, re-ranked from the full count state every micro-batch."""
-
-    def write(counts: DataFrame, batch_id: int) -> None:
-        top_cells(score_cells(counts, spec), k, with_score).write.mode("overwrite").parquet(out_path)
-
+    write = _publishing(lambda batch: top_cells(score_cells(batch, spec), k, with_score), out_path)
     counts = cell_counts_stream(points, spec, x, y, t, clip)
     w = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def run_to_table(spark: SparkSession, start, name: str, timeout_s: float | None = None) -> DataFrame:
-    """Start a stream on everything available, wait for it, read its table back."""
+    """Start a stream on everything available, wait for it, read its table back.
+
+    If it is not through after ``timeout_s`` seconds it is stopped and
+    ``TimeoutError`` is raised: what it has by then is not the whole result.
+    """
     out, ckpt = stream_location(spark, name)
     q = start(out, ckpt)
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream {name!r} was not through after {timeout_s} s")
     if q.exception() is not None:
         raise q.exception()
-    try:
-        return spark.read.parquet(out)
-    except Exception as e:  # nothing written: the stream saw no input
-        raise ValueError(f"stream {name!r} wrote no output (no input files?)") from e
+    return read_latest(spark, out)
