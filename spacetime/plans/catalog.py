@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spacetime.functions.geometry import contains_text, point_text
-from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, grid_point_filter, in_grid, neighbor_weight
-from spacetime.functions.sql import register_sql_functions
+from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, grid_point_filter, in_grid, is_adjacent, neighbor_weight
+from spacetime.functions.sql import register_sql_functions, zone_join_view
 from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.gistar import hot_cells, score_cells
 from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
@@ -103,6 +103,43 @@ def q_hot_zones_text(spark, d):
     return hot_zones(pts, zones)
 
 
+def _many_zones(nz: DataFrame) -> DataFrame:
+    """More than 64 zones: the nation zones, copies shifted by half a zone, and
+    copies without a left, upper or any edge."""
+    shifted = nz.select("rectangle", *[(F.col(c) + s).alias(c) for c, s in (("x1", 6.0), ("y1", 12000.0), ("x2", 6.0), ("y2", 12000.0))])
+    inf = F.lit(float("inf"))
+    return (
+        nz.unionAll(shifted)
+        .unionAll(nz.withColumn("x1", -inf))
+        .unionAll(nz.withColumn("y2", inf))
+        .unionAll(nz.where("x1 = 0 AND y1 = 0").withColumns({"x1": -inf, "y1": -inf, "x2": inf, "y2": inf}))
+    )
+
+
+def q_hot_zones_unbounded(spark, d):
+    return hot_zones(lineitem_points(spark, d), _many_zones(nation_zones(spark, d)))
+
+
+def q_hot_zones_sql(spark, d):
+    """The zone count in SQL over two text views, joined by tiles."""
+    points, rects, pairs = _view_name("point_text"), _view_name("rectangle_text"), _view_name("zone_pairs")
+    lineitem_points(spark, d).select(point_text("px", "py").alias("point")).createOrReplaceTempView(points)
+    nation_zones(spark, d).select("rectangle").createOrReplaceTempView(rects)
+    zone_join_view(spark, points, rects, pairs, strategy="tiled_broadcast")
+    return spark.sql(f"SELECT rectangle, COUNT(rectangle) AS value FROM {pairs} GROUP BY rectangle ORDER BY rectangle")
+
+
+def q_adjacent_flags(spark, d):
+    """``is_adjacent`` of every populated cell and the cells up to two steps
+    away on x and y and one on z, in the grid or not."""
+    step = lambda c, lo, hi: F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(c)
+    cells = _ev_counts(spark, d).select("x", "y", "z")
+    near = cells.select("*", step("dx", -2, 2)).select("*", step("dy", 0, 2)).select("*", step("dz", 0, 1))
+    to = [(F.col(c) + F.col(f"d{c}")).alias(f"n{c}") for c in ("x", "y", "z")]
+    near = near.select("x", "y", "z", *to)
+    return near.withColumn("adjacent", is_adjacent("x", "y", "z", "nx", "ny", "nz", EV_GRID))
+
+
 def q_cell_assign(spark, d):
     return _ev_cells(spark, d)
 
@@ -238,6 +275,9 @@ QUERIES: dict[str, Query] = {
     "hot_zones_shuffle": q_hot_zones_shuffle,
     "hot_zones_duplicates": q_hot_zones_duplicates,
     "hot_zones_text": q_hot_zones_text,
+    "hot_zones_unbounded": q_hot_zones_unbounded,
+    "hot_zones_sql": q_hot_zones_sql,
+    "adjacent_flags": q_adjacent_flags,
     "cell_assign": q_cell_assign,
     "cell_assign_day_of_year": q_cell_assign_day_of_year,
     "cell_counts_events": q_cell_counts_events,
@@ -326,11 +366,11 @@ def _totals_sql(counts_sql: str, g: GridSpec) -> str:
     n = _dbl(g.num_cells)
     return f"""
 SELECT n_points, n_cells, sum_sq, mean,
-       CASE WHEN CAST(sum_sq AS DOUBLE) / {n} - mean * mean >= 0
-            THEN sqrt(CAST(sum_sq AS DOUBLE) / {n} - mean * mean) END AS s
+       CASE WHEN sum_sq / {n} - mean * mean >= 0
+            THEN sqrt(sum_sq / {n} - mean * mean) END AS s
 FROM (SELECT n_points, n_cells, sum_sq, CAST(n_points AS DOUBLE) / {n} AS mean
       FROM (SELECT CAST(SUM(n) AS BIGINT) AS n_points, COUNT(*) AS n_cells,
-                   CAST(SUM(n * n) AS BIGINT) AS sum_sq FROM ({counts_sql}) c0) t0) t1
+                   CAST(SUM(CAST(n AS HUGEINT) * n) AS DOUBLE) AS sum_sq FROM ({counts_sql}) c0) t0) t1
 """
 
 
@@ -402,6 +442,31 @@ GROUP BY rectangle ORDER BY rectangle
 """
 
 
+def _many_zones_sql() -> str:
+    inf = "CAST('Infinity' AS DOUBLE)"
+    nz = f"({NATION_ZONES})"
+    return f"""
+SELECT rectangle, x1, y1, x2, y2 FROM {nz} a
+UNION ALL SELECT rectangle, x1 + 6.0, y1 + 12000.0, x2 + 6.0, y2 + 12000.0 FROM {nz} b
+UNION ALL SELECT rectangle, -{inf}, y1, x2, y2 FROM {nz} c
+UNION ALL SELECT rectangle, x1, y1, x2, {inf} FROM {nz} e
+UNION ALL SELECT rectangle, -{inf}, -{inf}, {inf}, {inf} FROM {nz} f WHERE x1 = 0 AND y1 = 0
+"""
+
+
+def _adjacent_flags_sql() -> str:
+    g = EV_GRID
+    return f"""
+SELECT x, y, z, nx, ny, nz,
+       ({_in_grid_sql(g)}) AND nx BETWEEN {g.min_x} AND {g.max_x} AND ny BETWEEN {g.min_y} AND {g.max_y}
+       AND nz BETWEEN {g.min_z} AND {g.max_z}
+       AND abs(x - nx) <= 1 AND abs(y - ny) <= 1 AND abs(z - nz) <= 1 AS adjacent
+FROM (SELECT x, y, z, x + dx.d AS nx, y + dy.d AS ny, CAST(z + dz.d AS INTEGER) AS nz
+      FROM ({_ev_counts_sql()}) c, (VALUES (-2), (-1), (0), (1), (2)) dx(d), (VALUES (0), (1), (2)) dy(d),
+           (VALUES (0), (1)) dz(d)) p
+"""
+
+
 def _ev_counts_sql() -> str:
     return _counts_sql(EV_POINTS, EV_GRID)
 
@@ -449,6 +514,9 @@ ORACLE_SQL: dict[str, str] = {
     "hot_zones_shuffle": _hot_zones_sql(),
     "hot_zones_duplicates": _hot_zones_sql(f"SELECT * FROM ({NATION_ZONES}) a UNION ALL SELECT * FROM ({NATION_ZONES}) b"),
     "hot_zones_text": _hot_zones_sql(),
+    "hot_zones_unbounded": _hot_zones_sql(_many_zones_sql()),
+    "hot_zones_sql": _hot_zones_sql(),
+    "adjacent_flags": _adjacent_flags_sql(),
     "cell_assign": _cells_sql(EV_POINTS, EV_GRID, "event_id"),
     "cell_assign_day_of_year": _cells_sql(LI_POINTS, LI_DOY_GRID, "l_orderkey, l_linenumber"),
     "cell_counts_events": _ev_counts_sql(),

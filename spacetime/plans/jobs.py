@@ -7,8 +7,9 @@ case-insensitive; a wrong number of paths or an unknown name raises before
 anything of that query runs (earlier queries stay written).
 
 Each query is one lazy plan and the CSV write runs it; the zone query also
-runs small planning actions over the rectangle file only (row count for the
-single-file decision, zone statistics for the join).
+runs a planning action over the rectangle file (zone statistics for the join).
+The layout of a report does not depend on its size: part files in the report's
+order, or one file if the caller asks for it.
 """
 
 from __future__ import annotations
@@ -45,46 +46,39 @@ def hot_cell_analysis(spark: SparkSession, point_path: str, spec: GridSpec | Non
     return hot_cells(pts, spec, k=k, clip=clip)
 
 
-# A single-file report funnels every row through one task; the zone report
-# has at most one row per rectangle, so it is written as one file only when
-# the rectangle file is known to be this small.
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
-def _zone_report_fits_one_file(spark: SparkSession, point_path: str, rectangle_path: str) -> bool:
-    rects = read_rectangles_csv(spark, rectangle_path)
-    return rects.limit(SINGLE_FILE_MAX_ROWS + 1).count() <= SINGLE_FILE_MAX_ROWS
-
-
 @dataclass(frozen=True)
 class _Query:
     arity: int
     run: Callable[..., DataFrame]
-    single_file: Callable[..., bool]
 
 
 # The two query names of the batch interface.
 QUERIES = {
-    "hotzoneanalysis": _Query(2, hot_zone_analysis, _zone_report_fits_one_file),
-    "hotcellanalysis": _Query(1, hot_cell_analysis, lambda spark, *paths: True),  # k rows
+    "hotzoneanalysis": _Query(2, hot_zone_analysis),
+    "hotcellanalysis": _Query(1, hot_cell_analysis),
 }
 
 
-def run_query(spark: SparkSession, name: str, params: Sequence[str], output_path: str) -> None:
+def run_query(spark: SparkSession, name: str, params: Sequence[str], output_path: str, single_file: bool = False) -> None:
+    """Write one query's report.  By default it is written in parallel, the
+    part files in the report's order; ``single_file`` sends all its rows through
+    one task."""
     q = QUERIES.get(name.lower())
     if q is None:
         raise KeyError(f"unknown query {name!r}; known: {sorted(QUERIES)}")
     if len(params) != q.arity:
         raise ValueError(f"query {name} needs {q.arity} path(s), got {len(params)}")
-    write_report(q.run(spark, *params), output_path, single_file=q.single_file(spark, *params))
+    write_report(q.run(spark, *params), output_path, single_file=single_file)
 
 
-def run_batch(spark: SparkSession, output_prefix: str, queries: Sequence[tuple[str, Sequence[str]]]) -> list[str]:
-    """Run the queries in order; return the output paths written."""
+def run_batch(spark: SparkSession, output_prefix: str, queries: Sequence[tuple[str, Sequence[str]]],
+              single_file: bool = False) -> list[str]:
+    """Run the queries in order; return the output paths written.
+    ``single_file`` holds for every report (see :func:`run_query`)."""
     written = []
     for k, (name, params) in enumerate(queries):
         path = f"{output_prefix}{k}"
-        run_query(spark, name, list(params), path)
+        run_query(spark, name, list(params), path, single_file)
         written.append(path)
     return written
 

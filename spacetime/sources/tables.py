@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spacetime.functions.geometry import rectangle_text
 
@@ -40,20 +39,9 @@ LONLAT_Y0 = 40.5
 LONLAT_Y_DIV = 365.0
 
 
-_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table.  Its schema is read once per session and passed
-    explicitly afterwards, so later reads skip the footer-reading job."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A benchmark table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events_points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,16 +128,54 @@ def test_cli_end_to_end(scratch):
     assert len(read_csv_dir(prefix + "1")) == 3
 
 
-def test_large_zone_report_is_not_forced_into_one_task(spark, scratch, monkeypatch):
-    import spacetime.plans.jobs as jobs
-
-    monkeypatch.setattr(jobs, "SINGLE_FILE_MAX_ROWS", 2)
+@pytest.mark.parametrize("single_file", [False, True])
+def test_report_layout_is_the_callers_choice(spark, scratch, single_file):
     p = write_lines(os.path.join(scratch, "pts.csv"), POINT_ROWS)
-    r = write_lines(os.path.join(scratch, "rects.tsv"), RECT_ROWS)  # 4 rows > 2
-    prefix = os.path.join(scratch, "big")
-    run_batch(spark, prefix, [("hotzoneanalysis", [p, r])])
-    rows = read_csv_dir(prefix + "0")
-    assert sorted(rows) == [["-74.0,40.7,-73.9,40.8", "2"], ["-74.5,40.5,-74.4,40.6", "3"]]
+    r = write_lines(os.path.join(scratch, "rects.tsv"), RECT_ROWS)
+    prefix = os.path.join(scratch, "report")
+    run_batch(spark, prefix, [("hotzoneanalysis", [p, r])], single_file=single_file)
+    parts = sorted(f for f in os.listdir(prefix + "0") if f.startswith("part-"))
+    assert not single_file or len(parts) == 1
+    assert read_csv_dir(prefix + "0") == [["-74.0,40.7,-73.9,40.8", "2"], ["-74.5,40.5,-74.4,40.6", "3"]]
+
+
+def test_cli_single_file_flag():
+    from spacetime.plans.cli import parse_args
+
+    assert parse_args(["--output", "o", "--single-file", "--query", "hotcellanalysis", "p.csv"]).single_file
+    assert not parse_args(["--output", "o", "--query", "hotcellanalysis", "p.csv"]).single_file
+
+
+def test_batch_reports_equal_duckdb_on_the_same_files(spark, scratch):
+    """Whole benchmark tables written in the two file formats; the reports
+    against DuckDB reading the same files."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from spacetime.functions.geometry import point_text
+    from spacetime.sources.tables import events_lonlat_points
+
+    sf = "/root/testdata/sf0.001"
+    points, rects = os.path.join(scratch, "points"), os.path.join(scratch, "rects")
+    ev = events_lonlat_points(spark, sf).select(
+        F.col("event_id").cast("string").alias("id"), F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("t"),
+        *[F.lit("f").alias(f"f{i}") for i in range(3)], point_text("px", "py").alias("p"))
+    ev.write.option("sep", ";").option("quoteAll", "true").csv(points)
+    spark.range(40).select(F.concat_ws(",", *[(F.lit(b) + F.col("id") * s).cast("string") for b, s in ((-74.5, 0.01), (40.5, 0.005), (-74.2, 0.01), (40.7, 0.005))])).write.option("sep", "\t").csv(rects)
+    prefix = os.path.join(scratch, "out")
+    run_batch(spark, prefix, [("hotzoneanalysis", [points, rects]), ("hotcellanalysis", [points])], single_file=True)
+    con = duckdb.connect()
+    con.execute(f"""CREATE VIEW p AS SELECT CAST(split_part(q, ',', 1) AS DOUBLE) AS px, CAST(split_part(q, ',', 2) AS DOUBLE) AS py,
+        CAST(t AS TIMESTAMP) AS t FROM (SELECT replace(replace(column5, '(', ''), ')', '') AS q, column1 AS t
+        FROM read_csv('{points}/*.csv', delim=';', header=false, all_varchar=true, names=['column0','column1','column2','column3','column4','column5']))""")
+    con.execute(f"""CREATE VIEW r AS SELECT rect, [CAST(split_part(rect, ',', i) AS DOUBLE) FOR i IN [1, 2, 3, 4]] AS c
+        FROM read_csv('{rects}/*.csv', delim='\t', header=false, all_varchar=true, names=['rect'])""")
+    zones = con.sql("SELECT rect, count(*) FROM r JOIN p ON px BETWEEN c[1] AND c[3] AND py BETWEEN c[2] AND c[4] GROUP BY 1 ORDER BY 1").fetchall()
+    assert [(a, int(b)) for a, b in read_csv_dir(prefix + "0")] == zones and zones
+    from spacetime.plans import catalog
+
+    sql = catalog._top_sql("SELECT px, py, t FROM p", catalog.GridSpec.default())
+    assert [tuple(map(float, r)) for r in read_csv_dir(prefix + "1")] == con.sql(sql).fetchall()
 
 
 def test_short_row_fails_strict_and_is_dropped_permissive(spark, scratch):
