@@ -8,8 +8,9 @@ A text is lower-cased; runs of non-letters become one space; its 1- to
 frequencies are counted over all training documents.  The weights are fitted on
 a bounded sample (``sample_docs``, about as many of each label as there are
 labels to go round, chosen by a hash of the id); every fifth of the sample is
-kept from the fit and sets the temperature.  The driver receives sparse vectors
-of the sample, never texts, and a table of ``2 ** bits`` frequencies.
+kept from the fit and sets the temperature.  The sample is stored as sparse
+vectors, which the learner goes through in order of their hash; the driver also
+receives a table of ``2 ** bits`` frequencies, never texts.
 
 Edge cases: null text, or text without a letter, is ``und`` with score 0; a null
 label is never learned; with no label at all everything is ``und``; repeated
@@ -19,7 +20,7 @@ rows are predicted each; very long texts are counted in blocks, whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents, map_batches
+from spacetime.llm.common import documents, map_batches, stored
 
 BITS = 16
 MAX_GRAM = 3
@@ -93,22 +94,21 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, labels: int, columns: int, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> np.ndarray:
+def ftrl(rows: Callable[[], Iterable[tuple[np.ndarray, np.ndarray, int]]], labels: int, columns: int, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> np.ndarray:
     """Weights (columns x labels) by per-coordinate follow-the-regularised-
-    leader; coordinates whose sum stays within ``l1`` are exactly zero."""
+    leader over ``rows()`` (columns, values, label), gone through ``epochs``
+    times; coordinates whose sum stays within ``l1`` are exactly zero."""
     z, n = np.zeros((columns, labels)), np.zeros((columns, labels))
 
     def weights(zz: np.ndarray, nn: np.ndarray) -> np.ndarray:
         return np.where(np.abs(zz) <= l1, 0.0, -(zz - np.sign(zz) * l1) / ((beta + np.sqrt(nn)) / alpha + l2))
 
-    rng = np.random.default_rng(11)
     for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
-            cols, values = rows[i]
+        for cols, values, y in rows():
             zz, nn = z[cols], n[cols]
             w = weights(zz, nn)
             p = softmax(values @ w)
-            p[y[i]] -= 1
+            p[y] -= 1
             g = values[:, None] * p[None, :]
             new = nn + g * g
             z[cols] = zz + g - (np.sqrt(new) - np.sqrt(nn)) / alpha * w
@@ -185,16 +185,19 @@ def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, bits:
                     out.append((u, i, lab, cols.astype(np.int32).tobytes(), values.astype(np.float32).tobytes()))
             yield pd.DataFrame(out, columns=["unit", "id", "label", "cols", "vals"])
 
-    rows = picked.mapInPandas(run, "unit double, id string, label string, cols binary, vals binary").orderBy("unit", "id", "label").limit(2 * sample_docs).collect()
-    labels = sorted({r["label"] for r in rows})
-    y = np.array([labels.index(r["label"]) for r in rows])
-    xs = [(np.frombuffer(r["cols"], dtype=np.int32), np.frombuffer(r["vals"], dtype=np.float32).astype(float)) for r in rows]
-    kept = np.arange(len(rows)) % 5 == 4
-    fit = np.flatnonzero(~kept)
-    weights = ftrl([xs[i] for i in fit], y[fit], len(labels), 1 << bits)
-    held = np.flatnonzero(kept)
-    logits = np.array([xs[i][1] @ weights[xs[i][0]] for i in held]).reshape(len(held), len(labels))
-    return Model(labels, idf, weights, temperature(logits, y[held]), bits, max_gram)
+    sample = stored(picked.mapInPandas(run, "unit double, id string, label string, cols binary, vals binary"), "language-sample")
+    labels = [r["label"] for r in sample.select("label").distinct().orderBy("label").collect()]
+
+    def rows(held: bool) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        # the leader learns online: a partition of the sample is here at a time
+        for i, r in enumerate(sample.orderBy("unit", "id", "label", "cols").limit(2 * sample_docs).toLocalIterator()):
+            if (i % 5 == 4) == held:
+                yield np.frombuffer(r["cols"], dtype=np.int32), np.frombuffer(r["vals"], dtype=np.float32).astype(float), labels.index(r["label"])
+
+    weights = ftrl(lambda: rows(False), len(labels), 1 << bits)
+    pairs = [(values @ weights[cols], y) for cols, values, y in rows(True)]
+    logits = np.array([z for z, _ in pairs]).reshape(len(pairs), len(labels))
+    return Model(labels, idf, weights, temperature(logits, np.array([y for _, y in pairs], dtype=int)), bits, max_gram)
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
