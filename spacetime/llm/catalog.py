@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spacetime.llm import quality_rules, substring_dedup, suffix_dedup
 from spacetime.llm.decontamination import op5_decontaminate
 from spacetime.llm.html_extract import op6_html_extract
 from spacetime.llm.language_id import op1_language_id
@@ -30,4 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op8_quality_rules": quality_rules.oracle_sql(),
+    "op10_suffix_dedup": suffix_dedup.ORACLE_SQL,
+}

@@ -38,12 +38,11 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 BLOCK = 1 << 18
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _GAP = re.compile(r"[\W\d_]+")
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def gram_counts(text: str, bits: int = BITS, max_gram: int = MAX_GRAM) -> np.ndarray:

@@ -223,3 +223,59 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality_rules(documents(spark, sf_dir), labels)
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL for ``op8_quality_rules``: the same measures, the binomial
+    tail as a plain sum, the same choice of cutoffs."""
+    shares = [r.share for r in RULES]
+    rules = ", ".join(f"({i}, '{r.name}')" for i, r in enumerate(RULES))
+    cutoffs = ", ".join(f"(CAST({c} AS DOUBLE))" for c in CUTOFFS)
+    share = "CASE rule " + " ".join(f"WHEN {i} THEN {s}" for i, s in enumerate(shares)) + " END"
+    hits = {r.name: f"coalesce({r.share} > c.cut_{i}, false)" for i, r in enumerate(RULES)}
+    return rf"""
+WITH texts AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, hash(array_to_string(w[i : i + {WINDOW - 1}], ' '))) AS n
+  FROM texts, unnest(range(1, len(w) - {WINDOW - 2})) AS t(i)
+), repeats AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n FROM windows, unnest(range(0, {WINDOW})) AS t(j) WHERE n > 1 GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words, length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) AS n_upper, len(lines) AS n_lines
+  FROM (SELECT *, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM texts) t
+  LEFT JOIN repeats r USING (doc_id)
+), based AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM measured
+), good AS (
+  SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
+), held AS (
+  SELECT b.* FROM based b JOIN good USING (doc_id) WHERE NOT base_failed
+), counted AS (
+  SELECT lang, rule, cutoff, count(*) AS n, count(*) FILTER ({share} > cutoff) AS k
+  FROM held, (VALUES {rules}) r(rule, name), (VALUES {cutoffs}) c(cutoff) GROUP BY ALL
+), tests AS (
+  SELECT {len(RULES) * len(CUTOFFS)} * greatest(1, count(DISTINCT coalesce(lang, '')) + 1) AS m FROM counted
+), own AS (
+  SELECT lang, false AS pooled, rule, cutoff, n, k FROM counted, tests WHERE n >= ln({DELTA} / m) / ln(1 - {RISK})
+  UNION ALL
+  SELECT NULL, true, rule, cutoff, sum(n), sum(k) FROM counted, tests WHERE n < ln({DELTA} / m) / ln(1 - {RISK}) GROUP BY rule, cutoff
+), tails AS (
+  SELECT lang, pooled, rule, cutoff, CASE WHEN k >= n * {RISK} THEN 1 ELSE list_sum([
+    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}) + (n - j) * ln(1 - {RISK})) FOR j IN range(0, CAST(k + 1 AS BIGINT))]) END AS tail
+  FROM own
+), cuts AS (
+  SELECT lang, pooled, {", ".join(f"min(cutoff) FILTER (rule = {i} AND tail <= {DELTA} / m) AS cut_{i}" for i in range(len(RULES)))}
+  FROM tails, tests GROUP BY lang, pooled
+), judged AS (
+  SELECT b.*, {", ".join(f"{h} AS hit_{n}" for n, h in hits.items())}
+  FROM based b LEFT JOIN cuts c ON CASE WHEN EXISTS (SELECT 1 FROM cuts o WHERE NOT o.pooled AND o.lang IS NOT DISTINCT FROM b.lang)
+    THEN NOT c.pooled AND c.lang IS NOT DISTINCT FROM b.lang ELSE c.pooled END
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR {" OR ".join(f"hit_{r.name}" for r in RULES)}) AS kept, {", ".join(f"hit_{r.name}" for r in RULES)}
+FROM judged
+"""

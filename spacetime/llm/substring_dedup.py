@@ -125,3 +125,22 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir), with_text=False)
+
+
+#: DuckDB SQL for the rows of the query (ids not null, each once).
+ORACLE_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS k FROM words, unnest(range(1, len(w) - 18)) AS t(i)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT i + j) AS out_at FROM repeated, unnest(range(0, 20)) AS t(j) GROUP BY doc_id
+), kept AS (
+  SELECT d.doc_id, len(w) AS n, coalesce(len(out_at), 0) AS g,
+         CASE WHEN out_at IS NULL THEN w ELSE [x FOR x, p IN w IF NOT list_contains(out_at, p)] END AS left_over
+  FROM words d LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(g AS BIGINT) AS n_removed, sha256(array_to_string(left_over, ' ')) AS kept_sha256 FROM kept
+"""

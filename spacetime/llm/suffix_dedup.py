@@ -281,3 +281,26 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir), with_bytes=False)
+
+
+#: DuckDB SQL for the rows of the query (ids not null, each once).
+ORACLE_SQL = r"""
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), places AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS b, CASE WHEN 2 * i + 100 <= length(h) THEN substr(h, 2 * i + 1, 100) END AS k
+  FROM bytes, unnest(range(0, length(h) // 2)) AS t(i)
+), firsts AS (
+  SELECT k, min(doc_id) AS first FROM places WHERE k IS NOT NULL GROUP BY k
+), starts AS (
+  SELECT p.doc_id, i, b, coalesce(first < p.doc_id, false) AS s FROM places p LEFT JOIN firsts f ON p.k = f.k
+), cover AS (
+  SELECT doc_id, i, b, bool_or(s) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS g FROM starts
+), runs AS (
+  SELECT *, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY i), false) AS head FROM cover
+), found AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (g) AS r, count(*) FILTER (head) AS sp, string_agg(b, '' ORDER BY i) FILTER (NOT g) AS rest FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_bytes, coalesce(r, 0) AS n_removed, coalesce(sp, 0) AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM bytes d LEFT JOIN found USING (doc_id)
+"""
