@@ -50,7 +50,8 @@ def ranked(names: DataFrame, key: str) -> DataFrame:
     order = [F.col(key).isNull().asc(), F.col(key).asc()]
     dealt = stored(names.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranges")
     sizes = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row a range
-    before = sizes.alias("x").join(sizes.alias("y"), F.col("y.part") < F.col("x.part"), "left").groupBy(F.col("x.part").alias("part")).agg(F.coalesce(F.sum("y.n"), F.lit(0)).alias("before"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
     return dealt.withColumn("inside", inside).join(F.broadcast(before), "part").withColumn("rank", F.col("before") + F.col("inside")).drop("part", "inside", "before")
 

@@ -184,14 +184,13 @@ def base_failed() -> Column:
 def judge(measured: DataFrame, cutoffs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``measured`` with ``base_failed``, one flag per rule and ``kept``."""
     names = [f"cut_{r.name}" for r in rules]
-    own = cutoffs.where(~F.col("pooled")).select(F.col("stratum").alias("own_stratum"), *[F.col(c).alias(f"own_{c}") for c in names])
-    pool = cutoffs.where("pooled").select(*[F.col(c).alias(f"pool_{c}") for c in names])
+    own = cutoffs.where(~F.col("pooled")).select(F.col("stratum").alias("own_stratum"), F.lit(True).alias("is_own"), *[F.col(c).alias(f"own_{c}") for c in names])
+    pool = cutoffs.where("pooled").first()  # one row at most
+    shared = {c: F.lit(pool[c] if pool is not None else None).cast("double") for c in names}
     found = measured.join(bounded_broadcast(own, BROADCAST_ROWS), F.col("stratum").eqNullSafe(F.col("own_stratum")), "left")
-    # the shared stratum is one row at most
-    found = found.join(F.broadcast(pool), F.lit(True), "left")
-    # a stratum with cutoffs of its own never falls back to the shared ones
-    has_own = F.exists(F.array(*[F.col(f"own_{c}").isNotNull() for c in names]), lambda x: x) | F.col("own_stratum").isNotNull()
-    hit = {r.name: F.coalesce(F.expr(r.share) > F.when(has_own, F.col(f"own_cut_{r.name}")).otherwise(F.col(f"pool_cut_{r.name}")), F.lit(False)) for r in rules}
+    # a stratum judged by itself never falls back to the shared cutoffs
+    has_own = F.coalesce(F.col("is_own"), F.lit(False))
+    hit = {r.name: F.coalesce(F.expr(r.share) > F.when(has_own, F.col(f"own_cut_{r.name}")).otherwise(shared[f"cut_{r.name}"]), F.lit(False)) for r in rules}
     judged = found.withColumns({"base_failed": base_failed(), **{f"hit_{k}": v for k, v in hit.items()}})
     bad = F.col("base_failed")
     for r in rules:
