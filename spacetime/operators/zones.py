@@ -238,7 +238,7 @@ class TilePlan:
     use.
     """
 
-    def __init__(self, sides, fanouts, axis_tiles: int, levels=((0, 0),), n_tiles: int = 0):
+    def __init__(self, sides, fanouts, axis_tiles: int, max_levels: int, levels=((0, 0),), n_tiles: int = 0):
         if any(s <= 0 or not math.isfinite(s) for s in sides):
             raise ValueError("tile must be a positive number")
         if any(f < 2 for f in fanouts) or axis_tiles < 1:
@@ -246,6 +246,7 @@ class TilePlan:
         self.sides = tuple(map(float, sides))
         self.fanouts = tuple(map(int, fanouts))
         self.axis_tiles = int(axis_tiles)
+        self.max_levels = int(max_levels)
         self.levels = sorted(tuple(p) for p in levels) or [(0, 0)]
         self.n_tiles = n_tiles
 
@@ -255,7 +256,7 @@ class TilePlan:
     def side_col(self, axis: int, level_col):
         # the same doubles as side(), looked up by level
         out = F.lit(self.sides[axis])
-        for level in range(1, MAX_LEVELS):
+        for level in range(1, self.max_levels):
             s = self.side(axis, level)
             if not math.isfinite(s):
                 break
@@ -263,10 +264,11 @@ class TilePlan:
         return out
 
     def level_of(self, axis: int):
-        """Level of a zone on one axis: the lowest that spans <= axis_tiles tiles."""
+        """Level of a zone on one axis: the lowest that spans <= axis_tiles
+        tiles; beyond the highest, as without bounds, one tile for all."""
         extent = _extent(axis)
         level = F.lit(None).cast("int")
-        for lv in range(MAX_LEVELS - 1, -1, -1):
+        for lv in range(self.max_levels - 1, -1, -1):
             span = self.side(axis, lv) * self.axis_tiles
             if math.isfinite(span):
                 level = F.when(extent <= F.lit(span), F.lit(lv)).otherwise(level)
@@ -317,14 +319,14 @@ def plan_tiles(zones: DataFrame, tile=None, fanout: int = 4, axis_tiles: int = 4
             raise ValueError("tile must be a positive number")
         sides = tuple(max(float(s), a.far / MAX_INDEX) for s, a in zip(sides, stats.axes))
     fanouts = tuple(_fanout(a, s, fanout, axis_tiles, max_levels) for a, s in zip(stats.axes, sides))
-    plan = TilePlan(sides, fanouts, axis_tiles)
+    plan = TilePlan(sides, fanouts, axis_tiles, max_levels)
     z = _with_level(zones, plan)
     (x0, x1), (y0, y1) = (plan.tile_span(i, F.col(f"_s{i}")) for i in (0, 1))
     r = z.agg(
         F.collect_set(F.struct("_l0", "_l1")).alias("levels"),
         F.sum((x1 - x0 + 1).cast("double") * (y1 - y0 + 1)).alias("n"),
     ).first()
-    return TilePlan(sides, fanouts, axis_tiles, [tuple(p) for p in r["levels"]], int(r["n"] or 0))
+    return TilePlan(sides, fanouts, axis_tiles, max_levels, [tuple(p) for p in r["levels"]], int(r["n"] or 0))
 
 
 TILE_KEYS = ("lx", "ly", "tx", "ty")
