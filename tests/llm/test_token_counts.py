@@ -40,3 +40,13 @@ def test_spliced_counts_equal_the_library(library):
 def test_stable_needs_space_before_and_none_after():
     assert stable("a b", 2)
     assert not stable("a b", 1) and not stable("a  b", 2) and not stable("a b", 2) and not stable("ab", 0)
+
+
+def test_a_vocabulary_with_spaces_in_tokens_encodes_whole_texts(make_docs):
+    from tokenizers import Tokenizer
+
+    path = vocabulary_path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    rows = [(1, "one two  three\n\nfour"), (2, "x " * 300), (3, None)]
+    got = {r.doc_id: r.n_tokens for r in token_counts(make_docs(rows), vocabulary=path, chunk_chars=50).collect()}
+    assert got == {i: len(t.encode(x or "", add_special_tokens=False).ids) for i, x in rows}
