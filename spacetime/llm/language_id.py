@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents, map_batches, stored
+from spacetime.llm.common import bounded_broadcast, documents, map_batches, stored
 
 BITS = 16
 MAX_GRAM = 3
@@ -36,6 +36,8 @@ SAMPLE_DOCS = 3_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 BLOCK = 1 << 18
+#: Tables with a row per label are broadcast up to this many rows.
+BROADCAST_LABELS = 100_000
 UNKNOWN = "und"
 
 _GAP = re.compile(r"[\W\d_]+")
@@ -173,7 +175,7 @@ def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, bits:
     # A row's place among its label's rows is a hash; a label gives its share of the sample, all if it has fewer.
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)
     chance = per_label.select("label", F.least(F.lit(1.0), F.lit(sample_docs / n_labels) / F.col("n")).alias("chance"))
-    picked = known.withColumn("unit", unit).join(chance, "label").where("unit < chance").select("id", "unit", "label", "text")
+    picked = known.withColumn("unit", unit).join(bounded_broadcast(stored(chance, "label-chances"), BROADCAST_LABELS), "label").where("unit < chance").select("id", "unit", "label", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
