@@ -223,16 +223,25 @@ class Field:
 
 
 def all_spans(text: str | None, field: Field | None) -> list[tuple[int, int, str, int]]:
-    """Base spans and the field's spans that touch none of them, in order."""
+    """Base spans and the field's spans that they do not cover, in order."""
     if not text:
         return []
     base = base_spans(text)
     if field is None:
         return base
-    added = [(a, b, "crf", a) for a, b in field.spans(text) if not any(s < b and a < e for s, e, _, _ in base)]
+    added = [(a, b, "crf", a) for a, b in field.spans(text) if not covered(a, b, base)]
     return sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def covered(a: int, b: int, spans: list[tuple[int, int, str, int]]) -> bool:
+    """Whether ``spans`` (by start) together hold all of ``a`` to ``b``."""
+    for s, e, _, _ in spans:
+        if s > a:
+            break
+        a = max(a, e)
+    return a >= b
+
+
 def windows(text: str, key: int) -> list[tuple[list[str], list[int], int, int]]:
     """Training windows of a text: tokens, tags, and its file numbers."""
     marked = base_spans(text)

@@ -83,3 +83,17 @@ def test_operator_rows(make_docs, prose):
     assert S.train(make_docs([])) is None and S.train(make_docs([(1, "no secret here")])) is None
     assert S.find_secrets(make_docs([]), None).count() == 0
     assert S.find_secrets(make_docs([(1, "token=abcdefghijklm")]), None).first().spans[0].kind == "assign"
+
+
+def test_field_spans_that_reach_beyond_base_spans_stay():
+    token = "sk_live_" + HEXES[2] + "ABCdefXYZ"
+    text = f"key {token} end {HEXES[1]} end"
+
+    class Tagged:
+        def spans(self, text):
+            return [(m.start(), m.end()) for m in re.finditer(token + "|" + HEXES[1], text)]
+
+    at, hexa = text.index(token), text.index(HEXES[1])
+    assert S.all_spans(text, Tagged()) == [(at, at + len(token), "crf", at), (at + 8, at + 26, "hex", at + 8), (hexa, hexa + 18, "hex", hexa)]
+    assert S.redacted(text, Tagged()) == f"key {S.MASK} end {S.MASK} end"
+    assert S.covered(2, 8, [(0, 4, "hex", 0), (4, 9, "hex", 4)]) and not S.covered(2, 8, [(0, 4, "hex", 0), (5, 9, "hex", 5)])
