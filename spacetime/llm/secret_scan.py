@@ -5,10 +5,11 @@ tokens beside them and features of the file, decoded by Viterbi.  Fixed
 patterns (:func:`base_spans`) find the well-formed secrets; the field is trained
 on what they mark in a bounded sample of documents and adds the spans they miss.
 
-Training: of about ``sample_docs`` documents, chosen by a hash of their id,
-windows of tokens around marked spans (a few a document) and one window
-elsewhere; at most ``sample_windows`` windows reach the driver.  The fit is the
-conditional likelihood by forward-backward and adaptive gradient steps.
+Training: about ``sample_docs`` of the documents in which a base pattern matches
+give windows of tokens around marked spans (a few a document), about as many of
+all documents one window elsewhere; both are chosen by a hash of id and text.
+At most ``sample_windows`` windows reach the driver, half of each sort.  The fit
+is the conditional likelihood by forward-backward and adaptive gradient steps.
 
 Scanning is one pass without a shuffle.  A token's features do not depend on
 its spelling but on its type (shape, length, class), so scores are sums of table
@@ -27,14 +28,15 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spacetime.llm.common import documents, map_batches, map_rows
+from spacetime.llm.common import documents, map_batches, map_rows, stored
 
 SAMPLE_DOCS = 20_000
 SAMPLE_WINDOWS = 6_000
@@ -266,23 +268,34 @@ def windows(text: str, key: int) -> list[tuple[list[str], list[int], int, int]]:
     return out
 
 
+def has_secret(text: Column) -> Column:
+    """Whether a base pattern matches; the cheap conditions come first."""
+    low = F.lower(text)
+    cue = reduce(Column.__or__, [low.contains(c) for c in CUES])
+    assign = rf"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{{{MIN_ASSIGN},}}"
+    access = rf"AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}"
+    return F.coalesce((text.contains("AKIA") & text.rlike(access)) | text.rlike(HEX.pattern) | (cue & text.rlike(assign)), F.lit(False))
+
+
 def training_windows(docs: DataFrame, sample_docs: int, sample_windows: int, id_col: str, text_col: str) -> list:
-    """At most ``sample_windows`` windows of about ``sample_docs`` documents,
-    those of the smallest hashes of the id; the same for the same rows."""
-    rows = max(1, docs.count())
-    key = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40))
-    picked = docs.select(key.alias("key"), F.col(text_col).alias("text")).where((F.col("key") < int((1 << 40) * min(1.0, sample_docs / rows))) & F.col("text").isNotNull())
+    """At most ``sample_windows // 2`` windows with a secret, of about
+    ``sample_docs`` documents that hold one, and as many without, of about
+    ``sample_docs`` of all documents; the same for the same rows."""
+    src = docs.select(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("key"), F.col(text_col).alias("text")).where("text is not null")
+    src = src.withColumn("key", F.pmod("key", F.lit(1 << 40)))
+    rows, held = src.agg(F.count(F.lit(1)), F.count_if(has_secret(F.col("text")))).first()
+    of_all, of_held = (int((1 << 40) * min(1.0, sample_docs / max(1, n))) for n in (rows, held))
+    picked = src.where((F.col("key") < of_all) | ((F.col("key") < of_held) & has_secret(F.col("text"))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(k, *w, i) for k, t in zip(pdf["key"], pdf["text"]) for i, w in enumerate(windows(t, int(k)))]
             yield pd.DataFrame(out, columns=["key", "tokens", "tags", "n", "digits", "i"])
 
-    seqs = picked.mapInPandas(run, "key long, tokens array<string>, tags array<int>, n long, digits long, i int")
-    # windows that hold a secret first
-    return seqs.orderBy(F.array_contains("tags", BEGIN).desc(), "key", "i", "tokens").limit(sample_windows // 2).collect() + (
-        seqs.where(~F.array_contains("tags", BEGIN)).orderBy("key", "i", "tokens").limit(sample_windows // 2).collect()
-    )
+    seqs = stored(picked.mapInPandas(run, "key long, tokens array<string>, tags array<int>, n long, digits long, i int"), "secret-windows")
+    marked = F.array_contains("tags", BEGIN)
+    first = lambda some: some.orderBy("key", "i", "tokens").limit(sample_windows // 2).collect()
+    return first(seqs.where(marked)) + first(seqs.where(~marked & (F.col("key") < of_all)))
 
 
 def fit(seqs: list, epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-5) -> Field | None:
