@@ -6,8 +6,8 @@ A text is lower-cased; runs of non-letters become one space; its 1- to
 ``max_gram``-grams are hashed into ``2 ** bits`` columns.  A column's value is
 ``(1 + ln tf) * idf`` and a document's vector has length one.  Document
 frequencies are counted over all training documents.  The weights are fitted on
-a bounded sample (``sample_docs``, about as many of each label as there are
-labels to go round, chosen by a hash of the id); every fifth of the sample is
+a bounded sample (about ``sample_docs`` different rows, as many of each label as
+there are labels to go round, chosen by a hash of the row); every fifth of the sample is
 kept from the fit and sets the temperature.  The sample is stored as sparse
 vectors, which the learner goes through in order of their hash; the driver also
 receives a table of ``2 ** bits`` frequencies, never texts.
@@ -168,14 +168,16 @@ def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, bits:
     )
     total, df = document_frequencies(known, bits, max_gram)
     idf = np.where(df > 0, np.log((1 + total) / (1 + df)) + 1, 0.0)
-    per_label = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    row = F.xxhash64("id", "text", "label")
+    per_label = known.groupBy("label").agg(F.approx_count_distinct(row, 0.02).alias("n"))
     n_labels = per_label.count()
     if not total or not n_labels:
         return Model([], idf, np.zeros((1 << bits, 0)), 1.0, bits, max_gram)
     # A row's place among its label's rows is a hash; a label gives its share of the sample, all if it has fewer.
-    unit = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)
+    # Equal rows count once.
+    unit = F.pmod(row, F.lit(1 << 40)) / float(1 << 40)
     chance = per_label.select("label", F.least(F.lit(1.0), F.lit(sample_docs / n_labels) / F.col("n")).alias("chance"))
-    picked = known.withColumn("unit", unit).join(bounded_broadcast(stored(chance, "label-chances"), BROADCAST_LABELS), "label").where("unit < chance").select("id", "unit", "label", "text")
+    picked = known.withColumn("unit", unit).join(bounded_broadcast(stored(chance, "label-chances"), BROADCAST_LABELS), "label").where("unit < chance").select("id", "unit", "label", "text").distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -191,7 +193,7 @@ def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, bits:
 
     def rows(held: bool) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         # the leader learns online: a partition of the sample is here at a time
-        for i, r in enumerate(sample.orderBy("unit", "id", "label", "cols").limit(2 * sample_docs).toLocalIterator()):
+        for i, r in enumerate(sample.orderBy("unit", "id", "label", "cols").toLocalIterator()):
             if (i % 5 == 4) == held:
                 yield np.frombuffer(r["cols"], dtype=np.int32), np.frombuffer(r["vals"], dtype=np.float32).astype(float), labels.index(r["label"])
 

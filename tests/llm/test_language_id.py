@@ -58,3 +58,11 @@ def test_temperature_undoes_a_scale():
     z = rng.normal(size=(4000, 3)) * 2
     y = np.array([rng.choice(3, p=p) for p in L.softmax(z)])
     assert L.temperature(4 * z, y) == pytest.approx(4, rel=0.1)
+
+
+def test_rows_of_one_id_do_not_crowd_out_other_labels(make_docs):
+    hot = [(None, text("xx", i), "xx") for i in range(200)] + [(None, text("xx", 0), "xx")] * 100
+    docs = make_docs(hot + [(i, text(lang, i), lang) for i in range(80) for lang in [("yy", "zz")[i % 2]]])
+    model = L.train(docs, F.lit(True), sample_docs=60)
+    got = L.predict(docs.where("lang != 'xx'"), model, keep=("lang",)).collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) >= 0.95
