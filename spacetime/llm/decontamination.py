@@ -10,13 +10,15 @@ strongest on, and an item is given up when what it has and what the terms left
 can still give stay below the threshold.
 
 A retrieved item is verified on the passage (with what follows and precedes it,
-one item's length each): of the item's question the share of ``QUESTION_GRAM``
-word sequences found, of its answer that of ``ANSWER_GRAM`` word sequences.  A
-table with one text per item has its last third taken as the answer.
+one item's length each): the share of its ``QUESTION_GRAM`` word sequences found
+has to reach the overlap.  A table has one text per item; its last third is
+taken as the answer, and an item also counts as found if its question and its
+answer (by ``ANSWER_GRAM`` word sequences) each reach the overlap.
 
 Passages overlap by the longest item, so an item copied whole lies whole in a
-passage.  The index travels to the tasks; items beyond ``SHARD_ITEMS`` are
-indexed in further shards, each of which queries all documents again.
+passage.  The index travels to the tasks.  More than ``SHARD_ITEMS`` items never
+meet on the driver: they are dealt into shards, weighted by the counts of all
+items, and each shard meets all different texts, bucket by bucket, in tasks.
 
 Edge cases: null or empty texts match nothing; items without a word are left
 out; equal items are reported each; repeated documents are reported each; a
@@ -28,15 +30,16 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from spacetime.llm.common import documents, map_batches, map_rows
+from spacetime.llm.common import documents, fresh, map_batches, map_rows, own_columns, stored
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -46,6 +49,10 @@ OVERLAP = 0.5
 PASSAGE_ITEMS = 4
 BLOCK_ITEMS = 16
 SHARD_ITEMS = 20_000
+#: Different texts that meet a shard in one task, in characters together.
+BUCKET_CHARS = 1 << 26
+
+_HIT = "item_id long, score double, question_overlap double, answer_overlap double"
 
 _WORD = re.compile(r"\w+")
 
@@ -69,17 +76,19 @@ def share_found(part: list[str], there: list[str], n: int) -> float:
 class Index:
     """BM25 inverted index of test items with block maxima."""
 
-    def __init__(self, items: list[tuple[int, str | None, str | None]]):
-        """``items``: id, question, answer (may be None)."""
+    def __init__(self, items: list[tuple[int, str | None, str | None]], table: tuple[int, float, int, dict[str, int]] | None = None):
+        """``items``: id, question, answer (may be None).  ``table``: number,
+        mean and greatest length of all items and how many hold each term, if
+        ``items`` are only a part of them."""
         parts = [(i, words(q), words(a)) for i, q, a in items]
         self.items = [(i, q, a) for i, q, a in parts if q or a]
         docs = [Counter(q + a) for _, q, a in self.items]
-        n = len(docs)
+        size = len(docs)
         length = np.array([sum(d.values()) for d in docs], dtype=float)
-        self.longest = int(length.max()) if n else 0
-        df = Counter(t for d in docs for t in d)
-        self.terms = {t: k for k, t in enumerate(sorted(df))}
-        mean = length.mean() if n else 1.0
+        if table is None:
+            table = size, length.mean() if size else 1.0, int(length.max()) if size else 0, Counter(t for d in docs for t in d)
+        n, mean, self.longest, df = table
+        self.terms = {t: k for k, t in enumerate(sorted({t for d in docs for t in d}))}
         rows, cols, vals = [], [], []
         for j, d in enumerate(docs):
             w = {t: np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * length[j] / mean)) for t, c in d.items()}
@@ -96,7 +105,7 @@ class Index:
         self.best = np.zeros(len(self.terms))
         np.maximum.at(self.best, row, self.post_score)
         # per term: its blocks and the largest score in each
-        self.blocks = -(-n // BLOCK_ITEMS)
+        self.blocks = -(-size // BLOCK_ITEMS)
         key = row * max(1, self.blocks) + self.post_item // BLOCK_ITEMS
         blocks, where = np.unique(key, return_inverse=True)
         top = np.zeros(len(blocks))
@@ -150,9 +159,10 @@ class Index:
                 item, question, answer = self.items[j]
                 there = ws[max(0, a - self.longest) : a + size + self.longest]
                 q, r = share_found(question, there, QUESTION_GRAM), share_found(answer, there, ANSWER_GRAM)
-                if q >= overlap and r >= overlap and (j not in found or found[j][1:] < (score, q, r)):
+                whole = share_found(question + answer, there, QUESTION_GRAM)
+                if (whole >= overlap or (q >= overlap and r >= overlap)) and (j not in found or found[j][1:] < (score, q, r)):
                     found[j] = (item, score, q, r)
-        return sorted(found.values(), key=lambda x: x[0])
+        return sorted(found.values(), key=lambda x: (x[0] is not None, x[0] or 0))
 
 
 def split_item(text: str | None) -> tuple[str | None, str | None]:
@@ -166,43 +176,76 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overl
     """One row per document and test item found in it: ``id_col, item_id,
     score, question_overlap, answer_overlap``."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"{id_col} {src.schema['id'].dataType.simpleString()}, item_id long, score double, question_overlap double, answer_overlap double"
+    chosen = item_table(items, item_col, item_text_col)
+    index = small_index(chosen)
+    if index is None:
+        found = sharded(src.select("text"), chosen, threshold, overlap)
+        return src.select(F.col("id").alias(id_col), F.sha2("text", 256).alias("h")).join(found, "h").drop("h")
+
+    def make(batch: pa.RecordBatch) -> list:
+        out = [(d, *hit) for d, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()) for hit in index.leaks(t, threshold, overlap)]
+        return [list(c) for c in zip(*out)] or [[]] * 5
+
+    return map_batches(src, make, f"{id_col} {src.schema['id'].dataType.simpleString()}, {_HIT}")
+
+
+def item_table(items: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    """The test items that have a text as ``i, t``."""
+    return items.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
 
-    def search(shard: list[tuple[int, str | None, str | None]]) -> DataFrame:
-        index = Index(shard)
 
-        def make(batch: pa.RecordBatch) -> list:
-            out = [(d, *hit) for d, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()) for hit in index.leaks(t, threshold, overlap)]
-            return [list(c) for c in zip(*out)] or [[]] * 5
+def small_index(chosen: DataFrame) -> Index | None:
+    """The index of all items, None if they are more than ``SHARD_ITEMS``."""
+    some = chosen.limit(SHARD_ITEMS + 1).collect()
+    return Index([(r["i"], *split_item(r["t"])) for r in sorted(some, key=lambda r: (r["i"] is not None, r["i"] or 0, r["t"]))]) if len(some) <= SHARD_ITEMS else None
 
-        return map_batches(src, make, schema)
 
-    return reduce(DataFrame.unionByName, map(search, item_shards(items, item_col, item_text_col)))
+def sharded(texts: DataFrame, chosen: DataFrame, threshold: float, overlap: float) -> DataFrame:
+    """``h`` (SHA-256) of every different text and its verified items, with
+    the items dealt into shards."""
 
+    def split(batch: pa.RecordBatch) -> list:
+        split_up = list(map(words, batch.column("t").to_pylist()))
+        return [*batch.columns, list(map(len, split_up)), [sorted(set(ws)) for ws in split_up]]
 
-def item_shards(items: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> list[list[tuple[int, str | None, str | None]]]:
-    """The test items as ``(id, question, answer)``, ``SHARD_ITEMS`` at a time."""
-    shards: list[list] = [[]]
-    chosen = items.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
-    for row in chosen.orderBy("i", "t").toLocalIterator():
-        if len(shards[-1]) == SHARD_ITEMS:
-            shards.append([])
-        shards[-1].append((row["i"], *split_item(row["t"])))
-    return shards
+    numbered = stored(chosen.select(F.monotonically_increasing_id().alias("no"), "i", "t"), "test-items")
+    known = stored(map_batches(numbered, split, "no long, i long, t string, size long, terms array<string>").where("size > 0"), "test-item-terms")
+    n, mean, longest = known.agg(F.count(F.lit(1)), F.avg("size"), F.max("size")).first()
+    each = known.select("no", F.explode("terms").alias("term"))
+    df = each.join(each.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term").groupBy("no").agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("df"))
+    shards = -(-n // SHARD_ITEMS) or 1
+    different = stored(texts.where("text is not null").select(F.sha2("text", 256).alias("h"), "text").distinct(), "different-texts")
+    chars = different.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = 1 + chars // BUCKET_CHARS
+    numbers = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    dealt = known.join(df, "no").select(F.pmod(F.xxhash64("no"), F.lit(shards)).cast("int").alias("shard"), numbers(buckets).alias("bucket"), "i", "t", "df")
+    asked = different.select(numbers(shards).alias("shard"), F.pmod(F.xxhash64("h"), F.lit(buckets)).cast("int").alias("bucket"), "h", "text")
+    schema = to_arrow_schema(StructType.fromDDL(f"h string, {_HIT}"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        counts = {t: k for pairs in right.column("df").to_pylist() for t, k in pairs}
+        index = Index([(i, *split_item(t)) for i, t in zip(right.column("i").to_pylist(), right.column("t").to_pylist())], (n, mean, longest, counts))
+        out = [(h, *hit) for h, t in zip(left.column("h").to_pylist(), left.column("text").to_pylist()) for hit in index.leaks(t, threshold, overlap)]
+        return pa.table([pa.array(c, f.type) for c, f in zip(list(zip(*out)) or [()] * 5, schema)], names=schema.names)
+
+    return asked.groupBy("shard", "bucket").cogroup(dealt.groupBy("shard", "bucket")).applyInArrow(run, f"h string, {_HIT}")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, in which no test item is found."""
     at = docs.columns.index(text_col)
-    for shard in item_shards(items, item_col, item_text_col):
-        index = Index(shard)
-
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array([not index.leaks(t, threshold, overlap) for t in batch.column(at).to_pylist()], pa.bool_()))
-
-        docs = map_rows(docs, run)
-    return docs
+    chosen = item_table(items, item_col, item_text_col)
+    index = small_index(chosen)
+    if index is None:
+        bad = sharded(docs.select(F.col(text_col).alias("text")), chosen, threshold, overlap).select("h").distinct()
+        h = fresh(docs, "text_hash")
+        return docs.withColumn(h, F.sha2(text_col, 256)).join(bad.withColumnRenamed("h", h), h, "left_anti").select(*own_columns(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not index.leaks(t, threshold, overlap) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return map_rows(docs, run)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,3 +59,25 @@ def test_shards_find_the_same(spark, make_docs, prose, monkeypatch):
     whole = sorted((r.doc_id, r.item_id) for r in D.leaks(docs, table).collect())
     monkeypatch.setattr(D, "SHARD_ITEMS", 7)
     assert sorted((r.doc_id, r.item_id) for r in D.leaks(docs, table).collect()) == whole
+
+
+def test_an_item_copied_in_part_is_found(spark, make_docs, prose):
+    items = [(1, prose(7, 60))]
+    ws = items[0][1].split()
+    docs = make_docs([(k, " ".join(part) + " " + prose(70 + k, 30)) for k, part in enumerate([ws[:40], ws[10:50], ws[20:], ws[:12]])])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(r.doc_id for r in D.leaks(docs, table).collect()) == [0, 1, 2]
+    assert [r.doc_id for r in D.without_leaks(docs, table).collect()] == [3]
+
+
+def test_shards_score_as_one_table(spark, make_docs, prose, monkeypatch):
+    items = items_of(prose) + [(None, prose(5, 25)), (70, prose(1000, 20)), (71, "")]
+    rows = [(i, " ".join(items[i][1].split()[i % 9 :]) + " " + prose(i, 30)) for i in range(40)]
+    docs = make_docs([*rows, rows[3], (None, rows[4][1]), (900, None), (901, "")])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: sorted(((str(r.doc_id), str(r.item_id), round(r.score, 9), r.question_overlap, r.answer_overlap) for r in D.leaks(docs, table).collect()))
+    kept = lambda: sorted(map(str, D.without_leaks(docs, table).collect()))
+    one = found(), kept()
+    monkeypatch.setattr(D, "SHARD_ITEMS", 7)
+    monkeypatch.setattr(D, "BUCKET_CHARS", 2000)
+    assert (found(), kept()) == one and one[0]
