@@ -131,7 +131,7 @@ def q_hot_zones_sql(spark, d):
 
 def q_adjacent_flags(spark, d):
     """``is_adjacent`` of every populated cell and the cells up to two steps
-    away on x and y and one on z, in the grid or not."""
+    away on x, up to two above it on y and one above it on z, in the grid or not."""
     step = lambda c, lo, hi: F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(c)
     cells = _ev_counts(spark, d).select("x", "y", "z")
     near = cells.select("*", step("dx", -2, 2)).select("*", step("dy", 0, 2)).select("*", step("dz", 0, 1))
