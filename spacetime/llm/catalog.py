@@ -14,6 +14,7 @@ from spacetime.llm.mixing import op2_mix_sources
 from spacetime.llm.quality_rules import op8_quality_rules
 from spacetime.llm.secret_scan import op9_secret_scan
 from spacetime.llm.simhash import op4_simhash_near_dedup
+from spacetime.llm.spelling_variants import op13_spelling_variants
 from spacetime.llm.substring_dedup import op3_substring_dedup
 from spacetime.llm.suffix_dedup import op10_suffix_dedup
 from spacetime.llm.token_counts import op7_token_counts
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
