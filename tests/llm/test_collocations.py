@@ -1,0 +1,105 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from spacetime.llm import collocations as C
+
+
+def slow_phrases(rows):
+    f, n = Counter(), Counter()
+    for _, text, lang in rows:
+        text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(w)
+            for k in range(1, 5):
+                for i in range(len(w) - k + 1):
+                    f[lang or "und", tuple(w[i : i + k])] += 1
+    return f, n
+
+
+def slow_collocations(rows, min_count=30, top=2000):
+    f, n = slow_phrases(rows)
+    cand = {p: a for p, a in f.items() if a >= min_count and len(p[1]) > 1}
+    by_lang = {}
+    for (lang, w), a in cand.items():
+        cuts = [(2_000_000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        inside = [b for (m, v), b in cand.items() if m == lang and len(v) > len(w) and any(v[i : i + len(w)] == w for i in range(len(v)))]
+        if not any(100 * b >= 80 * a for b in inside):
+            by_lang.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), f[lang, w[:k]], f[lang, w[k:]]))
+    out = []
+    for lang, rows_ in by_lang.items():
+        for rank, (s, a, w, left, right) in enumerate(sorted(rows_)[:top], 1):
+            out.append((lang, rank, w.decode(), -a, left, right, n[lang], -s))
+    return sorted(out)
+
+
+def rows_of(seed, n=90):
+    r = random.Random(seed)
+    words = ["the", "of", "new", "york", "city", "Éa", "a\x1cb", "<x>", "é", "zz"] + [f"w{i}" for i in range(40)]
+    rows = [(1, None, "en"), (2, "", None), (3, " \t.;", "en"), (4, "a a a a a a. " * 30, None), (4, "a a a a a a. " * 30, "und")]
+    for i in range(n):
+        out = []
+        for _ in range(r.randint(5, 120)):
+            out.append(r.choice([words[min(int(r.expovariate(0.5)), 49)]] * 9 + ["New York City", "of The new", "in\tspite of"]))
+            out.append(r.choice([" ", " ", " ", "  ", ", ", "\n", ". "]))
+        rows.append((100 + i, "".join(out), r.choice(["en", "en", "fr", None])))
+    return rows
+
+
+def answer(df):
+    return sorted((r.lang, r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score) for r in df.collect())
+
+
+@pytest.mark.parametrize("chunk_tokens", [300, 1 << 21])
+def test_matches_brute_force(make_docs, chunk_tokens):
+    rows = rows_of(1)
+    want = slow_collocations(rows)
+    assert len(want) > 40 and {len(w[2].split(" ")) for w in want} == {2, 3, 4}
+    assert answer(C.collocations(*C.phrase_counts(make_docs(rows), chunk_tokens=chunk_tokens))) == want
+
+
+def test_top_and_a_lower_count(make_docs):
+    rows = rows_of(2, 25)
+    got = answer(C.collocations(*C.phrase_counts(make_docs(rows), min_count=5), top=7))
+    assert got == slow_collocations(rows, 5, 7)
+
+
+def test_nothing_to_find(make_docs):
+    assert answer(C.collocations(*C.phrase_counts(make_docs([])))) == []
+    assert answer(C.collocations(*C.phrase_counts(make_docs([(1, None), (2, "one two three")])))) == []
+
+
+@pytest.mark.parametrize("side", [1, 4, 10])
+def test_tiles_count_as_a_dictionary_does(side):
+    r = np.random.default_rng(3)
+    p = np.minimum(r.geometric(0.05, 20_000), 5000) - 1
+    w = np.minimum(r.geometric(0.01, 20_000), 9000) - 1
+    weights = r.integers(1, 1 << 33, 20_000)
+    codes = (p << C.WORD_BITS) | w
+    want = Counter()
+    for c, n in zip(codes.tolist(), weights.tolist()):
+        want[c] += n
+    c, n = C.count_tiles(codes, weights, side)
+    assert (np.diff(c) > 0).all()
+    assert dict(zip(c.tolist(), n.tolist())) == want
+    c, n = C.count_tiles(codes, None, side)
+    assert dict(zip(c.tolist(), n.tolist())) == Counter(codes.tolist())
+
+
+def test_exact_where_products_pass_64_bits(spark):
+    big = 9_000_000_000_000_000_001
+    phrases = spark.createDataFrame([("en", 1, "a", big + 5), ("en", 1, "b", big + 7), ("en", 2, "a b", big)], "lang string, k int, phrase string, f long")
+    totals = spark.createDataFrame([("en", big + 99)], "lang string, n long")
+    (row,) = C.collocations(totals, phrases).collect()
+    assert row.score == 2_000_000 * big // (2 * big + 12)
+
+
+def test_codes_that_do_not_fit_are_an_error():
+    with pytest.raises(OverflowError):
+        C.pair_codes(np.array([1, 1 << 40]), np.array([0, 1]), 2)[0]
+        C.pair_codes(np.array([1 << 40, 1]), np.array([0, 1]), 2)
