@@ -52,7 +52,7 @@ from spacetime.llm.repeats import BASE, mixed
 DEPTH = 3
 SYMBOL_MIN = 10
 CONTEXT_MIN = 32
-WEIGHT = 16.0
+WEIGHT = 64.0
 GAIN = 10.0
 #: Tokens of a chunk, and expected entries of a bucket.
 CHUNK_TOKENS = 1 << 20
