@@ -81,7 +81,7 @@ def chunks(docs: DataFrame, text_col: str, group_col: str, chunk_tokens: int) ->
                 t = c.tokens()
                 counts = np.bincount(t + 1, minlength=len(c.numbers))[1:]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([S.chunk_number(nth)], pa.int64()), pa.array([lang], pa.string()), pa.array([c.words()], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64())), pa.array([t.tobytes()], pa.binary())],
+                    [pa.array([S.chunk_number(nth)], pa.int64()), pa.array([lang], pa.string()), pa.array([c.words()], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64())), pa.array([S.packed(t)], pa.binary())],
                     names=["chunk", "lang", "words", "counts", "tokens"],
                 )
                 nth += 1
@@ -173,8 +173,8 @@ def counted(encoded: DataFrame, k: int, side: int, n_buckets: int, min_count: in
     chunk has."""
 
     def send(row: dict) -> Iterator[tuple]:
-        words = np.frombuffer(row["tokens"], dtype=np.int64)
-        prefix = np.frombuffer(row["prefix"], dtype=np.int64) if row["prefix"] is not None else words
+        words = S.unpacked(row["tokens"], "int64")
+        prefix = S.unpacked(row["prefix"], "int64") if row["prefix"] is not None else words
         codes = pair_codes(prefix, words, k)
         c, n = count_tiles(codes[codes >= 0], None, side)
         b = buckets_of(c, side, n_buckets)
@@ -200,7 +200,7 @@ def counted(encoded: DataFrame, k: int, side: int, n_buckets: int, min_count: in
         made = pd.DataFrame(out, columns=["lang", "bucket", "chunk", "at", "codes", "counts"])
         return made.assign(chunk=made["chunk"].astype("Int64"))
 
-    sent = S.arrow_map(encoded, send, "lang string, bucket int, chunk long, codes binary, counts binary")
+    sent = S.arrow_map(encoded.select("chunk", "lang", "tokens", "prefix"), send, "lang string, bucket int, chunk long, codes binary, counts binary")
     return stored(sent.groupBy("lang", "bucket").applyInPandas(add, "lang string, bucket int, chunk long, at binary, codes binary, counts binary"), f"phrase-counts-{k}")
 
 
@@ -242,8 +242,8 @@ def extended(encoded: DataFrame, counts: DataFrame, table: DataFrame, k: int) ->
     told = told.groupBy("chunk").agg(F.collect_list(F.struct("codes", "ids")).alias("t"))
 
     def attach(row: dict) -> Iterator[tuple]:
-        words = np.frombuffer(row["tokens"], dtype=np.int64)
-        prefix = np.frombuffer(row["prefix"], dtype=np.int64) if row["prefix"] is not None else words
+        words = S.unpacked(row["tokens"], "int64")
+        prefix = S.unpacked(row["prefix"], "int64") if row["prefix"] is not None else words
         out = np.full(len(words), -1, dtype=np.int64)
         if row["t"]:
             codes = np.concatenate([np.frombuffer(t["codes"], dtype=np.int64) for t in row["t"]])
@@ -254,9 +254,9 @@ def extended(encoded: DataFrame, counts: DataFrame, table: DataFrame, k: int) ->
             at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
             hit = codes[at] == own
             out[hit] = ids[at[hit]]
-        yield row["chunk"], row["lang"], words.tobytes(), out.tobytes()
+        yield row["chunk"], row["lang"], row["tokens"], S.packed(out)
 
-    return stored(S.arrow_map(encoded.join(told, "chunk", "left"), attach, "chunk long, lang string, tokens binary, prefix binary"), f"phrase-prefixes-{k}")
+    return stored(S.arrow_map(encoded.select("chunk", "lang", "tokens", "prefix").join(told, "chunk", "left"), attach, "chunk long, lang string, tokens binary, prefix binary"), f"phrase-prefixes-{k}")
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", group_col: str = "lang", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, chunk_tokens: int = S.CHUNK_TOKENS) -> tuple[DataFrame, DataFrame]:
@@ -273,14 +273,15 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", group_col: str = "lan
         number = np.full(row["n_words"] + 1, -1, dtype=np.int64)
         if row["id"] is not None:
             number[row["at"]] = row["id"]
-        yield row["chunk"], row["lang"], number[np.frombuffer(row["tokens"], dtype=np.int32)].tobytes(), None
+        t = S.unpacked(row["tokens"], "int32")
+        yield row["chunk"], row["lang"], S.packed(number[t]), None, len(t)
 
     joined = made.select("chunk", "lang", F.size("words").alias("n_words"), "tokens").join(told, "chunk", "left")
-    encoded = stored(S.arrow_map(joined, encode, "chunk long, lang string, tokens binary, prefix binary"), "phrase-prefixes-1")
+    encoded = stored(S.arrow_map(joined, encode, "chunk long, lang string, tokens binary, prefix binary, size long"), "phrase-prefixes-1")
 
-    size = encoded.agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.octet_length("tokens")).alias("bytes")).first()
+    size = encoded.agg(F.count(F.lit(1)).alias("chunks"), F.sum("size").alias("tokens")).first()
     side = max(1, min(10, (TILE_ENTRIES // max(1, size["chunks"])).bit_length() // 2))
-    n_buckets = max(shuffle_width(docs.sparkSession), int(size["bytes"] or 0) // 8 // BUCKET_ENTRIES + 1)
+    n_buckets = max(shuffle_width(docs.sparkSession), int(size["tokens"] or 0) // BUCKET_ENTRIES + 1)
     texts = words.select("lang", F.lit(1).alias("k"), "id", F.col("word").alias("phrase"), "f")
     single = words.select("lang", F.col("id").alias("word"), F.col("word").alias("last"))
     all_phrases = texts

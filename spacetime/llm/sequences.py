@@ -9,6 +9,7 @@ answered by joins on its distinct words, so no task holds the vocabulary.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,13 +23,22 @@ from pyspark.sql.types import StructType
 from spacetime.llm.common import stored
 
 #: Tokens after which a task closes a chunk (at the end of a document).
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 #: Stands between pieces; no UTF-8 text holds this byte.
 BREAK = b"\xff"
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def packed(a: np.ndarray) -> bytes:
+    """An array of tokens for a row: a reader holds many rows at a time."""
+    return zlib.compress(a.tobytes(), 1)
+
+
+def unpacked(b: bytes, dtype: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(b), dtype=dtype)
+
+
 class Numbers(dict):
     """Numbers words in the order in which they are asked for."""
 

@@ -33,7 +33,6 @@ table gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,14 +65,6 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").translate(S.LOWER).split() + [S.BREAK]
 
 
-def packed(a: np.ndarray) -> bytes:
-    return zlib.compress(a.tobytes(), 1)
-
-
-def unpacked(b: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(b), dtype=dtype)
-
-
 def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
     """``chunk, words, counts`` (training occurrences), ``tokens`` and, for each
     document, ``ids, sizes, train``; stored."""
@@ -87,7 +78,7 @@ def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tok
         def row() -> pa.RecordBatch:
             t = c.tokens()
             counts = np.bincount(t[np.repeat(train, sizes)] + 1, minlength=len(c.numbers))[1:]
-            values = [S.chunk_number(nth), c.words(), counts, packed(t), ids, sizes, train]
+            values = [S.chunk_number(nth), c.words(), counts, S.packed(t), ids, sizes, train]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, types)], names=types.names)
 
         for batch in batches:
@@ -133,7 +124,7 @@ def encoded(made: DataFrame, vocabulary: DataFrame, totals: Totals, symbol_min:
         c = np.zeros(len(row["words"]), dtype=np.int64)
         if row["c"] is not None:
             c[row["at"]] = row["c"]
-        t = unpacked(row["tokens"], "int32")
+        t = S.unpacked(row["tokens"], "int32")
         starts = np.cumsum(np.r_[0, row["sizes"]])[:-1]
         each = np.r_[c, totals.ends][t]  # an end is -1, the last
         base = np.log10((each + 0.5) / (totals.tokens + 0.5 * (totals.types + 1)))
@@ -145,7 +136,7 @@ def encoded(made: DataFrame, vocabulary: DataFrame, totals: Totals, symbol_min:
         hashes = np.array([xxhash.xxh64_intdigest(b"", END), xxhash.xxh64_intdigest(b"", RARE), *[xxhash.xxh64_intdigest(w, 42) for w in names]], dtype=np.uint64)
         counts = np.r_[totals.ends, totals.rare_tokens, c[frequent]]
         yield (
-            row["chunk"], packed(s), hashes.tobytes(), counts.astype(np.int64).tobytes(), row["ids"], row["sizes"], row["train"],
+            row["chunk"], S.packed(s), hashes.tobytes(), counts.astype(np.int64).tobytes(), row["ids"], row["sizes"], row["train"],
             np.add.reduceat(each > 0, starts, dtype=np.int64), np.add.reduceat(base, starts), np.add.reduceat(share, starts),
         )
 
@@ -177,7 +168,7 @@ class Tree:
     def view(self, row: dict, told: dict, upto: int) -> Iterator[dict]:
         """Levels 1 to ``upto`` of a chunk, each with what its tokens and
         answers give: places, their runs and contexts, and probabilities."""
-        s = unpacked(row["tokens"], "int32")
+        s = S.unpacked(row["tokens"], "int32")
         h = np.frombuffer(row["hashes"], dtype=np.uint64)
         c0 = np.frombuffer(row["counts"], dtype=np.int64)
         t = self.totals
