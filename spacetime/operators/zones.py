@@ -50,14 +50,21 @@ from spacetime.functions.geometry import (
     to_double,
 )
 from spacetime.functions.grid import TIME_FORMAT, parse_time
+from spacetime.operators.covers import Frame, cover_counts
 
 AUTO = "auto"
 NESTED_LOOP = "nested_loop"
 TILED_BROADCAST = "tiled_broadcast"
 TILED_SHUFFLE = "tiled_shuffle"
+#: Of counts only: see :mod:`spacetime.operators.covers`.
+COVER = "cover"
 STRATEGIES = (AUTO, NESTED_LOOP, TILED_BROADCAST, TILED_SHUFFLE)
 
 ZONE_COLS = ("x1", "y1", "x2", "y2")
+NESTED_LOOP_MAX_ZONES = 64
+# Options of the cover, and those that no other strategy has.
+COVER_ONLY = {"max_level", "cells_per_zone", "spare_cells", "slots_per_partition", "sample_rows", "shuffle"}
+COVER_OPTIONS = COVER_ONLY | {"px", "py", "broadcast_max_bytes"}
 
 
 # ------------------------------------------------------------------ inputs
@@ -154,6 +161,8 @@ class Axis:
     def __init__(self, row, axis: int, n: int):
         self.max_extent = row[f"max{axis}"] or 0.0
         self.far = row[f"far{axis}"] or 0.0
+        #: the lowest lower and the highest upper edge that are finite
+        self.low, self.high = row[f"lo{axis}"], row[f"hi{axis}"]
         typical, positive = row[f"typ{axis}"], row[f"pos{axis}"] or 0
         spread = (row[f"hi{axis}"] or 0.0) - (row[f"lo{axis}"] or 0.0)
         density = spread / math.sqrt(n) if n and 0 < spread < math.inf else None
@@ -384,10 +393,11 @@ def zone_point_pairs(
     fanout: int = 4,
     axis_tiles: int = 4,
     max_levels: int = 6,
-    nested_loop_max_zones: int = 64,
+    nested_loop_max_zones: int = NESTED_LOOP_MAX_ZONES,
     broadcast_max_bytes: int = 64 << 20,
     salt: int = 64,
     hot_share: int = 256,
+    stats: ZoneStats | None = None,
 ) -> DataFrame:
     """Inner join of points with the zones that contain them.
 
@@ -400,14 +410,15 @@ def zone_point_pairs(
     In the shuffled join a tile with more than 1 / ``hot_share`` of the points
     is split into up to ``salt`` parts (``salt=1``: none is).  A point's part is
     a hash of its own columns, so a task that runs again deals it alike; points
-    equal in every column share a part.
+    equal in every column share a part.  ``stats`` are those of ``zones`` if the
+    caller has them already.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if not 2 <= max_levels <= MAX_LEVELS:
         raise ValueError(f"max_levels must be 2 to {MAX_LEVELS}")
     pred = _contains(px, py)
-    stats = ZoneStats(zones)
+    stats = stats or ZoneStats(zones)
     valid = _valid(zones)
     points = points.filter(stats.point_filter(px, py))
 
@@ -461,8 +472,27 @@ def count_per_zone(pairs: DataFrame) -> DataFrame:
 
 
 def hot_zones(points: DataFrame, zones: DataFrame, **join_options) -> DataFrame:
-    """Points per rectangle: ``rectangle string, value bigint`` sorted by text."""
-    cols_p = [c for c in (join_options.get("px", "px"), join_options.get("py", "py"))]
-    pts = points.select(*cols_p)
+    """Points per rectangle: ``rectangle string, value bigint`` sorted by text.
+
+    Only counts are asked for, so ``strategy`` has one choice more than in
+    :func:`zone_point_pairs`: ``cover`` joins cells that a zone holds with the
+    number of their points, and compares points at a zone's edges only.  AUTO
+    takes it for more than ``nested_loop_max_zones`` zones.  The options of the
+    cover are those of :func:`spacetime.operators.covers.cover_counts`.
+    """
+    px, py = join_options.get("px", "px"), join_options.get("py", "py")
+    pts = points.select(px, py)
     zs = zones.select("rectangle", *ZONE_COLS)
-    return count_per_zone(zone_point_pairs(pts, zs, **join_options))
+    options = {k: v for k, v in join_options.items() if k in COVER_OPTIONS}
+    strategy = join_options.get("strategy", AUTO)
+    # an option of the tile join asks for it
+    if strategy == COVER or (strategy == AUTO and not pts.isStreaming and set(join_options) <= COVER_OPTIONS | {"strategy", "nested_loop_max_zones"}):
+        stats = ZoneStats(zs)
+        few = stats.n <= join_options.get("nested_loop_max_zones", NESTED_LOOP_MAX_ZONES)
+        if strategy == COVER or not few:
+            axes = stats.axes
+            frame = Frame(tuple(a.low or 0.0 for a in axes), tuple(a.high or 0.0 for a in axes))
+            inside = pts.filter(stats.point_filter(px, py))
+            return cover_counts(inside, _valid(zs), frame, stats.n, stats.row_bytes, **options).orderBy("rectangle")
+        join_options["stats"] = stats
+    return count_per_zone(zone_point_pairs(pts, zs, **{k: v for k, v in join_options.items() if k not in COVER_ONLY}))

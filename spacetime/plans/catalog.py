@@ -120,6 +120,16 @@ def q_hot_zones_unbounded(spark, d):
     return hot_zones(lineitem_points(spark, d), _many_zones(nation_zones(spark, d)))
 
 
+def q_hot_zones_cover(spark, d):
+    """Zones of any size and without edges, counted by cells they hold."""
+    return hot_zones(lineitem_points(spark, d), _many_zones(nation_zones(spark, d)), strategy="cover")
+
+
+def q_hot_zones_cover_shuffle(spark, d):
+    """The same with the points shuffled by slots of a sample."""
+    return hot_zones(lineitem_points(spark, d), _many_zones(nation_zones(spark, d)), strategy="cover", shuffle=True)
+
+
 def q_hot_zones_sql(spark, d):
     """The zone count in SQL over two text views, joined by tiles."""
     points, rects, pairs = _view_name("point_text"), _view_name("rectangle_text"), _view_name("zone_pairs")
@@ -131,10 +141,10 @@ def q_hot_zones_sql(spark, d):
 
 def q_adjacent_flags(spark, d):
     """``is_adjacent`` of every populated cell and the cells up to two steps
-    away on x, up to two above it on y and one above it on z, in the grid or not."""
+    away on x and y and one on z, in the grid or not."""
     step = lambda c, lo, hi: F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(c)
     cells = _ev_counts(spark, d).select("x", "y", "z")
-    near = cells.select("*", step("dx", -2, 2)).select("*", step("dy", 0, 2)).select("*", step("dz", 0, 1))
+    near = cells.select("*", step("dx", -2, 2)).select("*", step("dy", -2, 2)).select("*", step("dz", -1, 1))
     to = [(F.col(c) + F.col(f"d{c}")).alias(f"n{c}") for c in ("x", "y", "z")]
     near = near.select("x", "y", "z", *to)
     return near.withColumn("adjacent", is_adjacent("x", "y", "z", "nx", "ny", "nz", EV_GRID))
@@ -276,6 +286,8 @@ QUERIES: dict[str, Query] = {
     "hot_zones_duplicates": q_hot_zones_duplicates,
     "hot_zones_text": q_hot_zones_text,
     "hot_zones_unbounded": q_hot_zones_unbounded,
+    "hot_zones_cover": q_hot_zones_cover,
+    "hot_zones_cover_shuffle": q_hot_zones_cover_shuffle,
     "hot_zones_sql": q_hot_zones_sql,
     "adjacent_flags": q_adjacent_flags,
     "cell_assign": q_cell_assign,
@@ -462,8 +474,8 @@ SELECT x, y, z, nx, ny, nz,
        AND nz BETWEEN {g.min_z} AND {g.max_z}
        AND abs(x - nx) <= 1 AND abs(y - ny) <= 1 AND abs(z - nz) <= 1 AS adjacent
 FROM (SELECT x, y, z, x + dx.d AS nx, y + dy.d AS ny, CAST(z + dz.d AS INTEGER) AS nz
-      FROM ({_ev_counts_sql()}) c, (VALUES (-2), (-1), (0), (1), (2)) dx(d), (VALUES (0), (1), (2)) dy(d),
-           (VALUES (0), (1)) dz(d)) p
+      FROM ({_ev_counts_sql()}) c, (VALUES (-2), (-1), (0), (1), (2)) dx(d), (VALUES (-2), (-1), (0), (1), (2)) dy(d),
+           (VALUES (-1), (0), (1)) dz(d)) p
 """
 
 
@@ -515,6 +527,8 @@ ORACLE_SQL: dict[str, str] = {
     "hot_zones_duplicates": _hot_zones_sql(f"SELECT * FROM ({NATION_ZONES}) a UNION ALL SELECT * FROM ({NATION_ZONES}) b"),
     "hot_zones_text": _hot_zones_sql(),
     "hot_zones_unbounded": _hot_zones_sql(_many_zones_sql()),
+    "hot_zones_cover": _hot_zones_sql(_many_zones_sql()),
+    "hot_zones_cover_shuffle": _hot_zones_sql(_many_zones_sql()),
     "hot_zones_sql": _hot_zones_sql(),
     "adjacent_flags": _adjacent_flags_sql(),
     "cell_assign": _cells_sql(EV_POINTS, EV_GRID, "event_id"),
