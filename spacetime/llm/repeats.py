@@ -1,7 +1,7 @@
 """Passages that occur more than once, found without comparing documents.
 
 Shared by the substring and suffix-order deduplications.  Texts are dealt once
-into blocks by a hash of the document's id; every stage groups the same
+into blocks by a hash of the document's id and text; every stage groups the same
 exchange by block.  A stage answers questions about keys: each block sends every
 key it has once (whatever a key occurs inside a block is settled there), keys
 meet in buckets by hash, and each bucket answers the blocks.  So a key that a
@@ -31,19 +31,30 @@ PLACE_BITS = np.uint64(24)
 PLACE_MASK = np.uint64((1 << 24) - 1)
 SECTION = 1 << 23
 NO_ID = (1 << 63) - 1
+#: Bytes of text for which there is a block.
+BLOCK_BYTES = 16 << 20
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, n_blocks: int | None = None) -> DataFrame:
-    """``blk, did, missing, text``: ids as long, a null id after all others."""
+    """``blk, did, turn, missing, text``: ids as long, a null id after all others.
+
+    ``turn`` is a hash of id and text; blocks are ranges of it, so rows that
+    share an id (or have none) are dealt out too, and the rows of one id keep
+    the order of their turns within a block and between blocks.  By itself there
+    is a block for ``BLOCK_BYTES`` of text and two for a shuffle partition."""
     did = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    n = n_blocks or 2 * shuffle_width(docs.sparkSession)
+    n = n_blocks
+    if n is None:
+        size = docs.agg(F.sum(F.octet_length(text_col).cast("double"))).first()[0] or 0.0
+        n = max(2 * shuffle_width(docs.sparkSession), int(size / BLOCK_BYTES) + 1)
     src = docs.select(did.alias("did"), F.col(id_col).isNull().alias("missing"), F.col(text_col).alias("text"))
-    return src.select(F.pmod(F.xxhash64("did"), F.lit(n)).cast("int").alias("blk"), "did", "missing", "text")
+    turned = src.withColumn("turn", F.shiftrightunsigned(F.xxhash64("did", "text"), 1))
+    return turned.select(F.least(F.lit(n - 1), F.call_function("div", F.col("turn"), F.lit(min(NO_ID, NO_ID // n + 1)))).cast("int").alias("blk"), "did", "turn", "missing", "text")
 
 
 def ordered(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A block's rows in the order every stage uses: by id, then text."""
-    return pdf.assign(text=pdf["text"].fillna("")).sort_values(["did", "text"], kind="stable").reset_index(drop=True)
+    """A block's rows in the order every stage uses: by id, then turn and text."""
+    return pdf.assign(text=pdf["text"].fillna("")).sort_values(["did", "turn", "text"], kind="stable").reset_index(drop=True)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

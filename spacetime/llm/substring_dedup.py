@@ -6,11 +6,13 @@ and only those repeated at the new length survive, until the wanted length is
 reached or none survive.  Of level one only the windows that anchor a window of
 the final length are looked at (see ``repeats``), which drops none: the anchors
 of equal windows are equal.  At the last level a window's 96-bit key meets the
-keys of the other blocks, and all but the first occurrence (by id, then text,
-then place) are removed.
+keys of the other blocks, and all but the first occurrence (by id, then a hash
+of id and text, then place) are removed.
 
 Edge cases: null, empty or short texts lose nothing; rows with one id count as
-one document, the rows in order of text; a null id comes after all others.
+one document, the rows in order of that hash; a null id comes after all others;
+an empty table gives no rows; a very long text is read whole, in one block;
+columns of any other name are not looked at.
 """
 
 from __future__ import annotations
@@ -108,7 +110,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "
         if some:
             a, did, b, o, p = (np.concatenate([x[i] for _, x in some]) for i in range(5))
             blk = np.concatenate([np.full(len(x[0]), k) for k, x in some])
-            order = np.lexsort((did, b, a))
+            # rows of one id in several blocks: blocks follow their turns
+            order = np.lexsort((blk, did, b, a))
             gone = order[np.r_[False, (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])]]
             for k in np.unique(blk[gone]):
                 w = gone[blk[gone] == k]

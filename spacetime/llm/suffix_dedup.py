@@ -16,7 +16,8 @@ array operations over all groups of a bucket.
 
 Edge cases: null, empty or short texts lose nothing; a string repeated only in
 its own document stays; rows with one id never remove each other's strings; a
-null id comes after all others.
+null id comes after all others; an empty table gives no rows; a very long text
+is read whole, in one block; columns of any other name are not looked at.
 """
 
 from __future__ import annotations

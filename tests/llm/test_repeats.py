@@ -1,8 +1,10 @@
 import hashlib
 import random
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 
 from spacetime.llm import repeats as R
 from spacetime.llm.substring_dedup import substring_dedup
@@ -25,8 +27,14 @@ def corpus(prose):
     return rows
 
 
+def turn(i, text):
+    """The hash of id and text that orders the rows of one id."""
+    h = xxhash.xxh64_intdigest(struct.pack("<q", NO if i is None else i), 42)
+    return (h if text is None else xxhash.xxh64_intdigest(text.encode(), h)) >> 1
+
+
 def order(rows):
-    return sorted(range(len(rows)), key=lambda k: (NO if rows[k][0] is None else rows[k][0], rows[k][1] or ""))
+    return sorted(range(len(rows)), key=lambda k: (NO if rows[k][0] is None else rows[k][0], turn(*rows[k]), rows[k][1] or ""))
 
 
 def slow_words(rows, n=20):
@@ -142,3 +150,27 @@ def test_gram_hashes_name_the_gram():
         h = R.gram_hashes(units, n)
         grams = [tuple(units[i : i + n]) for i in range(len(units) - n + 1)]
         assert len(h) == len(grams) and all((h[i] == h[j]) == (grams[i] == grams[j]) for i in range(len(h)) for j in range(len(h)))
+
+
+def test_rows_without_an_id_are_dealt_out(make_docs, prose):
+    rows = [(None, prose(i, 30)) for i in range(600)] + [(7, prose(i, 30)) for i in range(600, 900)] + [(1000 + i, prose(i, 30)) for i in range(900, 1800)]
+    sizes = [r["count"] for r in R.blocks(make_docs(rows), "doc_id", "text", 16).groupBy("blk").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * len(rows) / 16
+
+
+def test_many_rows_of_one_id_match_brute_force(make_docs, prose):
+    shared = [prose(700 + i, 26) for i in range(3)]
+    rows = [(None if i % 3 else 5, prose(i % 20, 15) + " " + shared[i % 3] + " " + prose(40 + i % 7, 12)) for i in range(60)]
+    got = substring_dedup(make_docs(rows), n_blocks=7).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == slow_words(rows)
+    got = suffix_dedup(make_docs(rows), n_blocks=7).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == slow_bytes(rows)
+
+
+def test_empty_tables_and_a_very_long_text(make_docs, prose):
+    assert substring_dedup(make_docs([])).collect() == [] and suffix_dedup(make_docs([])).collect() == []
+    rows = [(1, prose(1, 40_000)), (2, "x " + prose(1, 40_000)), (3, prose(2, 40))]
+    got = substring_dedup(make_docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == slow_words(rows)
+    got = suffix_dedup(make_docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == slow_bytes(rows)
