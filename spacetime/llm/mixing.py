@@ -136,15 +136,18 @@ def rounded(rated: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     from the sum of the ranges before it."""
     order = [F.col("source").isNull().asc(), F.col("source").asc(), F.col("size").asc(), F.col("id").asc(), F.col("row").asc()]
     dealt = stored(rated.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "mix-order")
-    sums = dealt.groupBy("source", "part").agg(F.sum("units").alias("units"))
+    # a source of 2 ** 33 documents has more units than a long holds
+    exact = F.col("units").cast("decimal(20,0)")
+    sums = dealt.groupBy("source", "part").agg(F.sum(exact).cast("decimal(38,0)").alias("units"))
     parts = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.withColumn("before", F.coalesce(F.sum("units").over(parts), F.lit(0))).select(F.col("source").alias("s"), F.col("part").alias("p"), "before")
+    before = sums.withColumn("before", F.coalesce(F.sum("units").over(parts), F.lit(0)).cast("decimal(38,0)")).select(F.col("source").alias("s"), F.col("part").alias("p"), "before")
     here = Window.partitionBy("source", "part").orderBy("size", "id", "row").rowsBetween(Window.unboundedPreceding, 0)
-    run = dealt.withColumn("run", F.sum("units").over(here))
+    run = dealt.withColumn("run", F.sum(exact).over(here).cast("decimal(38,0)"))
     run = run.join(bounded_broadcast(stored(before, "mix-offsets"), BROADCAST_ROWS), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
-    end = F.col("before") + F.col("run") + UNIT // 2
-    copies = F.floor(end / UNIT) - F.floor((end - F.col("units")) / UNIT)
-    return run.withColumn("copies", F.least(F.lit(max_copies), copies).cast("int")).drop("s", "p", "part", "run", "before")
+    unit = F.lit(UNIT).cast("decimal(20,0)")
+    end = (F.col("before") + F.col("run") + F.lit(UNIT // 2)).cast("decimal(38,0)")
+    steps = F.call_function("div", end, unit) - F.call_function("div", (end - exact).cast("decimal(38,0)"), unit)
+    return run.withColumn("copies", F.least(F.lit(max_copies), steps).cast("int")).drop("s", "p", "part", "run", "before")
 
 
 def mended(copied: DataFrame, state: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:

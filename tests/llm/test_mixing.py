@@ -66,3 +66,11 @@ def test_rates_are_the_entropy_optimum(spark):
     row = M.solve(hist, target).first()
     q = {n: 2 / (1 + math.exp(-row.lam * n / row.mean)) for n in (1, 5, 20, 100)}
     assert sum(10 * n * x for n, x in q.items()) == pytest.approx(900, rel=1e-6)
+
+
+def test_running_sums_pass_the_range_of_a_long(spark):
+    # each row stands for 2 ** 31 documents taken twice: four are more units than a long holds
+    rows = [(i, i, "s", 10, 2**62) for i in range(6)] + [(10 + i, 10 + i, "t", 5, M.UNIT // 2) for i in range(6)]
+    out = M.rounded(spark.createDataFrame(rows, "row long, id long, source string, size long, units long"), max_copies=2**31 - 1).collect()
+    assert [r.copies for r in out if r.source == "s"] == [2**31 - 1] * 6  # as many as are allowed
+    assert sum(r.copies for r in out if r.source == "t") == 3
