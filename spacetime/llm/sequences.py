@@ -73,8 +73,7 @@ def chunk_number(nth: int) -> int:
 
 def arrow_map(df: DataFrame, run: Callable[[dict], Iterator[tuple]], schema: str) -> DataFrame:
     """``run(row)`` yields the rows made of each row of ``df`` (a dict of plain
-    values, arrays as numpy); each row that comes out is a batch of its own, as
-    chunks are large."""
+    values, arrays as numpy); those of one row are a batch, as chunks are large."""
     types = to_arrow_schema(StructType.fromDDL(schema))
     names = df.columns
 
@@ -86,8 +85,9 @@ def arrow_map(df: DataFrame, run: Callable[[dict], Iterator[tuple]], schema: str
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                for out in run({n: value(batch.column(c)[i]) for c, n in enumerate(names)}):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(out, types)], names=types.names)
+                made = list(run({n: value(batch.column(c)[i]) for c, n in enumerate(names)}))
+                if made:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(v), f.type) for v, f in zip(zip(*made), types)], names=types.names)
 
     return df.mapInArrow(each, schema)
 
