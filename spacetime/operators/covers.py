@@ -51,6 +51,7 @@ MAX_LEVEL = 12
 #: What a plan says if it has no estimate is near the largest long.
 UNKNOWN_SIZE = 1 << 60
 ZONE_AXES = (("x1", "x2"), ("y1", "y2"))
+EDGES = ["rectangle", *(c for axis in ZONE_AXES for c in axis)]
 
 
 # ------------------------------------------------------------------ cells
@@ -291,11 +292,9 @@ def cover_counts(
     """
     if not 0 <= max_level <= DEPTH:
         raise ValueError(f"max_level must be 0 to {DEPTH}")
-    edges = ["rectangle", *(c for axis in ZONE_AXES for c in axis)]
-    spans = zone_spans(zones.select(*edges), frame)
+    spans = zone_spans(zones.select(*EDGES), frame)
     level, n_border = deepest_level(spans, float(cells_per_zone) * n_zones + spare_cells, max_level)
-    border = border_of(spans, level, edges)
-    inside = inside_of(spans, level, ["rectangle"])
+    border = border_of(spans, level, EDGES)
     keyed = point_keys(points.select(px, py), frame, px, py)
     match = contains("x1", "y1", "x2", "y2", px, py)
     if shuffle is None:
@@ -312,7 +311,13 @@ def cover_counts(
         celled = keyed.select(px, py, F.shiftright("_key", 2 * (DEPTH - level)).alias("_cell"))
         counts = celled.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
         pairs = celled.join(F.broadcast(border), "_cell").where(match)
-    whole = counts_of_levels(counts.select("_cell", "_n"), level).join(inside, "_name").groupBy("rectangle").agg(F.sum("_n").alias("_n"))
     parts = pairs.groupBy("rectangle").agg(F.count(F.lit(1)).alias("_n"))
+    return total_counts(counts.select("_cell", "_n"), parts, spans, level)
+
+
+def total_counts(counts: DataFrame, parts: DataFrame, spans: DataFrame, level: int) -> DataFrame:
+    """``rectangle, value``: the points ``_cell, _n`` of cells that zones hold,
+    and the matches ``rectangle, _n`` of the points at their edges."""
+    whole = counts_of_levels(counts, level).join(inside_of(spans, level, ["rectangle"]), "_name").groupBy("rectangle").agg(F.sum("_n").alias("_n"))
     both = whole.unionByName(parts).groupBy("rectangle").agg(F.sum("_n").alias("_n"))
     return both.select("rectangle", F.when(F.col("rectangle").isNull(), F.lit(0)).otherwise(F.col("_n")).cast("long").alias("value"))

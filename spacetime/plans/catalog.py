@@ -22,6 +22,9 @@ from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.gistar import hot_cells, score_cells
 from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
 from spacetime.operators.zones import hot_zones, points_from_text, zone_point_pairs, zones_from_text
+from spacetime.plans.jobs import run_batch
+from spacetime.session import shared_folder
+from spacetime.sources.csv import read_points_csv, read_rectangles_csv, read_report, write_points_csv, write_rectangles_csv, write_report
 from spacetime.sources.tables import (
     embedding_points,
     events_lonlat_points,
@@ -30,6 +33,7 @@ from spacetime.sources.tables import (
     lineitem_points,
     lineitem_points_of,
     nation_zones,
+    table,
 )
 from spacetime.streaming.hotspots import read_parquet_stream, run_to_table, start_hot_cells, start_zone_counts
 
@@ -130,6 +134,73 @@ def q_hot_zones_cover_shuffle(spark, d):
     return hot_zones(lineitem_points(spark, d), _many_zones(nation_zones(spark, d)), strategy="cover", shuffle=True)
 
 
+# ---- files in the original formats, written from the tables and read back
+
+
+def _point_file(spark, d) -> str:
+    """The ``events`` in degrees as a point file."""
+    path = shared_folder(spark, "points-csv")
+    ev = events_lonlat_points(spark, d).select(point_text("px", "py").alias("point"), F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("pickup_time"))
+    write_points_csv(ev, path)
+    return path
+
+
+def _degree_zones(spark, d) -> DataFrame:
+    """A rectangle in degrees per nation, and a remark with a comma, a TAB and quotes."""
+    k = F.col("n_nationkey")
+    x, y = (k % 5).cast("int"), F.expr("cast(n_nationkey div 5 as int)")
+    text = F.concat(F.lit("-74."), 5 - x, F.lit(",40."), 50 + 8 * y, F.lit(",-74."), 4 - x, F.lit(",40."), 59 + 8 * y)
+    return table(spark, d, "nation").select(text.alias("rectangle"), F.concat("n_name", F.lit(',\t"'), "n_nationkey", F.lit('"')).alias("remark"))
+
+
+def _rectangle_file(spark, d) -> str:
+    path = shared_folder(spark, "rectangles-tsv")
+    write_rectangles_csv(_degree_zones(spark, d), path, extra=("remark",))
+    return path
+
+
+def q_point_file_scan(spark, d):
+    """A point file read back: the pickup time's text and the point's numbers."""
+    return points_from_text(read_points_csv(spark, _point_file(spark, d)), "point", keep=("pickup_time",))
+
+
+def q_rectangle_file_scan(spark, d):
+    """A rectangle file with quoted TAB text read back, and its numbers."""
+    return zones_from_text(read_rectangles_csv(spark, _rectangle_file(spark, d)), "rectangle")
+
+
+def q_report_file(spark, d):
+    """The zone report written as part files (quoted commas) and read back."""
+    path = shared_folder(spark, "report")
+    write_report(q_hot_zones(spark, d), path)
+    return read_report(spark, path, "rectangle string, value long")
+
+
+def q_report_single_file(spark, d):
+    """The zone report in one file, and in how many files it lies."""
+    path = shared_folder(spark, "report")
+    write_report(q_hot_zones(spark, d), path, single_file=True)
+    rows = read_report(spark, path, "rectangle string, value long")
+    return rows.withColumn("files", rows.select("_metadata.file_path").agg(F.countDistinct("file_path")).scalar())
+
+
+def _batch(spark, d, shared_scan: bool):
+    points, prefix = _point_file(spark, d), shared_folder(spark, "batch")
+    paths = run_batch(spark, prefix, [("hotzoneanalysis", [points, _rectangle_file(spark, d)]), ("hotcellanalysis", [points])], shared_scan=shared_scan)
+    zones = read_report(spark, paths[0], "rectangle string, value long").select(F.lit(0).alias("report"), "rectangle", F.col("value").cast("double").alias("x"), *[F.lit(None).cast("double").alias(c) for c in "yz"])
+    return zones.unionByName(read_report(spark, paths[1], "x double, y double, z double").select(F.lit(1).alias("report"), F.lit(None).cast("string").alias("rectangle"), "x", "y", "z"))
+
+
+def q_batch_reports(spark, d):
+    """Both queries as a batch over files; the rows of both reports."""
+    return _batch(spark, d, False)
+
+
+def q_batch_reports_shared(spark, d):
+    """The same batch with one scan of the point file."""
+    return _batch(spark, d, True)
+
+
 def q_hot_zones_sql(spark, d):
     """The zone count in SQL over two text views, joined by tiles."""
     points, rects, pairs = _view_name("point_text"), _view_name("rectangle_text"), _view_name("zone_pairs")
@@ -289,6 +360,12 @@ QUERIES: dict[str, Query] = {
     "hot_zones_cover": q_hot_zones_cover,
     "hot_zones_cover_shuffle": q_hot_zones_cover_shuffle,
     "hot_zones_sql": q_hot_zones_sql,
+    "point_file_scan": q_point_file_scan,
+    "rectangle_file_scan": q_rectangle_file_scan,
+    "report_file": q_report_file,
+    "report_single_file": q_report_single_file,
+    "batch_reports": q_batch_reports,
+    "batch_reports_shared": q_batch_reports_shared,
     "adjacent_flags": q_adjacent_flags,
     "cell_assign": q_cell_assign,
     "cell_assign_day_of_year": q_cell_assign_day_of_year,
@@ -466,6 +543,22 @@ UNION ALL SELECT rectangle, -{inf}, -{inf}, {inf}, {inf} FROM {nz} f WHERE x1 =
 """
 
 
+DEGREE_ZONES = """
+SELECT rectangle, CAST(string_split(rectangle, ',')[1] AS DOUBLE) AS x1, CAST(string_split(rectangle, ',')[2] AS DOUBLE) AS y1,
+       CAST(string_split(rectangle, ',')[3] AS DOUBLE) AS x2, CAST(string_split(rectangle, ',')[4] AS DOUBLE) AS y2
+FROM (SELECT '-74.' || (5 - n_nationkey % 5) || ',40.' || (50 + 8 * (n_nationkey // 5)) || ',-74.' || (4 - n_nationkey % 5) || ',40.' || (59 + 8 * (n_nationkey // 5)) AS rectangle FROM nation) r
+"""
+
+
+def _batch_sql() -> str:
+    return f"""
+SELECT 0 AS report, rectangle, CAST(COUNT(*) AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y, CAST(NULL AS DOUBLE) AS z
+FROM ({EV_LONLAT_POINTS}) p JOIN ({DEGREE_ZONES}) zn ON p.px BETWEEN zn.x1 AND zn.x2 AND p.py BETWEEN zn.y1 AND zn.y2
+GROUP BY rectangle
+UNION ALL SELECT 1, CAST(NULL AS VARCHAR), x, y, z FROM ({_top_sql(EV_LONLAT_POINTS, GridSpec.default())}) c
+"""
+
+
 def _adjacent_flags_sql() -> str:
     g = EV_GRID
     return f"""
@@ -530,6 +623,12 @@ ORACLE_SQL: dict[str, str] = {
     "hot_zones_cover": _hot_zones_sql(_many_zones_sql()),
     "hot_zones_cover_shuffle": _hot_zones_sql(_many_zones_sql()),
     "hot_zones_sql": _hot_zones_sql(),
+    "point_file_scan": f"SELECT strftime(t, '%Y-%m-%d %H:%M:%S') AS pickup_time, px, py FROM ({EV_LONLAT_POINTS}) p",
+    "rectangle_file_scan": DEGREE_ZONES,
+    "report_file": _hot_zones_sql(),
+    "report_single_file": f"SELECT rectangle, value, CAST(1 AS BIGINT) AS files FROM ({_hot_zones_sql()}) r",
+    "batch_reports": _batch_sql(),
+    "batch_reports_shared": _batch_sql(),
     "adjacent_flags": _adjacent_flags_sql(),
     "cell_assign": _cells_sql(EV_POINTS, EV_GRID, "event_id"),
     "cell_assign_day_of_year": _cells_sql(LI_POINTS, LI_DOY_GRID, "l_orderkey, l_linenumber"),

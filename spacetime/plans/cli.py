@@ -30,13 +30,14 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--query", nargs="+", action="append", required=True, metavar=("NAME", "PATH"),
                    help=f"query name ({', '.join(sorted(QUERIES))}) followed by its input path(s)")
     p.add_argument("--single-file", action="store_true", help="write each report as one file, through one task")
+    p.add_argument("--shared-scan", action="store_true", help="read a point file once for two neighbouring queries of both kinds")
     return p.parse_args(argv)
 
 
 def main(argv=None) -> list[str]:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("spacetime-batch").getOrCreate()
-    return run_batch(spark, args.output, [(q[0], q[1:]) for q in args.query], args.single_file)
+    return run_batch(spark, args.output, [(q[0], q[1:]) for q in args.query], args.single_file, args.shared_scan)
 
 
 if __name__ == "__main__":

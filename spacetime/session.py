@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package.
 RECOMMENDED_CONF = {
@@ -48,3 +49,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/spacetime-{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: lineage ends here,
+    and every reader sees the same rows also after executors are lost."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,8 @@ the first projection, and Spark's CSV scan prunes the rest.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Delimiters and column positions of the two input formats.
@@ -52,6 +53,28 @@ def read_rectangles_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(raw["_c0"].alias("rectangle"))
 
 
+def write_points_csv(df: DataFrame, path: str, point: str = "point", time: str = "pickup_time") -> None:
+    """A point file of ``df``: time and point in their columns, the others empty;
+    values that hold the separator or a quote are quoted."""
+    empty = F.lit("")
+    cols: list[Column] = [empty] * len(POINT_FILE_SCHEMA)
+    cols[POINT_TIME_POS], cols[POINT_POS] = F.col(time), F.col(point)
+    out = df.select(*[c.alias(f"_c{i}") for i, c in enumerate(cols)])
+    out.write.option("sep", POINT_SEP).option("header", "false").csv(path)
+
+
+def write_rectangles_csv(df: DataFrame, path: str, rectangle: str = "rectangle", extra: tuple[str, ...] = ()) -> None:
+    """A rectangle file of ``df``: the text first, then the columns ``extra``;
+    values that hold a TAB or a quote are quoted."""
+    out = df.select(F.col(rectangle).alias("_c0"), *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(extra, 1)])
+    out.write.option("sep", RECTANGLE_SEP).option("header", "false").csv(path)
+
+
+def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A report's rows, its columns named and typed by ``schema``."""
+    return spark.read.schema(schema).option("header", "false").csv(path)
+
+
 def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Overwrite ``path`` with header-less CSV.
 
