@@ -9,6 +9,7 @@ answered by joins on its distinct words, so no task holds the vocabulary.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from spacetime.llm.common import stored
+from spacetime.llm.common import shuffle_width, stored
+from spacetime.session import checkpoint_dir
 
 #: Tokens after which a task closes a chunk (at the end of a document).
 CHUNK_TOKENS = 1 << 20
@@ -92,6 +94,18 @@ def arrow_map(df: DataFrame, run: Callable[[dict], Iterator[tuple]], schema: str
     return df.mapInArrow(each, schema)
 
 
+def by_chunk(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written in buckets of its column ``chunk``: joins on it read the
+    buckets in place and shuffle nothing.  The table's name is dropped at once,
+    its files stay where every executor reads them."""
+    spark = df.sparkSession
+    table, path = f"chunks_{uuid.uuid4().hex}", f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(shuffle_width(spark), "chunk").sortBy("chunk").saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def ranked(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
     """``df`` stored with ``id``: its rows' places (from 0) in ``order`` within
     each ``group``.  The rows are sorted by ranges; a range's first place comes

@@ -19,11 +19,12 @@ word's share of it, which leaves a part for words never seen.  So each context's
 probabilities, with one unknown word, sum to 1.
 
 The tree lives where it is needed: every chunk of the corpus asks, level by
-level, for the counts of the word runs it has (its training documents add to
-them) and for the contexts that are retained.  Questions meet in buckets by
-hash, pre-aggregated by chunk, and are answered there; no task, and not the
-driver, holds the model, which grows with the corpus.  Runs are told apart by
-64-bit hashes.
+level, for the counts of the words and word runs it has (its training documents
+add to them) and for the contexts that are retained.  Questions meet in buckets
+by hash, pre-aggregated by chunk, and are answered there; no task, and not the
+driver, holds the model, which grows with the corpus.  Chunks and answers lie in
+buckets by chunk, so that tokens are never shuffled.  Words are told apart by
+64-bit hashes, runs by 40 bits of theirs within a bucket.
 
 Edge cases: null or empty text is one end token; a null id is not held out and
 trains; repeated rows train again and are scored each; a very long text is one
@@ -58,7 +59,9 @@ CHUNK_TOKENS = 1 << 20
 BUCKET_ENTRIES = 1 << 20
 
 END, RARE = 0, 1
-COUNTS, GAINS = 0, 1
+WORDS, COUNTS, GAINS = 0, 1, 2
+#: Bytes of a code that are sent; the bucket tells more of it.
+SENT = {WORDS: 8, COUNTS: 5, GAINS: 5}
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -66,19 +69,18 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
-    """``chunk, words, counts`` (training occurrences), ``tokens`` and, for each
-    document, ``ids, sizes, train``; stored."""
+    """``chunk, words, tokens`` and, for each document, ``ids, sizes, train``, in
+    buckets by chunk.  Words are joined by line ends, which no word holds."""
     src = docs.select(F.col(id_col).alias("i"), F.coalesce(learn, F.lit(False)).alias("l"), F.col(text_col).cast("string").alias("t"))
-    schema = f"chunk long, words array<string>, counts array<long>, tokens binary, ids array<{src.schema['i'].dataType.simpleString()}>, sizes array<long>, train array<boolean>"
+    schema = f"chunk long, words binary, tokens binary, ids array<{src.schema['i'].dataType.simpleString()}>, sizes array<long>, train array<boolean>"
     types = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nth, c, ids, sizes, train = 0, S.Chunk(), [], [], []
 
         def row() -> pa.RecordBatch:
-            t = c.tokens()
-            counts = np.bincount(t[np.repeat(train, sizes)] + 1, minlength=len(c.numbers))[1:]
-            values = [S.chunk_number(nth), c.words(), counts, S.packed(t), ids, sizes, train]
+            words = b"\n".join(w for w in c.numbers if w != S.BREAK)
+            values = [S.chunk_number(nth), words, S.packed(c.tokens()), ids, sizes, train]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, types)], names=types.names)
 
         for batch in batches:
@@ -94,170 +96,195 @@ def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tok
         if ids:
             yield row()
 
-    return stored(src.mapInArrow(run, schema), "tree-chunks")
+    return S.by_chunk(src.mapInArrow(run, schema), "tree-chunks")
 
 
 class Totals:
     """What all training tokens add up to: numbers for the driver."""
 
-    def __init__(self, vocabulary: DataFrame, made: DataFrame, symbol_min: int):
-        frequent = F.col("c") >= symbol_min
-        v = vocabulary.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n"), F.count(F.when(frequent, 1)).alias("a"), F.sum(F.when(~frequent, F.col("c"))).alias("rare")).first()
-        d = made.agg(F.sum(F.size(F.filter("train", lambda x: x))).alias("ends"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("tokens")).first()
+    def __init__(self, made: DataFrame, sums: DataFrame):
+        d = made.agg(F.sum(F.size(F.filter("train", lambda x: x))).alias("ends")).first()
+        v = sums.agg(*[F.sum(c).alias(c) for c in ("types", "tokens", "symbols", "rare")]).first()
         self.ends = int(d["ends"] or 0)
-        self.all_tokens = int(d["tokens"] or 0)
-        self.tokens = int(v["n"] or 0) + self.ends
-        self.types = int(v["v"]) + (self.ends > 0)
-        self.symbols = int(v["a"])
+        self.tokens = int(v["tokens"] or 0) + self.ends
+        self.types = int(v["types"] or 0) + (self.ends > 0)
+        self.symbols = int(v["symbols"] or 0)
         self.rare_tokens = int(v["rare"] or 0)
-        self.rare_types = int(v["v"]) - self.symbols
-
-
-def encoded(made: DataFrame, vocabulary: DataFrame, totals: Totals, symbol_min: int) -> DataFrame:
-    """Chunks in symbols: ``chunk, tokens, hashes, counts`` of their symbols, and
-    for each document ``ids, sizes, train, known, base`` and ``rare``, the log10
-    of its rare words' shares of the rare symbol; stored."""
-    asked = made.select("chunk", F.posexplode("words").alias("at", "word"))
-    told = S.answers(asked, vocabulary, ["word"], "c")
-
-    def run(row: dict) -> Iterator[tuple]:
-        c = np.zeros(len(row["words"]), dtype=np.int64)
-        if row["c"] is not None:
-            c[row["at"]] = row["c"]
-        t = S.unpacked(row["tokens"], "int32")
-        starts = np.cumsum(np.r_[0, row["sizes"]])[:-1]
-        each = np.r_[c, totals.ends][t]  # an end is -1, the last
-        base = np.log10((each + 0.5) / (totals.tokens + 0.5 * (totals.types + 1)))
-        frequent = c >= symbol_min
-        symbol = np.where(frequent, np.cumsum(frequent) + 1, RARE)
-        s = np.r_[symbol, END][t].astype(np.int32)
-        share = np.where(s == RARE, np.log10((each + 0.5) / (totals.rare_tokens + 0.5 * (totals.rare_types + 1))), 0.0)
-        names = [w.encode("utf-8") for w, f in zip(row["words"], frequent.tolist()) if f]
-        hashes = np.array([xxhash.xxh64_intdigest(b"", END), xxhash.xxh64_intdigest(b"", RARE), *[xxhash.xxh64_intdigest(w, 42) for w in names]], dtype=np.uint64)
-        counts = np.r_[totals.ends, totals.rare_tokens, c[frequent]]
-        yield (
-            row["chunk"], S.packed(s), hashes.tobytes(), counts.astype(np.int64).tobytes(), row["ids"], row["sizes"], row["train"],
-            np.add.reduceat(each > 0, starts, dtype=np.int64), np.add.reduceat(base, starts), np.add.reduceat(share, starts),
-        )
-
-    kind = made.schema["ids"].dataType.simpleString()
-    schema = f"chunk long, tokens binary, hashes binary, counts binary, ids {kind}, sizes array<long>, train array<boolean>, known array<long>, base array<double>, rare array<double>"
-    return stored(S.arrow_map(made.drop("counts").join(told, "chunk", "left"), run, schema), "tree-symbols")
+        self.rare_types = int(v["types"] or 0) - self.symbols
 
 
 class Tree:
-    """Settings of a tree, and a chunk's view of it as far as answers go."""
+    """Settings of a tree, what chunks send and how buckets answer."""
 
-    def __init__(self, totals: Totals, depth: int, context_min: int, weight: float, gain: float, n_buckets: int):
-        self.totals, self.depth, self.context_min, self.weight, self.gain, self.n_buckets = totals, depth, context_min, weight, gain, n_buckets
+    def __init__(self, depth: int, symbol_min: int, context_min: int, weight: float, gain: float, n_buckets: int):
+        self.depth, self.symbol_min, self.context_min, self.weight, self.gain, self.n_buckets = depth, symbol_min, context_min, weight, gain, n_buckets
+        self.totals: Totals | None = None
+
+    # ---- questions and answers
 
     def deal(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The order of codes by bucket, and where each bucket's begin in it."""
-        b = ((codes >> np.uint64(20)) % np.uint64(self.n_buckets)).astype(np.int64)
+        b = ((codes >> np.uint64(40)) % np.uint64(self.n_buckets)).astype(np.int64)
         order = np.argsort(b, kind="stable")
         return order, np.searchsorted(b[order], np.arange(self.n_buckets + 1))
 
+    def send(self, kind: int, k: int, chunk: int, codes: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
+        order, edges = self.deal(codes)
+        short = codes[order].view(np.uint8).reshape(-1, 8)[:, : SENT[kind]]
+        values = values[order]
+        for i in range(self.n_buckets):
+            if edges[i] < edges[i + 1]:
+                yield kind, k, i, chunk, short[edges[i] : edges[i + 1]].tobytes(), values[edges[i] : edges[i + 1]].tobytes()
+
     def collect(self, codes: np.ndarray, told: dict, dtype: str) -> np.ndarray:
         """Answers by bucket, in the order of the codes that were sent."""
         out = np.zeros(len(codes), dtype=dtype)
         order, edges = self.deal(codes)
         for i, blob in told.items():
-            out[order[edges[i] : edges[i + 1]]] = np.frombuffer(blob, dtype=dtype)
+            out[order[edges[i] : edges[i + 1]]] = S.unpacked(blob, dtype)
         return out
 
-    def view(self, row: dict, told: dict, upto: int) -> Iterator[dict]:
-        """Levels 1 to ``upto`` of a chunk, each with what its tokens and
-        answers give: places, their runs and contexts, and probabilities."""
-        s = S.unpacked(row["tokens"], "int32")
-        h = np.frombuffer(row["hashes"], dtype=np.uint64)
-        c0 = np.frombuffer(row["counts"], dtype=np.int64)
-        t = self.totals
+    def answer(self, pdf: pd.DataFrame) -> pd.DataFrame:
+        """A bucket's sums for each chunk's codes: counts, or whether a context
+        gains enough; of words, also what all of them add up to."""
+        pdf = pdf.sort_values("chunk")
+        kind = int(pdf["kind"].iloc[0])
+        width = SENT[kind]
+        sizes = [len(c) // width for c in pdf["codes"]]
+        raw = np.frombuffer(b"".join(pdf["codes"]), dtype=np.uint8).reshape(-1, width)
+        codes = np.zeros((len(raw), 8), dtype=np.uint8)
+        codes[:, :width] = raw
+        values = np.frombuffer(b"".join(pdf["vals"]), dtype=np.float64 if kind == GAINS else np.uint32)
+        _, which = np.unique(codes.view(np.uint64).ravel(), return_inverse=True)
+        each = np.bincount(which, weights=values)
+        out = each[which] >= self.gain if kind == GAINS else each[which].astype(np.int64)
+        edges = np.cumsum([0, *sizes])
+        made = pd.DataFrame({"chunk": pdf["chunk"].astype("Int64"), "kind": kind, "k": pdf["k"], "bucket": pdf["bucket"], "told": [S.packed(out[a:b]) for a, b in zip(edges, edges[1:])]})
+        sums = {"types": None, "tokens": None, "symbols": None, "rare": None}
+        if kind == WORDS:
+            known = each[each > 0]
+            frequent = known >= self.symbol_min
+            sums = {"types": len(known), "tokens": int(known.sum()), "symbols": int(frequent.sum()), "rare": int(known[~frequent].sum())}
+            extra = pd.DataFrame([{"chunk": None, "kind": kind, "k": 0, "bucket": int(pdf["bucket"].iloc[0]), "told": None, **sums}])
+            made = pd.concat([made.assign(**dict.fromkeys(sums)), extra.astype({"chunk": "Int64"})])
+        else:
+            made = made.assign(**sums)
+        return made.astype({c: "Int64" for c in sums})
+
+    # ---- a chunk's view
+
+    def ask_words(self, row: dict) -> Iterator[tuple]:
+        t = S.unpacked(row["tokens"], "int32")
+        codes = word_codes(row)
+        train = np.repeat(np.asarray(row["train"], dtype=bool), np.asarray(row["sizes"]))
+        n = np.bincount(t[train] + 1, minlength=len(codes) + 1)[1:]
+        yield from self.send(WORDS, 0, row["chunk"], codes, n.astype(np.uint32))
+
+    def symbols(self, row: dict, told: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each token's word count and symbol, and of each symbol its hash and
+        count; the ends are symbol ``END``, words that are not frequent ``RARE``."""
+        codes = word_codes(row)
+        c = self.collect(codes, told.get((WORDS, 0), {}), "int64")
+        t = S.unpacked(row["tokens"], "int32")  # an end is -1, the last
+        frequent = c >= self.symbol_min
+        number = np.where(frequent, np.cumsum(frequent) + 1, RARE)
+        hashes = np.r_[mixed(np.array([END + 1, RARE + 1], dtype=np.uint64)), codes[frequent]]
+        counts = np.r_[self.totals.ends, self.totals.rare_tokens, c[frequent]]
+        return np.r_[c, self.totals.ends][t], np.r_[number, END][t], hashes, counts
+
+    def levels(self, row: dict, told: dict, upto: int) -> Iterator[dict]:
+        """Levels 1 to ``upto`` of a chunk: which places are looked at (``at``),
+        their distinct runs and contexts with codes, and as far as the counts are
+        told, the probability at every place."""
+        _, s, hashes, counts = self.symbols(row, told)
+        t, m = self.totals, len(hashes)
         sizes = np.asarray(row["sizes"], dtype=np.int64)
         starts = np.cumsum(np.r_[0, sizes])[:-1]
         offset = np.arange(len(s)) - np.repeat(starts, sizes)
         train = np.repeat(np.asarray(row["train"], dtype=bool), sizes)
-        # an end stands before the first token
-        x = h[np.r_[np.int32(END), s]]
-        code = x.copy()
-        count = c0[np.r_[np.int32(END), s]]
-        p = (count[1:] + 0.5) / (t.tokens + 0.5 * (t.symbols + 2))
+        p = ((counts + 0.5) / (t.tokens + 0.5 * (t.symbols + 2)))[s]
+        context, code, count = np.r_[END, s[:-1]], hashes, counts  # an end stands before the first token
         for k in range(1, upto + 1):
-            context, n = code[:-1], count[:-1]
-            at = np.flatnonzero((offset >= k - 1) & (n >= self.context_min))
-            code = np.r_[np.zeros(1, dtype=np.uint64), code[1:] * BASE]
-            code[k:] = mixed(code[k:] + x[: len(x) - k])
-            runs, which = np.unique(code[1:][at], return_inverse=True)
-            # the same run has the same context, so whether it is asked about does not depend on the place
-            level = {"k": k, "at": at, "runs": runs, "which": which, "context": context[at], "train": train[at], "p": p}
+            at = np.flatnonzero((offset >= k - 1) & (context >= 0) & (count[context] >= self.context_min))
+            runs, first, which = np.unique(context[at] * m + s[at], return_index=True, return_inverse=True)
+            of, x = runs // m, runs % m
+            run_codes = mixed(code[of] * BASE + hashes[x])
+            n_train = np.bincount(which, weights=train[at], minlength=len(runs))
+            level = {"k": k, "at": at, "which": which, "run_codes": run_codes, "of": of, "codes": code, "n_train": n_train, "p": p}
             known = told.get((COUNTS, k))
             if known is None:
                 yield level
                 return
-            total = self.collect(runs, known, "int64")[which]
-            n = n[at].astype(float)
-            level["parent"] = p[at]
-            level["gains"] = np.log((total - 1 + self.weight * p[at]) / (n - 1 + self.weight) / p[at], where=level["train"], out=np.zeros(len(at)))
+            total = self.collect(run_codes, known, "int64")
+            n, parent = count[of].astype(float), p[at[first]]
+            seen = n_train > 0
+            alone = np.log((total - 1 + self.weight * parent) / (n - 1 + self.weight) / parent, where=seen, out=np.zeros(len(runs)))
+            level["gains"] = np.bincount(of, weights=n_train * alone, minlength=len(code))
+            level["parent"] = p
             p = p.copy()
-            p[at] = (total + self.weight * p[at]) / (n + self.weight)
-            count = np.zeros(len(count), dtype=np.int64)
-            count[1:][at] = total
+            p[at] = ((total + self.weight * parent) / (n + self.weight))[which]
             level["p"] = p
             yield level
+            # the run that ends at a place is the context of the next one
+            context = np.full(len(s), -1, dtype=np.int64)
+            inside = at + 1 < len(s)
+            context[at[inside] + 1] = which[inside]
+            code, count = run_codes, np.r_[total, 0]
+
+    def contexts(self, level: dict) -> np.ndarray:
+        """The contexts of a level that occur in the chunk, by their numbers."""
+        return np.unique(level["of"])
 
     def ask(self, row: dict, told: dict, upto: int) -> Iterator[tuple]:
         """What a chunk sends once levels up to ``upto`` are counted: gains of
         that level's contexts, and the runs of the next level."""
-        wanted = min(upto + 1, self.depth)
-        for level in self.view(row, told, wanted):
-            if level["k"] == upto and len(level["at"]):
-                contexts, which = np.unique(level["context"], return_inverse=True)
-                gains = np.bincount(which, weights=level["gains"], minlength=len(contexts))
-                yield from self.send(GAINS, upto, row["chunk"], contexts, gains)
-            if level["k"] == upto + 1 and len(level["at"]):
-                n = np.bincount(level["which"], weights=level["train"], minlength=len(level["runs"]))
-                yield from self.send(COUNTS, upto + 1, row["chunk"], level["runs"], n.astype(np.uint32))
-
-    def send(self, kind: int, k: int, chunk: int, codes: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
-        order, edges = self.deal(codes)
-        for i in range(self.n_buckets):
-            at = order[edges[i] : edges[i + 1]]
-            if len(at):
-                yield kind, k, i, chunk, codes[at].tobytes(), values[at].tobytes()
-
-    def answer(self, pdf: pd.DataFrame) -> pd.DataFrame:
-        """A bucket's sums for each chunk's codes: counts, or whether a context
-        gains enough."""
-        pdf = pdf.sort_values("chunk")
-        kind = pdf["kind"].iloc[0]
-        sizes = [len(c) // 8 for c in pdf["codes"]]
-        codes = np.concatenate([np.frombuffer(c, dtype=np.uint64) for c in pdf["codes"]])
-        values = np.concatenate([np.frombuffer(v, dtype=np.uint32 if kind == COUNTS else np.float64) for v in pdf["vals"]])
-        _, which = np.unique(codes, return_inverse=True)
-        total = np.bincount(which, weights=values)[which]
-        out = total.astype(np.int64) if kind == COUNTS else total >= self.gain
-        edges = np.cumsum([0, *sizes])
-        blobs = [out[a:b].tobytes() for a, b in zip(edges, edges[1:])]
-        return pd.DataFrame({"kind": kind, "k": pdf["k"], "bucket": pdf["bucket"], "chunk": pdf["chunk"], "told": blobs})
+        for level in self.levels(row, told, min(upto + 1, self.depth)):
+            if not len(level["at"]):
+                continue
+            if level["k"] == upto:
+                here = self.contexts(level)
+                yield from self.send(GAINS, upto, row["chunk"], level["codes"][here], level["gains"][here])
+            if level["k"] == upto + 1:
+                yield from self.send(COUNTS, upto + 1, row["chunk"], level["run_codes"], level["n_train"].astype(np.uint32))
 
     def scores(self, row: dict, told: dict) -> np.ndarray:
         """The log10 probability of each document's symbols."""
         best = None
-        for level in self.view(row, told, self.depth):
+        for level in self.levels(row, told, self.depth):
             if best is None:
-                best = np.asarray(level["p"]).copy()
-                if len(level["at"]):
-                    best[level["at"]] = level["parent"]
-            contexts, which = np.unique(level["context"], return_inverse=True)
-            kept = self.collect(contexts, told.get((GAINS, level["k"]), {}), "bool")[which]
-            best[level["at"][kept]] = level["p"][level["at"][kept]]
+                best = np.array(level.get("parent", level["p"]))
+            if len(level["at"]):
+                here = self.contexts(level)
+                kept = np.zeros(len(level["codes"]), dtype=bool)
+                kept[here] = self.collect(level["codes"][here], told.get((GAINS, level["k"]), {}), "bool")
+                hit = level["at"][kept[level["of"]][level["which"]]]
+                best[hit] = level["p"][hit]
         sizes = np.asarray(row["sizes"], dtype=np.int64)
         return np.add.reduceat(np.log10(best), np.cumsum(np.r_[0, sizes])[:-1])
 
+    def base(self, row: dict, told: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each document its known tokens, its base score, and the log10 of
+        its rare words' shares of the rare symbol."""
+        t = self.totals
+        c, s, _, _ = self.symbols(row, told)
+        starts = np.cumsum(np.r_[0, np.asarray(row["sizes"], dtype=np.int64)])[:-1]
+        base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.types + 1)))
+        share = np.where(s == RARE, np.log10((c + 0.5) / (t.rare_tokens + 0.5 * (t.rare_types + 1))), 0.0)
+        return np.add.reduceat(c > 0, starts, dtype=np.int64), np.add.reduceat(base, starts), np.add.reduceat(share, starts)
+
+
+def word_codes(row: dict) -> np.ndarray:
+    words = row["words"].split(b"\n") if row["words"] else []
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words))
 
-def by_kind(told: list | None) -> dict:
+
+def by_kind(row: dict) -> dict:
+    """All answers a chunk has got, by kind and level, then bucket."""
     out: dict = {}
-    for t in told or []:
-        out.setdefault((t["kind"], t["k"]), {})[t["bucket"]] = t["told"]
+    for name, told in row.items():
+        if name.startswith("told"):
+            for t in told or []:
+                out.setdefault((t["kind"], t["k"]), {})[t["bucket"]] = t["told"]
     return out
 
 
@@ -276,34 +303,36 @@ def suffix_tree_scores(
     """One row per document: ``id_col, train, n_tokens, n_known, train_tokens,
     base_score, score``; the tree is learned from the rows where ``learn``."""
     made = chunks(docs, learn, id_col, text_col, chunk_tokens)
-    each = made.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    vocabulary = stored(each.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("c")).where("c > 0"), "tree-vocabulary")
-    totals = Totals(vocabulary, made, symbol_min)
-    symbols = encoded(made, vocabulary, totals, symbol_min)
-    n_buckets = max(shuffle_width(docs.sparkSession), totals.all_tokens // BUCKET_ENTRIES + 1)
-    tree = Tree(totals, depth, context_min, weight, gain, n_buckets)
-    told = None
-
-    def joined(columns: list[str]) -> DataFrame:
-        rows = symbols.select("chunk", *columns)
-        if told is None:
-            return rows.withColumn("t", F.lit(None).cast("array<struct<kind:int,k:int,bucket:int,told:binary>>"))
-        return rows.join(told.groupBy("chunk").agg(F.collect_list(F.struct("kind", "k", "bucket", "told")).alias("t")), "chunk", "left")
-
-    view = ["tokens", "hashes", "counts", "sizes", "train"]
+    size = made.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
+    tree = Tree(depth, symbol_min, context_min, weight, gain, max(shuffle_width(docs.sparkSession), size // BUCKET_ENTRIES + 1))
+    view = ["chunk", "words", "tokens", "sizes", "train"]
+    rows = made
+
+    def answered(asking, step: str) -> DataFrame:
+        """What buckets answer to ``asking(row)``: for each chunk, and their sums."""
+        columns = [*view, *[c for c in rows.columns if c.startswith("told")]]
+        sent = S.arrow_map(rows.select(*columns), asking, "kind int, k int, bucket int, chunk long, codes binary, vals binary")
+        return sent.groupBy("kind", "bucket").applyInPandas(lambda pdf: tree.answer(pdf), "chunk long, kind int, k int, bucket int, told binary, types long, tokens long, symbols long, rare long")
+
+    def by_rows(got: DataFrame, step: str) -> DataFrame:
+        packed = got.where("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("kind", "k", "bucket", "told")).alias(f"told{step}"))
+        return S.by_chunk(packed, f"tree-answers-{step}")
+
+    words = stored(answered(tree.ask_words, "w"), "tree-words")
+    tree.totals = Totals(made, words.where("chunk IS NULL"))
+    rows = rows.join(by_rows(words, "w"), "chunk", "left")
     for k in range(depth + 1):
-        sent = S.arrow_map(joined(view), lambda row, k=k: tree.ask(row, by_kind(row["t"]), k), "kind int, k int, bucket int, chunk long, codes binary, vals binary")
-        new = stored(sent.groupBy("kind", "bucket").applyInPandas(lambda pdf: tree.answer(pdf), "kind int, k int, bucket int, chunk long, told binary"), f"tree-answers-{k}")
-        told = new if told is None else told.union(new)
+        rows = rows.join(by_rows(answered(lambda row, k=k: tree.ask(row, by_kind(row), k), str(k)), str(k)), "chunk", "left")
 
     def score(row: dict) -> Iterator[tuple]:
-        s = tree.scores(row, by_kind(row["t"])) + np.asarray(row["rare"])
-        yield row["ids"], row["train"], row["sizes"], row["known"], row["base"], s
+        told = by_kind(row)
+        known, base, rare = tree.base(row, told)
+        yield row["ids"], row["train"], row["sizes"], known, base, tree.scores(row, told) + rare
 
-    kind = symbols.schema["ids"].dataType.simpleString()
-    out = S.arrow_map(joined([*view, "ids", "known", "base", "rare"]), score, f"ids {kind}, train array<boolean>, sizes array<long>, known array<long>, base array<double>, score array<double>")
-    rows = out.select(F.inline(F.arrays_zip("ids", "train", "sizes", "known", "base", "score")))
-    return rows.select(F.col("ids").alias(id_col), "train", F.col("sizes").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(totals.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    kind = made.schema["ids"].dataType.simpleString()
+    out = S.arrow_map(rows, score, f"ids {kind}, train array<boolean>, sizes array<long>, known array<long>, base array<double>, score array<double>")
+    each = out.select(F.inline(F.arrays_zip("ids", "train", "sizes", "known", "base", "score")))
+    return each.select(F.col("ids").alias(id_col), "train", F.col("sizes").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(tree.totals.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
 def op11_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
