@@ -42,6 +42,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spacetime.functions.curve import interleaved
 from spacetime.functions.geometry import contains
 
 #: Levels of the quadtree used by slots; an index per axis has so many bits.
@@ -72,19 +73,6 @@ class Frame:
         return F.floor(F.least(F.lit(float(2**DEPTH - 1)), F.greatest(F.lit(0.0), place)))
 
 
-# The shifts and masks that move the bits of a number apart by halves.
-SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
-
-
-def interleaved(df: DataFrame, column: Column, row: Column, out: str) -> DataFrame:
-    """``df`` with ``out``, the bits of a column and a row in turn: the key of a
-    cell of any level.  Each step is a projection, so no expression is repeated."""
-    df = df.withColumns({"_m0": column.cast("bigint"), "_m1": row.cast("bigint")})
-    for shift, mask in SPREAD:
-        df = df.withColumns({c: F.col(c).bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask)) for c in ("_m0", "_m1")})
-    return df.withColumn(out, F.col("_m0").bitwiseOR(F.shiftleft("_m1", 1))).drop("_m0", "_m1")
-
-
 def cell_at(key: Column, level: Column) -> Column:
     """A name for the cell with ``key`` at ``level``, unlike that of any cell of
     another level."""

@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spacetime.functions.geometry import contains_text, point_text
-from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, grid_point_filter, in_grid, is_adjacent, neighbor_weight
+from spacetime.functions.grid import DAY_OF_YEAR, GridSpec, cell_id, cell_of_id, cell_x, cell_y, grid_point_filter, in_grid, is_adjacent, neighbor_weight
 from spacetime.functions.sql import register_sql_functions, zone_join_view
 from spacetime.operators.cells import assign_cells, cell_counts, grid_totals
 from spacetime.operators.gistar import hot_cells, score_cells
-from spacetime.operators.neighbors import adjacent_cell_pairs, neighbor_sums
+from spacetime.operators.neighbors import adjacent_cell_pairs, box_sums, neighbor_sums
 from spacetime.operators.zones import hot_zones, points_from_text, zone_point_pairs, zones_from_text
 from spacetime.plans.jobs import run_batch
 from spacetime.session import shared_folder
+from spacetime.sources.clustered import read_cells, read_grid, write_clustered
 from spacetime.sources.csv import read_points_csv, read_rectangles_csv, read_report, write_points_csv, write_rectangles_csv, write_report
 from spacetime.sources.tables import (
     embedding_points,
@@ -44,6 +45,7 @@ LI_NARROW = GridSpec(min_x=5, max_x=20, min_y=2, max_y=15, min_z=1, max_z=31, st
 LI_DOY_GRID = GridSpec(min_x=0, max_x=25, min_y=0, max_y=20, min_z=1, max_z=366, step_x=2.0,
                        step_y=5000.0, z_unit=DAY_OF_YEAR)
 EM_RECTANGLE = "-0.1,-0.2,0.15,0.1"
+CLUSTER_RANGE = ((4, 13), (2, 9))  # columns and rows of cells
 TOP_K = 50
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,6 +268,32 @@ def q_neighbor_sums(spark, d):
     return neighbor_sums(_ev_counts(spark, d), EV_GRID).select("x", "y", "z", "n", "sum1")
 
 
+def q_neighbor_sums_box(spark, d):
+    """The same sums axis by axis in blocks with a halo."""
+    return box_sums(_ev_counts(spark, d), EV_GRID).select("x", "y", "z", "n", "sum1")
+
+
+def q_clustered_cell_range(spark, d):
+    """Cell counts written along the interleaved key; a rectangle of cells read back."""
+    path = shared_folder(spark, "clustered-cells")
+    write_clustered(_li_counts(spark, d), path)
+    return read_cells(spark, path, *CLUSTER_RANGE).select("x", "y", "z", "n")
+
+
+def q_clustered_grid(spark, d):
+    """The same table's cells in a smaller grid."""
+    path = shared_folder(spark, "clustered-cells")
+    write_clustered(_li_counts(spark, d), path)
+    return read_grid(spark, path, LI_NARROW).select("x", "y", "z", "n")
+
+
+def q_clustered_point_range(spark, d):
+    """Points written along the key of their cells; those of a rectangle of cells."""
+    path, cell = shared_folder(spark, "clustered-points"), (cell_x("px", LI_GRID), cell_y("py", LI_GRID))
+    write_clustered(lineitem_points(spark, d).select("l_orderkey", "l_linenumber", "px", "py"), path, *cell)
+    return read_cells(spark, path, *CLUSTER_RANGE, cell=cell).select("l_orderkey", "l_linenumber", "px", "py")
+
+
 def q_neighbor_weights(spark, d):
     cells = _ev_counts(spark, d).filter(in_grid("x", "y", "z", EV_GRID))
     return cells.select("x", "y", "z", neighbor_weight("x", "y", "z", EV_GRID).alias("w"))
@@ -377,6 +405,10 @@ QUERIES: dict[str, Query] = {
     "cell_decode": q_cell_decode,
     "adjacent_cell_pairs": q_adjacent_cell_pairs,
     "neighbor_sums": q_neighbor_sums,
+    "neighbor_sums_box": q_neighbor_sums_box,
+    "clustered_cell_range": q_clustered_cell_range,
+    "clustered_grid": q_clustered_grid,
+    "clustered_point_range": q_clustered_point_range,
     "neighbor_weights": q_neighbor_weights,
     "gi_star_events": q_gi_star_events,
     "gi_star_lineitem": q_gi_star_lineitem,
@@ -572,6 +604,11 @@ FROM (SELECT x, y, z, x + dx.d AS nx, y + dy.d AS ny, CAST(z + dz.d AS INTEGER)
 """
 
 
+def _range_sql(x: str, y: str) -> str:
+    (x0, x1), (y0, y1) = CLUSTER_RANGE
+    return f"{x} BETWEEN {x0} AND {x1} AND {y} BETWEEN {y0} AND {y1}"
+
+
 def _ev_counts_sql() -> str:
     return _counts_sql(EV_POINTS, EV_GRID)
 
@@ -643,6 +680,13 @@ ORACLE_SQL: dict[str, str] = {
     "cell_decode": _ev_decode_sql(),
     "adjacent_cell_pairs": _adjacent_sql(),
     "neighbor_sums": _neighbor_sql(_ev_counts_sql(), EV_GRID),
+    "neighbor_sums_box": _neighbor_sql(_ev_counts_sql(), EV_GRID),
+    "clustered_cell_range": f"SELECT x, y, z, n FROM ({_counts_sql(LI_POINTS, LI_GRID)}) c WHERE {_range_sql('x', 'y')}",
+    "clustered_grid": f"SELECT x, y, z, n FROM ({_counts_sql(LI_POINTS, LI_GRID)}) c WHERE {_in_grid_sql(LI_NARROW)}",
+    "clustered_point_range": (
+        f"SELECT l_orderkey, l_linenumber, px, py FROM ({LI_POINTS}) p "
+        f"WHERE {_range_sql(f'floor(px / {_dbl(LI_GRID.step_x)})', f'floor(py / {_dbl(LI_GRID.step_y)})')}"
+    ),
     "neighbor_weights": (
         f"SELECT x, y, z, {_weight_sql(EV_GRID)} AS w FROM ({_ev_counts_sql()}) c WHERE {_in_grid_sql(EV_GRID)}"
     ),

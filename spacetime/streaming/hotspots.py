@@ -11,9 +11,10 @@
   point, so every populated cell is re-scored from the counts, never from
   the points.
 
-Every micro-batch writes a version of the result of its own and then publishes
-its number, so a reader (:func:`read_latest`) always finds a whole version;
-the last ``KEEP_VERSIONS`` stay.  Progress is checkpointed under
+Every micro-batch writes a version of the result of its own and then replaces
+the manifest, one small file with the version's number, in one step; so a reader
+(:func:`read_latest`) always finds a whole version.  The last ``KEEP_VERSIONS``
+stay, and a stream that runs for ever keeps a bounded number of files.  Progress is checkpointed under
 ``spark.checkpoint.dir``, so a restarted query resumes where it stopped.
 """
 
@@ -92,28 +93,56 @@ def stream_location(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 KEEP_VERSIONS = 3
+MANIFEST = "latest"
+
+
+def _hadoop(spark: SparkSession):
+    return spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put ``text`` into the file ``path`` in one step: it is written beside it
+    and renamed over it, so a reader sees the old text or the new one."""
+    fs, conf = _hadoop(spark)
+    target = fs.Path(path)
+    beside = fs.Path(f"{path}.{uuid.uuid4().hex}.new")
+    out = beside.getFileSystem(conf).create(beside, True)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()
+    how = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    how[0] = getattr(fs, "Options$Rename").OVERWRITE
+    context = fs.FileContext.getFileContext(beside.getFileSystem(conf).getUri(), conf)
+    context.rename(beside, target, how)
 
 
 def publish(result: DataFrame, out_path: str, batch_id: int) -> None:
     """Write version ``batch_id`` of a result, then make it the latest.  A
-    batch that runs again writes its version again."""
+    batch that runs again writes its version again.  Versions too old to stay
+    are removed, whatever an earlier run left of them."""
     spark = result.sparkSession
     result.write.mode("overwrite").parquet(f"{out_path}/version={batch_id}")
-    spark.createDataFrame([(batch_id,)], "version long").coalesce(1).write.mode("append").parquet(f"{out_path}/published")
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{out_path}/version={batch_id - KEEP_VERSIONS}")
-    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    replace_text(spark, f"{out_path}/{MANIFEST}", str(batch_id))
+    fs, conf = _hadoop(spark)
+    folder = fs.Path(out_path)
+    files = folder.getFileSystem(conf)
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version=") and int(name.partition("=")[2]) <= batch_id - KEEP_VERSIONS:
+            files.delete(status.getPath(), True)
 
 
 def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
     """The latest published version of a stream's result; ``ValueError`` if
     nothing was published yet."""
     try:
-        published = spark.read.schema("version long").parquet(f"{out_path}/published")
+        version = int(spark.read.text(f"{out_path}/{MANIFEST}").first()["value"])
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         raise ValueError(f"no output published under {out_path} (no input files?)") from e
-    return spark.read.parquet(f"{out_path}/version={published.agg(F.max('version')).first()[0]}")
+    return spark.read.parquet(f"{out_path}/version={version}")
 
 
 def _publishing(make, out_path: str):

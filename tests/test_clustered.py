@@ -1,0 +1,83 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from spacetime.functions.curve import _key, interleaved, key_ranges
+from spacetime.functions.grid import GridSpec
+from spacetime.sources.clustered import read_cells, read_grid, write_clustered
+
+
+def scan_rows(df):
+    """Rows that the file scan gave, after row groups and pages were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        if name.startswith("Scan parquet"):
+            return node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    raise AssertionError("no scan")
+
+
+def test_keys_interleave_bits(spark):
+    r = random.Random(1)
+    cells = [(r.randrange(1 << 31), r.randrange(1 << 31)) for _ in range(200)] + [(0, 0), ((1 << 31) - 1, (1 << 31) - 1)]
+    rows = interleaved(spark.createDataFrame(cells, "x long, y long"), F.col("x"), F.col("y"), "k").collect()
+    assert [(w.x, w.y, w.k) for w in rows] == [(x, y, _key(x, y)) for x, y in cells]
+
+
+@pytest.mark.parametrize("max_ranges", [1, 4, 16, 1000])
+def test_ranges_hold_the_rectangle(max_ranges):
+    r = random.Random(2)
+    for _ in range(60):
+        x = sorted(r.randrange(32) for _ in range(2))
+        y = sorted(r.randrange(32) for _ in range(2))
+        ranges = key_ranges(tuple(x), tuple(y), 5, max_ranges)
+        assert ranges == sorted(ranges) and all(a[1] + 1 < b[0] for a, b in zip(ranges, ranges[1:]))
+        assert len(ranges) <= max(4, max_ranges)
+        held = {k for lo, hi in ranges for k in range(lo, hi + 1)}
+        inside = {_key(i, j) for i in range(x[0], x[1] + 1) for j in range(y[0], y[1] + 1)}
+        assert inside <= held
+        if max_ranges == 1000:
+            assert inside == held
+    assert key_ranges((3, 2), (0, 1), 5) == []
+
+
+def cells_df(spark, n=300_000):
+    return spark.range(n, numPartitions=8).select((F.col("id") % 601 - 300).alias("x"), (F.floor(F.col("id") / 601) % 500 - 250).alias("y"), (F.col("id") % 31 + 1).cast("int").alias("z"), F.col("id").alias("n"))
+
+
+def test_a_range_reads_few_rows(spark, scratch):
+    df = cells_df(spark)
+    path = f"{scratch}/cells"
+    write_clustered(df, path, files=8, row_group_bytes=64 << 10)
+    got = read_cells(spark, path, (-20, 15), (-7, 30))
+    want = df.where("x BETWEEN -20 AND 15 AND y BETWEEN -7 AND 30")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.columns == df.columns
+    total = df.count()
+    read = scan_rows(got)
+    assert 0 < read < total / 10, f"{read} of {total} rows read"
+    # without the order nothing can be skipped
+    df.repartition(8, "n").sortWithinPartitions(F.xxhash64("n")).write.option("parquet.block.size", str(64 << 10)).parquet(f"{scratch}/mixed")
+    assert scan_rows(spark.read.parquet(f"{scratch}/mixed").where("x BETWEEN -20 AND 15 AND y BETWEEN -7 AND 30")) > total / 2
+    assert read_cells(spark, path, (5, 4), (0, 0)).count() == 0
+
+
+def test_grid_read_and_rows_without_a_cell(spark, scratch):
+    df = spark.createDataFrame([(None, 1, 1, 9), (2, None, 1, 8), (0, 0, 1, 7), (0, 0, 40, 6), (-(1 << 40), 5, 1, 5), (1 << 40, 5, 1, 4)], "x long, y long, z int, n long")
+    path = f"{scratch}/cells"
+    write_clustered(df, path, files=2)
+    assert spark.read.parquet(path).count() == 6
+    grid = GridSpec(min_x=-2, max_x=2, min_y=0, max_y=9, min_z=1, max_z=31, step_x=1.0, step_y=1.0)
+    assert [r.n for r in read_grid(spark, path, grid).collect()] == [7]
+    # cells beyond the key's range are found by their own columns
+    assert [r.n for r in read_cells(spark, path, (1 << 39, 1 << 41), (5, 5)).collect()] == [4]
+    assert [r.n for r in read_cells(spark, path, (-(1 << 41), -(1 << 35)), (0, 9)).collect()] == [5]
+    with pytest.raises(ValueError):
+        write_clustered(df.withColumn("cell_key", F.lit(1)), f"{scratch}/again")

@@ -151,3 +151,19 @@ def test_state_is_read_once_per_micro_batch(spark, scratch):
     progress = [p for p in q.recentProgress if p["numInputRows"]]
     assert [p["stateOperators"][0]["numRowsUpdated"] for p in progress] == [p["stateOperators"][0]["numRowsTotal"] for p in progress]
     assert progress[0]["numInputRows"] == 200
+
+
+def test_a_long_stream_keeps_few_files(spark, scratch):
+    """100 versions published: the files there do not grow with their number."""
+    out = os.path.join(scratch, "long")
+    one = spark.range(1).coalesce(1)
+    sizes = []
+    for batch in range(100):
+        publish(one, out, batch)
+        sizes.append(sum(len(files) for _, _, files in os.walk(out)))
+    assert max(sizes[5:]) == min(sizes[5:]) and sizes[-1] < 40
+    assert read_latest(spark, out).count() == 1
+    assert not [f for f in os.listdir(out) if f.endswith(".new")]
+    # a batch that runs again is published again
+    publish(spark.range(7), out, 99)
+    assert read_latest(spark, out).count() == 7
