@@ -61,7 +61,6 @@ def grid_totals(counts: DataFrame, spec: GridSpec) -> DataFrame:
     ``s``         population std-dev over the whole grid volume (NULL if the
                   moments are inconsistent, which off-grid points can cause).
     """
-    n = float(spec.num_cells)
     # Squares leave bigint from 3e9 points in one cell on: multiply and add as
     # decimals (exact to 38 digits), and go to double once.
     count = F.col("n").cast("decimal(19,0)")
@@ -70,8 +69,14 @@ def grid_totals(counts: DataFrame, spec: GridSpec) -> DataFrame:
         F.count(F.lit(1)).alias("n_cells"),
         F.sum((count * count).cast("decimal(38,0)")).cast("double").alias("sum_sq"),
     ).select(F.col("points").cast("bigint").alias("n_points"), "n_cells", "sum_sq")
+    return with_moments(agg, spec)
+
+
+def with_moments(totals: DataFrame, spec: GridSpec) -> DataFrame:
+    """``totals`` (``n_points``, ``sum_sq``) with ``mean`` and ``s``."""
+    n = float(spec.num_cells)
     mean = F.col("n_points").cast("double") / F.lit(n)
     var = F.col("sum_sq") / F.lit(n) - F.col("mean") * F.col("mean")
     # Off-grid counts enter n_points and sum_sq but not the grid volume, so
     # the "variance" can come out negative: no deviation (NULL), not NaN.
-    return agg.withColumn("mean", mean).withColumn("s", F.when(var >= 0, F.sqrt(var)))
+    return totals.withColumn("mean", mean).withColumn("s", F.when(var >= 0, F.sqrt(var)))

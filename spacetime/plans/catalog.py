@@ -37,6 +37,7 @@ from spacetime.sources.tables import (
     table,
 )
 from spacetime.streaming.hotspots import read_parquet_stream, run_to_table, start_hot_cells, start_zone_counts
+from spacetime.streaming.ranking import start_hot_cells_incremental
 
 # Grids and the literal rectangle used by the catalogue.
 EV_GRID = GridSpec(min_x=0, max_x=29, min_y=0, max_y=14, min_z=1, max_z=31, step_x=10.0, step_y=10.0)
@@ -374,6 +375,12 @@ def q_hot_cells_stream(spark, d):
     return run_to_table(spark, lambda out, ck: start_hot_cells(pts, EV_GRID, out, ck, k=TOP_K), "hot_cells")
 
 
+def q_hot_cells_stream_incremental(spark, d):
+    """The same stream ranked from the cells that each batch changed."""
+    pts = events_points_of(read_parquet_stream(spark, d, "events.parquet"))
+    return run_to_table(spark, lambda out, ck: start_hot_cells_incremental(pts, EV_GRID, out, ck, k=TOP_K), "hot_cells_incremental")
+
+
 QUERIES: dict[str, Query] = {
     "point_text_parse": q_point_text_parse,
     "zone_text_parse": q_zone_text_parse,
@@ -421,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "point_in_zone_sql": q_point_in_zone_sql,
     "hot_zones_stream": q_hot_zones_stream,
     "hot_cells_stream": q_hot_cells_stream,
+    "hot_cells_stream_incremental": q_hot_cells_stream_incremental,
 }
 
 
@@ -704,4 +712,5 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "hot_zones_stream": _hot_zones_sql(),
     "hot_cells_stream": _top_sql(EV_POINTS, EV_GRID),
+    "hot_cells_stream_incremental": _top_sql(EV_POINTS, EV_GRID),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="spacetime-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
