@@ -12,17 +12,21 @@ element's tokens.  A page that does not match (cut off, or of another template)
 or has several such elements is searched for the marked elements themselves,
 which are all taken; without one it is taken whole.
 
-From the tokens found, text outside navigation, forms, adverts and the like is
-put together by block.
+From the tokens found in an element that is no article or main element, the
+host's own blocks go: those of texts that the wrapper has as constants at one
+place of every page, as site names, slogans and terms are.  What
+is left outside navigation, forms, adverts and the like is put together by block.
 
-A host's wrapper is made from about ``sample_pages`` pages, chosen by a hash of
-url and id; hosts are aligned independently and no group holds more than the
-sample.  Every page is extracted, whole.
+A host's wrapper is made from about ``sample_pages`` different pages, chosen by a
+hash of their html, so that copies of a page change nothing; hosts are aligned
+independently and no group holds more than the sample.  Every page is extracted,
+whole, in time that grows with its length.
 
 Edge cases: null or empty html gives an empty text; a null url is a host of its
-own; hosts with one page have that page as their wrapper; unclosed tags end
-with the element around them; comments and scripts without an end run to the
-end of the page; repeated rows are extracted each.
+own; a host with fewer than ``SURE_PAGES`` different pages keeps its constants;
+unclosed elements end with the element around them; tags, comments and scripts
+without an end run to the end of the page; repeated rows are extracted each; an
+empty table gives no rows; columns of any other name are not looked at.
 """
 
 from __future__ import annotations
@@ -44,8 +48,8 @@ from spacetime.llm.common import bounded_broadcast, map_batches, stored
 SAMPLE_PAGES = 16
 #: Longest repeated group looked for, in tokens.
 GROUP_TOKENS = 12
-#: Wrappers beyond this many tokens are not aligned further.
-WRAPPER_TOKENS = 400
+#: So many different pages must agree in a text for it to be the host's own.
+SURE_PAGES = 4
 BROADCAST_HOSTS = 20_000
 
 # Element names by role.
@@ -60,7 +64,9 @@ DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<(?=/?[A-Za-z])[^<]*\Z", re.S)
+# A tag whose quotes do not close ends at the next ">"; without one it takes the rest of the page, so each
+# character is looked at a few times at most.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[A-Za-z][^>]*+(?:>|\Z)", re.S)
 _NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
@@ -115,16 +121,18 @@ def walk(page: list[Token]) -> Iterator[tuple[int, Token, list[Token], bool]]:
     stack: list[Token] = []
     bad = 0  # open elements that are dropped
     inside = 0  # open articles
+    opened: Counter = Counter()  # open elements by name
 
     def pop() -> None:
         nonlocal bad, inside
         t = stack.pop()
+        opened[t[1]] -= 1
         bad -= t[3]
         inside -= t[1] == "article"
 
     for i, t in enumerate(page):
         if t[0] == "<":
-            if t[1] in BLOCK and t[1] not in ("br", "hr"):
+            if opened["p"] and t[1] in BLOCK and t[1] not in ("br", "hr"):
                 depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][1] == "p"), None)
                 if depth is not None and not any(s[1] in CONTAINER for s in stack[depth:]):
                     while len(stack) > depth:
@@ -132,10 +140,11 @@ def walk(page: list[Token]) -> Iterator[tuple[int, Token, list[Token], bool]]:
             if t[1] not in VOID:
                 out = dropped(t) and not (t[1] == "header" and inside)
                 stack.append((*t, out, i))
+                opened[t[1]] += 1
                 bad += out
                 inside += t[1] == "article"
         yield i, t, stack, bad == 0
-        if t[0] == ">" and any(s[1] == t[1] for s in stack):
+        if t[0] == ">" and opened[t[1]]:
             while stack[-1][1] != t[1]:
                 pop()
             pop()
@@ -145,21 +154,26 @@ def key_of(token: Token) -> str:
     return f"{token[1]} {token[2]}".strip()
 
 
-def blocks(page: list[Token]) -> str:
-    """The kept text of tokens: one line per block, space runs as one space."""
+def blocks(page: list[Token], own: frozenset[str] = frozenset()) -> str:
+    """The kept text of tokens: one line per block, space runs as one space.  A
+    block all of whose texts are in ``own`` is left out."""
     lines: list[str] = []
     piece: list[str] = []
+    other = False  # the block has a text that is not in own
 
     def flush() -> None:
+        nonlocal other
         line = _SPACE.sub(" ", "".join(piece)).strip()
-        if line:
+        if line and (other or not own):
             lines.append(line)
         piece.clear()
+        other = False
 
     for _, t, _, kept in walk(page):
         if t[0] == "t":
             if kept:
                 piece.append(entities.unescape(t[2]))
+                other = other or t[2] not in own
         elif t[1] in BLOCK:
             flush()
     flush()
@@ -167,34 +181,45 @@ def blocks(page: list[Token]) -> str:
 
 
 def main_key(page: list[Token]) -> str | None:
-    """The key of the innermost container element with nine tenths of a page's
-    kept text; articles or main elements are taken before any other, those of
-    one key together."""
-    held: Counter = Counter()  # by element
-    where: dict[int, tuple[int, str]] = {}
-    together: Counter = Counter()  # by key
-    depth: dict[str, int] = {}
-    total = 0
+    """The key of a page's main element: of the article or main elements, those
+    of one key together, with three tenths of its kept text; else the innermost
+    container with nine tenths of it and all of its top headings."""
+    held: dict[int, tuple[int, int, str, int]] = {}  # by element: kept characters, depth, key, those of top headings
+    together: Counter = Counter()  # by key of article and main elements, outermost of a key
+    deep: dict[str, int] = {}
+    total = heads = 0
+    open_now: list[tuple[int, int, int, str | None]] = []  # element, characters before it, key if a container
+    open_keys: Counter = Counter()
+
+    def close() -> None:
+        i, start, start_heads, key = open_now.pop()
+        if key is not None:
+            open_keys[key] -= 1
+            held[i] = (total - start, len(open_now), key, heads - start_heads)
+            if key.split(" ")[0] in ("article", "main") and not open_keys[key]:
+                together[key] += total - start
+                deep[key] = max(deep.get(key, 0), len(open_now))
+
     for _, t, stack, kept in walk(page):
+        # what walk has closed since, and what it has opened
+        while open_now and (len(open_now) > len(stack) or stack[len(open_now) - 1][4] != open_now[-1][0]):
+            close()
+        for s in stack[len(open_now) :]:
+            key = key_of(s) if s[1] in CONTAINER else None
+            open_now.append((s[4], total, heads, key))
+            if key is not None:
+                open_keys[key] += 1
         if t[0] == "t" and kept:
-            n = len(t[2].strip())
-            total += n
-            keys = set()
-            for d, s in enumerate(stack):
-                if s[1] in CONTAINER:
-                    held[s[4]] += n
-                    if s[4] not in where:
-                        where[s[4]] = (d, key_of(s))
-                    key = where[s[4]][1]
-                    if s[1] in ("article", "main") and key not in keys:
-                        keys.add(key)
-                        together[key] += n
-                        depth[key] = d
+            total += len(t[2].strip())
+            if any(s[1] == "h1" for s in stack[-4:]):
+                heads += len(t[2].strip())
+    while open_now:
+        close()
     named = [k for k, n in together.items() if n >= 0.3 * total and n]
     if named:
-        return max(named, key=lambda k: (together[k], depth[k]))
-    full = [i for i, n in held.items() if n >= 0.9 * total and n]
-    return where[max(full, key=lambda i: (held[i], where[i][0]))][1] if full else None
+        return max(named, key=lambda k: (together[k], deep[k]))
+    full = [(depth, n, key) for n, depth, key, h in held.values() if n >= 0.9 * total and n and h == heads]
+    return max(full)[2] if full else None
 
 
 # Wrapper nodes: ("tag", kind, key), ("text", constant or None), ("opt", nodes), ("plus", nodes)
@@ -253,69 +278,101 @@ def nodes_of(page: list[Token]) -> list[tuple]:
     return fold([("text", t[2]) if t[0] == "t" else ("tag", t[0], key_of(t)) for t in page])
 
 
+def lengths(a: list, b: list) -> list[int]:
+    """For every prefix of ``b`` how many items it has in common with ``a``, in
+    order: a row of the table of longest common subsequences, whose steps are
+    the bits of one number."""
+    places: dict = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full  # a zero where the row steps up
+    for x in a:
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+    out, n = [0], 0
+    for bit in reversed(f"{row:0{len(b)}b}"[-len(b) :] if b else ""):
+        n += bit == "0"
+        out.append(n)
+    return out
+
+
+def common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, by halving ``a``: the halves
+    share out ``b`` where their rows add up to most.  Pages of any length are
+    aligned in the square of it over the width of a machine word."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, k, j, m = todo.pop()
+        while i < k and j < m and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        while i < k and j < m and a[k - 1] == b[m - 1]:
+            k, m = k - 1, m - 1
+            out.append((k, m))
+        if i == k or j == m:
+            continue
+        if k - i == 1:
+            at = next((x for x in range(j, m) if b[x] == a[i]), None)
+            if at is not None:
+                out.append((i, at))
+            continue
+        half = (i + k) // 2
+        left = lengths(a[i:half], b[j:m])
+        right = lengths(a[half:k][::-1], b[j:m][::-1])[::-1]
+        best = max(range(m - j + 1), key=lambda x: left[x] + right[x])
+        todo += [(i, half, j, j + best), (half, k, j + best, m)]
+    return sorted(out)
+
+
 def align(wrapper: list[tuple], page: list[tuple]) -> list[tuple]:
     """The wrapper widened so that it also takes ``page``."""
     flat = [n[1] if n[0] == "opt" else (n,) for n in wrapper]
-    ws = [(n, opt) for n, g in zip(wrapper, flat) for n, opt in ((x, n[0] == "opt") for x in g)]
+    ws = [(x, w[0] == "opt") for w, g in zip(wrapper, flat) for x in g]
     group = [k for k, g in enumerate(flat) for _ in g]
-    a = [shape(n) for n, _ in ws]
-    b = [shape(n) for n in page]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        row, below, x = best[i], best[i + 1], a[i]
-        for j in range(len(b) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if x == b[j] else below[j] if below[j] >= row[j + 1] else row[j + 1]
     out: list[tuple] = []
-    i = j = 0
-    left: list[tuple] = []
-    right: list[tuple] = []
-    where = None  # the optional group that `left` belongs to, if any
     matched = None  # the group of the token matched last
-
-    def flush() -> None:
-        for side in (left, right):
-            if side:
-                out.append(("opt", tuple(side)))
-                side.clear()
-
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i] == b[j]:
-            flush()
-            n, opt = ws[i]
-            m = joined(n, page[j])
-            if opt and matched == group[i]:
-                out[-1] = ("opt", (*out[-1][1], m))  # its group goes on
-            else:
-                out.append(("opt", (m,)) if opt else m)
-            matched = group[i]
-            i += 1
-            j += 1
-        elif j >= len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
-            if left and where != (group[i] if ws[i][1] else None):
-                flush()
-            where, matched = group[i] if ws[i][1] else None, None
-            left.append(ws[i][0])
-            i += 1
-        else:
+    i = j = 0
+    for wi, pj in [*common([shape(n) for n, _ in ws], [shape(n) for n in page]), (len(ws), len(page))]:
+        if wi > i or pj > j:
             matched = None
-            right.append(page[j])
-            j += 1
-    flush()
+        while i < wi:  # only the wrapper has these: a group of its own each, those of one group together
+            end = i + 1
+            while end < wi and (group[end] if ws[end][1] else None) == (group[i] if ws[i][1] else None):
+                end += 1
+            out.append(("opt", tuple(n for n, _ in ws[i:end])))
+            i = end
+        if pj > j:
+            out.append(("opt", tuple(page[j:pj])))
+        if wi == len(ws):
+            break
+        n, opt = ws[wi]
+        m = joined(n, page[pj])
+        if opt and matched == group[wi]:
+            out[-1] = ("opt", (*out[-1][1], m))  # its group goes on
+        else:
+            out.append(("opt", (m,)) if opt else m)
+        matched = group[wi]
+        i, j = wi + 1, pj + 1
     return out
 
 
-def infer(pages: list[list[Token]]) -> tuple[list[tuple], str | None]:
-    """Wrapper of a host's sample pages and the key of its main element."""
+def constants(wrapper: list[tuple]) -> list[str]:
+    """Texts that stand at one place of every page: no slot, not optional and
+    not repeated."""
+    return sorted({n[1] for n in wrapper if n[0] == "text" and n[1] is not None})
+
+
+def infer(pages: list[list[Token]]) -> tuple[list[tuple], str | None, list[str]]:
+    """Wrapper of a host's sample pages, the key of its main element, and the
+    host's own texts: the constants, if ``SURE_PAGES`` different pages agree."""
     votes = Counter(k for p in pages if (k := main_key(p)) is not None)
     wrapper: list[tuple] | None = None
     for p in pages:
-        folded = nodes_of(p)
-        if wrapper is None:
-            wrapper = folded
-        elif len(wrapper) <= WRAPPER_TOKENS and len(folded) <= WRAPPER_TOKENS:
-            wrapper = align(wrapper, folded)
+        wrapper = nodes_of(p) if wrapper is None else align(wrapper, nodes_of(p))
     key = min(votes, key=lambda k: (-votes[k], k)) if votes else None
-    return wrapper or [], key
+    return wrapper or [], key, constants(wrapper or []) if len(pages) >= SURE_PAGES else []
 
 
 def main_span(nodes: list, key: str | None) -> tuple[int, int] | None:
@@ -348,7 +405,10 @@ class Wrapper:
     possessive, so matching takes one pass however many groups are optional."""
 
     def __init__(self, saved: str):
-        nodes, self.key = json.loads(saved)
+        nodes, self.key, own = json.loads(saved)
+        # what an article says, it says, on however many pages
+        named = self.key is not None and self.key.split(" ")[0] in ("article", "main")
+        self.own = frozenset(() if named else own)
         self.code: dict[str, str] = {}
         span = main_span(nodes, self.key)
         parts = [self._regex(n) for n in nodes]
@@ -411,14 +471,22 @@ def _wrapper(saved: str) -> Wrapper:
 
 def main_text(html: str | None, saved: str | None) -> str:
     page = tokens(html)
-    return blocks(_wrapper(saved).main(page) if saved else element(page, None))
+    if not saved:
+        return blocks(element(page, None))
+    wrapper = _wrapper(saved)
+    return blocks(wrapper.main(page), wrapper.own)
 
 
 def wrappers(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
-    """``host, wrapper`` from ``host, unit, html``; ``unit`` is a hash in [0, 1)."""
-    counts = stored(pages.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "host-counts")
-    chance = counts.select("host", F.least(F.lit(1.0), F.lit(2.0 * sample_pages) / F.col("n")).alias("chance"))
-    some = pages.where(F.col("html").isNotNull()).join(bounded_broadcast(chance, 20 * BROADCAST_HOSTS), "host").where("unit < chance").select("host", "unit", "html")
+    """``host, wrapper`` from ``host, unit, html``; ``unit`` is a hash of the
+    html in [0, 1).
+
+    A page and its copies are one page: they share a hash, and a task hands on
+    one of them."""
+    counts = stored(pages.groupBy("host").agg(F.approx_count_distinct("unit", 0.02).alias("n")), "host-counts")
+    chance = counts.select("host", F.least(F.lit(1.0), F.lit(2.0 * sample_pages) / F.greatest("n", F.lit(1))).alias("chance"))
+    some = pages.where(F.col("html").isNotNull()).join(bounded_broadcast(chance, 20 * BROADCAST_HOSTS), "host").where("unit < chance")
+    some = some.groupBy("host", "unit").agg(F.min("html").alias("html"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.sort_values(["unit", "html"]).head(sample_pages)
@@ -430,7 +498,7 @@ def wrappers(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
 def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: ``id_col, url_col, text, n_chars``."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    unit = F.pmod(F.xxhash64(F.col(url_col), F.col(id_col)), F.lit(1 << 40)) / float(1 << 40)
+    unit = F.pmod(F.xxhash64(F.col(html_col)), F.lit(1 << 40)) / float(1 << 40)
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), unit.alias("unit"), F.col(html_col).alias("html"))
     found = src.drop("unit").join(bounded_broadcast(wrappers(src.drop("id", "url"), sample_pages), BROADCAST_HOSTS), "host", "left").select("id", "url", "html", "wrapper")
 
