@@ -55,7 +55,7 @@ CONTEXT_MIN = 32
 WEIGHT = 64.0
 GAIN = 10.0
 #: Tokens of a chunk, and expected entries of a bucket.
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 21
 BUCKET_ENTRIES = 1 << 20
 
 END, RARE = 0, 1
@@ -69,8 +69,8 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
-    """``chunk, words, tokens`` and, for each document, ``ids, sizes, train``, in
-    buckets by chunk.  Words are joined by line ends, which no word holds."""
+    """``chunk, words`` (their hashes), ``tokens`` and, for each document, ``ids,
+    sizes, train``, in buckets by chunk."""
     src = docs.select(F.col(id_col).alias("i"), F.coalesce(learn, F.lit(False)).alias("l"), F.col(text_col).cast("string").alias("t"))
     schema = f"chunk long, words binary, tokens binary, ids array<{src.schema['i'].dataType.simpleString()}>, sizes array<long>, train array<boolean>"
     types = to_arrow_schema(StructType.fromDDL(schema))
@@ -79,8 +79,8 @@ def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tok
         nth, c, ids, sizes, train = 0, S.Chunk(), [], [], []
 
         def row() -> pa.RecordBatch:
-            words = b"\n".join(w for w in c.numbers if w != S.BREAK)
-            values = [S.chunk_number(nth), words, S.packed(c.tokens()), ids, sizes, train]
+            words = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in c.numbers if w != S.BREAK), dtype=np.uint64, count=len(c.numbers) - 1)
+            values = [S.chunk_number(nth), words.tobytes(), S.packed(c.tokens()), ids, sizes, train]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, types)], names=types.names)
 
         for batch in batches:
@@ -134,7 +134,8 @@ class Tree:
         values = values[order]
         for i in range(self.n_buckets):
             if edges[i] < edges[i + 1]:
-                yield kind, k, i, chunk, short[edges[i] : edges[i + 1]].tobytes(), values[edges[i] : edges[i + 1]].tobytes()
+                some = values[edges[i] : edges[i + 1]]
+                yield kind, k, i, chunk, short[edges[i] : edges[i + 1]].tobytes(), some.astype(np.float32).tobytes() if kind == GAINS else narrow(some)
 
     def collect(self, codes: np.ndarray, told: dict, dtype: str) -> np.ndarray:
         """Answers by bucket, in the order of the codes that were sent."""
@@ -154,7 +155,7 @@ class Tree:
         raw = np.frombuffer(b"".join(pdf["codes"]), dtype=np.uint8).reshape(-1, width)
         codes = np.zeros((len(raw), 8), dtype=np.uint8)
         codes[:, :width] = raw
-        values = np.frombuffer(b"".join(pdf["vals"]), dtype=np.float64 if kind == GAINS else np.uint32)
+        values = np.concatenate([np.frombuffer(v, dtype=np.float32).astype(float) if kind == GAINS else widened(v) for v in pdf["vals"]])
         _, which = np.unique(codes.view(np.uint64).ravel(), return_inverse=True)
         each = np.bincount(which, weights=values)
         out = each[which] >= self.gain if kind == GAINS else each[which].astype(np.int64)
@@ -178,7 +179,8 @@ class Tree:
         codes = word_codes(row)
         train = np.repeat(np.asarray(row["train"], dtype=bool), np.asarray(row["sizes"]))
         n = np.bincount(t[train] + 1, minlength=len(codes) + 1)[1:]
-        yield from self.send(WORDS, 0, row["chunk"], codes, n.astype(np.uint32))
+        if len(codes):
+            yield from self.send(WORDS, 0, row["chunk"], codes, n)
 
     def symbols(self, row: dict, told: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Each token's word count and symbol, and of each symbol its hash and
@@ -187,35 +189,41 @@ class Tree:
         c = self.collect(codes, told.get((WORDS, 0), {}), "int64")
         t = S.unpacked(row["tokens"], "int32")  # an end is -1, the last
         frequent = c >= self.symbol_min
-        number = np.where(frequent, np.cumsum(frequent) + 1, RARE)
+        number = np.where(frequent, np.cumsum(frequent) + 1, RARE).astype(np.int32)
         hashes = np.r_[mixed(np.array([END + 1, RARE + 1], dtype=np.uint64)), codes[frequent]]
         counts = np.r_[self.totals.ends, self.totals.rare_tokens, c[frequent]]
-        return np.r_[c, self.totals.ends][t], np.r_[number, END][t], hashes, counts
+        return np.r_[c, self.totals.ends][t], np.r_[number, np.int32(END)][t], hashes, counts
 
-    def levels(self, row: dict, told: dict, upto: int) -> Iterator[dict]:
+    def levels(self, row: dict, told: dict, upto: int, known_symbols: tuple | None = None) -> Iterator[dict]:
         """Levels 1 to ``upto`` of a chunk: which places are looked at (``at``),
         their distinct runs and contexts with codes, and as far as the counts are
-        told, the probability at every place."""
-        _, s, hashes, counts = self.symbols(row, told)
+        told, the probability at every place.
+
+        A run occurs at most as often as the run without its oldest symbol; where
+        that never occurs in training nobody is asked."""
+        _, s, hashes, counts = known_symbols or self.symbols(row, told)
         t, m = self.totals, len(hashes)
         sizes = np.asarray(row["sizes"], dtype=np.int64)
         starts = np.cumsum(np.r_[0, sizes])[:-1]
-        offset = np.arange(len(s)) - np.repeat(starts, sizes)
+        offset = (np.arange(len(s)) - np.repeat(starts, sizes)).astype(np.int32)
         train = np.repeat(np.asarray(row["train"], dtype=bool), sizes)
         p = ((counts + 0.5) / (t.tokens + 0.5 * (t.symbols + 2)))[s]
-        context, code, count = np.r_[END, s[:-1]], hashes, counts  # an end stands before the first token
+        context, code, count = np.r_[np.int32(END), s[:-1]], hashes, counts  # an end stands before the first token
+        most = counts[s]  # of the run that ends at a place, one symbol shorter
         for k in range(1, upto + 1):
             at = np.flatnonzero((offset >= k - 1) & (context >= 0) & (count[context] >= self.context_min))
-            runs, first, which = np.unique(context[at] * m + s[at], return_index=True, return_inverse=True)
+            runs, first, which = np.unique(context[at].astype(np.int64) * m + s[at], return_index=True, return_inverse=True)
             of, x = runs // m, runs % m
             run_codes = mixed(code[of] * BASE + hashes[x])
             n_train = np.bincount(which, weights=train[at], minlength=len(runs))
-            level = {"k": k, "at": at, "which": which, "run_codes": run_codes, "of": of, "codes": code, "n_train": n_train, "p": p}
+            asked = np.flatnonzero(most[at[first]] > 0)
+            level = {"k": k, "at": at, "which": which, "asked": asked, "run_codes": run_codes, "of": of, "codes": code, "n_train": n_train, "p": p}
             known = told.get((COUNTS, k))
-            if known is None:
+            if known is None and len(asked):
                 yield level
                 return
-            total = self.collect(run_codes, known, "int64")
+            total = np.zeros(len(runs), dtype=np.int64)
+            total[asked] = self.collect(run_codes[asked], known or {}, "int64")
             n, parent = count[of].astype(float), p[at[first]]
             seen = n_train > 0
             alone = np.log((total - 1 + self.weight * parent) / (n - 1 + self.weight) / parent, where=seen, out=np.zeros(len(runs)))
@@ -226,9 +234,11 @@ class Tree:
             level["p"] = p
             yield level
             # the run that ends at a place is the context of the next one
-            context = np.full(len(s), -1, dtype=np.int64)
+            context = np.full(len(s), -1, dtype=np.int32)
             inside = at + 1 < len(s)
             context[at[inside] + 1] = which[inside]
+            most = np.zeros(len(s), dtype=np.int64)
+            most[at] = total[which]
             code, count = run_codes, np.r_[total, 0]
 
     def contexts(self, level: dict) -> np.ndarray:
@@ -245,12 +255,12 @@ class Tree:
                 here = self.contexts(level)
                 yield from self.send(GAINS, upto, row["chunk"], level["codes"][here], level["gains"][here])
             if level["k"] == upto + 1:
-                yield from self.send(COUNTS, upto + 1, row["chunk"], level["run_codes"], level["n_train"].astype(np.uint32))
+                yield from self.send(COUNTS, upto + 1, row["chunk"], level["run_codes"][level["asked"]], level["n_train"][level["asked"]].astype(np.int64))
 
-    def scores(self, row: dict, told: dict) -> np.ndarray:
+    def scores(self, row: dict, told: dict, known_symbols: tuple) -> np.ndarray:
         """The log10 probability of each document's symbols."""
         best = None
-        for level in self.levels(row, told, self.depth):
+        for level in self.levels(row, told, self.depth, known_symbols):
             if best is None:
                 best = np.array(level.get("parent", level["p"]))
             if len(level["at"]):
@@ -262,11 +272,11 @@ class Tree:
         sizes = np.asarray(row["sizes"], dtype=np.int64)
         return np.add.reduceat(np.log10(best), np.cumsum(np.r_[0, sizes])[:-1])
 
-    def base(self, row: dict, told: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def base(self, row: dict, known_symbols: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each document its known tokens, its base score, and the log10 of
         its rare words' shares of the rare symbol."""
         t = self.totals
-        c, s, _, _ = self.symbols(row, told)
+        c, s, _, _ = known_symbols
         starts = np.cumsum(np.r_[0, np.asarray(row["sizes"], dtype=np.int64)])[:-1]
         base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.types + 1)))
         share = np.where(s == RARE, np.log10((c + 0.5) / (t.rare_tokens + 0.5 * (t.rare_types + 1))), 0.0)
@@ -274,8 +284,19 @@ class Tree:
 
 
 def word_codes(row: dict) -> np.ndarray:
-    words = row["words"].split(b"\n") if row["words"] else []
-    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words))
+    return np.frombuffer(row["words"] or b"", dtype=np.uint64)
+
+
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, which the first tells."""
+    for dtype in (np.uint8, np.uint16, np.uint32):
+        if counts.max() <= np.iinfo(dtype).max:
+            break
+    return bytes([np.dtype(dtype).itemsize]) + counts.astype(dtype).tobytes()
+
+
+def widened(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, dtype=f"<u{blob[0]}", offset=1).astype(np.int64)
 
 
 def by_kind(row: dict) -> dict:
@@ -326,8 +347,9 @@ def suffix_tree_scores(
 
     def score(row: dict) -> Iterator[tuple]:
         told = by_kind(row)
-        known, base, rare = tree.base(row, told)
-        yield row["ids"], row["train"], row["sizes"], known, base, tree.scores(row, told) + rare
+        symbols = tree.symbols(row, told)
+        known, base, rare = tree.base(row, symbols)
+        yield row["ids"], row["train"], row["sizes"], known, base, tree.scores(row, told, symbols) + rare
 
     kind = made.schema["ids"].dataType.simpleString()
     out = S.arrow_map(rows, score, f"ids {kind}, train array<boolean>, sizes array<long>, known array<long>, base array<double>, score array<double>")
