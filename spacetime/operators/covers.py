@@ -79,9 +79,16 @@ def cell_at(key: Column, level: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), (2 * level).cast("int")).bitwiseOR(key)
 
 
+def never_null(df: DataFrame, c: str) -> DataFrame:
+    """``df`` with its column ``c``, which has no nulls, said to have none: else a
+    join on it would have its rows filtered for nulls at the scan, with the whole
+    computation of the key written out in that filter."""
+    return df.withColumn(c, F.coalesce(F.col(c), F.lit(0).cast("bigint")))
+
+
 def point_keys(points: DataFrame, frame: Frame, px: str, py: str) -> DataFrame:
     """``points`` with ``_key``, the interleaved key at full depth."""
-    return interleaved(points, frame.index(0, F.col(px)), frame.index(1, F.col(py)), "_key")
+    return never_null(interleaved(points, frame.index(0, F.col(px)), frame.index(1, F.col(py)), "_key"), "_key")
 
 
 # ------------------------------------------------------------------ zones
@@ -118,7 +125,7 @@ def _length(first: Column, last: Column) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), last - first + 1).cast("double")
 
 
-def border_cells(level: int) -> Column:
+def border_cells(level: Column | int) -> Column:
     """Cells of ``level`` that a zone touches and does not hold."""
     full = [_length(*touched(i, level)) for i in (0, 1)]
     inner = [_length(*between(i, level)) for i in (0, 1)]
@@ -127,12 +134,12 @@ def border_cells(level: int) -> Column:
 
 def deepest_level(spans: DataFrame, room: float, max_level: int) -> tuple[int, int]:
     """The deepest level at which all zones' border cells have ``room``, and
-    their number there: a one-row aggregate."""
-    r = spans.agg(*[F.sum(border_cells(k)).alias(f"n{k}") for k in range(max_level + 1)]).first()
-    sizes = [r[f"n{k}"] or 0.0 for k in range(max_level + 1)]
-    fits = [k for k in range(max_level + 1) if sizes[k] <= room]
-    level = max(fits, default=0)
-    return level, int(sizes[level])
+    their number there: one aggregate, with a row for each level."""
+    levels = spans.select("*", F.explode(F.sequence(F.lit(0), F.lit(max_level))).alias("_level"))
+    rows = levels.groupBy("_level").agg(F.sum(border_cells(F.col("_level"))).alias("n")).collect()
+    sizes = {r["_level"]: r["n"] for r in rows}
+    level = max((k for k, n in sizes.items() if n <= room), default=0 if sizes else max_level)
+    return level, int(sizes.get(level, 0))
 
 
 def _range(first: Column, last: Column) -> Column:
@@ -148,7 +155,8 @@ def border_of(spans: DataFrame, level: int, columns: list[str]) -> DataFrame:
     # in a column between the edges, all rows but those between the edges; otherwise all rows
     part = (F.col("_x").between(F.col("_i0"), F.col("_j0"))) & (F.col("_i1") <= F.col("_j1"))
     rows = F.when(part, F.concat(_range(F.col("_y0"), F.col("_i1") - 1), _range(F.col("_j1") + 1, F.col("_y1")))).otherwise(_range(F.col("_y0"), F.col("_y1")))
-    return interleaved(wide.select(*columns, "_x", F.explode(rows).alias("_y")), F.col("_x"), F.col("_y"), "_cell").drop("_x", "_y")
+    cells = interleaved(wide.select(*columns, "_x", F.explode(rows).alias("_y")), F.col("_x"), F.col("_y"), "_cell")
+    return never_null(cells.drop("_x", "_y"), "_cell")
 
 
 def inside_of(spans: DataFrame, level: int, columns: list[str]) -> DataFrame:
@@ -169,7 +177,7 @@ def inside_of(spans: DataFrame, level: int, columns: list[str]) -> DataFrame:
     part = ~F.col("_whole") & F.col("_x").between(F.col("_p0"), F.col("_q0"))
     rows = F.when(part, F.concat(_range(F.col("_f1"), F.col("_p1") - 1), _range(F.col("_q1") + 1, F.col("_l1")))).otherwise(_range(F.col("_f1"), F.col("_l1")))
     cells = wide.select(*columns, "_level", "_x", F.explode(rows).alias("_y"))
-    return interleaved(cells, F.col("_x"), F.col("_y"), "_k").select(*columns, cell_at(F.col("_k"), lv).alias("_name"))
+    return never_null(interleaved(cells, F.col("_x"), F.col("_y"), "_k").select(*columns, cell_at(F.col("_k"), lv).alias("_name")), "_name")
 
 
 def counts_of_levels(counts: DataFrame, level: int) -> DataFrame:
@@ -264,7 +272,7 @@ def cover_counts(
     py: str = "py",
     max_level: int = MAX_LEVEL,
     cells_per_zone: int = 32,
-    spare_cells: int = 1 << 16,
+    spare_cells: int = 1 << 10,
     broadcast_max_bytes: int = 64 << 20,
     slots_per_partition: int = 16,
     sample_rows: int = 200_000,

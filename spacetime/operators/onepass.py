@@ -32,7 +32,7 @@ class OnePass:
     """
 
     def __init__(self, points: DataFrame, zones: DataFrame, spec: GridSpec, px: str = "px", py: str = "py", t: str = "t",
-                 max_level: int = C.MAX_LEVEL, cells_per_zone: int = 32, spare_cells: int = 1 << 16, broadcast_max_bytes: int = 64 << 20):
+                 max_level: int = C.MAX_LEVEL, cells_per_zone: int = 32, spare_cells: int = 1 << 10, broadcast_max_bytes: int = 64 << 20):
         zs = zones.select("rectangle", *ZONE_COLS)
         stats = ZoneStats(zs)
         frame = C.Frame(tuple(a.low or 0.0 for a in stats.axes), tuple(a.high or 0.0 for a in stats.axes))
