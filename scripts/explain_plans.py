@@ -23,6 +23,9 @@ FLAGSHIP = [
     ("hot_zones", "25 zones: bounding box pushed to the scan, broadcast nested-loop join, partial count"),
     ("hot_zones_tiled", "tile-bucketed broadcast hash join"),
     ("hot_zones_shuffle", "tile-bucketed sort-merge join with salted hot tiles"),
+    ("hot_zones_cover_shuffle", "covers: counts and border join read one exchange of the points, one key a point"),
+    ("neighbor_sums_box", "neighbourhood sums axis by axis: one shuffle after the counts"),
+    ("clustered_cell_range", "a rectangle of cells: key ranges pushed to the scan"),
     ("hot_zones_text", "text input parsed once behind a generator"),
 ]
 
