@@ -22,9 +22,11 @@ The tree lives where it is needed: every chunk of the corpus asks, level by
 level, for the counts of the words and word runs it has (its training documents
 add to them) and for the contexts that are retained.  Questions meet in buckets
 by hash, pre-aggregated by chunk, and are answered there; no task, and not the
-driver, holds the model, which grows with the corpus.  Chunks and answers lie in
-buckets by chunk, so that tokens are never shuffled.  Words are told apart by
-64-bit hashes, runs by 40 bits of theirs within a bucket.
+driver, holds the model, which grows with the corpus.  A word or run that no
+other chunk asks about is a chunk's own: what it counted itself is all there is,
+also of every longer run with that one inside, so nobody is asked about those.
+Chunks and answers lie in buckets by chunk, so that tokens are never shuffled.
+Words are told apart by 64-bit hashes, runs by 40 bits of theirs within a bucket.
 
 Edge cases: null or empty text is one end token; a null id is not held out and
 trains; repeated rows train again and are scored each; a very long text is one
@@ -39,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +60,8 @@ GAIN = 10.0
 #: Tokens of a chunk, and expected entries of a bucket.
 CHUNK_TOKENS = 1 << 20
 BUCKET_ENTRIES = 1 << 20
+#: Bytes of texts that are split at a time.
+SPLIT_BYTES = 1 << 20
 
 END, RARE = 0, 1
 WORDS, COUNTS, GAINS = 0, 1, 2
@@ -64,41 +69,69 @@ WORDS, COUNTS, GAINS = 0, 1, 2
 SENT = {WORDS: 8, COUNTS: 5, GAINS: 5}
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8").translate(S.LOWER).split() + [S.BREAK]
+def words_by_text(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, A to Z in lower case; null or empty: no list."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), pa.scalar(None, texts.type), texts)
+    return pc.ascii_split_whitespace(texts)
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows with at most ``SPLIT_BYTES`` of text, or one row."""
+    n = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(n, (n[a - 1] if a else 0) + SPLIT_BYTES, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
 
 
 def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
-    """``chunk, words`` (their hashes), ``tokens`` and, for each document, ``ids,
-    sizes, train``, in buckets by chunk."""
+    """``chunk, words`` (their hashes), ``tokens`` (their numbers, an end is -1)
+    and, for each document, ``ids, sizes, train``, in buckets by chunk."""
     src = docs.select(F.col(id_col).alias("i"), F.coalesce(learn, F.lit(False)).alias("l"), F.col(text_col).cast("string").alias("t"))
     schema = f"chunk long, words binary, tokens binary, ids array<{src.schema['i'].dataType.simpleString()}>, sizes array<long>, train array<boolean>"
     types = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nth, c, ids, sizes, train = 0, S.Chunk(), [], [], []
-
-        def row() -> pa.RecordBatch:
-            words = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in c.numbers if w != S.BREAK), dtype=np.uint64, count=len(c.numbers) - 1)
-            values = [S.chunk_number(nth), words.tobytes(), S.packed(c.tokens()), ids, sizes, train]
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, types)], names=types.names)
+    def row(nth: int, parts: list[tuple]) -> pa.RecordBatch:
+        ids, train, words, sizes = ([p[k] for p in parts] for k in range(4))
+        sizes = np.concatenate(sizes)
+        coded = pa.concat_arrays(words).dictionary_encode()
+        t = np.full(sizes.sum(), -1, dtype=np.int32)
+        is_word = np.ones(len(t), dtype=bool)
+        is_word[np.cumsum(sizes) - 1] = False
+        t[is_word] = coded.indices.to_numpy()
+        hashes = np.fromiter(map(hashed, coded.dictionary.cast(pa.binary()).to_pylist()), dtype=np.uint64, count=len(coded.dictionary))
+        values = [S.chunk_number(nth), hashes.tobytes(), packed_counts(t + 1), [x for part in ids for x in part.to_pylist()], sizes, [x for part in train for x in part.to_pylist()]]
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, types)], names=types.names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nth, parts, size = 0, [], 0
         for batch in batches:
-            for i, learned, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                words = tokens_of(text)
-                c.add(words)
-                ids.append(i)
-                sizes.append(len(words))
-                train.append(learned)
-                if c.size >= chunk_tokens:
-                    yield row()
-                    nth, c, ids, sizes, train = nth + 1, S.Chunk(), [], [], []
-        if ids:
-            yield row()
+            for some in slices(batch, 2):
+                words = words_by_text(some.column(2))
+                sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+                ends = np.cumsum(sizes)
+                a = 0
+                while a < some.num_rows:
+                    before = ends[a - 1] if a else 0
+                    b = min(int(np.searchsorted(ends, before + chunk_tokens - size)) + 1, some.num_rows)
+                    parts.append((some.column(0).slice(a, b - a), some.column(1).slice(a, b - a), words.slice(a, b - a).flatten(), sizes[a:b]))
+                    size += int(ends[b - 1] - before)
+                    if size >= chunk_tokens:
+                        yield row(nth, parts)
+                        nth, parts, size = nth + 1, [], 0
+                    a = b
+        if parts:
+            yield row(nth, parts)
 
     return S.by_chunk(src.mapInArrow(run, schema), "tree-chunks")
 
 
+def hashed(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, 42)
+
+
 class Totals:
     """What all training tokens add up to: numbers for the driver."""
 
@@ -124,9 +157,8 @@ class Tree:
 
     def deal(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The order of codes by bucket, and where each bucket's begin in it."""
-        b = ((codes >> np.uint64(40)) % np.uint64(self.n_buckets)).astype(np.int64)
-        order = np.argsort(b, kind="stable")
-        return order, np.searchsorted(b[order], np.arange(self.n_buckets + 1))
+        b = ((codes >> np.uint64(40)) % np.uint64(self.n_buckets)).astype(np.uint16 if self.n_buckets <= 1 << 16 else np.int64)
+        return np.argsort(b, kind="stable"), np.cumsum(np.r_[0, np.bincount(b, minlength=self.n_buckets)])
 
     def send(self, kind: int, k: int, chunk: int, codes: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
         order, edges = self.deal(codes)
@@ -137,17 +169,19 @@ class Tree:
                 some = values[edges[i] : edges[i + 1]]
                 yield kind, k, i, chunk, short[edges[i] : edges[i + 1]].tobytes(), some.astype(np.float32).tobytes() if kind == GAINS else narrow(some)
 
-    def collect(self, codes: np.ndarray, told: dict, dtype: str) -> np.ndarray:
+    def collect(self, kind: int, codes: np.ndarray, told: dict) -> np.ndarray:
         """Answers by bucket, in the order of the codes that were sent."""
-        out = np.zeros(len(codes), dtype=dtype)
+        out = np.zeros(len(codes), dtype=bool if kind == GAINS else np.int64)
         order, edges = self.deal(codes)
         for i, blob in told.items():
-            out[order[edges[i] : edges[i + 1]]] = S.unpacked(blob, dtype)
+            at = order[edges[i] : edges[i + 1]]
+            out[at] = np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=len(at)) if kind == GAINS else unpacked_counts(blob)
         return out
 
     def answer(self, pdf: pd.DataFrame) -> pd.DataFrame:
-        """A bucket's sums for each chunk's codes: counts, or whether a context
-        gains enough; of words, also what all of them add up to."""
+        """A bucket's sums for each chunk's codes: counts (0 for a code that is the
+        chunk's own), or whether a context gains enough; of words, also what all of
+        them add up to."""
         pdf = pdf.sort_values("chunk")
         kind = int(pdf["kind"].iloc[0])
         width = SENT[kind]
@@ -156,11 +190,12 @@ class Tree:
         codes = np.zeros((len(raw), 8), dtype=np.uint8)
         codes[:, :width] = raw
         values = np.concatenate([np.frombuffer(v, dtype=np.float32).astype(float) if kind == GAINS else widened(v) for v in pdf["vals"]])
-        _, which = np.unique(codes.view(np.uint64).ravel(), return_inverse=True)
+        which, _ = pd.factorize(codes.view(np.uint64).ravel())
         each = np.bincount(which, weights=values)
-        out = each[which] >= self.gain if kind == GAINS else each[which].astype(np.int64)
+        out = (each >= self.gain)[which] if kind == GAINS else np.where(np.bincount(which) > 1, each, 0).astype(np.int64)[which]
+        pack = packed_bits if kind == GAINS else packed_counts
         edges = np.cumsum([0, *sizes])
-        made = pd.DataFrame({"chunk": pdf["chunk"].astype("Int64"), "kind": kind, "k": pdf["k"], "bucket": pdf["bucket"], "told": [S.packed(out[a:b]) for a, b in zip(edges, edges[1:])]})
+        made = pd.DataFrame({"chunk": pdf["chunk"].astype("Int64"), "kind": kind, "k": pdf["k"], "bucket": pdf["bucket"], "told": [pack(out[a:b]) for a, b in zip(edges, edges[1:])]})
         sums = {"types": None, "tokens": None, "symbols": None, "rare": None}
         if kind == WORDS:
             known = each[each > 0]
@@ -174,76 +209,89 @@ class Tree:
 
     # ---- a chunk's view
 
+    def own_words(self, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The tokens of a chunk, its words' codes and how often each is in its
+        training documents."""
+        t, codes = unpacked_counts(row["tokens"]).astype(np.int32) - np.int32(1), word_codes(row)
+        return t, codes, np.bincount(t[in_training(row)] + 1, minlength=len(codes) + 1)[1:]
+
     def ask_words(self, row: dict) -> Iterator[tuple]:
-        t = S.unpacked(row["tokens"], "int32")
-        codes = word_codes(row)
-        train = np.repeat(np.asarray(row["train"], dtype=bool), np.asarray(row["sizes"]))
-        n = np.bincount(t[train] + 1, minlength=len(codes) + 1)[1:]
+        _, codes, n = self.own_words(row)
         if len(codes):
             yield from self.send(WORDS, 0, row["chunk"], codes, n)
 
-    def symbols(self, row: dict, told: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Each token's word count and symbol, and of each symbol its hash and
-        count; the ends are symbol ``END``, words that are not frequent ``RARE``."""
-        codes = word_codes(row)
-        c = self.collect(codes, told.get((WORDS, 0), {}), "int64")
-        t = S.unpacked(row["tokens"], "int32")  # an end is -1, the last
+    def symbols(self, row: dict, told: dict) -> dict:
+        """The tokens ``t`` of a chunk and the counts ``c`` of its words, the last
+        for the ends, which are -1; the symbols ``s`` of the tokens, and of each
+        symbol its hash, count, and whether other chunks may have it.  The ends
+        are symbol ``END``, words that are not frequent ``RARE``."""
+        t, codes, own = self.own_words(row)
+        c = self.collect(WORDS, codes, told.get((WORDS, 0), {}))
+        shared = c > 0
+        c = np.where(shared, c, own)
         frequent = c >= self.symbol_min
         number = np.where(frequent, np.cumsum(frequent) + 1, RARE).astype(np.int32)
-        hashes = np.r_[mixed(np.array([END + 1, RARE + 1], dtype=np.uint64)), codes[frequent]]
-        counts = np.r_[self.totals.ends, self.totals.rare_tokens, c[frequent]]
-        return np.r_[c, self.totals.ends][t], np.r_[number, np.int32(END)][t], hashes, counts
-
-    def levels(self, row: dict, told: dict, upto: int, known_symbols: tuple | None = None) -> Iterator[dict]:
+        return {
+            "t": t,
+            "c": np.r_[c, self.totals.ends],
+            "s": np.r_[number, np.int32(END)][t],
+            "hashes": np.r_[mixed(np.array([END + 1, RARE + 1], dtype=np.uint64)), codes[frequent]],
+            "counts": np.r_[self.totals.ends, self.totals.rare_tokens, c[frequent]],
+            "shared": np.r_[True, True, shared[frequent]],
+        }
+
+    def levels(self, row: dict, told: dict, upto: int, known_symbols: dict | None = None) -> Iterator[dict]:
         """Levels 1 to ``upto`` of a chunk: which places are looked at (``at``),
         their distinct runs and contexts with codes, and as far as the counts are
-        told, the probability at every place.
-
-        A run occurs at most as often as the run without its oldest symbol; where
-        that never occurs in training nobody is asked."""
-        _, s, hashes, counts = known_symbols or self.symbols(row, told)
-        t, m = self.totals, len(hashes)
-        sizes = np.asarray(row["sizes"], dtype=np.int64)
-        starts = np.cumsum(np.r_[0, sizes])[:-1]
-        offset = (np.arange(len(s)) - np.repeat(starts, sizes)).astype(np.int32)
-        train = np.repeat(np.asarray(row["train"], dtype=bool), sizes)
-        p = ((counts + 0.5) / (t.tokens + 0.5 * (t.symbols + 2)))[s]
-        context, code, count = np.r_[np.int32(END), s[:-1]], hashes, counts  # an end stands before the first token
-        most = counts[s]  # of the run that ends at a place, one symbol shorter
+        told, the probability of every run.
+
+        A run occurs at most where its context and the run without its oldest
+        symbol do.  Where one of them is the chunk's own, or never occurs in
+        training, the chunk's count is the whole count and nobody is asked."""
+        known_symbols = known_symbols or self.symbols(row, told)
+        s, hashes, total, shared = (known_symbols[c] for c in ("s", "hashes", "counts", "shared"))
+        t, train = self.totals, in_training(row)
+        p = (total + 0.5) / (t.tokens + 0.5 * (t.symbols + 2))
+        codes, newest, which, place_run = hashes, np.arange(len(hashes)), s, s
         for k in range(1, upto + 1):
-            at = np.flatnonzero((offset >= k - 1) & (context >= 0) & (count[context] >= self.context_min))
-            runs, first, which = np.unique(context[at].astype(np.int64) * m + s[at], return_index=True, return_inverse=True)
-            of, x = runs // m, runs % m
-            run_codes = mixed(code[of] * BASE + hashes[x])
-            n_train = np.bincount(which, weights=train[at], minlength=len(runs))
-            asked = np.flatnonzero(most[at[first]] > 0)
-            level = {"k": k, "at": at, "which": which, "asked": asked, "run_codes": run_codes, "of": of, "codes": code, "n_train": n_train, "p": p}
+            if k == 1:  # an end stands before the first token
+                context = np.r_[np.int32(END), s[:-1]]
+                at = np.flatnonzero((total >= self.context_min)[context]).astype(np.int32)
+                context = context[at]
+            else:  # the run that ends at a place is the context of the next one
+                before = np.flatnonzero(((total >= self.context_min) & (newest != END))[which])
+                context, at = which[before], at[before] + np.int32(1)
+                looked_at = place_run[at] >= 0
+                context, at = context[looked_at], at[looked_at]
+            which, runs = pd.factorize(context.astype(np.int64) * len(total) + place_run[at])
+            which = which.astype(np.int32)
+            of, shorter = np.divmod(runs, len(total))  # by their numbers one level up
+            newest = newest[shorter]
+            run_codes = mixed(codes[of] * BASE + hashes[newest])
+            n_train = np.bincount(which[train[at]], minlength=len(runs))
+            asked = np.flatnonzero(shared[of] & shared[shorter])
+            level = {"k": k, "at": at, "which": which, "asked": asked, "run_codes": run_codes, "of": of, "codes": codes, "n_train": n_train}
             known = told.get((COUNTS, k))
             if known is None and len(asked):
                 yield level
                 return
-            total = np.zeros(len(runs), dtype=np.int64)
-            total[asked] = self.collect(run_codes[asked], known or {}, "int64")
-            n, parent = count[of].astype(float), p[at[first]]
-            seen = n_train > 0
-            alone = np.log((total - 1 + self.weight * parent) / (n - 1 + self.weight) / parent, where=seen, out=np.zeros(len(runs)))
-            level["gains"] = np.bincount(of, weights=n_train * alone, minlength=len(code))
-            level["parent"] = p
-            p = p.copy()
-            p[at] = ((total + self.weight * parent) / (n + self.weight))[which]
-            level["p"] = p
+            told_total = self.collect(COUNTS, run_codes[asked], known or {})
+            n, parent = total[of].astype(float), p[shorter]
+            total, shared = n_train.copy(), np.zeros(len(runs), dtype=bool)
+            shared[asked] = told_total > 0
+            total[asked] = np.where(told_total > 0, told_total, n_train[asked])
+            seen = np.flatnonzero(n_train)
+            alone = np.log((total[seen] - 1 + self.weight * parent[seen]) / (n[seen] - 1 + self.weight) / parent[seen])
+            level["gains"] = np.bincount(of[seen], weights=n_train[seen] * alone, minlength=len(codes))
+            p = level["p"] = (total + self.weight * parent) / (n + self.weight)
             yield level
-            # the run that ends at a place is the context of the next one
-            context = np.full(len(s), -1, dtype=np.int32)
-            inside = at + 1 < len(s)
-            context[at[inside] + 1] = which[inside]
-            most = np.zeros(len(s), dtype=np.int64)
-            most[at] = total[which]
-            code, count = run_codes, np.r_[total, 0]
+            codes = run_codes
+            place_run = np.full(len(s), -1, dtype=np.int32)
+            place_run[at] = which
 
     def contexts(self, level: dict) -> np.ndarray:
         """The contexts of a level that occur in the chunk, by their numbers."""
-        return np.unique(level["of"])
+        return np.flatnonzero(np.bincount(level["of"], minlength=len(level["codes"])))
 
     def ask(self, row: dict, told: dict, upto: int) -> Iterator[tuple]:
         """What a chunk sends once levels up to ``upto`` are counted: gains of
@@ -255,32 +303,40 @@ class Tree:
                 here = self.contexts(level)
                 yield from self.send(GAINS, upto, row["chunk"], level["codes"][here], level["gains"][here])
             if level["k"] == upto + 1:
-                yield from self.send(COUNTS, upto + 1, row["chunk"], level["run_codes"][level["asked"]], level["n_train"][level["asked"]].astype(np.int64))
+                yield from self.send(COUNTS, upto + 1, row["chunk"], level["run_codes"][level["asked"]], level["n_train"][level["asked"]])
 
-    def scores(self, row: dict, told: dict, known_symbols: tuple) -> np.ndarray:
+    def scores(self, row: dict, told: dict, known_symbols: dict) -> np.ndarray:
         """The log10 probability of each document's symbols."""
-        best = None
+        t = self.totals
+        best = np.log10((known_symbols["counts"] + 0.5) / (t.tokens + 0.5 * (t.symbols + 2)))[known_symbols["s"]]
         for level in self.levels(row, told, self.depth, known_symbols):
-            if best is None:
-                best = np.array(level.get("parent", level["p"]))
             if len(level["at"]):
                 here = self.contexts(level)
                 kept = np.zeros(len(level["codes"]), dtype=bool)
-                kept[here] = self.collect(level["codes"][here], told.get((GAINS, level["k"]), {}), "bool")
-                hit = level["at"][kept[level["of"]][level["which"]]]
-                best[hit] = level["p"][hit]
-        sizes = np.asarray(row["sizes"], dtype=np.int64)
-        return np.add.reduceat(np.log10(best), np.cumsum(np.r_[0, sizes])[:-1])
+                kept[here] = self.collect(GAINS, level["codes"][here], told.get((GAINS, level["k"]), {}))
+                hit = np.flatnonzero(kept[level["of"]][level["which"]])
+                best[level["at"][hit]] = np.log10(level["p"])[level["which"][hit]]
+        return np.add.reduceat(best, starts_of(row))
 
-    def base(self, row: dict, known_symbols: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def base(self, row: dict, known_symbols: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each document its known tokens, its base score, and the log10 of
         its rare words' shares of the rare symbol."""
-        t = self.totals
-        c, s, _, _ = known_symbols
-        starts = np.cumsum(np.r_[0, np.asarray(row["sizes"], dtype=np.int64)])[:-1]
+        t, at = self.totals, starts_of(row)
+        c, token = known_symbols["c"], known_symbols["t"]
         base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.types + 1)))
-        share = np.where(s == RARE, np.log10((c + 0.5) / (t.rare_tokens + 0.5 * (t.rare_types + 1))), 0.0)
-        return np.add.reduceat(c > 0, starts, dtype=np.int64), np.add.reduceat(base, starts), np.add.reduceat(share, starts)
+        share = np.where(c < self.symbol_min, np.log10((c + 0.5) / (t.rare_tokens + 0.5 * (t.rare_types + 1))), 0.0)
+        share[-1] = 0.0
+        return np.add.reduceat((c > 0)[token], at, dtype=np.int64), np.add.reduceat(base[token], at), np.add.reduceat(share[token], at)
+
+
+def starts_of(row: dict) -> np.ndarray:
+    """Where the documents of a chunk begin."""
+    return np.cumsum(np.r_[0, np.asarray(row["sizes"], dtype=np.int64)])[:-1]
+
+
+def in_training(row: dict) -> np.ndarray:
+    """Of each token of a chunk, whether its document trains."""
+    return np.repeat(np.asarray(row["train"], dtype=bool), np.asarray(row["sizes"]))
 
 
 def word_codes(row: dict) -> np.ndarray:
@@ -288,15 +344,32 @@ def word_codes(row: dict) -> np.ndarray:
 
 
 def narrow(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs, which the first tells."""
-    for dtype in (np.uint8, np.uint16, np.uint32):
-        if counts.max() <= np.iinfo(dtype).max:
-            break
-    return bytes([np.dtype(dtype).itemsize]) + counts.astype(dtype).tobytes()
+    """Counts in as few bytes each as the largest needs, which the first tells;
+    first all lowest bytes, then all next ones, as the higher are mostly 0."""
+    width = max(1, (int(counts.max(initial=0)).bit_length() + 7) // 8)
+    low = counts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + low.T.tobytes()
 
 
 def widened(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype=f"<u{blob[0]}", offset=1).astype(np.int64)
+    low = np.frombuffer(blob, dtype=np.uint8, offset=1).reshape(blob[0], -1)
+    out = np.zeros((low.shape[1], 8), dtype=np.uint8)
+    out[:, : blob[0]] = low.T
+    return out.view("<i8").ravel()
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """The counts for a row, after the size that unpacking needs."""
+    plain = narrow(counts)
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def unpacked_counts(blob: bytes) -> np.ndarray:
+    return widened(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True))
+
+
+def packed_bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags).tobytes()
 
 
 def by_kind(row: dict) -> dict:
