@@ -65,8 +65,8 @@ SPLIT_BYTES = 1 << 20
 
 END, RARE = 0, 1
 WORDS, COUNTS, GAINS = 0, 1, 2
-#: Bytes of a code that are sent; the bucket tells more of it.
-SENT = {WORDS: 8, COUNTS: 5, GAINS: 5}
+#: Bits of a code that are sent; the bucket tells more of it.
+SENT = {WORDS: 64, COUNTS: 40, GAINS: 40}
 
 
 def words_by_text(texts: pa.Array) -> pa.ListArray:
@@ -100,9 +100,14 @@ def chunks(docs: DataFrame, learn: Column, id_col: str, text_col: str, chunk_tok
         t = np.full(sizes.sum(), -1, dtype=np.int32)
         is_word = np.ones(len(t), dtype=bool)
         is_word[np.cumsum(sizes) - 1] = False
-        t[is_word] = coded.indices.to_numpy()
+        number = coded.indices.to_numpy()
         hashes = np.fromiter(map(hashed, coded.dictionary.cast(pa.binary()).to_pylist()), dtype=np.uint64, count=len(coded.dictionary))
-        values = [S.chunk_number(nth), hashes.tobytes(), packed_counts(t + 1), [x for part in ids for x in part.to_pylist()], sizes, [x for part in train for x in part.to_pylist()]]
+        # frequent words get small numbers, words of one frequency lie by hash: both pack well
+        order = np.lexsort((hashes, -np.bincount(number, minlength=len(hashes))))
+        new = np.empty(len(hashes), dtype=np.int32)
+        new[order] = np.arange(len(hashes), dtype=np.int32)
+        t[is_word] = new[number]
+        values = [S.chunk_number(nth), packed_steps(hashes[order]), packed_counts(t + 1), [x for part in ids for x in part.to_pylist()], sizes, [x for part in train for x in part.to_pylist()]]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, types)], names=types.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,24 +160,27 @@ class Tree:
 
     # ---- questions and answers
 
-    def deal(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The order of codes by bucket, and where each bucket's begin in it."""
+    def deal(self, kind: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The order of codes by bucket and there by what is sent of them, where
+        each bucket's begin in it, and what is sent, in order."""
+        short = codes & np.uint64((1 << SENT[kind]) - 1)
         b = ((codes >> np.uint64(40)) % np.uint64(self.n_buckets)).astype(np.uint16 if self.n_buckets <= 1 << 16 else np.int64)
-        return np.argsort(b, kind="stable"), np.cumsum(np.r_[0, np.bincount(b, minlength=self.n_buckets)])
+        order = np.argsort(short)
+        order = order[np.argsort(b[order], kind="stable")]
+        return order, np.cumsum(np.r_[0, np.bincount(b, minlength=self.n_buckets)]), short[order]
 
     def send(self, kind: int, k: int, chunk: int, codes: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
-        order, edges = self.deal(codes)
-        short = codes[order].view(np.uint8).reshape(-1, 8)[:, : SENT[kind]]
+        order, edges, short = self.deal(kind, codes)
         values = values[order]
         for i in range(self.n_buckets):
             if edges[i] < edges[i + 1]:
                 some = values[edges[i] : edges[i + 1]]
-                yield kind, k, i, chunk, short[edges[i] : edges[i + 1]].tobytes(), some.astype(np.float32).tobytes() if kind == GAINS else narrow(some)
+                yield kind, k, i, chunk, packed_steps(short[edges[i] : edges[i + 1]]), some.astype(np.float32).tobytes() if kind == GAINS else packed_counts(some)
 
     def collect(self, kind: int, codes: np.ndarray, told: dict) -> np.ndarray:
         """Answers by bucket, in the order of the codes that were sent."""
         out = np.zeros(len(codes), dtype=bool if kind == GAINS else np.int64)
-        order, edges = self.deal(codes)
+        order, edges, _ = self.deal(kind, codes)
         for i, blob in told.items():
             at = order[edges[i] : edges[i + 1]]
             out[at] = np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=len(at)) if kind == GAINS else unpacked_counts(blob)
@@ -184,17 +192,13 @@ class Tree:
         them add up to."""
         pdf = pdf.sort_values("chunk")
         kind = int(pdf["kind"].iloc[0])
-        width = SENT[kind]
-        sizes = [len(c) // width for c in pdf["codes"]]
-        raw = np.frombuffer(b"".join(pdf["codes"]), dtype=np.uint8).reshape(-1, width)
-        codes = np.zeros((len(raw), 8), dtype=np.uint8)
-        codes[:, :width] = raw
-        values = np.concatenate([np.frombuffer(v, dtype=np.float32).astype(float) if kind == GAINS else widened(v) for v in pdf["vals"]])
-        which, _ = pd.factorize(codes.view(np.uint64).ravel())
+        codes = [unpacked_steps(c) for c in pdf["codes"]]
+        values = np.concatenate([np.frombuffer(v, dtype=np.float32).astype(float) if kind == GAINS else unpacked_counts(v) for v in pdf["vals"]])
+        which, _ = pd.factorize(np.concatenate(codes))
         each = np.bincount(which, weights=values)
         out = (each >= self.gain)[which] if kind == GAINS else np.where(np.bincount(which) > 1, each, 0).astype(np.int64)[which]
         pack = packed_bits if kind == GAINS else packed_counts
-        edges = np.cumsum([0, *sizes])
+        edges = np.cumsum([0, *map(len, codes)])
         made = pd.DataFrame({"chunk": pdf["chunk"].astype("Int64"), "kind": kind, "k": pdf["k"], "bucket": pdf["bucket"], "told": [pack(out[a:b]) for a, b in zip(edges, edges[1:])]})
         sums = {"types": None, "tokens": None, "symbols": None, "rare": None}
         if kind == WORDS:
@@ -280,15 +284,19 @@ class Tree:
             total, shared = n_train.copy(), np.zeros(len(runs), dtype=bool)
             shared[asked] = told_total > 0
             total[asked] = np.where(told_total > 0, told_total, n_train[asked])
-            seen = np.flatnonzero(n_train)
-            alone = np.log((total[seen] - 1 + self.weight * parent[seen]) / (n[seen] - 1 + self.weight) / parent[seen])
-            level["gains"] = np.bincount(of[seen], weights=n_train[seen] * alone, minlength=len(codes))
-            p = level["p"] = (total + self.weight * parent) / (n + self.weight)
-            yield level
+            p = (total + self.weight * parent) / (n + self.weight)
+            yield {**level, "total": total, "n": n, "parent": parent, "p": p}
             codes = run_codes
             place_run = np.full(len(s), -1, dtype=np.int32)
             place_run[at] = which
 
+    def gains(self, level: dict) -> np.ndarray:
+        """What each context of a counted level gains in the chunk."""
+        seen = np.flatnonzero(level["n_train"])
+        total, n, parent, times, of = (level[c][seen] for c in ("total", "n", "parent", "n_train", "of"))
+        alone = np.log((total - 1 + self.weight * parent) / (n - 1 + self.weight) / parent)
+        return np.bincount(of, weights=times * alone, minlength=len(level["codes"]))
+
     def contexts(self, level: dict) -> np.ndarray:
         """The contexts of a level that occur in the chunk, by their numbers."""
         return np.flatnonzero(np.bincount(level["of"], minlength=len(level["codes"])))
@@ -301,7 +309,7 @@ class Tree:
                 continue
             if level["k"] == upto:
                 here = self.contexts(level)
-                yield from self.send(GAINS, upto, row["chunk"], level["codes"][here], level["gains"][here])
+                yield from self.send(GAINS, upto, row["chunk"], level["codes"][here], self.gains(level)[here])
             if level["k"] == upto + 1:
                 yield from self.send(COUNTS, upto + 1, row["chunk"], level["run_codes"][level["asked"]], level["n_train"][level["asked"]])
 
@@ -340,14 +348,15 @@ def in_training(row: dict) -> np.ndarray:
 
 
 def word_codes(row: dict) -> np.ndarray:
-    return np.frombuffer(row["words"] or b"", dtype=np.uint64)
+    return unpacked_steps(row["words"])
 
 
 def narrow(counts: np.ndarray) -> bytes:
     """Counts in as few bytes each as the largest needs, which the first tells;
     first all lowest bytes, then all next ones, as the higher are mostly 0."""
+    counts = counts.astype("<u8")
     width = max(1, (int(counts.max(initial=0)).bit_length() + 7) // 8)
-    low = counts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    low = counts.view(np.uint8).reshape(-1, 8)[:, :width]
     return bytes([width]) + low.T.tobytes()
 
 
@@ -358,6 +367,15 @@ def widened(blob: bytes) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
+def packed_steps(codes: np.ndarray) -> bytes:
+    """Codes by the steps between them, which are small where they are sorted."""
+    return packed_counts(np.diff(codes, prepend=np.uint64(0)))
+
+
+def unpacked_steps(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_counts(blob).view(np.uint64), dtype=np.uint64)
+
+
 def packed_counts(counts: np.ndarray) -> bytes:
     """The counts for a row, after the size that unpacking needs."""
     plain = narrow(counts)

@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,40 @@ def test_empty_and_untrained(make_docs):
     assert row.score < 0 and row.base_score <= 0
 
 
+def test_runs_of_one_chunk_are_not_asked_about(make_docs, monkeypatch):
+    # the words are in both chunks, but no pair of words is
+    rows, plain, sent = [(1, "p q r s " * 100), (2, "s r q p " * 100)], T.S.arrow_map, []
+
+    def arrow_map(df, run, schema):
+        out = plain(df, run, schema)
+        sent.extend([out] if "kind" in out.columns else [])
+        return out
+
+    monkeypatch.setattr(T.S, "arrow_map", arrow_map)
+    want, kept = slow_scores([(i, t, True) for i, t in rows], 3, 5, 8, 4.0, 3.0)
+    assert {len(s) for s in kept} >= {1, 2}
+    out = T.suffix_tree_scores(make_docs(rows), F.lit(True), symbol_min=5, context_min=8, weight=4.0, gain=3.0, chunk_tokens=100).collect()
+    close([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in out], want)
+    levels = {r.k for df in sent for r in df.where(f"kind = {T.COUNTS}").select("k").distinct().collect()}
+    assert levels == {1}
+
+
+def test_codes_and_counts_pack_without_loss():
+    for codes in ([], [7], [2**64 - 1, 3, 2**63], sorted(random.Random(3).sample(range(2**40), 500))):
+        codes = np.array(codes, dtype=np.uint64)
+        assert (T.unpacked_steps(T.packed_steps(codes)) == codes).all()
+    for counts in ([], [0, 0], [255, 256, 0], [2**40, 1]):
+        assert T.unpacked_counts(T.packed_counts(np.array(counts, dtype=np.int64))).tolist() == counts
+
+
+def test_texts_split_at_ascii_white_space_only(make_docs):
+    r = random.Random(4)
+    parts = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x00", "\x1c", "\x85", "\xa0", "A", "z", "Ä", "é", "\U0001F600"]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.randint(0, 30)))) for i in range(200)]
+    got = {r.doc_id: (r.n_tokens, r.n_known) for r in T.suffix_tree_scores(make_docs(rows), F.lit(True), chunk_tokens=300).collect()}
+    assert got == {i: (len(tokens(t)), len(tokens(t))) for i, t in rows}
+
+
 def test_held_out_texts_gain_over_the_base(spark):
     out = T.op11_suffix_tree_scores(spark, "/root/testdata/sf0.001").where("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
     assert out[0] > out[1]
