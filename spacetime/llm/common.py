@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """A command run inside drops what it shuffled as soon as it ends; without
+    this the files stay until the driver happens to collect garbage.  For steps
+    that are stored: nothing reads their shuffles again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array | list]], schema: str, rows: int = 1000) -> DataFrame:
     """Rows made from Arrow batches of at most ``rows`` rows.  ``make`` gives one
     column per field of ``schema``; columns it hands through keep their exact

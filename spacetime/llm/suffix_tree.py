@@ -26,7 +26,8 @@ driver, holds the model, which grows with the corpus.  A word or run that no
 other chunk asks about is a chunk's own: what it counted itself is all there is,
 also of every longer run with that one inside, so nobody is asked about those.
 Chunks and answers lie in buckets by chunk, so that tokens are never shuffled.
-Words are told apart by 64-bit hashes, runs by 40 bits of theirs within a bucket.
+Words are told apart by 64-bit hashes, runs of two by the numbers that symbols get,
+longer runs and contexts by 40 bits of their hashes within a bucket.
 
 Edge cases: null or empty text is one end token; a null id is not held out and
 trains; repeated rows train again and are scored each; a very long text is one
@@ -49,7 +50,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from spacetime.llm import sequences as S
-from spacetime.llm.common import documents, shuffle_width, stored
+from spacetime.llm.common import documents, shuffle_width, shuffles_dropped
 from spacetime.llm.repeats import BASE, mixed
 
 DEPTH = 3
@@ -142,13 +143,14 @@ class Totals:
 
     def __init__(self, made: DataFrame, sums: DataFrame):
         d = made.agg(F.sum(F.size(F.filter("train", lambda x: x))).alias("ends")).first()
-        v = sums.agg(*[F.sum(c).alias(c) for c in ("types", "tokens", "symbols", "rare")]).first()
+        v = sums.agg(*[F.sum(c).alias(c) for c in ("types", "tokens", "symbols", "rare")], F.max("most").alias("most")).first()
         self.ends = int(d["ends"] or 0)
         self.tokens = int(v["tokens"] or 0) + self.ends
         self.types = int(v["types"] or 0) + (self.ends > 0)
         self.symbols = int(v["symbols"] or 0)
         self.rare_tokens = int(v["rare"] or 0)
         self.rare_types = int(v["types"] or 0) - self.symbols
+        self.most = int(v["most"] or 0)  # symbols of one bucket
 
 
 class Tree:
@@ -160,46 +162,79 @@ class Tree:
 
     # ---- questions and answers
 
-    def deal(self, kind: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def places(self, kind: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of codes, and what is sent of them there."""
+        return (codes >> np.uint64(40)) % np.uint64(self.n_buckets), codes & np.uint64((1 << SENT[kind]) - 1)
+
+    def pair_places(self, old: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of runs of two symbols by their ids, which tell runs apart
+        within a bucket and lie closer than hashes, so that steps are smaller."""
+        n = self.n_buckets
+        return (old + new) % n, (old * (self.totals.most + 2) + new // n).astype(np.uint64)
+
+    def deal(self, places: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The order of codes by bucket and there by what is sent of them, where
         each bucket's begin in it, and what is sent, in order."""
-        short = codes & np.uint64((1 << SENT[kind]) - 1)
-        b = ((codes >> np.uint64(40)) % np.uint64(self.n_buckets)).astype(np.uint16 if self.n_buckets <= 1 << 16 else np.int64)
+        b, short = places
+        b = b.astype(np.uint16 if self.n_buckets <= 1 << 16 else np.int64)
         order = np.argsort(short)
         order = order[np.argsort(b[order], kind="stable")]
         return order, np.cumsum(np.r_[0, np.bincount(b, minlength=self.n_buckets)]), short[order]
 
-    def send(self, kind: int, k: int, chunk: int, codes: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
-        order, edges, short = self.deal(kind, codes)
+    def send(self, kind: int, k: int, chunk: int, places: tuple[np.ndarray, np.ndarray], values: np.ndarray) -> Iterator[tuple]:
+        order, edges, short = self.deal(places)
         values = values[order]
         for i in range(self.n_buckets):
             if edges[i] < edges[i + 1]:
                 some = values[edges[i] : edges[i + 1]]
-                yield kind, k, i, chunk, packed_steps(short[edges[i] : edges[i + 1]]), some.astype(np.float32).tobytes() if kind == GAINS else packed_counts(some)
+                yield kind, k, i, chunk, packed_steps(short[edges[i] : edges[i + 1]]), packed_counts(some.astype(np.float32).view(np.uint32) if kind == GAINS else some)
 
-    def collect(self, kind: int, codes: np.ndarray, told: dict) -> np.ndarray:
+    def collect(self, kind: int, places: tuple[np.ndarray, np.ndarray], told: dict) -> np.ndarray:
         """Answers by bucket, in the order of the codes that were sent."""
-        out = np.zeros(len(codes), dtype=bool if kind == GAINS else np.int64)
-        order, edges, _ = self.deal(kind, codes)
+        out = np.zeros(len(places[0]), dtype=bool if kind == GAINS else np.int64)
+        order, edges, _ = self.deal(places)
         for i, blob in told.items():
             at = order[edges[i] : edges[i + 1]]
             out[at] = np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=len(at)) if kind == GAINS else unpacked_counts(blob)
         return out
 
+    def collect_words(self, codes: np.ndarray, told: dict) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of a chunk's words, and the ids of the symbols among them."""
+        out, ids = np.zeros(len(codes), dtype=np.int64), np.zeros(len(codes), dtype=np.int64)
+        order, edges, _ = self.deal(self.places(WORDS, codes))
+        for i, blob in told.items():
+            at = order[edges[i] : edges[i + 1]]
+            out[at], steps = np.split(unpacked_counts(blob), [len(at)])
+            ids[at[self.is_symbol(out[at])]] = RARE + 1 + np.cumsum(steps) * self.n_buckets + i
+        return out, ids
+
+    def is_symbol(self, told: np.ndarray) -> np.ndarray:
+        """Of words' counts as told, whether they have an id."""
+        return told >= max(self.symbol_min, 1)
+
     def answer(self, pdf: pd.DataFrame) -> pd.DataFrame:
         """A bucket's sums for each chunk's codes: counts (0 for a code that is the
-        chunk's own), or whether a context gains enough; of words, also what all of
-        them add up to."""
+        chunk's own), or whether a context gains enough; of words, also the steps
+        between the numbers that symbols have in the bucket (in the order of their
+        codes), and what all words add up to."""
         pdf = pdf.sort_values("chunk")
         kind = int(pdf["kind"].iloc[0])
         codes = [unpacked_steps(c) for c in pdf["codes"]]
-        values = np.concatenate([np.frombuffer(v, dtype=np.float32).astype(float) if kind == GAINS else unpacked_counts(v) for v in pdf["vals"]])
-        which, _ = pd.factorize(np.concatenate(codes))
-        each = np.bincount(which, weights=values)
+        values = np.concatenate([unpacked_counts(v) for v in pdf["vals"]])
+        which, distinct = pd.factorize(np.concatenate(codes))
+        each = np.bincount(which, weights=values.astype(np.uint32).view(np.float32) if kind == GAINS else values)
         out = (each >= self.gain)[which] if kind == GAINS else np.where(np.bincount(which) > 1, each, 0).astype(np.int64)[which]
-        pack = packed_bits if kind == GAINS else packed_counts
         edges = np.cumsum([0, *map(len, codes)])
-        made = pd.DataFrame({"chunk": pdf["chunk"].astype("Int64"), "kind": kind, "k": pdf["k"], "bucket": pdf["bucket"], "told": [pack(out[a:b]) for a, b in zip(edges, edges[1:])]})
+        told = [out[a:b] for a, b in zip(edges, edges[1:])]
+        if kind == WORDS:
+            symbol = np.zeros(len(distinct), dtype=bool)
+            symbol[which] = self.is_symbol(out)
+            number = np.zeros(len(distinct), dtype=np.int64)
+            order = np.argsort(distinct)
+            number[order] = np.cumsum(symbol[order]) - 1
+            numbers = [number[which[a:b]][self.is_symbol(t)] for a, b, t in zip(edges, edges[1:], told)]
+            told = [np.r_[t, np.diff(n, prepend=0)] for t, n in zip(told, numbers)]
+        made = pd.DataFrame({"chunk": pdf["chunk"].astype("Int64"), "kind": kind, "k": pdf["k"], "bucket": pdf["bucket"], "told": [packed_bits(t) if kind == GAINS else packed_counts(t) for t in told]})
         sums = {"types": None, "tokens": None, "symbols": None, "rare": None}
         if kind == WORDS:
             known = each[each > 0]
@@ -222,15 +257,16 @@ class Tree:
     def ask_words(self, row: dict) -> Iterator[tuple]:
         _, codes, n = self.own_words(row)
         if len(codes):
-            yield from self.send(WORDS, 0, row["chunk"], codes, n)
+            yield from self.send(WORDS, 0, row["chunk"], self.places(WORDS, codes), n)
 
     def symbols(self, row: dict, told: dict) -> dict:
         """The tokens ``t`` of a chunk and the counts ``c`` of its words, the last
         for the ends, which are -1; the symbols ``s`` of the tokens, and of each
-        symbol its hash, count, and whether other chunks may have it.  The ends
-        are symbol ``END``, words that are not frequent ``RARE``."""
+        symbol its id (if other chunks have it), hash, count, and whether other
+        chunks may have it.  The ends are symbol ``END``, words that are not
+        frequent ``RARE``."""
         t, codes, own = self.own_words(row)
-        c = self.collect(WORDS, codes, told.get((WORDS, 0), {}))
+        c, ids = self.collect_words(codes, told.get((WORDS, 0), {}))
         shared = c > 0
         c = np.where(shared, c, own)
         frequent = c >= self.symbol_min
@@ -239,6 +275,7 @@ class Tree:
             "t": t,
             "c": np.r_[c, self.totals.ends],
             "s": np.r_[number, np.int32(END)][t],
+            "ids": np.r_[END, RARE, ids[frequent]],
             "hashes": np.r_[mixed(np.array([END + 1, RARE + 1], dtype=np.uint64)), codes[frequent]],
             "counts": np.r_[self.totals.ends, self.totals.rare_tokens, c[frequent]],
             "shared": np.r_[True, True, shared[frequent]],
@@ -253,7 +290,7 @@ class Tree:
         symbol do.  Where one of them is the chunk's own, or never occurs in
         training, the chunk's count is the whole count and nobody is asked."""
         known_symbols = known_symbols or self.symbols(row, told)
-        s, hashes, total, shared = (known_symbols[c] for c in ("s", "hashes", "counts", "shared"))
+        s, ids, hashes, total, shared = (known_symbols[c] for c in ("s", "ids", "hashes", "counts", "shared"))
         t, train = self.totals, in_training(row)
         p = (total + 0.5) / (t.tokens + 0.5 * (t.symbols + 2))
         codes, newest, which, place_run = hashes, np.arange(len(hashes)), s, s
@@ -274,12 +311,13 @@ class Tree:
             run_codes = mixed(codes[of] * BASE + hashes[newest])
             n_train = np.bincount(which[train[at]], minlength=len(runs))
             asked = np.flatnonzero(shared[of] & shared[shorter])
-            level = {"k": k, "at": at, "which": which, "asked": asked, "run_codes": run_codes, "of": of, "codes": codes, "n_train": n_train}
+            places = self.pair_places(ids[of[asked]], ids[shorter[asked]]) if k == 1 else self.places(COUNTS, run_codes[asked])
+            level = {"k": k, "at": at, "which": which, "asked": asked, "places": places, "of": of, "codes": codes, "n_train": n_train}
             known = told.get((COUNTS, k))
             if known is None and len(asked):
                 yield level
                 return
-            told_total = self.collect(COUNTS, run_codes[asked], known or {})
+            told_total = self.collect(COUNTS, places, known or {})
             n, parent = total[of].astype(float), p[shorter]
             total, shared = n_train.copy(), np.zeros(len(runs), dtype=bool)
             shared[asked] = told_total > 0
@@ -309,9 +347,9 @@ class Tree:
                 continue
             if level["k"] == upto:
                 here = self.contexts(level)
-                yield from self.send(GAINS, upto, row["chunk"], level["codes"][here], self.gains(level)[here])
+                yield from self.send(GAINS, upto, row["chunk"], self.places(GAINS, level["codes"][here]), self.gains(level)[here])
             if level["k"] == upto + 1:
-                yield from self.send(COUNTS, upto + 1, row["chunk"], level["run_codes"][level["asked"]], level["n_train"][level["asked"]])
+                yield from self.send(COUNTS, upto + 1, row["chunk"], level["places"], level["n_train"][level["asked"]])
 
     def scores(self, row: dict, told: dict, known_symbols: dict) -> np.ndarray:
         """The log10 probability of each document's symbols."""
@@ -321,7 +359,7 @@ class Tree:
             if len(level["at"]):
                 here = self.contexts(level)
                 kept = np.zeros(len(level["codes"]), dtype=bool)
-                kept[here] = self.collect(GAINS, level["codes"][here], told.get((GAINS, level["k"]), {}))
+                kept[here] = self.collect(GAINS, self.places(GAINS, level["codes"][here]), told.get((GAINS, level["k"]), {}))
                 hit = np.flatnonzero(kept[level["of"]][level["which"]])
                 best[level["at"][hit]] = np.log10(level["p"])[level["which"][hit]]
         return np.add.reduceat(best, starts_of(row))
@@ -351,22 +389,6 @@ def word_codes(row: dict) -> np.ndarray:
     return unpacked_steps(row["words"])
 
 
-def narrow(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs, which the first tells;
-    first all lowest bytes, then all next ones, as the higher are mostly 0."""
-    counts = counts.astype("<u8")
-    width = max(1, (int(counts.max(initial=0)).bit_length() + 7) // 8)
-    low = counts.view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + low.T.tobytes()
-
-
-def widened(blob: bytes) -> np.ndarray:
-    low = np.frombuffer(blob, dtype=np.uint8, offset=1).reshape(blob[0], -1)
-    out = np.zeros((low.shape[1], 8), dtype=np.uint8)
-    out[:, : blob[0]] = low.T
-    return out.view("<i8").ravel()
-
-
 def packed_steps(codes: np.ndarray) -> bytes:
     """Codes by the steps between them, which are small where they are sorted."""
     return packed_counts(np.diff(codes, prepend=np.uint64(0)))
@@ -377,13 +399,25 @@ def unpacked_steps(blob: bytes) -> np.ndarray:
 
 
 def packed_counts(counts: np.ndarray) -> bytes:
-    """The counts for a row, after the size that unpacking needs."""
-    plain = narrow(counts)
-    return len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
+    """Counts for a row, in as few bytes each as the largest needs: all lowest
+    bytes, then all next ones, which are mostly 0.  Each such plane is compressed
+    for itself, as they have little in common; before them stand how many counts
+    and how many bytes of each plane there are."""
+    width = max(1, (int(counts.max(initial=0)).bit_length() + 7) // 8)
+    low = counts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    planes = [pa.compress(np.ascontiguousarray(p).tobytes(), codec="zstd", asbytes=True) for p in low.T]
+    sizes = np.array([len(counts), *map(len, planes)], dtype="<u4").tobytes()
+    return b"".join([bytes([width]), sizes, *planes])
 
 
 def unpacked_counts(blob: bytes) -> np.ndarray:
-    return widened(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True))
+    n, *sizes = np.frombuffer(blob, dtype="<u4", offset=1, count=1 + blob[0]).tolist()
+    out = np.zeros((n, 8), dtype=np.uint8)
+    at = 5 + 4 * blob[0]
+    for i, size in enumerate(sizes):
+        out[:, i] = np.frombuffer(pa.decompress(blob[at : at + size], n, codec="zstd", asbytes=True), dtype=np.uint8)
+        at += size
+    return out.view("<i8").ravel()
 
 
 def packed_bits(flags: np.ndarray) -> bytes:
@@ -427,12 +461,14 @@ def suffix_tree_scores(
         return sent.groupBy("kind", "bucket").applyInPandas(lambda pdf: tree.answer(pdf), "chunk long, kind int, k int, bucket int, told binary, types long, tokens long, symbols long, rare long")
 
     def by_rows(got: DataFrame, step: str) -> DataFrame:
-        packed = got.where("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("kind", "k", "bucket", "told")).alias(f"told{step}"))
-        return S.by_chunk(packed, f"tree-answers-{step}")
+        sums = [F.sum(c).alias(c) for c in ("types", "tokens", "symbols", "rare")] + [F.max("symbols").alias("most")] if step == "w" else []
+        packed = got.groupBy("chunk").agg(F.collect_list(F.struct("kind", "k", "bucket", "told")).alias(f"told{step}"), *sums)
+        with shuffles_dropped(docs.sparkSession):
+            return S.by_chunk(packed, f"tree-answers-{step}")
 
-    words = stored(answered(tree.ask_words, "w"), "tree-words")
+    words = by_rows(answered(tree.ask_words, "w"), "w")  # one row without a chunk has the sums
     tree.totals = Totals(made, words.where("chunk IS NULL"))
-    rows = rows.join(by_rows(words, "w"), "chunk", "left")
+    rows = rows.join(words.select("chunk", "toldw"), "chunk", "left")
     for k in range(depth + 1):
         rows = rows.join(by_rows(answered(lambda row, k=k: tree.ask(row, by_kind(row), k), str(k)), str(k)), "chunk", "left")
 

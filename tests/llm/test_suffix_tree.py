@@ -160,3 +160,43 @@ def test_texts_split_at_ascii_white_space_only(make_docs):
 def test_held_out_texts_gain_over_the_base(spark):
     out = T.op11_suffix_tree_scores(spark, "/root/testdata/sf0.001").where("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
     assert out[0] > out[1]
+
+
+def test_pairs_of_symbols_are_sent_in_few_bytes(make_docs, monkeypatch):
+    # by ids of symbols a pair takes a byte or two, by a hash four and more
+    r = random.Random(5)
+    rows, plain, sent = [(i, " ".join(f"w{r.randrange(60)}" for _ in range(4000))) for i in range(2)], T.S.arrow_map, []
+
+    def arrow_map(df, run, schema):
+        out = plain(df, run, schema)
+        sent.extend([out] if "kind" in out.columns else [])
+        return out
+
+    monkeypatch.setattr(T.S, "arrow_map", arrow_map)
+    want, _ = slow_scores([(i, t, True) for i, t in rows], 3, 5, 8, 4.0, 3.0)
+    out = T.suffix_tree_scores(make_docs(rows), F.lit(True), symbol_min=5, context_min=8, weight=4.0, gain=3.0, chunk_tokens=4000).collect()
+    close([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in out], want)
+    blobs = [b["codes"] for df in sent for b in df.where(f"kind = {T.COUNTS} AND k = 1").select("codes").collect()]
+    n = sum(len(T.unpacked_steps(b)) for b in blobs)
+    assert n > 4000 and sum(map(len, blobs)) < 2 * n
+
+
+def test_each_plane_of_bytes_packs_for_itself():
+    counts = np.random.default_rng(6).exponential(2.0**27, 7000).astype(np.int64)
+    blob = T.packed_counts(counts)
+    assert (T.unpacked_counts(blob) == counts).all() and len(blob) < 3.75 * len(counts)
+
+
+def test_steps_drop_their_shuffles(make_docs, monkeypatch):
+    key, plain, on = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", T.S.by_chunk, {}
+    docs = make_docs(rows_of(7, 5))
+    before = docs.sparkSession.conf.get(key, None)
+
+    def by_chunk(df, name):
+        on[name] = df.sparkSession.conf.get(key, None)
+        return plain(df, name)
+
+    monkeypatch.setattr(T.S, "by_chunk", by_chunk)
+    T.suffix_tree_scores(docs, F.lit(True)).collect()
+    assert {v for name, v in on.items() if name.startswith("tree-answers")} == {"true"} and len(on) == 6
+    assert docs.sparkSession.conf.get(key, None) == before
