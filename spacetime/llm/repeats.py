@@ -15,7 +15,7 @@ if its anchor gram is; there are far fewer anchors than windows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -33,6 +33,8 @@ SECTION = 1 << 23
 NO_ID = (1 << 63) - 1
 #: Bytes of text for which there is a block.
 BLOCK_BYTES = 16 << 20
+#: Units of short texts that are hashed together.
+BATCH = 1 << 16
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, n_blocks: int | None = None) -> DataFrame:
@@ -110,9 +112,9 @@ class Anchors(NamedTuple):
     place: np.ndarray  # where the anchor gram starts
 
 
-def anchors(units: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndarray, int], np.ndarray] = gram_hashes) -> Anchors:
+def anchors(units: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndarray, int], np.ndarray] = gram_hashes, breaks: np.ndarray | None = None) -> Anchors:
     """The anchors of all windows of a text, given as units that ``hashes``
-    makes gram hashes of."""
+    makes gram hashes of; runs also end where a window of ``breaks`` starts."""
     windows = len(units) - window + 1
     first, low = [], []
     for a in range(0, windows, SECTION):
@@ -120,7 +122,10 @@ def anchors(units: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndar
         h &= ~PLACE_MASK
         h |= np.arange(len(h), dtype=np.uint64)
         least = sliding_min(h, window - gram + 1)
-        f = np.flatnonzero(least[1:] != least[:-1]) + 1
+        ends = least[1:] != least[:-1]
+        if breaks is not None:
+            ends[breaks[(breaks > a) & (breaks - a <= len(ends))] - a - 1] = True
+        f = np.flatnonzero(ends) + 1
         f = np.concatenate((np.zeros(1, dtype=np.int64), f))
         first.append(f + a)
         low.append(least[f])
@@ -132,6 +137,30 @@ def anchors(units: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndar
     return Anchors(f, np.diff(np.append(f, windows)), low >> PLACE_BITS, (low & PLACE_MASK).astype(np.int64) + section)
 
 
+def part_anchors(data: np.ndarray, length: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndarray, int], np.ndarray] = byte_grams) -> tuple[np.ndarray, Anchors]:
+    """The anchors of the windows within each of the parts, of ``length`` units,
+    that ``data`` begins with, and the part of each.  Windows and places count
+    along ``data``; short parts are looked at together, as each call costs."""
+    end = np.cumsum(length)
+    begin = end - length
+    last = np.maximum(begin, end - window + 1)  # no window of the part starts here or later
+    cut = np.flatnonzero(np.diff(end // BATCH)) + 1
+    found = []
+    for i, j in zip(np.r_[0, cut].tolist(), np.r_[cut, len(length)].tolist()):
+        if i == j or end[j - 1] - begin[i] < window:
+            continue
+        a = begin[i]
+        x = anchors(data[a : end[j - 1]], gram, window, hashes, np.concatenate((begin[i:j], last[i:j])) - a)
+        part = np.searchsorted(begin[i:j], x.first + a, side="right") - 1 + i
+        ok = np.flatnonzero(x.first + a < last[part])
+        found.append((part[ok], x.first[ok] + a, x.size[ok], x.key[ok], x.place[ok] + a))
+    if not found:
+        none = np.zeros(0, dtype=np.int64)
+        return none, Anchors(none, none, none.astype(np.uint64), none)
+    part, *rest = map(np.concatenate, zip(*found))
+    return part, Anchors(*rest)
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
 
@@ -154,7 +183,7 @@ def repeated_anchors(e: DataFrame, keys_of: Callable[[pd.DataFrame], np.ndarray]
     """
 
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.unique(keys_of(pdf))
+        keys = distinct(keys_of(pdf))
         bucket = keys % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         bucket, short = bucket[order].astype(np.int64), (keys[order] // np.uint64(buckets)).astype(np.uint32)
@@ -164,23 +193,35 @@ def repeated_anchors(e: DataFrame, keys_of: Callable[[pd.DataFrame], np.ndarray]
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket = np.uint64(pdf["bucket"].iloc[0])
-        per = [np.unique(np.frombuffer(k, dtype=np.uint32)) for k in pdf["keys"]]
-        every = np.sort(np.concatenate(per))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
-        out = []
-        for blk, keys in zip(pdf["from_blk"], per):
-            keys = keys[np.isin(keys, twice, assume_unique=True)]
-            if len(keys):
-                out.append((blk, (keys.astype(np.uint64) * np.uint64(buckets) + bucket).tobytes()))
+        size = pdf["keys"].map(len).to_numpy() // 4
+        # one sort for all blocks: what is done for a block must not grow with the bucket
+        every = np.frombuffer(b"".join(pdf["keys"]), dtype=np.uint32).astype(np.uint64) << np.uint64(32)
+        every |= np.repeat(np.arange(len(size), dtype=np.uint64), size)
+        every = distinct(every)
+        keys = every >> np.uint64(32)
+        same = keys[1:] == keys[:-1]
+        twice = np.flatnonzero(np.r_[same, False] | np.r_[False, same])
+        row = (every[twice] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        order = np.argsort(row, kind="stable")
+        keys = keys[twice[order]] * np.uint64(buckets) + bucket
+        at = np.searchsorted(row[order], np.arange(len(size) + 1)).tolist()
+        out = [(blk, keys[a:b].tobytes()) for blk, a, b in zip(pdf["from_blk"], at, at[1:]) if a < b]
         return pd.DataFrame(out, columns=["blk", "keys"])
 
     sent = e.groupBy("blk").applyInPandas(send, "bucket int, from_blk int, keys binary")
     return sent.groupBy("bucket").applyInPandas(answer, "blk int, keys binary")
 
 
+def distinct(a: np.ndarray) -> np.ndarray:
+    """``a`` sorted, each value once; numpy's own hashes them first, which costs
+    many times the sort."""
+    a = np.sort(a)
+    return a[np.flatnonzero(np.r_[True, a[1:] != a[:-1]])] if len(a) else a
+
+
 def known_keys(replies: pd.DataFrame, buckets: int) -> np.ndarray:
     """The sorted keys of a block's replies, as :func:`short_key` gives them."""
-    return np.unique(np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in replies["keys"]])) if len(replies) else np.array([], dtype=np.uint64)
+    return distinct(np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in replies["keys"]])) if len(replies) else np.array([], dtype=np.uint64)
 
 
 def short_key(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -189,16 +230,21 @@ def short_key(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys // b).astype(np.uint32).astype(np.uint64) * b + keys % b
 
 
+def occurs_again(keys: np.ndarray, replies: pd.DataFrame, buckets: int) -> np.ndarray:
+    """Which anchors (all of a block) have a gram that occurs elsewhere: in
+    another block by the replies, or a second time in this block."""
+    every = np.sort(keys)
+    local = distinct(every[1:][every[1:] == every[:-1]])
+    return member(keys, local) | member(short_key(keys, buckets), known_keys(replies, buckets))
+
+
 def candidate_runs(found: Iterable[Anchors], replies: pd.DataFrame, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per document (its :func:`anchors`) the runs, as starts and lengths, of
     windows whose anchor gram occurs elsewhere: in another block by the replies,
     or a second time in this block, be it in the same document."""
-    known = known_keys(replies, buckets)
     kept = list(found)
     keys = np.concatenate([x.key for x in kept]) if kept else np.array([], dtype=np.uint64)
-    every = np.sort(keys)
-    local = np.unique(every[1:][every[1:] == every[:-1]])
-    hits = member(keys, local) | member(short_key(keys, buckets), known)
+    hits = occurs_again(keys, replies, buckets)
     out, at = [], 0
     for x in kept:
         hit = np.flatnonzero(hits[at : at + len(x.key)])
@@ -226,6 +272,22 @@ def removal_rows(ords: np.ndarray, places: np.ndarray) -> bytes:
     return packed(o[first].astype(np.uint32), p[first].astype(np.int64), size.astype(np.int64))
 
 
+def removal_rows_by_block(blk: np.ndarray, ords: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Each block and its :func:`removal_rows`, from the windows of all blocks."""
+    order = np.lexsort((places, ords, blk))
+    b, o, p = blk[order], ords[order].astype(np.int64), places[order].astype(np.int64)
+    first = np.flatnonzero(np.r_[True, (np.diff(b) != 0) | (np.diff(o) != 0) | (np.diff(p) != 1)]) if len(b) else np.array([], dtype=int)
+    size = np.diff(np.r_[first, len(b)])
+    yield from runs_by_block(b[first], o[first], p[first], size)
+
+
+def runs_by_block(blk: np.ndarray, ords: np.ndarray, places: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Each block and its runs, packed; rows of ``blk`` in order."""
+    at = np.flatnonzero(np.r_[True, blk[1:] != blk[:-1]]) if len(blk) else np.array([], dtype=int)
+    for a, b in zip(at.tolist(), np.r_[at[1:], len(blk)].tolist()):
+        yield int(blk[a]), packed(ords[a:b].astype(np.uint32), places[a:b].astype(np.int64), size[a:b].astype(np.int64))
+
+
 def covered(n: int, window: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Which of ``n`` units lie in a window starting in one of the runs."""
     step = np.zeros(n + 1, dtype=np.int64)

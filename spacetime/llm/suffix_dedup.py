@@ -23,7 +23,7 @@ is read whole, in one block; columns of any other name are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,8 +37,10 @@ WINDOW_BYTES = 50
 #: Grams that tell whether a window can be repeated, and that cut segments.
 PROBE_GRAM = 24
 CUT_GRAM = 16
+#: Bytes at a window's start and end that are looked at before it is sorted.
+EDGE_GRAM = 16
 #: Bytes of a bucket that are sorted together.
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 21
 _BYTES = np.array([xxhash.xxh64_intdigest(bytes([b]), 42) for b in range(256)], dtype=np.uint64)
 
 
@@ -118,16 +120,22 @@ class Suffixes:
 def repeated_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, did: np.ndarray, window: int) -> np.ndarray:
     """Which of the windows at ``starts`` have an equal one, in the same
     group, with a smaller id."""
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group)
     same = group[order][1:] == group[order][:-1]
     order = order[np.r_[same, False] | np.r_[False, same]]  # groups of one have no partner
     gone = np.zeros(len(starts), dtype=bool)
     if not len(order):
         return gone
+    at, g = starts[order], group[order]
+    # bytes of no window that is sorted are not hashed
+    step = np.zeros(len(data) + 1, dtype=np.int32)
+    step[at] += 1
+    step[at + window] -= 1
+    inside = np.cumsum(step[:-1]) > 0
+    data, at = data[inside], np.cumsum(inside)[at] - 1
     base = int(R.BASE)
     while True:
         suffixes = Suffixes(data, window, base)
-        at, g = starts[order], group[order]
         # the sort moves starts; a start names its window
         sorted_at = suffixes.mergesort(at, g)
         equal = (g[1:] == g[:-1]) & (suffixes.piece(sorted_at[1:], window) == suffixes.piece(sorted_at[:-1], window))
@@ -136,7 +144,7 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, di
             break
         base = int(R.mixed(np.array([base], dtype=np.uint64))[0]) | 1
     place = np.empty(len(data) + 1, dtype=np.int64)
-    place[starts] = np.arange(len(starts))
+    place[at] = order
     who = place[sorted_at]
     first = np.flatnonzero(np.r_[True, ~equal])
     least = np.repeat(np.minimum.reduceat(did[who], first), np.diff(np.r_[first, len(who)]))
@@ -144,28 +152,51 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, di
     return gone
 
 
-def pieces(found: R.Anchors, at: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """``(first window, windows, anchor place, anchor key)`` of the parts into
-    which anchors cut the runs of windows ``at, size``."""
-    edge = np.unique(np.concatenate((found.first, at, at + size)))
-    inside = np.searchsorted(at, edge, side="right") - 1
-    keep = np.flatnonzero((inside >= 0) & (edge < (at + size)[np.maximum(inside, 0)]))
-    where = np.searchsorted(found.first, edge[keep], side="right") - 1
-    return zip(edge[keep].tolist(), (edge[keep + 1] - edge[keep]).tolist(), found.place[where].tolist(), found.key[where].tolist())
+def _joined(bodies: Iterable[bytes]) -> tuple[bytes, np.ndarray]:
+    """The bodies one after another and eight bytes more, also as an array."""
+    raw = b"".join([*bodies, bytes(8)])
+    return raw, np.frombuffer(raw, dtype=np.uint8)
 
 
-def _windows_gone(bodies: list[bytes], anchor: np.ndarray, did: np.ndarray, cut: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> Iterator[np.ndarray]:
+    """Eight bytes after eight of every segment (the last eight again for one
+    that has ended); ``data`` goes on for eight bytes after the last."""
+    word = np.ndarray(len(data) - 7, dtype="<u8", buffer=data.data, strides=(1,))
+    last = np.maximum(length - 8, 0)
+    for at in range(0, int(length.max(initial=0)), 8):
+        yield word[begin + np.minimum(at, last)]
+
+
+def alike(data: np.ndarray, begin: np.ndarray, length: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Segments in an order in which those with the same bytes and place of the
+    anchor follow each other as they came, and where such a class begins.
+
+    Hashes order them; the bytes are compared.  Should a hash have lied, a class
+    may fall apart, which costs time and changes no result."""
+    h = length.astype(np.uint64) * R.BASE + anchor.astype(np.uint64)
+    for w in _words(data, begin, length):
+        h = R.mixed(h ^ w)
+    order = np.argsort(h, kind="stable")
+    same = np.flatnonzero(h[order][1:] == h[order][:-1])
+    x, y = order[same], order[same + 1]
+    equal = (length[x] == length[y]) & (anchor[x] == anchor[y])
+    for w, v in zip(_words(data, begin[x], length[x]), _words(data, begin[y], length[y])):
+        equal &= w == v
+    first = np.ones(len(order), dtype=bool)
+    first[same[equal] + 1] = False
+    return order, np.flatnonzero(first)
+
+
+def _windows_gone(data: np.ndarray, begin: np.ndarray, length: np.ndarray, anchor: np.ndarray, did: np.ndarray, cut: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Of distinct segments: segment and place in it of every window that an
     equal one with a smaller id makes redundant."""
-    length = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
-    data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-    begin = np.cumsum(length) - length
-    gram = np.zeros(len(bodies), dtype=np.uint64)
+    gram = np.zeros(len(begin), dtype=np.uint64)
     for j in range(cut):
         gram = gram * R.BASE + _BYTES[data[begin + anchor + j]]
     gram = R.mixed(gram)
     # segments of different grams never meet, so a large bucket is sorted in parts
-    parts = -(-len(data) // PART_BYTES)
+    parts = -(-int(length.sum()) // PART_BYTES)
+    edge = min(EDGE_GRAM, window)
     found = []
     for k in range(parts):
         some = np.flatnonzero(gram % np.uint64(parts) == k)
@@ -174,9 +205,12 @@ def _windows_gone(bodies: list[bytes], anchor: np.ndarray, did: np.ndarray, cut:
         own = data[np.repeat(begin[some] - at, size) + np.arange(size.sum())]
         seg = np.repeat(np.arange(len(some)), n)
         step = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
-        # windows can only be equal if the gram stands at the same distance in them
+        start = at[seg] + step
+        # windows can only be equal if the gram stands at the same distance in them, and if they begin and end alike
         group = gram[some][seg] * R.BASE + (anchor[some][seg] - step).astype(np.uint64)
-        gone = np.flatnonzero(repeated_windows(np.concatenate((own, np.zeros(window, dtype=np.uint8))), at[seg] + step, group, did[some][seg], window))
+        h = R.byte_grams(own, edge)
+        group = R.mixed(R.mixed(group + h[start]) * R.BASE + h[start + (window - edge)]) if len(own) else group
+        gone = np.flatnonzero(repeated_windows(np.concatenate((own, np.zeros(window, dtype=np.uint8))), start, group, did[some][seg], window))
         found.append((some[seg[gone]], step[gone]))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
@@ -200,11 +234,9 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
     probe, cut = min(PROBE_GRAM, window), min(CUT_GRAM, window)
     e = R.blocks(docs, id_col, text_col, n_blocks)
 
-    def probe_anchors(text: str) -> R.Anchors:
-        return R.anchors(np.frombuffer(text.encode("utf-8"), dtype=np.uint8), probe, window, R.byte_grams)
-
     def keys_of(pdf: pd.DataFrame) -> np.ndarray:
-        return np.concatenate([probe_anchors(t).key for t in pdf["text"] if t] or [np.array([], dtype=np.uint64)])
+        texts = [t.encode("utf-8") for t in pdf["text"] if t]
+        return R.part_anchors(_joined(texts)[1], np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), probe, window)[1].key
 
     def segments(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = R.ordered(left)
@@ -212,31 +244,39 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         if not len(left):
             return pd.DataFrame(columns=columns)
         blk = int(left["blk"].iloc[0])
-        ids = left["did"].tolist()
-        wanted = R.candidate_runs((probe_anchors(t) for t in left["text"]), right, n_anchor)
-        own: dict[tuple[int, bytes], int] = {}  # distinct segments: anchor place and bytes, with the least id
-        sent: list[list[tuple]] = [[] for _ in range(n_cut)]
-        local: list[tuple[int, int, int]] = []
-        for i, (t, (at, size)) in enumerate(zip(left["text"], wanted)):
-            if not len(at):
-                continue
-            data, did = t.encode("utf-8"), ids[i]
-            for s, c, p, k in pieces(R.anchors(np.frombuffer(data, dtype=np.uint8), cut, window, R.byte_grams), at, size):
-                body = data[s : s + c - 1 + window]
-                # rows come in order of id: an equal segment of an earlier document decides
-                if own.setdefault((p - s, body), did) < did:
-                    local.append((i, s, c))
-                else:
-                    sent[k % n_cut].append((did, i, s, c, p - s, body))
+        ids = left["did"].to_numpy(dtype=np.int64)
+        texts = [t.encode("utf-8") for t in left["text"]]
+        length = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        raw, data = _joined(texts)
+        row, found = R.part_anchors(data, length, probe, window)
+        hit = np.flatnonzero(R.occurs_again(found.key, right, n_anchor))
+        if not len(hit):
+            return pd.DataFrame(columns=columns)
+        # neighbouring anchors' windows are one run
+        row, first, size = row[hit], found.first[hit], found.size[hit]
+        head = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (first[1:] != first[:-1] + size[:-1])])
+        row, first, size = row[head], first[head], np.add.reduceat(size, head) + window - 1
+        run, cuts = R.part_anchors(_joined(raw[a:b] for a, b in zip(first.tolist(), (first + size).tolist()))[1], size, cut, window)
+        # one segment for each: row, where it starts in the block, windows, distance to its anchor, anchor key
+        o, c, p, k = row[run], cuts.size, cuts.place - cuts.first, cuts.key
+        at = cuts.first + (first - (np.cumsum(size) - size))[run]
+        did, s = ids[o], at - (np.cumsum(length) - length)[o]
+        # rows come in order of id: an equal segment of an earlier document decides
+        order, start = alike(data, at, c - 1 + window, p)
+        local = np.zeros(len(o), dtype=bool)
+        local[order] = did[order] > np.repeat(did[order[start]], np.diff(np.r_[start, len(order)]))
         out = []
-        if local:
-            o, s, c = (np.array(x, dtype=np.int64) for x in zip(*local))
-            out.append((blk % n_cut, blk, None, None, R.packed(o.astype(np.uint32), s, c)))
-        for k, rows in enumerate(sent):
-            if rows:
-                d, o, s, c, p, body = zip(*rows)
-                head = R.packed(np.array(d, dtype=np.int64), np.array(o, dtype=np.uint32), np.array(s, dtype=np.uint32), np.array(c, dtype=np.uint16), np.array(p, dtype=np.uint16))
-                out.append((k, blk, head, b"".join(body), None))
+        if local.any():
+            out.append((blk % n_cut, blk, None, None, R.packed(o[local].astype(np.uint32), s[local], c[local])))
+        sent = np.flatnonzero(~local)
+        bucket = (k[sent] % np.uint64(n_cut)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        sent, bucket = sent[order], bucket[order]
+        edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+        for i, j in zip(edge.tolist(), edge[1:].tolist()):
+            w = sent[i:j]
+            head = R.packed(did[w], o[w].astype(np.uint32), s[w].astype(np.uint32), c[w].astype(np.uint16), p[w].astype(np.uint16))
+            out.append((int(bucket[i]), blk, head, b"".join([raw[a:b] for a, b in zip(at[w].tolist(), (at[w] + c[w] - 1 + window).tolist())]), None))
         return pd.DataFrame(out, columns=columns)
 
     def sort_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -244,32 +284,24 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         some = [(b, R.unpacked(h, "int64", "uint32", "uint32", "uint16", "uint16"), body) for b, h, body in zip(pdf["from_blk"], pdf["head"], pdf["body"]) if h is not None]
         if some:
             d, o, s, c, p = (np.concatenate([x[i] for _, x, _ in some]).astype(np.int64) for i in range(5))
-            blk = np.concatenate([np.full(len(x[0]), b, dtype=np.int64) for b, x, _ in some])
+            blk = np.repeat([b for b, _, _ in some], [len(x[0]) for _, x, _ in some])
+            data, length = _joined(body for _, _, body in some)[1], c - 1 + window
+            begin = np.cumsum(length) - length
             # Equal segments are one class; only its least document has windows left to decide.
-            classes: dict[tuple[int, bytes], int] = {}
+            order, first = alike(data, begin, length, p)
             cls = np.empty(len(d), dtype=np.int64)
-            j = 0
-            for _, x, body in some:
-                at = 0
-                for n, far in zip((x[3].astype(np.int64) - 1 + window).tolist(), x[4].tolist()):
-                    cls[j] = classes.setdefault((far, body[at : at + n]), len(classes))
-                    at, j = at + n, j + 1
-            least = np.full(len(classes), R.NO_ID, dtype=np.int64)
-            np.minimum.at(least, cls, d)
-            anchor = np.fromiter((far for far, _ in classes), dtype=np.int64, count=len(classes))
-            gone_cls, gone_step = _windows_gone([body for _, body in classes], anchor, least, cut, window)
+            cls[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(d)]))
+            least = np.minimum.reduceat(d[order], first)
+            one = order[first]
+            gone_cls, gone_step = _windows_gone(data, begin[one], length[one], p[one], least, cut, window)
             first = np.flatnonzero(d == least[cls])
             first = first[np.argsort(cls[first], kind="stable")]
             lo, hi = np.searchsorted(cls[first], gone_cls), np.searchsorted(cls[first], gone_cls, side="right")
             owner = first[np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())]
-            place = s[owner] + np.repeat(gone_step, hi - lo)
-            rest = np.flatnonzero(d != least[cls])
-            for b in np.unique(blk):
-                w, r = blk[owner] == b, rest[blk[rest] == b]
-                if w.any():
-                    out.append((b, R.removal_rows(o[owner[w]], place[w])))
-                if len(r):
-                    out.append((b, R.packed(o[r].astype(np.uint32), s[r], c[r])))
+            rest = np.flatnonzero(d != least[cls])  # rows came block by block
+            rest = rest[np.argsort(blk[rest], kind="stable")]
+            out += R.removal_rows_by_block(blk[owner], o[owner], s[owner] + np.repeat(gone_step, hi - lo))
+            out += R.runs_by_block(blk[rest], o[rest], s[rest], c[rest])
         return pd.DataFrame(out, columns=["blk", "runs"])
 
     replies = R.repeated_anchors(e, keys_of, n_anchor)

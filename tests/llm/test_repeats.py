@@ -7,6 +7,7 @@ import pytest
 import xxhash
 
 from spacetime.llm import repeats as R
+from spacetime.llm import suffix_dedup as S
 from spacetime.llm.substring_dedup import substring_dedup
 from spacetime.llm.suffix_dedup import Suffixes, repeated_windows, suffix_dedup
 
@@ -127,6 +128,73 @@ def test_a_lying_hash_is_noticed(monkeypatch):
     assert gone.tolist() == [False, True, False] and len(bases) == 2
 
 
+def test_windows_of_a_frequent_gram_are_sorted_only_if_they_can_be_equal(monkeypatch):
+    """A gram that stands in many texts costs no sort of all its windows, which
+    per window grows with the square of the gram's logarithm."""
+    rng = np.random.default_rng(5)
+    n, window, cut = 3000, 50, 16
+    bodies = [rng.integers(97, 123, 34).astype(np.uint8).tobytes() + b"the frequent gram"[:cut] + rng.integers(97, 123, 34).astype(np.uint8).tobytes() for _ in range(n)]
+    bodies[7] = bodies[3][:60] + bodies[7][60:]  # the first 11 windows
+    raw, data = S._joined(bodies)
+    at, size = np.arange(n) * 84, np.full(n, 84)
+    sorts = []
+    real = Suffixes.mergesort
+    monkeypatch.setattr(Suffixes, "mergesort", lambda self, order, group: sorts.append(len(order)) or real(self, order, group))
+    seg, step = S._windows_gone(data, at, size, np.full(n, 34), np.arange(n), cut, window)
+    assert seg.tolist() == [7] * 11 and sorted(step.tolist()) == list(range(11))
+    assert 22 <= sum(sorts) < 100  # of 105000
+
+
+def test_windows_that_begin_and_end_alike_are_told_apart():
+    bodies = [b"0123456789abcdef" + middle + b"fedcba9876543210" for middle in (b"x" * 17 + b"y", b"x" * 18, b"x" * 18, b"y" + b"x" * 17)]
+    _, data = S._joined(bodies)
+    seg, step = S._windows_gone(data, np.arange(4) * 50, np.full(4, 50), np.zeros(4, dtype=int), np.arange(4), 16, 50)
+    assert (seg.tolist(), step.tolist()) == ([2], [0])
+
+
+def test_alike_segments_follow_each_other(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 99, rng.integers(4, 20)).astype(np.uint8).tobytes() for _ in range(300)] * 2
+    anchor = np.array([i % 3 for i in range(300)] * 2)
+    length = np.array([len(t) for t in texts])
+    _, data = S._joined(texts)
+    want = {}
+    for i, key in enumerate(zip(texts, anchor.tolist())):
+        want.setdefault(key, []).append(i)
+    for lying in (False, True):
+        if lying:
+            monkeypatch.setattr(R, "mixed", lambda h: h & np.uint64(1))
+        order, first = S.alike(data, np.cumsum(length) - length, length, anchor)
+        classes = [x.tolist() for x in np.split(order, first[1:])]
+        assert sorted(order.tolist()) == list(range(600))
+        assert all(x == sorted(x) and len({(texts[i], anchor[i]) for i in x}) == 1 for x in classes)
+        if not lying:
+            assert sorted(x for x in classes if len(texts[x[0]]) >= 8) == sorted(x for x in want.values() if len(texts[x[0]]) >= 8)
+
+
+def test_anchors_of_texts_hashed_together_are_those_of_each(monkeypatch, prose):
+    texts = [t.encode() for t in ("", "short", prose(1, 90), prose(2, 9), "", "z" * 200, prose(1, 90), "x" * 50, prose(3, 400), "")]
+    length = np.array([len(t) for t in texts])
+    _, data = S._joined(texts)
+    begin = np.cumsum(length) - length
+    for batch in (1, 300, 1 << 16):
+        monkeypatch.setattr(R, "BATCH", batch)
+        part, got = R.part_anchors(data, length, 24, 50)
+        for i, t in enumerate(texts):
+            one = R.anchors(np.frombuffer(t, dtype=np.uint8), 24, 50, R.byte_grams)
+            mine = part == i
+            assert (got.first[mine] - begin[i]).tolist() == one.first.tolist() and (got.place[mine] - begin[i]).tolist() == one.place.tolist()
+            assert got.size[mine].tolist() == one.size.tolist() and got.key[mine].tolist() == one.key.tolist()
+
+
+def test_rows_by_block_are_those_of_each_block():
+    rng = np.random.default_rng(7)
+    blk, o, p = rng.integers(0, 9, 500), rng.integers(0, 5, 500), rng.permutation(500)
+    got = dict(R.removal_rows_by_block(blk, o, p))
+    assert got == {b: R.removal_rows(o[blk == b], p[blk == b]) for b in np.unique(blk).tolist()}
+    assert list(R.removal_rows_by_block(blk[:0], o[:0], p[:0])) == []
+
+
 def test_anchors_do_not_depend_on_sections(monkeypatch, prose):
     units = np.frombuffer(prose(1, 900).encode(), dtype=np.uint8).astype(np.uint64) * R.BASE
     by_window = lambda x: [(k, p) for k, p, n in zip(x.key.tolist(), x.place.tolist(), x.size.tolist()) for _ in range(n)]
