@@ -137,7 +137,7 @@ def anchors(units: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndar
     return Anchors(f, np.diff(np.append(f, windows)), low >> PLACE_BITS, (low & PLACE_MASK).astype(np.int64) + section)
 
 
-def part_anchors(data: np.ndarray, length: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndarray, int], np.ndarray] = byte_grams) -> tuple[np.ndarray, Anchors]:
+def part_anchors(data: np.ndarray, length: np.ndarray, gram: int, window: int, hashes: Callable[[np.ndarray, int], np.ndarray] = byte_grams) -> Iterator[tuple[np.ndarray, Anchors]]:
     """The anchors of the windows within each of the parts, of ``length`` units,
     that ``data`` begins with, and the part of each.  Windows and places count
     along ``data``; short parts are looked at together, as each call costs."""
@@ -145,7 +145,6 @@ def part_anchors(data: np.ndarray, length: np.ndarray, gram: int, window: int, h
     begin = end - length
     last = np.maximum(begin, end - window + 1)  # no window of the part starts here or later
     cut = np.flatnonzero(np.diff(end // BATCH)) + 1
-    found = []
     for i, j in zip(np.r_[0, cut].tolist(), np.r_[cut, len(length)].tolist()):
         if i == j or end[j - 1] - begin[i] < window:
             continue
@@ -153,10 +152,13 @@ def part_anchors(data: np.ndarray, length: np.ndarray, gram: int, window: int, h
         x = anchors(data[a : end[j - 1]], gram, window, hashes, np.concatenate((begin[i:j], last[i:j])) - a)
         part = np.searchsorted(begin[i:j], x.first + a, side="right") - 1 + i
         ok = np.flatnonzero(x.first + a < last[part])
-        found.append((part[ok], x.first[ok] + a, x.size[ok], x.key[ok], x.place[ok] + a))
-    if not found:
-        none = np.zeros(0, dtype=np.int64)
-        return none, Anchors(none, none, none.astype(np.uint64), none)
+        yield part[ok], Anchors(x.first[ok] + a, x.size[ok], x.key[ok], x.place[ok] + a)
+
+
+def all_part_anchors(data: np.ndarray, length: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, Anchors]:
+    """All that :func:`part_anchors` finds."""
+    none = np.zeros(0, dtype=np.int64)
+    found = [(none, *Anchors(none, none, none.astype(np.uint64), none)), *((part, *x) for part, x in part_anchors(data, length, gram, window))]
     part, *rest = map(np.concatenate, zip(*found))
     return part, Anchors(*rest)
 

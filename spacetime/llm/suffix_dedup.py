@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,7 +41,9 @@ CUT_GRAM = 16
 #: Bytes at a window's start and end that are looked at before it is sorted.
 EDGE_GRAM = 16
 #: Bytes of a bucket that are sorted together.
-PART_BYTES = 1 << 21
+PART_BYTES = 1 << 20
+#: How segments are sent: id, row of the block, start, windows, distance to the anchor.
+HEAD = ("int64", "uint32", "uint32", "uint16", "uint16")
 _BYTES = np.array([xxhash.xxh64_intdigest(bytes([b]), 42) for b in range(256)], dtype=np.uint64)
 
 
@@ -158,6 +161,23 @@ def _joined(bodies: Iterable[bytes]) -> tuple[bytes, np.ndarray]:
     return raw, np.frombuffer(raw, dtype=np.uint8)
 
 
+def _head(did: np.ndarray, row: np.ndarray, start: np.ndarray, windows: np.ndarray, anchor: np.ndarray) -> bytes:
+    """The numbers of segments, rows of the block in order, in few bytes: steps
+    between ids and rows, and all first bytes, all second bytes and so on."""
+    steps = [np.diff(x, prepend=np.zeros(1, dtype=np.int64)) for x in (did, row)]
+    columns = zip((*steps, start, windows, anchor), HEAD)
+    return pa.compress(b"".join(np.ascontiguousarray(x.astype(t)).view(np.uint8).reshape(len(x), -1).T.tobytes() for x, t in columns), codec="zstd", asbytes=True)
+
+
+def _unpack_head(head: bytes, n: int) -> list[np.ndarray]:
+    """The columns of :func:`_head`, from ``n`` rows."""
+    size = [np.dtype(t).itemsize for t in HEAD]
+    planes = np.frombuffer(pa.decompress(head, n * sum(size), codec="zstd", asbytes=True), dtype=np.uint8).reshape(-1, n)
+    edge = np.cumsum([0, *size])
+    out = [np.ascontiguousarray(planes[a:b].T).view(t).ravel() for a, b, t in zip(edge, edge[1:], HEAD)]
+    return [np.cumsum(out[0]), np.cumsum(out[1], dtype=np.int64), *out[2:]]
+
+
 def _words(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> Iterator[np.ndarray]:
     """Eight bytes after eight of every segment (the last eight again for one
     that has ended); ``data`` goes on for eight bytes after the last."""
@@ -236,11 +256,12 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
 
     def keys_of(pdf: pd.DataFrame) -> np.ndarray:
         texts = [t.encode("utf-8") for t in pdf["text"] if t]
-        return R.part_anchors(_joined(texts)[1], np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), probe, window)[1].key
+        found = R.part_anchors(_joined(texts)[1], np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), probe, window)
+        return np.concatenate([np.array([], dtype=np.uint64), *(x.key for _, x in found)])
 
     def segments(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = R.ordered(left)
-        columns = ["bucket", "from_blk", "head", "body", "runs"]
+        columns = ["bucket", "from_blk", "n", "head", "body", "runs"]
         if not len(left):
             return pd.DataFrame(columns=columns)
         blk = int(left["blk"].iloc[0])
@@ -248,7 +269,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         texts = [t.encode("utf-8") for t in left["text"]]
         length = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         raw, data = _joined(texts)
-        row, found = R.part_anchors(data, length, probe, window)
+        row, found = R.all_part_anchors(data, length, probe, window)
         hit = np.flatnonzero(R.occurs_again(found.key, right, n_anchor))
         if not len(hit):
             return pd.DataFrame(columns=columns)
@@ -256,7 +277,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         row, first, size = row[hit], found.first[hit], found.size[hit]
         head = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (first[1:] != first[:-1] + size[:-1])])
         row, first, size = row[head], first[head], np.add.reduceat(size, head) + window - 1
-        run, cuts = R.part_anchors(_joined(raw[a:b] for a, b in zip(first.tolist(), (first + size).tolist()))[1], size, cut, window)
+        run, cuts = R.all_part_anchors(_joined(raw[a:b] for a, b in zip(first.tolist(), (first + size).tolist()))[1], size, cut, window)
         # one segment for each: row, where it starts in the block, windows, distance to its anchor, anchor key
         o, c, p, k = row[run], cuts.size, cuts.place - cuts.first, cuts.key
         at = cuts.first + (first - (np.cumsum(size) - size))[run]
@@ -267,7 +288,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         local[order] = did[order] > np.repeat(did[order[start]], np.diff(np.r_[start, len(order)]))
         out = []
         if local.any():
-            out.append((blk % n_cut, blk, None, None, R.packed(o[local].astype(np.uint32), s[local], c[local])))
+            out.append((blk % n_cut, blk, 0, None, None, R.packed(o[local].astype(np.uint32), s[local], c[local])))
         sent = np.flatnonzero(~local)
         bucket = (k[sent] % np.uint64(n_cut)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -275,17 +296,18 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
         for i, j in zip(edge.tolist(), edge[1:].tolist()):
             w = sent[i:j]
-            head = R.packed(did[w], o[w].astype(np.uint32), s[w].astype(np.uint32), c[w].astype(np.uint16), p[w].astype(np.uint16))
-            out.append((int(bucket[i]), blk, head, b"".join([raw[a:b] for a, b in zip(at[w].tolist(), (at[w] + c[w] - 1 + window).tolist())]), None))
+            body = b"".join([raw[a:b] for a, b in zip(at[w].tolist(), (at[w] + c[w] - 1 + window).tolist())])
+            out.append((int(bucket[i]), blk, len(w), _head(did[w], o[w], s[w], c[w], p[w]), pa.compress(body, codec="zstd", asbytes=True), None))
         return pd.DataFrame(out, columns=columns)
 
     def sort_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         out = [(b, r) for b, r in zip(pdf["from_blk"], pdf["runs"]) if r is not None]
-        some = [(b, R.unpacked(h, "int64", "uint32", "uint32", "uint16", "uint16"), body) for b, h, body in zip(pdf["from_blk"], pdf["head"], pdf["body"]) if h is not None]
+        some = [(b, _unpack_head(h, n), body) for b, n, h, body in zip(pdf["from_blk"], pdf["n"], pdf["head"], pdf["body"]) if n]
         if some:
             d, o, s, c, p = (np.concatenate([x[i] for _, x, _ in some]).astype(np.int64) for i in range(5))
             blk = np.repeat([b for b, _, _ in some], [len(x[0]) for _, x, _ in some])
-            data, length = _joined(body for _, _, body in some)[1], c - 1 + window
+            data = _joined(pa.decompress(body, int(x[3].sum()) + len(x[3]) * (window - 1), codec="zstd", asbytes=True) for _, x, body in some)[1]
+            length = c - 1 + window
             begin = np.cumsum(length) - length
             # Equal segments are one class; only its least document has windows left to decide.
             order, first = alike(data, begin, length, p)
@@ -305,7 +327,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, id_col: str = "doc
         return pd.DataFrame(out, columns=["blk", "runs"])
 
     replies = R.repeated_anchors(e, keys_of, n_anchor)
-    sent = e.groupBy("blk").cogroup(replies.groupBy("blk")).applyInPandas(segments, "bucket int, from_blk int, head binary, body binary, runs binary")
+    sent = e.groupBy("blk").cogroup(replies.groupBy("blk")).applyInPandas(segments, "bucket int, from_blk int, n int, head binary, body binary, runs binary")
     removed = sent.groupBy("bucket").applyInPandas(sort_bucket, "blk int, runs binary")
     end = 5 if with_bytes else 4
     schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")

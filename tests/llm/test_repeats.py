@@ -179,7 +179,7 @@ def test_anchors_of_texts_hashed_together_are_those_of_each(monkeypatch, prose):
     begin = np.cumsum(length) - length
     for batch in (1, 300, 1 << 16):
         monkeypatch.setattr(R, "BATCH", batch)
-        part, got = R.part_anchors(data, length, 24, 50)
+        part, got = R.all_part_anchors(data, length, 24, 50)
         for i, t in enumerate(texts):
             one = R.anchors(np.frombuffer(t, dtype=np.uint8), 24, 50, R.byte_grams)
             mine = part == i
@@ -187,6 +187,15 @@ def test_anchors_of_texts_hashed_together_are_those_of_each(monkeypatch, prose):
             assert got.size[mine].tolist() == one.size.tolist() and got.key[mine].tolist() == one.key.tolist()
 
 
+def test_numbers_of_segments_come_back_as_sent():
+    rng = np.random.default_rng(9)
+    did = np.sort(rng.integers(-(1 << 63), NO, 200, endpoint=True))
+    for n in (1, 200):
+        sent = [did[:n], np.sort(rng.integers(0, 1 << 32, n)), rng.integers(0, 1 << 32, n), rng.integers(0, 1 << 16, n), rng.integers(0, 1 << 16, n)]
+        got = S._unpack_head(S._head(*sent), n)
+        assert [x.astype(np.int64).tolist() for x in got] == [x.tolist() for x in sent]
+
+
 def test_rows_by_block_are_those_of_each_block():
     rng = np.random.default_rng(7)
     blk, o, p = rng.integers(0, 9, 500), rng.integers(0, 5, 500), rng.permutation(500)
