@@ -4,15 +4,17 @@ A byte string of ``window`` bytes is removed wherever it also starts in a
 document with a smaller id.  Strings that can be repeated are found by anchors
 (see ``repeats``).  Their surroundings are cut into segments, each the text
 around one anchor, and segments meet in buckets by that anchor's bytes.  There
-the suffixes at all window starts are sorted: prefix polynomial hashes give the
-hash of any piece, binary search over its length finds how far two suffixes
-agree, and a mergesort compares them so, in a logarithm of steps each.
-Neighbours in that order that agree in ``window`` bytes are compared byte by
-byte; should a hash have lied, the bucket is sorted again with another base.
-
-Suffixes can only agree if the anchor lies at the same distance in them, so the
-order is built per anchor and distance.  All steps of a mergesort level run as
-array operations over all groups of a bucket.
+suffixes at window starts are sorted: prefix polynomial hashes give the hash of
+any piece, binary search over its length finds how far two suffixes agree, and a
+mergesort compares them so, in a logarithm of steps each; runs that are in order
+as they stand are not merged.  Neighbours in that order that agree in ``window``
+bytes are compared byte by byte; should a hash have lied, the windows are sorted
+again with another base.
+
+Suffixes can only agree over a window if the anchor lies at the same distance in
+them and if they begin and end alike, so the order is built per anchor, distance,
+first and last ``EDGE_GRAM`` bytes, and a window alone in its group is not sorted.
+All steps of a mergesort level run as array operations over many groups.
 
 Edge cases: null, empty or short texts lose nothing; a string repeated only in
 its own document stays; rows with one id never remove each other's strings; a
@@ -98,6 +100,15 @@ class Suffixes:
             r, base, n = rank[active], begin[active], count[active]
             run = r // width
             pair = (run // 2) * 2 * width
+            # runs that are in order as they stand are not merged
+            seam = active[r - pair == width]
+            mixed_up = np.zeros(len(group), dtype=bool)
+            mixed_up[seam[self.before(order[seam], order[seam - 1], np.zeros(len(seam), dtype=bool))] - width] = True
+            some = np.flatnonzero(mixed_up[base + pair])
+            if not len(some):
+                width *= 2
+                continue
+            active, r, base, n, run, pair = (x[some] for x in (active, r, base, n, run, pair))
             left = run % 2 == 0
             lo = np.minimum(n, np.where(left, pair + width, pair))
             end = np.minimum(n, np.where(left, pair + 2 * width, pair + width))
@@ -123,19 +134,21 @@ class Suffixes:
 def repeated_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, did: np.ndarray, window: int) -> np.ndarray:
     """Which of the windows at ``starts`` have an equal one, in the same
     group, with a smaller id."""
-    order = np.argsort(group)
-    same = group[order][1:] == group[order][:-1]
-    order = order[np.r_[same, False] | np.r_[False, same]]  # groups of one have no partner
     gone = np.zeros(len(starts), dtype=bool)
+    order = np.argsort(group)
+    same = np.flatnonzero(group[order][1:] == group[order][:-1])
+    order = order[R.distinct(np.concatenate((same, same + 1)))]  # groups of one have no partner
     if not len(order):
         return gone
     at, g = starts[order], group[order]
-    # bytes of no window that is sorted are not hashed
-    step = np.zeros(len(data) + 1, dtype=np.int32)
-    step[at] += 1
-    step[at + window] -= 1
-    inside = np.cumsum(step[:-1]) > 0
-    data, at = data[inside], np.cumsum(inside)[at] - 1
+    # only bytes of windows that are sorted are hashed
+    line = np.sort(at)
+    far = np.flatnonzero(line[1:] > line[:-1] + window)
+    begin, end = line[np.r_[0, far + 1]], line[np.r_[far, len(line) - 1]] + window
+    size = end - begin
+    moved = begin - (np.cumsum(size) - size)
+    at = at - moved[np.searchsorted(begin, at, side="right") - 1]
+    data = data[np.repeat(moved, size) + np.arange(size.sum())]
     base = int(R.BASE)
     while True:
         suffixes = Suffixes(data, window, base)
@@ -220,18 +233,32 @@ def _windows_gone(data: np.ndarray, begin: np.ndarray, length: np.ndarray, ancho
     found = []
     for k in range(parts):
         some = np.flatnonzero(gram % np.uint64(parts) == k)
-        size, n = length[some], length[some] - window + 1
-        at = np.cumsum(size) - size
-        own = data[np.repeat(begin[some] - at, size) + np.arange(size.sum())]
-        seg = np.repeat(np.arange(len(some)), n)
-        step = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
-        start = at[seg] + step
-        # windows can only be equal if the gram stands at the same distance in them, and if they begin and end alike
-        group = gram[some][seg] * R.BASE + (anchor[some][seg] - step).astype(np.uint64)
-        h = R.byte_grams(own, edge)
-        group = R.mixed(R.mixed(group + h[start]) * R.BASE + h[start + (window - edge)]) if len(own) else group
-        gone = np.flatnonzero(repeated_windows(np.concatenate((own, np.zeros(window, dtype=np.uint8))), start, group, did[some][seg], window))
-        found.append((some[seg[gone]], step[gone]))
+        n = length[some] - window + 1
+        first = np.cumsum(n) - n
+        group = np.empty(n.sum(), dtype=np.uint64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(length[some]) // (2 * PART_BYTES))) + 1
+        for i, j in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(some)].tolist()):
+            if i == j:
+                continue
+            few = some[i:j]
+            size = length[few]
+            at = np.cumsum(size) - size
+            own = data[np.repeat(begin[few] - at, size) + np.arange(size.sum())]
+            seg = np.repeat(np.arange(i, j), n[i:j])
+            step = np.arange(first[i], first[i] + len(seg)) - first[seg]
+            start = at[seg - i] + step
+            # windows can only be equal if the gram stands at the same distance in them, and if they begin and end alike
+            h = R.byte_grams(own, edge)
+            g = gram[some][seg] * R.BASE + (anchor[some][seg] - step).astype(np.uint64)
+            group[first[i] : first[i] + len(seg)] = R.mixed(R.mixed(g + h[start]) * R.BASE + h[start + (window - edge)])
+        # a gram may be in more segments than a part should have: its windows are sorted in turns
+        turns = len(cuts) + 1
+        for q in range(turns):
+            w = np.flatnonzero(group % np.uint64(turns) == q)
+            seg = np.searchsorted(first, w, side="right") - 1
+            step = w - first[seg]
+            gone = np.flatnonzero(repeated_windows(data, begin[some[seg]] + step, group[w], did[some[seg]], window))
+            found.append((some[seg[gone]], step[gone]))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 

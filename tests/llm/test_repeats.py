@@ -145,6 +145,23 @@ def test_windows_of_a_frequent_gram_are_sorted_only_if_they_can_be_equal(monkeyp
     assert 22 <= sum(sorts) < 100  # of 105000
 
 
+def test_a_gram_with_more_segments_than_a_part_should_have(monkeypatch):
+    rng = np.random.default_rng(10)
+    tails = [rng.integers(97, 99, 40).astype(np.uint8).tobytes() for _ in range(12)]
+    bodies = [tails[i % 5] + b"the frequent gram"[:16] + tails[i % 12][:24] for i in range(60)]
+    at, size, did, far = np.arange(60) * 80, np.full(60, 80), rng.permutation(60), np.full(60, 40)
+    _, data = S._joined(bodies)
+    seen = {}
+    for i in np.argsort(did):
+        for k in range(31):
+            seen.setdefault((k, bodies[i][k : k + 50]), i)
+    want = sorted((i, k) for i in range(60) for k in range(31) if seen[k, bodies[i][k : k + 50]] != i)
+    for part in (1 << 20, 400, 80):
+        monkeypatch.setattr(S, "PART_BYTES", part)
+        seg, step = S._windows_gone(data, at, size, far, did, 16, 50)
+        assert sorted(zip(seg.tolist(), step.tolist())) == want and len(want) > 500
+
+
 def test_windows_that_begin_and_end_alike_are_told_apart():
     bodies = [b"0123456789abcdef" + middle + b"fedcba9876543210" for middle in (b"x" * 17 + b"y", b"x" * 18, b"x" * 18, b"y" + b"x" * 17)]
     _, data = S._joined(bodies)
